@@ -28,11 +28,12 @@ def _value_stats(x: Column, moments: Column, guard: Column) -> list[Column]:
 
 
 def _time_stats() -> list[Column]:
-    many, mean = F.count("*") > 1, F.avg("_dt")
-    span = F.max_by("_t", "seq") - F.min_by("_t", "seq")
+    """Seconds from _dt and offset_ms, which are in ms: whole numbers of ms add up exactly."""
+    many, mean = F.count("*") > 1, F.avg("_dt") / 1000.0
+    span = F.when(many, (F.max_by("offset_ms", "seq") - F.min_by("offset_ms", "seq")) / 1000.0).otherwise(0.0)
     return [
-        F.when(mean > 0, 1 / mean).alias("sampling_frequency"), mean.alias("avg_interval"), F.median("_dt").alias("median_interval"), F.stddev_pop("_dt").alias("jitter"),
-        F.var_pop("_dt").alias("interval_variance"), F.max("_dt").alias("max_interval"), F.when(many, span).otherwise(0.0).alias("duration"), F.lit(0.0).alias("start_time"), F.when(many, span).otherwise(0.0).alias("end_time"),
+        F.when(mean > 0, 1 / mean).alias("sampling_frequency"), mean.alias("avg_interval"), (F.median("_dt") / 1000.0).alias("median_interval"), (F.stddev_pop("_dt") / 1000.0).alias("jitter"),
+        (F.var_pop("_dt") / 1e6).alias("interval_variance"), (F.max("_dt") / 1000.0).alias("max_interval"), span.alias("duration"), F.lit(0.0).alias("start_time"), span.alias("end_time"),
     ]
 
 
@@ -42,9 +43,9 @@ def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None) -> Da
     order = Window.partitionBy(*keys).orderBy("seq")
     group = Window.partitionBy(*keys)
     over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
-    rows = bucketed.withColumns({"_v": _no_nan(F.col("x")), "_t": F.col("offset_ms") / 1000.0})
+    rows = bucketed.withColumn("_v", _no_nan(F.col("x")))
     rows = rows.withColumns({
-        "_dt": F.col("_t") - F.lag("_t").over(order),
+        "_dt": F.col("offset_ms") - F.lag("offset_ms").over(order),
         "_before": F.expr(f"lag(_v, 1) IGNORE NULLS {over}"),
         "_after": F.expr(f"lead(_v, 1) IGNORE NULLS {over}"),
         "_mid": F.median("_v").over(group),
@@ -65,10 +66,10 @@ def vector_stats(components: DataFrame) -> DataFrame:
     over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
     v = _no_nan(F.col("x"))
     finite = F.when(F.abs(v) < float("inf"), v)
-    rows = components.withColumns({"_v": v, "_f": finite, "_t": F.col("offset_ms") / 1000.0})
+    rows = components.withColumns({"_v": v, "_f": finite})
     rows = rows.withColumns({
         "_d": _no_nan(F.col("_v") - F.lag("_v").over(order)),
-        "_dt": F.col("_t") - F.lag("_t").over(order),
+        "_dt": F.col("offset_ms") - F.lag("offset_ms").over(order),
         "_before": F.expr(f"lag(_v, 1) IGNORE NULLS {over}"),
         "_after": F.expr(f"lead(_v, 1) IGNORE NULLS {over}"),
         "_mid": F.median("_f").over(group),

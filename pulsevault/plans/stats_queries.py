@@ -11,7 +11,7 @@ from .tables import COMPONENTS_SQL, components, scalar_samples, scalar_sql
 #: Digits that both sides round to (None: exact); variances of large numbers keep fewer.
 DIGITS = {
     "length": None, "nan_count": None, "min": None, "max": None, "mean": 6, "std": 6, "skewness": 6, "kurtosis": 5, "snr": 5, "cv": 6, "mad": 6, "rate_of_change": 6, "rate_of_change_variance": 4,
-    "peaks": None, "sampling_frequency": 12, "avg_interval": 4, "median_interval": 4, "jitter": 3, "interval_variance": -3, "max_interval": 4, "duration": 4, "start_time": None, "end_time": 4,
+    "peaks": None, "sampling_frequency": None, "avg_interval": None, "median_interval": None, "jitter": 3, "interval_variance": -3, "max_interval": None, "duration": None, "start_time": None, "end_time": None,
 }
 
 
@@ -21,7 +21,7 @@ def stats_sql(base: str, keys: str, scalar: bool) -> str:
     guard = "count(v) >= 3" if scalar else "TRUE"
     return f"""WITH {base},
 w AS (
-  SELECT *, offset_ms / 1000.0 AS t, offset_ms / 1000.0 - lag(offset_ms / 1000.0) OVER o AS dt, {step} AS d,
+  SELECT *, offset_ms - lag(offset_ms) OVER o AS dt, {step} AS d,
          lag(v IGNORE NULLS) OVER o AS pb, lead(v IGNORE NULLS) OVER o AS pa, median(v) OVER g AS mid, avg(v) OVER g AS mu, stddev_pop(v) OVER g AS sd
   FROM s WINDOW o AS (PARTITION BY {keys} ORDER BY seq), g AS (PARTITION BY {keys})),
 st AS (
@@ -29,10 +29,10 @@ st AS (
          CASE WHEN {guard} THEN avg(power((v - mu) / nullif(sd, 0), 3)) END AS skewness, CASE WHEN {guard} THEN avg(power((v - mu) / nullif(sd, 0), 4)) END AS kurtosis,
          avg(v) / nullif(stddev_pop(v), 0) AS snr, stddev_pop(v) / abs(nullif(avg(v), 0)) AS cv, median(abs(v - mid)) AS mad,
          avg(d) AS rate_of_change, var_pop(d) AS rate_of_change_variance, count(*) FILTER (WHERE v > pb AND v > pa) AS peaks,
-         CASE WHEN avg(dt) > 0 THEN 1 / avg(dt) END AS sampling_frequency, avg(dt) AS avg_interval, median(dt) AS median_interval, stddev_pop(dt) AS jitter,
-         var_pop(dt) AS interval_variance, max(dt) AS max_interval,
-         CASE WHEN count(*) > 1 THEN arg_max(t, seq) - arg_min(t, seq) ELSE 0 END AS duration, CAST(0 AS DOUBLE) AS start_time,
-         CASE WHEN count(*) > 1 THEN arg_max(t, seq) - arg_min(t, seq) ELSE 0 END AS end_time
+         CASE WHEN avg(dt) > 0 THEN 1 / (avg(dt) / 1000) END AS sampling_frequency, avg(dt) / 1000 AS avg_interval, median(dt) / 1000 AS median_interval, stddev_pop(dt) / 1000 AS jitter,
+         var_pop(dt) / 1e6 AS interval_variance, max(dt) / 1000 AS max_interval,
+         CASE WHEN count(*) > 1 THEN (arg_max(offset_ms, seq) - arg_min(offset_ms, seq)) / 1000 ELSE 0 END AS duration, CAST(0 AS DOUBLE) AS start_time,
+         CASE WHEN count(*) > 1 THEN (arg_max(offset_ms, seq) - arg_min(offset_ms, seq)) / 1000 ELSE 0 END AS end_time
   FROM w GROUP BY {keys})"""
 
 
