@@ -8,16 +8,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows turned into Python objects at once inside a task; keeps memory flat when texts are long.
 SLICE_ROWS = 256
+#: Rows that Spark sends to a task's Python at once at most: whole texts can be long.
+BATCH_ROWS = 1024
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
-#: bytes.translate table: ASCII capitals to small letters, all else unchanged.
-LOWER_ASCII = bytes.maketrans(_UPPER, _LOWER)
+#: bytes.translate table: ASCII capitals to small letters, ASCII white space to blanks, all else unchanged.
+LOWER_WORDS = bytes.maketrans(_UPPER + b"\t\n\x0b\x0c\r", _LOWER + b"     ")
 #: bytes.translate table: small ASCII letters, digits and bytes of non-ASCII characters stay, the rest becomes a blank.
 WORDS_ONLY = bytes(
     (b + 32 if 65 <= b <= 90 else b) if b >= 128 or 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 else 32
@@ -52,6 +53,10 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]]
     """mapInArrow over slices of SLICE_ROWS rows. make() runs once per task and returns the function from a record batch
     to the columns of the result; every column that df has but the function does not return is left out."""
 
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(batch_rows)) > BATCH_ROWS:
+        df.sparkSession.conf.set(batch_rows, str(BATCH_ROWS))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
@@ -62,27 +67,6 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]]
     return df.mapInArrow(run, schema)
 
 
-class WordHasher:
-    """64-bit hashes of words, with a bounded memory of words seen before."""
-
-    def __init__(self, limit: int = 300_000):
-        self.limit = limit
-        self.seen: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        try:
-            return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(seen) > self.limit:
-                seen.clear()
-            digest = xxhash.xxh3_64_intdigest
-            for w in set(words):
-                if w not in seen:
-                    seen[w] = digest(w)
-            return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit scrambler (xor-shift and multiply rounds)."""
     x = x ^ (x >> np.uint64(31))
@@ -102,3 +86,48 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
         out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
         out ^= out >> np.uint64(29)
     return mixed(out)
+
+
+_ROOT = 0xD1342543DE82EF95  # of the polynomial; 5 modulo 8, so its powers differ in low bits
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEGMENT = 1 << 18
+
+
+def _powers(root: int, n: int) -> np.ndarray:
+    out = np.full(n, root, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(_ROOT, _SEGMENT), _powers(pow(_ROOT, -1, 2**64), _SEGMENT)
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of raw, which blanks part, in order. A word's hash is a polynomial over its bytes modulo
+    2**64, taken for all words at once from one running sum, and scrambled."""
+    parts, at = [], 0
+    while at < len(raw):
+        end = min(len(raw), at + _SEGMENT)
+        if end < len(raw):
+            cut = raw.rfind(b" ", at, end)
+            if cut < 0:  # a word longer than a segment
+                cut = raw.find(b" ", end)
+                end = len(raw) if cut < 0 else cut
+            else:
+                end = cut
+        parts.append(_segment_hashes(np.frombuffer(raw, np.uint8, end - at, at)))
+        at = end + 1
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
+def _segment_hashes(buf: np.ndarray) -> np.ndarray:
+    up, down = (_UP, _DOWN) if len(buf) <= _SEGMENT else (_powers(_ROOT, len(buf)), _powers(pow(_ROOT, -1, 2**64), len(buf)))
+    inside = np.zeros(len(buf) + 2, np.int8)
+    inside[1:-1] = buf != 32
+    edge = np.diff(inside)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTES[buf] * up[: len(buf)], out=total[1:])
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))

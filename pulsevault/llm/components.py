@@ -11,6 +11,25 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """parents (u, m: one row per u, m < u) -> (u, m) with m the end of u's chain, by pointer jumping: each round doubles
+    the length of the chains that are followed."""
+    p = parents
+    while True:
+        above = p.select(F.col("u").alias("m"), F.col("m").alias("further"))
+        jumped = materialise(p.join(above, "m", "left").select("u", F.coalesce("further", "m").alias("m"), F.col("further").isNotNull().alias("moved")), "parents")
+        p = jumped.select("u", "m")
+        if jumped.where("moved").isEmpty():
+            return p
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found (u, m) after links (u, v) between its components' least nodes are added."""
+    more = components(links)
+    over = more.select(F.col("u").alias("m"), F.col("m").alias("over"))
+    return materialise(found.join(over, "m", "left").select("u", F.coalesce("over", "m").alias("m")).unionByName(more), "components")
+
+
 def _least(e: DataFrame) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("m"))
 

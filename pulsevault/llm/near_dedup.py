@@ -6,16 +6,20 @@ and vary less. Bands of `rows` values are keys; documents that share a key are c
 if the full shingle sets confirm it.
 
 Steps, each a Spark job whose rows are documents or (document, key) pairs:
- 1. words -> distinct shingles -> number, 128-bit digest of the set, band keys (Arrow map);
+ 1. words -> distinct shingles -> number, 128-bit digest of the set, band keys, parity sketch (Arrow map);
  2. documents with equal sets form one class, the least id represents it (aggregate with map-side combine);
  3. for each representative one link to the least candidate that any of its keys offers; confirmed links -> components;
  4. keys whose documents still lie in several components: links to each key's least document, confirmed, -> components;
- 5. of the keys that still join several components, the pairs from different components whose sketches don't rule them out,
-    confirmed, -> components. Pairs within a component could not change anything, so no link between components is lost.
-A large group of near copies thus costs a link or a few per member and not the square of its size.
+ 5. of the keys that still join several components, the documents outside the key's largest component against those of
+    other components, confirmed, -> components. Pairs within a component could not change anything.
+A large group of near copies thus costs a link or a few per member, and not the square of its size.
 
-Misses: a pair at exactly the threshold shares no key with probability below `miss`; the sketch of step 5 turns away a pair
-at the threshold with a probability of about 1e-9.
+The sketch turns pairs away in steps 4 and 5 before their sets are fetched, and does so exactly: bit b of it is the parity of
+the number of shingles whose hash falls on b, so two sketches differ in at most as many bits as their sets have shingles that
+the other lacks. A pair whose sketches differ in more bits than a link allows can't be one.
+
+The only misses are of the banding: a pair at exactly the threshold shares no key with probability below `miss`, more similar
+ones far less.
 
 Rows: a null or blank text has no shingles and is linked with nothing; repeated rows are copies of each other, and rows that
 share a doc_id are one node; a row whose doc_id is null is never linked, its component_id is null and it is kept; an empty
@@ -30,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_ASCII, WordHasher, gram_hashes, map_rows, materialise, mixed
-from .components import components
+from .common import LOWER_WORDS, gram_hashes, map_rows, materialise, mixed, word_hashes
+from .components import merged, roots
 
-_SKETCH = 3  # longs of the sketch
+_SKETCH = 32  # longs of the parity sketch
 _COLS = 4096  # shingles that are permuted at once
 
 
@@ -42,16 +46,13 @@ def bands_for(threshold: float, rows: int, miss: float = 1e-6) -> int:
     return math.ceil(math.log(miss) / math.log(1 - threshold**rows))
 
 
-def text_words(text: str | None) -> list[bytes]:
-    """Runs of characters other than ASCII white space; A-Z lower-cased."""
-    return (text or "").encode("utf-8", "replace").translate(LOWER_ASCII).split()
-
-
-def shingle_set(words: list[bytes], k: int, hasher: WordHasher) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the k-word shingles; with fewer words, of the whole sequence."""
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(gram_hashes(hasher(words), min(k, len(words))))
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the k-word shingles of a text; with fewer words, of the whole sequence. Words are
+    runs of characters other than ASCII white space, A-Z lower-cased."""
+    words = word_hashes((text or "").encode("utf-8", "replace").translate(LOWER_WORDS))
+    if not len(words):
+        return words
+    return np.unique(gram_hashes(words, min(k, len(words))))
 
 
 def signature(x: np.ndarray, xors: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -74,16 +75,15 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
     def make():
-        hasher = WordHasher()
         seeds = mixed(np.arange(1, 2 * perms + bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         xors, factors, weights = seeds[:perms], seeds[perms : 2 * perms] | np.uint64(1), seeds[2 * perms :].reshape(bands, rows) | np.uint64(1)
-        band_no, order = np.arange(bands, dtype=np.uint64), np.arange(64 * _SKETCH, dtype=np.uint64)
+        band_no = np.arange(bands, dtype=np.uint64)
 
         def work(batch: pa.RecordBatch) -> dict:
             out = {f.name: [] for f in arrow}
             out["doc_id"] = batch.column(0)
             for text in batch.column(1).to_pylist():
-                x = shingle_set(text_words(text), words, hasher)
+                x = shingle_set(text, words)
                 out["n"].append(len(x))
                 if not len(x):
                     for key, v in (("d1", 0), ("d2", 0), ("keys", None), ("sketch", None)):
@@ -94,8 +94,8 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 sig = signature(x, xors, factors)
                 keys = mixed((mixed(sig[: bands * rows].reshape(bands, rows)) * weights).sum(axis=1) + band_no)
                 out["keys"].append(signed(keys))
-                bits = mixed(np.resize(sig, 64 * _SKETCH) + order) & np.uint64(1)
-                out["sketch"].append(signed(np.packbits(bits.astype(np.uint8)).view(np.uint64)))
+                parity = np.bincount((x % np.uint64(64 * _SKETCH)).astype(np.int64), minlength=64 * _SKETCH) & 1
+                out["sketch"].append(signed(np.packbits(parity.astype(np.uint8)).view(np.uint64)))
             return out
 
         return work
@@ -108,10 +108,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def make():
-        hasher = WordHasher()
-
         def work(batch: pa.RecordBatch) -> dict:
-            sets = [signed(shingle_set(text_words(t), words, hasher)) for t in batch.column(1).to_pylist()]
+            sets = [signed(shingle_set(t, words)) for t in batch.column(1).to_pylist()]
             return {"doc_id": batch.column(0), "shingles": sets}
 
         return work
@@ -128,12 +126,12 @@ def _alike_size(percent: int, n: str, m: str):
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold."""
+    """The pairs (u, v, ...) whose full sets reach the threshold."""
     a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
     b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    both = pairs.select("u", "v").join(a, "u").join(b, "v")
-    both = both.select("u", "v", F.size("su").alias("nu"), F.size("sv").alias("nv"), F.size(F.array_intersect("su", "sv")).alias("c"))
-    return both.where(_similar(percent, F.col("c"), "nu", "nv")).select("u", "v")
+    both = pairs.join(a, "u").join(b, "v")
+    both = both.select(*pairs.columns, F.size("su").alias("nu"), F.size("sv").alias("nv"), F.size(F.array_intersect("su", "sv")).alias("c"))
+    return both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
@@ -152,21 +150,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
     sets = materialise(shingle_sets(whole, words), "sets")
 
-    links = None
-    # 3. one link for each document
+    # 3. one link for each document: the links are a forest
     first = members.where("id != least").groupBy(F.col("id").alias("u")).agg(F.min("least").alias("v"))
-    links = materialise(_confirmed(first, sets, percent), "confirmed")
-    comp = components(links)
+    comp = roots(_confirmed(first, sets, percent).select("u", F.col("v").alias("m")))
     # 4. and 5. keys that still join several components
     for pairs_of in (_stars, _pairs):
-        open_keys = materialise(_open(members, comp), "open")
+        open_keys = materialise(_open(members, reps, comp), "open")
         if open_keys.isEmpty():
             break
-        pairs = pairs_of(open_keys, reps, percent)
-        more = materialise(_confirmed(pairs, sets, percent), "confirmed")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            comp = components(links)
+        links = materialise(_confirmed(pairs_of(open_keys, percent), sets, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "links")
+        if not links.isEmpty():
+            comp = merged(comp, links)
     # classes -> their component, and every document -> that of its class
     of_class = reps.select("n", "d1", "d2", "rep").join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("m", "rep").alias("found"))
     linked = sig.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
@@ -174,31 +168,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     return linked.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """The members of keys whose documents lie in more than one component, with their component."""
+def _open(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
+    """The members of keys whose documents lie in more than one component: key, id, n, least, comp, sketch and main, the
+    component that most of the key's documents are in."""
     m = members.join(comp.select(F.col("u").alias("id"), "m"), "id", "left").select("key", "id", "n", "least", F.coalesce("m", "id").alias("comp"))
-    several = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return m.join(several, "key", "left_semi")
+    counted = m.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    several = counted.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").select("key", "main")
+    return m.join(several, "key").join(reps.select(F.col("rep").alias("id"), "sketch"), "id")
+
+
+def _may_link(percent: int, a: str, b: str):
+    """What the sizes and sketches of two documents leave possible: at most so many shingles that one of them lacks."""
+    apart = sum(F.bit_count(F.col(f"sketch{a}")[i].bitwiseXOR(F.col(f"sketch{b}")[i])) for i in range(_SKETCH))
+    return _alike_size(percent, f"n{a}", f"n{b}") & (apart * (100 + percent) <= (100 - percent) * (F.col(f"n{a}") + F.col(f"n{b}")))
 
 
-def _stars(open_keys: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    cols = ("id", "n", "comp", "sketch")
+    return left.select("key", "main", *[F.col(c).alias(f"{c}_a") for c in cols]), right.select("key", *[F.col(c).alias(f"{c}_b") for c in cols])
+
+
+def _named(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("id_a").alias("u"), F.col("id_b").alias("v"), F.col("comp_a").alias("cu"), F.col("comp_b").alias("cv")).distinct()
+
+
+def _stars(open_keys: DataFrame, percent: int) -> DataFrame:
     """Each open document with its key's least document, where their components differ."""
-    centre = open_keys.where("id = least").select("key", F.col("n").alias("m"), F.col("comp").alias("centre"))
-    pairs = open_keys.where("id != least").join(centre, "key").where(F.col("comp") != F.col("centre")).where(_alike_size(percent, "n", "m"))
-    return pairs.select(F.col("id").alias("u"), F.col("least").alias("v")).distinct()
-
-
-def _pairs(open_keys: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs from different components that share a key and whose sketches don't rule a link out."""
-    drawn = open_keys.join(reps.select(F.col("rep").alias("id"), "sketch"), "id")
-    a = drawn.select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "comp", "sketch")])
-    b = drawn.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "comp", "sketch")])
-    bits, agree = 64 * _SKETCH, (1 + percent / 100) / 2
-    most = math.ceil(bits * (1 - agree) + 6.5 * math.sqrt(bits * agree * (1 - agree)))
-    apart = sum(F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(_SKETCH))
-    close = (F.col("id_a") > F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & _alike_size(percent, "n_a", "n_b") & (apart <= most)
-    joined = a.join(b, (a["key"] == b["key"]) & close)
-    return joined.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct()
+    a, b = _sides(open_keys.where("id != least"), open_keys.where("id = least"))
+    return _named(a.join(b, (a["key"] == b["key"]) & (F.col("comp_a") != F.col("comp_b")) & _may_link(percent, "_a", "_b")))
+
+
+def _pairs(open_keys: DataFrame, percent: int) -> DataFrame:
+    """The documents outside their key's main component with those of other components under the same key."""
+    a, b = _sides(open_keys.where("comp != main"), open_keys)
+    once = (F.col("comp_b") == F.col("main")) | (F.col("id_a") > F.col("id_b"))
+    return _named(a.join(b, (a["key"] == b["key"]) & (F.col("comp_a") != F.col("comp_b")) & once & _may_link(percent, "_a", "_b")))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
