@@ -86,7 +86,7 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict])
     def render(conv_id: pd.Series, call_id: pd.Series, name: pd.Series, arguments: pd.Series, content: pd.Series, level: pd.Series, dangling: pd.Series) -> pd.DataFrame:
         rows = []
         for c, i, n, a, r, lv, d in zip(conv_id, call_id, name, arguments, content, level, dangling, strict=True):
-            wrong = problems(a, schemas.get(n)) + ["refers to an unknown call"] * (d is True or d == True) + ["is on a cycle"] * bool(pd.isna(lv) and not pd.isna(i))  # noqa: E712
+            wrong = problems(a, schemas.get(n)) + ["refers to an unknown call"] * (d is True or d == True) + ["is on a cycle"] * bool(pd.isna(lv) and not pd.isna(i) and not pd.isna(c))  # noqa: E712
             try:
                 args = json.loads(a)
             except (TypeError, ValueError):
