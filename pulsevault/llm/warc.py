@@ -132,7 +132,10 @@ def record_id(key: int | None, digest: str, url: str | None = None, stamp: str |
 
 def key_of(identifier: str) -> int | None:
     """The key that record_id() put in."""
-    u = uuid.UUID(identifier.strip("<>").removeprefix("urn:uuid:"))
+    try:
+        u = uuid.UUID(identifier.strip("<>").removeprefix("urn:uuid:"))
+    except ValueError:  # another kind of identifier
+        return None
     if u.version != 8:
         return None
     k = (u.int >> 64 & 3) << 62 | u.int & (2**62 - 1)
@@ -205,8 +208,8 @@ WARC_RECORD = "record_key long, record_type string, target_uri string, warc_date
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """WARC_RECORD rows of the archives under path. The payload of a response is checked against its digest and length;
-    that of a revisit is null."""
+    """WARC_RECORD rows of the archives under path, those of other writers too: without an own key record_key is null. The
+    payload of a response is checked against its digest; that of a revisit is null."""
     arrow = pa.schema([("record_key", pa.int64()), ("record_type", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
     def run(batches):
@@ -215,14 +218,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows, held = [], 0
                 stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
                 for h, block in parse_warc(io.BufferedReader(stream)):
-                    digest = base64.b32decode(h["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    payload = None
-                    if h["warc-type"] == "response":
-                        payload = block.partition(_END)[2] if h["content-type"].startswith("application/http") else block
-                        if hashlib.sha1(payload, usedforsecurity=False).hexdigest() != digest or len(payload) != int(h["x-payload-length"]):
+                    kind, payload = h["warc-type"], None
+                    if kind != "revisit":
+                        payload = block.partition(_END)[2] if kind == "response" and h.get("content-type", "").startswith("application/http") else block
+                    said = h.get("warc-payload-digest", "")
+                    digest = base64.b32decode(said[5:]).hex() if re.fullmatch("sha1:[A-Z2-7]{32}", said) else None
+                    if payload is not None:
+                        found = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
+                        if kind == "response" and digest not in (None, found):
                             raise ValueError(f"payload of {h['warc-record-id']} differs from its digest")
+                        digest = found
+                    size = int(h.get("x-payload-length", len(payload or b"")))
                     refers = h.get("warc-refers-to")
-                    rows.append((key_of(h["warc-record-id"]), h["warc-type"], h.get("warc-target-uri"), h["warc-date"], digest, int(h["x-payload-length"]), key_of(refers) if refers else None, payload))
+                    rows.append((key_of(h["warc-record-id"]), kind, h.get("warc-target-uri"), h.get("warc-date"), digest, size, key_of(refers) if refers else None, payload))
                     held += len(block)
                     if held > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)

@@ -79,3 +79,13 @@ def test_record_is_valid_warc():
 
 def test_query_has_sql():
     assert "op2_warc_converter" in queries.oracle_sql()
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:6f2c1f0e-5e1a-4a1b-9d0a-0123456789ab>\r\nContent-Length: 4\r\n\r\nab\r\n\r\n\r\n"
+    page = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <http://id/1>\r\nWARC-Target-URI: http://x/\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: %d\r\n\r\n" % len(block)
+    (tmp_path / "a.warc").write_bytes(info + page + block + b"\r\n\r\n")
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(page + block + b"\r\n\r\n"))
+    got = sorted((r.record_type, r.target_uri, r.record_key, bytes(r.payload)) for r in warc.read_warc(spark, str(tmp_path)).collect())
+    assert got == [("response", "http://x/", None, b"hello")] * 2 + [("warcinfo", None, None, b"ab\r\n")] * 2
