@@ -24,7 +24,7 @@ from .tokens import FlatEncoder, tokenizer_path
 END = 50256
 
 
-def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END, docs_per_file: int = 20_000) -> None:
+def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END, docs_per_file: int = 5_000) -> None:
     """Flat token files of docs.text under path; every id must fit 16 bits."""
     vocabulary = tokenizer or tokenizer_path()
     end = int(end_id).to_bytes(2, "little")
