@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import WORDS_ONLY, WordHasher, gram_hashes, map_rows, materialise
+from .common import WORDS_ONLY, gram_hashes, map_rows, materialise, word_hashes
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def item_words(text: str | None) -> list[bytes]:
-    """Lower-cased runs of ASCII letters, digits and non-ASCII characters."""
-    return (text or "").encode("utf-8", "replace").translate(WORDS_ONLY).split()
+def item_words(text: str | None) -> np.ndarray:
+    """Hashes of the words: lower-cased runs of ASCII letters, digits and non-ASCII characters."""
+    return word_hashes((text or "").encode("utf-8", "replace").translate(WORDS_ONLY))
 
 
 def winnow(grams: np.ndarray, run: int) -> np.ndarray:
@@ -58,8 +58,7 @@ class Index:
 
     def __init__(self, items: list[tuple], window: int = 13, k: int = 5):
         self.window, self.k, self.ids = window, k, [i for i, _ in items]
-        hasher = WordHasher(10**9)
-        words = [hasher(item_words(t)) for _, t in items]
+        words = [item_words(t) for _, t in items]
         self.short = sorted({len(w) for w in words if 0 < len(w) < window})
         prints = [np.empty(0, np.uint64)]
         for w in words:
@@ -137,14 +136,14 @@ def _one_pass(docs: DataFrame, items: list[tuple], window: int, k: int) -> DataF
     shipped = docs.sparkSession.sparkContext.broadcast(items)
 
     def make():
-        index, hasher = Index(shipped.value, window, k), WordHasher()
+        index = Index(shipped.value, window, k)
         none = items_digest([])
 
         def work(batch: pa.RecordBatch) -> dict:
             out = {f.name: [] for f in arrow}
             out["doc_id"] = batch.column(0)
             for text in batch.column(1).to_pylist():
-                w = hasher(item_words(text))
+                w = item_words(text)
                 hit, found = index.match(w)
                 n = int(hit.sum())
                 for key, v in (("n_words", len(w)), ("n_hit", n), ("n_items", len(found)), ("items_sha256", items_digest(index.ids[i] for i in found) if found else none), ("contaminated", _verdict(len(w), n))):
@@ -161,12 +160,10 @@ def _fingerprints(rows: DataFrame, window: int, k: int, lengths: list[int], of_i
     arrow = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("prints", pa.list_(pa.int64()))])
 
     def make():
-        hasher = WordHasher()
-
         def work(batch: pa.RecordBatch) -> dict:
             out = {"key": batch.column(0), "n": [], "prints": []}
             for text in batch.column(1).to_pylist():
-                w = hasher(item_words(text))
+                w = item_words(text)
                 parts = [np.empty(0, np.uint64)]
                 if len(w) >= window:
                     g = gram_hashes(w, k)
@@ -195,12 +192,10 @@ def _by_join(docs: DataFrame, bench: DataFrame, window: int, k: int) -> DataFram
     arrow = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64())))])
 
     def make():
-        hasher = WordHasher()
-
         def work(batch: pa.RecordBatch) -> dict:
             spans = []
             for text, item in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                hit, _ = Index([(0, item)], window, k).match(hasher(item_words(text)))
+                hit, _ = Index([(0, item)], window, k).match(item_words(text))
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
                 spans.append(edges.reshape(-1, 2).tolist())
             return {"doc": batch.column(0), "item": batch.column(1), "spans": spans}
@@ -236,10 +231,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, k:
 
         @F.pandas_udf(BooleanType())
         def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            index, hasher = Index(shipped.value, window, k), WordHasher()
+            index = Index(shipped.value, window, k)
 
             def ok(text: str | None) -> bool:
-                w = hasher(item_words(text))
+                w = item_words(text)
                 return not _verdict(len(w), int(index.match(w)[0].sum()))
 
             for part in texts:

@@ -73,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_converter": OP2_SQL}
+    return {"op2_warc_converter": OP2_SQL, "op4_host_rules": OP4_SQL, "op9_winnowing": OP9_SQL, "op10_min_max_hash": OP10_SQL}
 
 
 #: Full result of op2. The date is the one that the query's ARC files carry.
@@ -91,3 +91,70 @@ SELECT d.page_id, CAST(d.payload_bytes AS BIGINT) AS payload_bytes, d.payload_di
        d.url AS target_uri, '2024-01-01T00:00:00Z' AS warc_date
 FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes = g.payload_bytes
 """
+
+#: Counts word by word, then the failure rates of hosts shrunk by each rule's beta prior.
+_RATES = ", ".join(f"avg({r} / n) AS {r}_m, var_pop({r} / n) AS {r}_v" for r in quality_rules.RULES)
+_SHRUNK = ", ".join(
+    f"({r} + least(docs, CASE WHEN {r}_v > {r}_m * (1 - {r}_m) * inverse THEN greatest(1.0, {r}_m * (1 - {r}_m) / ({r}_v - {r}_m * (1 - {r}_m) * inverse) - 1) ELSE docs END) * {r}_m)"
+    f" / (n + least(docs, CASE WHEN {r}_v > {r}_m * (1 - {r}_m) * inverse THEN greatest(1.0, {r}_m * (1 - {r}_m) / ({r}_v - {r}_m * (1 - {r}_m) * inverse) - 1) ELSE docs END))"
+    for r in quality_rules.RULES
+)
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS k
+  FROM (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, UNNEST(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2))
+), h AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, UNNEST([i, i + 1, i + 2]) AS p FROM g WHERE k > 1) GROUP BY r
+), c AS (
+  SELECT d.r, doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN h ON d.r = h.r
+), f AS (
+  SELECT *, n_words < 50 AS few_words, 100 * n_repeat_words > 50 * n_words AS repeats, 10 * n_symbols > 3 * n_words AS symbols, 10 * n_dup_lines > n_words AS dup_lines FROM c
+), s AS (
+  SELECT host, CAST(count(*) AS DOUBLE) AS n, {', '.join(f'CAST(count(*) FILTER (WHERE {r}) AS DOUBLE) AS {r}' for r in quality_rules.RULES)} FROM f GROUP BY host
+), p AS (SELECT avg(n) AS docs, avg(1 / n) AS inverse, {_RATES} FROM s
+), v AS (SELECT host, greatest({_SHRUNK}) > 0.8 AS host_failed FROM s, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed, host_failed, NOT (few_words OR repeats) AND NOT host_failed AS kept
+FROM f JOIN v ON f.host IS NOT DISTINCT FROM v.host
+"""
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Every window of an item, looked up in every window of a document.
+OP9_SQL = rf"""
+WITH i AS (
+  SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, UNNEST(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), dw AS (
+  SELECT r, n, s, array_to_string(w[s : s + n - 1], ' ') AS k
+  FROM (SELECT r, w, n, UNNEST(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+), m AS (SELECT dw.r, dw.n, dw.s, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.k = iw.k
+), h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, UNNEST(range(s, s + n)) AS p FROM m) GROUP BY r
+), t AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON d.r = h.r LEFT JOIN t ON d.r = t.r
+"""
+
+#: All pairs that share a shingle, and every document's least reachable one.
+OP10_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS x FROM (SELECT doc_id, w, UNNEST(range(1, greatest(2, len(w) - 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (SELECT doc_id AS id, doc_id AS low FROM d UNION SELECT e.b, r.low FROM r JOIN e ON e.a = r.id WHERE r.low < e.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, q.low AS component_id, q.low = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(low) AS low FROM r GROUP BY id) q ON q.id = d.doc_id
+"""
