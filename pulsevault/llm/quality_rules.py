@@ -116,13 +116,19 @@ def judge(docs: DataFrame, host_col: str = "source", host_limit: float = 0.8) ->
     return out.select("doc_id", *COUNTS, "base_failed", "host_failed", (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"))
 
 
-def kept_documents(docs: DataFrame, host_col: str = "source", host_limit: float = 0.8) -> DataFrame:
+def kept_documents(docs: DataFrame, host_col: str = "source", host_limit: float = 0.8, broadcast_hosts: int = 100_000) -> DataFrame:
     """The rows of docs that neither their own text nor their host fails, in docs' columns. The text is judged again where
-    it lies, so no text is shuffled: only the failed hosts travel."""
+    it lies and the failed hosts, whose number is counted first, travel to it, so no text is shuffled. If there are more of
+    them than `broadcast_hosts`, texts are dealt by host and a salt, so that a large host is many groups."""
     failures = materialise(rule_failures(document_counts(docs, host_col)), "failures")
-    bad_hosts = host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias("_host"))
-    good = docs.where(_passes(F.col("text")))
-    return good.join(bad_hosts, good[host_col].cast("string").eqNullSafe(F.col("_host")), "left_anti")
+    bad = materialise(host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias("_host")), "hosts")
+    good, same = docs.where(_passes(F.col("text"))), F.col(host_col).cast("string").eqNullSafe(F.col("_host"))
+    if bad.count() <= broadcast_hosts:
+        return good.join(F.broadcast(bad), same, "left_anti")
+    salts = 64
+    bad = bad.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = good.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    return salted.join(bad, same & (F.col("_salt") == F.col("_of")), "left_anti").select(*docs.columns)
 
 
 @F.pandas_udf(BooleanType())

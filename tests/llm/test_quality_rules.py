@@ -47,6 +47,8 @@ def test_bad_host_takes_its_documents_with_it(spark):
     assert not got[5000].host_failed  # one document is no evidence
     left = {r.doc_id for r in Q.kept_documents(docs).collect()}
     assert left == {i for i, r in got.items() if r.kept}
+    assert {r.doc_id for r in Q.kept_documents(docs, broadcast_hosts=0).collect()} == left
+    assert "Exchange hashpartitioning" not in Q.kept_documents(docs)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_shrinkage_is_toward_the_hosts_mean(spark):
