@@ -3,7 +3,8 @@
 Three base patterns (assignments, access keys, long hex runs) are reported as they match. Further candidates, runs of base64
 or hex and dotted tokens, are decoded and reported only if their content parses: a DER SEQUENCE whose nested lengths close
 exactly and which starts like a private or public key, an OpenSSH key blob whose length-prefixed fields fill it, or a signed
-token whose header is a JSON object that names an algorithm.
+token whose header is a JSON object that names an algorithm. Line ends may be escaped (a backslash and n or r, as in JSON and
+env strings); base64 may be of either alphabet, and wrapped over lines of which the first has 16 characters at least.
 
 One pass over whole texts inside Arrow batches, no shuffle. Spans are in code points, end exclusive.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
+import itertools
 import json
 import re
 
@@ -32,9 +34,18 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # runs are taken whole, so asking for 32 equals dropping shorter ones
 _ANY_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-_PEM_BODY = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+_END = r"[ \t]*(?:\r?\n|\r|(?:\\+[nr])+)[ \t]*"
+_LINE_END = re.compile(_END)
+_LONG = re.compile(r"[A-Za-z0-9+/_-]{16}")
+#: Lines of base64 in both alphabets.
+_BASE64 = [re.compile(f"[A-Za-z0-9{c}]{{16,}}(?:{_END}[A-Za-z0-9{c}]+)*={{0,2}}") for c in ("+/", "_-")]
+_PEM_BODY = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+_ESCAPES = re.compile(r"\\+[nrt]|[\s\\]")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
+#: What follows the header of a token.
+_JWT_REST = re.compile(r"(?<=[A-Za-z0-9_-])\.(?=([A-Za-z0-9_-]*\.[A-Za-z0-9_-]*))")
+_JWT_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+_TO_PLAIN = str.maketrans("-_", "+/")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 _SSH_NAME = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
 
@@ -119,6 +130,82 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if data[0] == 0x30 and is_der_key(data) else "ssh" if is_ssh_blob(data) else None
 
 
+def _key_sizes(data: bytes, most: int) -> list[int]:
+    """Numbers of bytes, the largest first and none above most, after which a key that data starts with may end."""
+    if data[:1] == b"\x30":
+        if len(data) < 6:
+            return []
+        k = data[1] & 0x7F if data[1] & 0x80 else 0
+        size = 2 + k + int.from_bytes(data[2 : 2 + k], "big") if k else 2 + data[1]
+        return [size] if k <= 4 and size <= most else []
+    at, out = 0, []
+    if data.startswith(_SSH_MAGIC):
+        out.append(len(data))
+        at = len(_SSH_MAGIC)
+        for _ in range(3):  # cipher, derivation, its options
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        at, n = at + 4, int.from_bytes(data[at : at + 4], "big")
+        for _ in range(min(n, len(data)) + 1):  # public keys, then the private part
+            if at + 4 > len(data):
+                return out
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        return [at, *out] if at < len(data) else out
+    while at + 4 <= len(data):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        if at <= len(data):
+            out.append(at)
+    return out[::-1]
+
+
+def _is_ssh_head(data: bytes) -> bool:
+    size = int.from_bytes(data[:4], "big")
+    return data.startswith(_SSH_MAGIC) or bool(_SSH_NAME.match(data[4:44])) and size < 256
+
+
+def _base64_keys(text: str, m: re.Match) -> list[tuple[int, int, str]]:
+    """Spans of the keys in lines of base64. A key starts at a line's start and ends at a line's end."""
+    ends = [(e.start(), e.end()) for e in _LINE_END.finditer(text, m.start(), m.end())]
+    starts, stops = [m.start(), *[b for _, b in ends]], [*[a for a, _ in ends], m.end()]
+    if m.start() and text[m.start() - 1] == "\\" and text[m.start()] in "nr":
+        starts[0] += 1  # the letter belongs to an escaped line end
+    run = "".join(text[a:b] for a, b in zip(starts, stops, strict=True)).rstrip("=").translate(_TO_PLAIN)
+    firsts = [0, *itertools.accumulate(b - a for a, b in zip(starts, stops, strict=True))]
+    firsts[-1] = len(run)
+    place = {at: j for j, at in enumerate(firsts[1:])}  # characters up to a line's end
+    out, i = [], 0
+    while i < len(starts):
+        at, found = firsts[i], None
+        head = run[at : at + 64]
+        if head.startswith("M"):  # a SEQUENCE
+            sizes = _key_sizes(_decoded(head[:8]) or b"", (len(run) - at) * 3 // 4)
+        elif head.startswith(("AAAA", "b3Bl")) and _is_ssh_head(_decoded(head[: len(head) // 4 * 4]) or b""):
+            sizes = _key_sizes(_decoded(run[at : len(run) - ((len(run) - at) % 4 == 1)]) or b"", (len(run) - at) * 3 // 4)
+        else:
+            sizes = []
+        for size in sizes:
+            need = -(-4 * size // 3)
+            if need >= 40 and at + need in place and (kind := _key_kind((_decoded(run[at : at + need]) or b"")[:size])):
+                found = place[at + need]
+                out.append((starts[i], stops[found], kind))
+                break
+        i = i + 1 if found is None else found + 1
+    return out
+
+
+def _tokens(text: str) -> list[tuple[int, int, str]]:
+    """Spans of signed tokens: three dotted parts of which the first is a header."""
+    out = [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text) if is_jwt(m[0])] if "eyJ" in text else []
+    for m in _JWT_REST.finditer(text):
+        end = at = m.start()
+        while at and text[at - 1] in _JWT_CHARS:
+            at -= 1
+        if at and text[at - 1] == "\\" and text[at] in "nr":
+            at += 1
+        if end - at >= 11 and is_jwt(text[at:end]):
+            out.append((at, m.end(1), "jwt"))
+    return out
+
+
 def spans_of(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind as listed in KINDS."""
     if not text:
@@ -132,13 +219,13 @@ def spans_of(text: str | None) -> list[tuple[int, int, str]]:
             out.append((m.start(), m.end(), kind))
     if "-----BEGIN " in text:
         for m in _PEM_BODY.finditer(text):
-            if kind := _key_kind(_decoded("".join(m[2].split()))):
+            if kind := _key_kind(_decoded(_ESCAPES.sub("", m[2]))):
                 out.append((m.start(), m.end(), kind))
-    for m in _BASE64.finditer(text):
-        if kind := _key_kind(_decoded(m[0])):
-            out.append((m.start(), m.end(), kind))
-    if "eyJ" in text:
-        out += [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text) if is_jwt(m[0])]
+    if _LONG.search(text):
+        for pattern in _BASE64:
+            for m in pattern.finditer(text):
+                out += _base64_keys(text, m)
+    out += _tokens(text)
     return sorted(set(out), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

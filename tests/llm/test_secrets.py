@@ -59,6 +59,46 @@ def test_pem_block_is_one_span():
     assert S.redact(t) == "x [SECRET] y"
 
 
+LINES = [b64(RSA)[i : i + 64] for i in range(0, len(b64(RSA)), 64)]
+PEM = ["-----BEGIN RSA PRIVATE KEY-----", *LINES, "-----END RSA PRIVATE KEY-----"]
+
+
+@pytest.mark.parametrize("end", [r"\n", r"\r\n", r"\\n", "\r\n"])
+def test_escaped_line_ends(end):
+    assert S.redact('{"key": "' + end.join(PEM) + end + '"}') in ('{"key": "[SECRET]' + end + '"}', '{"key": "[SECRET]"}')
+    assert S.redact(f"K={end}{end.join(LINES)}{end}") == f"K={end}[SECRET]{end}"
+    assert S.redact(f"K={end}{b64(RSA)}{end}") == f"K={end}[SECRET]{end}"
+
+
+@pytest.mark.parametrize(("data", "kind"), [(RSA, "der"), (PUBLIC, "der"), (SSH, "ssh")])
+@pytest.mark.parametrize("encode", [base64.b64encode, base64.urlsafe_b64encode])
+@pytest.mark.parametrize("width", [20, 64, 10_000])
+def test_wrapped_and_url_safe_base64(data, kind, encode, width):
+    run = encode(data).decode()
+    block = "\n".join(run[i : i + width] for i in range(0, len(run), width))
+    t = f"a\nlongerthansixteenchars\n{block}\n: b"
+    assert (25, 25 + len(block), kind) in S.spans_of(t)
+    assert S.redact(t) == "a\nlongerthansixteenchars\n[SECRET]\n: b"
+
+
+def test_url_safe_key_has_both_letters():
+    run = base64.urlsafe_b64encode(der(0x30, INT(0) + INT(int.from_bytes(b"\x7f\xfb\xef\xbe\xff" * 13, "big")))).decode()
+    assert "-" in run and "_" in run
+    assert S.redact(f"k {run} e") == "k [SECRET] e"
+
+
+@pytest.mark.parametrize("head", ['{ "alg": "HS256"}', '{\n "alg": "HS256"\n}', '\r\n{"alg":"HS256"}', ' {"alg":"HS256"}'])
+@pytest.mark.parametrize("before", ["", "x ", r"\n"])
+def test_token_headers_with_blanks(head, before):
+    token = base64.urlsafe_b64encode(head.encode()).decode().rstrip("=") + ".eyJzdWIiOiIxIn0.c2ln"
+    assert S.redact(f"{before}{token} y") == f"{before}[SECRET] y"
+
+
+def test_key_before_a_line_with_one_word():
+    bare = b64(RSA).rstrip("=")
+    assert S.redact(f"{bare}\nword") == "[SECRET]\nword"
+
+
 @pytest.mark.parametrize("t", [b64(RSA[:-1]), b64(bytes(range(60))), "A" * 80, "eyJhbGciOiJub25l.x.y", b64(der(0x30, INT(5))), "dotted.words.here", "A" * 39])
 def test_unconfirmed_is_left_alone(t):
     assert [s for s in S.spans_of(t) if s[2] not in S.KINDS[:3]] == []
