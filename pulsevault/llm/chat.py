@@ -8,14 +8,15 @@ against a schema per tool. JSON is canonical: sorted keys, no blanks, non-ASCII
 Rows: a call without a result stays with a null result, a result without a call is dropped; of several results to an
 identifier the first by position counts, of several calls likewise; references to unknown calls make a call invalid; null
 identifiers link with nothing and such calls are invalid; null or malformed arguments are invalid; empty tables give an empty
-result; other columns are ignored."""
+result; other columns are ignored. every_turn() drops nothing: each row of a conversation is a call, the result in a call's
+message, a result without a call, or a message of another role."""
 
 from __future__ import annotations
 
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -107,14 +108,74 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """User turns as calls of a tool `reply` (a call refers to the user turns at half and a quarter of its place, if there),
     assistant turns as results of the turn before."""
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    ident = lambda t: F.concat_ws(":", "conv_id", t)
-    users = c.where("role = 'user'")
+    users = c.where("role = 'user'").withColumn("call_id", F.when(F.col("turn").isNotNull(), _ident("turn")))
+    results = c.where("role = 'assistant'").select("conv_id", _ident(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content"))
+    return _user_calls(users), results
+
+
+def _ident(turn: Column | str) -> Column:
+    return F.concat_ws(":", "conv_id", turn)
+
+
+def _user_calls(users: DataFrame) -> DataFrame:
+    """Calls of user turns (conv_id, turn, call_id, text)."""
     turns = users.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
     refs = users.select("conv_id", "turn").distinct().withColumn("at", F.explode(F.array_distinct(F.array(F.floor(F.col("turn") / 2), F.floor(F.col("turn") / 4))))).where("at < turn")
     there = refs.join(turns.withColumnRenamed("turn", "at"), ["conv_id", "at"]).groupBy("conv_id", "turn").agg(F.array_sort(F.collect_set("at")).alias("ats"))
     calls = users.join(there, ["conv_id", "turn"], "left")
     after = F.coalesce(F.transform("ats", lambda a: F.concat_ws(":", F.col("conv_id"), a)), F.array().cast("array<string>"))
     calls = calls.withColumn("after", after)
-    calls = calls.select("conv_id", F.when(F.col("turn").isNotNull(), ident("turn")).alias("call_id"), F.col("turn").alias("position"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", "after")).alias("arguments"), "after")
-    results = c.where("role = 'assistant'").select("conv_id", ident(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content"))
-    return calls, results
+    return calls.select("conv_id", "call_id", F.col("turn").alias("position"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", "after")).alias("arguments"), "after")
+
+
+def _last_user(turns: DataFrame, block: int = 1024) -> DataFrame:
+    """conv_id, turn, last (the last user turn before) of the distinct turns (conv_id, turn, is_user): within blocks of turns,
+    then over the blocks, so that a long conversation is no single group."""
+    user_turn = F.when(F.col("is_user"), F.col("turn"))
+    t = turns.withColumn("block", F.floor(F.col("turn") / block))
+    over = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = t.groupBy("conv_id", "block").agg(F.max(user_turn).alias("top")).withColumn("before", F.max("top").over(over("conv_id").orderBy("block"))).drop("top")
+    inside = t.withColumn("inside", F.max(user_turn).over(over("conv_id", "block").orderBy("turn")))
+    return inside.join(blocks, ["conv_id", "block"]).select("conv_id", "turn", F.coalesce("inside", "before").alias("last"))
+
+
+def every_turn(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
+    """conv_id, call_id, level, position, kind, valid, problem, message; every row of conversations is in one row's message.
+
+    call: a user turn, with the first result. Of repeated (conv_id, turn) the least text, a null last, is `conv_id:turn`; the
+    others are calls with an identifier of their own. result: an assistant turn that is not in a call's message, as no user
+    turn is before it or an earlier or lesser assistant turn is the result; invalid. message: any other role, without a link;
+    invalid if its role, conversation or turn is null."""
+    c = materialise(conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"), "turns")
+    placed = "conv_id is not null and turn is not null"
+    # equal rows are counted and dealt out again, so that no repeated turn is one group
+    users = c.where("role = 'user'").where(placed).groupBy("conv_id", "turn", "text").agg(F.count("*").alias("n"))
+    least = users.groupBy("conv_id", "turn").agg(F.min("text").alias("least"))
+    users = users.join(least, ["conv_id", "turn"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    own = _ident(F.concat_ws(":", "turn", F.coalesce(F.sha1("text"), F.lit("null")), "copy"))
+    users = users.select("conv_id", "turn", "text", F.when((F.col("copy") == 1) & F.col("text").eqNullSafe(F.col("least")), _ident("turn")).otherwise(own).alias("call_id"))
+    adrift = c.where("role = 'user'").where(f"not ({placed})").select("conv_id", "turn", "text", F.when(F.col("turn").isNotNull(), _ident("turn")).alias("call_id"))
+    calls = _user_calls(users.unionByName(adrift))
+
+    turns = c.where(placed).groupBy("conv_id", "turn").agg(F.max(F.coalesce(F.col("role") == "user", F.lit(False))).alias("is_user"))
+    answers = c.where("role = 'assistant'").groupBy("conv_id", "turn", "text").agg(F.count("*").alias("n")).join(_last_user(turns), ["conv_id", "turn"], "left")
+    answers = materialise(answers, "answers")
+    taken = answers.where("last is not null").groupBy("conv_id", "last").agg(F.min(F.struct("turn", "text")).alias("taken"))
+    results = taken.select("conv_id", _ident("last").alias("call_id"), F.col("taken.turn").alias("position"), F.col("taken.text").alias("content"))
+    spare = answers.join(taken, ["conv_id", "last"], "left").withColumn("n", F.col("n") - F.coalesce(F.struct("turn", "text").eqNullSafe(F.col("taken")), F.lit(False)).cast("long"))
+    spare = spare.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    problem = F.when(F.col("last").isNull(), "has no call").otherwise("call has another result")
+    spare = spare.select("conv_id", F.when(F.col("last").isNotNull(), _ident("last")).alias("call_id"), F.col("turn").alias("position"), F.lit("result").alias("kind"), problem.alias("problem"), F.lit("assistant").alias("role"), "text")
+    others = c.where("role is null or role not in ('user', 'assistant')")
+    problem = F.concat_ws("; ", F.when(F.col("role").isNull(), "has no role"), F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), "has no place"))
+    others = others.select("conv_id", F.lit(None).cast("string").alias("call_id"), F.col("turn").alias("position"), F.lit("message").alias("kind"), F.when(problem != "", problem).alias("problem"), "role", "text")
+
+    @F.pandas_udf("string")
+    def render(conv_id: pd.Series, kind: pd.Series, role: pd.Series, text: pd.Series) -> pd.Series:
+        rows = zip(conv_id, kind, role, text, strict=True)
+        return pd.Series([canonical({"conversation": None if pd.isna(i) else int(i), k: {"content": None if pd.isna(t) else t, "role": None if pd.isna(r) else r}}) for i, k, r, t in rows], dtype=object)
+
+    rest = spare.unionByName(others).withColumns({"level": F.lit(None).cast("int"), "valid": F.col("problem").isNull(), "message": render("conv_id", "kind", "role", "text")})
+    linked = linked_calls(calls, results, REPLY_SCHEMA if schemas is None else schemas).withColumn("kind", F.lit("call"))
+    columns = ["conv_id", "call_id", "level", "position", "kind", "valid", "problem", "message"]
+    return linked.select(*columns).unionByName(rest.select(*columns))

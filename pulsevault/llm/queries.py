@@ -40,8 +40,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat.turns_as_calls(_table(spark, sf_dir, "conversations"))
-    return chat.linked_calls(calls, results, chat.REPLY_SCHEMA)
+    return chat.every_turn(_table(spark, sf_dir, "conversations"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

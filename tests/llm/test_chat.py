@@ -55,3 +55,43 @@ def test_odd_turns(spark):
     calls, results = C.turns_as_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     got = C.linked_calls(calls, results, C.REPLY_SCHEMA).collect()
     assert len(got) == 4 and sorted(r.call_id for r in got if r.valid) == ["1:0", "1:9"]
+
+
+def test_every_turn_is_kept(spark, sf_dir):
+    from pulsevault.llm.queries import op6_tool_calls
+
+    df = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    got = op6_tool_calls(spark, sf_dir).collect()
+    want = brute([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+    calls = {r.call_id: (r.level, r.valid, (json.loads(r.message)["result"] or {}).get("content")) for r in got if r.kind == "call"}
+    assert calls == want
+    inside = sum(json.loads(r.message)["result"] is not None for r in got if r.kind == "call")
+    assert len(got) + inside == df.count()
+    assert sum(r.kind == "message" for r in got) == df.where("role = 'system'").count() > 0
+
+
+def test_odd_turns_are_kept(spark):
+    rows = [
+        (1, 0, "system", "s"), (1, 1, "user", "b"), (1, 1, "user", "a"), (1, 1, "user", "a"), (1, 1, "user", None), (1, 2, "tool", "t"), (1, 3, "assistant", "r"), (1, 4, "assistant", "later"), (1, 4, "assistant", "later"),
+        (1, 5000, "assistant", "far"), (1, 5001, "user", "u"), (1, 9000, "assistant", "v"), (2, 0, "assistant", "lost"), (2, 1, None, "z"), (None, 0, "user", "x"), (None, 1, "assistant", "y"), (3, None, "system", None), (3, None, "user", "w"),
+    ]
+    got = C.every_turn(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    found = []
+    for r in got:
+        m = json.loads(r.message)
+        if r.kind == "call":
+            args = m["call"]["arguments"]
+            found.append((r.conv_id, args.get("turn"), "user", args.get("prompt")))
+            if m["result"]:
+                found.append((r.conv_id, {"r": 3, "v": 9000}[m["result"]["content"]], "assistant", m["result"]["content"]))
+        else:
+            found.append((r.conv_id, r.position, m[r.kind]["role"], m[r.kind]["content"]))
+    assert sorted(found, key=repr) == sorted(rows, key=repr)
+    calls = [r.call_id for r in got if r.kind == "call" and r.call_id]
+    assert len(set(calls)) == len(calls)
+    kept = {r.call_id: json.loads(r.message) for r in got if r.kind == "call"}
+    assert (kept["1:1"]["call"]["arguments"]["prompt"], kept["1:1"]["result"]["content"], kept["1:5001"]["result"]["content"]) == ("a", "r", "v")
+    spare = sorted((r.position, r.call_id or "", r.problem) for r in got if r.kind == "result")
+    assert spare == [(0, "", "has no call"), (1, "", "has no call"), (4, "1:1", "call has another result"), (4, "1:1", "call has another result"), (5000, "1:1", "call has another result")]
+    assert not any(r.valid for r in got if r.kind == "result") and all(r.valid for r in got if r.kind == "message" and r.conv_id == 1)
+    assert C.every_turn(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
