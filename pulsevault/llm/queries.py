@@ -28,7 +28,7 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filters.judge_pages(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
