@@ -38,6 +38,16 @@ def _stream_input(spark, d, n=4):
     return path
 
 
+def exported_wide(spark, d):
+    """Every component of the vectors, as written and read back."""
+    path = shared_path(spark, "wide")
+    v = P.samples_from_embeddings(table(spark, d, "embeddings")).withColumn("vals", F.transform("vals", lambda x: F.round(x, 6)))
+    nval = v.agg(F.max("nval")).first()[0] or 0
+    W.export_wide(v, path, nval)
+    schema = ", ".join(["timestamp_s double", *[f"value_{i} double" for i in range(nval)]])
+    return spark.read.option("sep", "\t").option("header", "true").schema(schema).csv(path)
+
+
 def build() -> dict:
     out = {}
 
@@ -133,10 +143,7 @@ t AS (SELECT pv, bucket, max(chunk) AS top FROM q WHERE seq % 2 = 0 GROUP BY 1,
 SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chunk END AS chunk, seq FROM q LEFT JOIN t USING (pv, bucket)"""
 
     def k04(spark, d):
-        path = shared_path(spark, "wide")
-        v = P.samples_from_embeddings(table(spark, d, "embeddings")).withColumn("vals", F.transform("vals", lambda x: F.round(x, 6)))
-        W.export_wide(v, path, 3)
-        return spark.read.option("sep", "\t").option("header", "true").schema("timestamp_s double, value_0 double, value_1 double, value_2 double").csv(path)
+        return exported_wide(spark, d).select("timestamp_s", "value_0", "value_1", "value_2")  # those of the SQL
 
     out["k04_export_wide"] = k04, "SELECT vec_id * 60.0::DOUBLE AS timestamp_s, round(CAST(embedding[1] AS DOUBLE), 6) AS value_0, round(CAST(embedding[2] AS DOUBLE), 6) AS value_1, round(CAST(embedding[3] AS DOUBLE), 6) AS value_2 FROM embeddings"
 

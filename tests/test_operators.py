@@ -141,3 +141,13 @@ def test_read_samples_rejects_files_without_header(spark, tmp_path):
     lines, rejects = read_samples(spark, str(tmp_path))
     assert [(r.pv, r.line) for r in lines.orderBy("seq").collect()] == [("X:1", "10 1"), ("X:1", "20 2")]
     assert [r.reason for r in rejects.collect()] == ["no t0"]
+
+
+def test_wide_export_has_every_component(spark, sf_dir):
+    from pulsevault.plans.io_queries import exported_wide
+
+    found = {r[0]: [round(x, 5) for x in r[1:]] for r in exported_wide(spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    assert len(found) == len(rows) and {len(v) for v in found.values()} == {64}
+    for r in rows:
+        assert all(abs(a - b) < 2e-5 for a, b in zip(found[r.vec_id * 60.0], r.embedding, strict=True))
