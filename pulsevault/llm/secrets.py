@@ -6,6 +6,8 @@ exactly and which starts like a private or public key, an OpenSSH key blob whose
 token whose header is a JSON object that names an algorithm. Line ends may be escaped (a backslash and n or r, as in JSON and
 env strings); base64 may be of either alphabet, and wrapped over lines of which the first has 16 characters at least.
 
+Time is linear in the length of a text: every run of characters is tried from its start or from a line's start only.
+
 One pass over whole texts inside Arrow batches, no shuffle. Spans are in code points, end exclusive.
 
 Rows: null text is empty and gives no spans; null or repeated doc_ids give a row each; an empty table gives an empty result;
@@ -39,12 +41,11 @@ _LINE_END = re.compile(_END)
 _LONG = re.compile(r"[A-Za-z0-9+/_-]{16}")
 #: Lines of base64 in both alphabets.
 _BASE64 = [re.compile(f"[A-Za-z0-9{c}]{{16,}}(?:{_END}[A-Za-z0-9{c}]+)*={{0,2}}") for c in ("+/", "_-")]
-_PEM_BODY = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+_PEM_HEAD = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
+_PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s\\]+")
 _ESCAPES = re.compile(r"\\+[nrt]|[\s\\]")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
-#: What follows the header of a token.
-_JWT_REST = re.compile(r"(?<=[A-Za-z0-9_-])\.(?=([A-Za-z0-9_-]*\.[A-Za-z0-9_-]*))")
-_JWT_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+#: The header of a token, a whole run of its characters that two more dotted parts follow. Every run is tried once only.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{11,}+)(?=\.([A-Za-z0-9_-]*+)\.([A-Za-z0-9_-]*+))")
 _TO_PLAIN = str.maketrans("-_", "+/")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 _SSH_NAME = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
@@ -130,31 +131,43 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if data[0] == 0x30 and is_der_key(data) else "ssh" if is_ssh_blob(data) else None
 
 
-def _key_sizes(data: bytes, most: int) -> list[int]:
-    """Numbers of bytes, the largest first and none above most, after which a key that data starts with may end."""
-    if data[:1] == b"\x30":
-        if len(data) < 6:
-            return []
-        k = data[1] & 0x7F if data[1] & 0x80 else 0
-        size = 2 + k + int.from_bytes(data[2 : 2 + k], "big") if k else 2 + data[1]
-        return [size] if k <= 4 and size <= most else []
-    at, out = 0, []
-    if data.startswith(_SSH_MAGIC):
-        out.append(len(data))
-        at = len(_SSH_MAGIC)
+_MOST_FIELDS = 64  # of a key blob; certificates have about 14
+
+
+def _key_sizes(run: str, at: int) -> list[int]:
+    """Numbers of bytes, the largest first, after which a key that the base64 run[at:] starts with may end. Only the few
+    characters that hold a length are decoded."""
+    most = (len(run) - at) * 3 // 4
+
+    def number(i: int, size: int) -> int:
+        a, b = at + i // 3 * 4, at + -(-(i + size) // 3) * 4
+        data = _decoded(run[a:b]) or b""
+        return int.from_bytes(data[i % 3 : i % 3 + size], "big")
+
+    if run.startswith("M", at):  # a SEQUENCE
+        first = number(1, 1)
+        k = first & 0x7F if first & 0x80 else 0
+        size = 2 + k + (number(2, k) if k <= 4 else most) if k else 2 + first
+        return [size] if 6 <= size <= most else []
+    pos, out, private = 0, [], run.startswith("b3Bl", at)
+    if private:
+        out.append(most)
+        pos = len(_SSH_MAGIC)
         for _ in range(3):  # cipher, derivation, its options
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        at, n = at + 4, int.from_bytes(data[at : at + 4], "big")
-        for _ in range(min(n, len(data)) + 1):  # public keys, then the private part
-            if at + 4 > len(data):
+            if pos + 4 > most:
                 return out
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return [at, *out] if at < len(data) else out
-    while at + 4 <= len(data):
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-        if at <= len(data):
-            out.append(at)
-    return out[::-1]
+            pos += 4 + number(pos, 4)
+        if pos + 4 > most:
+            return out
+        n = number(pos, 4)
+        pos += 4
+    for _ in range(min(n + 1, _MOST_FIELDS) if private else _MOST_FIELDS):  # public keys, then the private part
+        if pos + 4 > most:
+            break
+        pos += 4 + number(pos, 4)
+        if not private and pos <= most:
+            out.append(pos)
+    return [pos, *out] if private and pos < most else out if private else out[::-1]
 
 
 def _is_ssh_head(data: bytes) -> bool:
@@ -176,12 +189,8 @@ def _base64_keys(text: str, m: re.Match) -> list[tuple[int, int, str]]:
     while i < len(starts):
         at, found = firsts[i], None
         head = run[at : at + 64]
-        if head.startswith("M"):  # a SEQUENCE
-            sizes = _key_sizes(_decoded(head[:8]) or b"", (len(run) - at) * 3 // 4)
-        elif head.startswith(("AAAA", "b3Bl")) and _is_ssh_head(_decoded(head[: len(head) // 4 * 4]) or b""):
-            sizes = _key_sizes(_decoded(run[at : len(run) - ((len(run) - at) % 4 == 1)]) or b"", (len(run) - at) * 3 // 4)
-        else:
-            sizes = []
+        ssh = head.startswith(("AAAA", "b3Bl")) and _is_ssh_head(_decoded(head[: len(head) // 4 * 4]) or b"")
+        sizes = _key_sizes(run, at) if ssh or head.startswith("M") else []
         for size in sizes:
             need = -(-4 * size // 3)
             if need >= 40 and at + need in place and (kind := _key_kind((_decoded(run[at : at + need]) or b"")[:size])):
@@ -193,16 +202,32 @@ def _base64_keys(text: str, m: re.Match) -> list[tuple[int, int, str]]:
 
 
 def _tokens(text: str) -> list[tuple[int, int, str]]:
-    """Spans of signed tokens: three dotted parts of which the first is a header."""
-    out = [(m.start(), m.end(), "jwt") for m in _JWT.finditer(text) if is_jwt(m[0])] if "eyJ" in text else []
-    for m in _JWT_REST.finditer(text):
-        end = at = m.start()
-        while at and text[at - 1] in _JWT_CHARS:
-            at -= 1
+    """Spans of signed tokens: three dotted parts of which the first is a header, or ends with one that starts with eyJ."""
+    out = []
+    for m in _TOKEN.finditer(text):
+        at, end = m.span()
         if at and text[at - 1] == "\\" and text[at] in "nr":
-            at += 1
-        if end - at >= 11 and is_jwt(text[at:end]):
-            out.append((at, m.end(1), "jwt"))
+            at += 1  # the letter belongs to an escaped line end
+        for start in dict.fromkeys((at, text.find("eyJ", at, end))):
+            if start >= 0 and end - start >= 11 and is_jwt(text[start:end]):
+                out.append((start, m.end(3), "jwt"))
+                break
+    return out
+
+
+def _pem_keys(text: str) -> list[tuple[int, int, str]]:
+    """Spans of keys between BEGIN and END lines. What lies between has no dash, so the next one must be that of END."""
+    out, at = [], text.find("-----BEGIN ")
+    while at >= 0:
+        head = _PEM_HEAD.match(text, at)
+        start = head.end() if head else at + 11
+        if head:
+            dash = text.find("-", start)
+            tail = f"-----END {head[1]}-----"
+            if dash > start and text.startswith(tail, dash) and _PEM_BODY.fullmatch(text, start, dash):
+                if kind := _key_kind(_decoded(_ESCAPES.sub("", text[start:dash]))):
+                    out.append((at, dash + len(tail), kind))
+        at = text.find("-----BEGIN ", start)
     return out
 
 
@@ -217,10 +242,7 @@ def spans_of(text: str | None) -> list[tuple[int, int, str]]:
     for m in _ANY_HEX.finditer(text):
         if kind := _key_kind(bytes.fromhex(m[0][: len(m[0]) // 2 * 2])):
             out.append((m.start(), m.end(), kind))
-    if "-----BEGIN " in text:
-        for m in _PEM_BODY.finditer(text):
-            if kind := _key_kind(_decoded(_ESCAPES.sub("", m[2]))):
-                out.append((m.start(), m.end(), kind))
+    out += _pem_keys(text)
     if _LONG.search(text):
         for pattern in _BASE64:
             for m in pattern.finditer(text):
