@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows turned into Python objects at once inside a task; keeps memory flat when texts are long.
 SLICE_ROWS = 256
-#: Rows that Spark sends to a task's Python at once at most: whole texts can be long.
-BATCH_ROWS = 1024
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -51,11 +49,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, arrow: pa.Schema) -> DataFrame:
     """mapInArrow over slices of SLICE_ROWS rows. make() runs once per task and returns the function from a record batch
-    to the columns of the result; every column that df has but the function does not return is left out."""
-
-    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(df.sparkSession.conf.get(batch_rows)) > BATCH_ROWS:
-        df.sparkSession.conf.set(batch_rows, str(BATCH_ROWS))
+    to the columns of the result; every column that df has but the function does not return is left out. Spark bounds the
+    batches by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB), so long texts need no smaller number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
