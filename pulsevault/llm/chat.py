@@ -2,8 +2,10 @@
 
 Calls and results are joined by identifier (an equi-join that may be split, so one conversation with a third of all rows is
 no hot task). The order is topological: a call's level is one more than the highest level of the calls its arguments refer
-to; levels are raised in rounds of joins, as many as the longest chain, and calls on a cycle get none. Arguments are checked
-against a schema per tool. JSON is canonical: sorted keys, no blanks, non-ASCII characters as they are.
+to, and calls that are on a cycle or wait for one get none. Calls that refer to one call are chains: pointers along them are
+doubled, so a chain of n calls takes log2(n) rounds of joins. What is left are calls that refer to several; their levels are
+raised in rounds, as many as such calls lie behind one another. Arguments are checked against a schema per tool. JSON is
+canonical: sorted keys, no blanks, non-ASCII characters as they are.
 
 Rows: a call without a result stays with a null result, a result without a call is dropped; of several results to an
 identifier the first by position counts, of several calls likewise; references to unknown calls make a call invalid; null
@@ -53,6 +55,46 @@ def _first(rows: DataFrame, value: list[str]) -> DataFrame:
     return rows.groupBy("conv_id", "call_id").agg(F.min(F.struct("position", *value)).alias("r")).select("conv_id", "call_id", "r.*")
 
 
+def _chains(chain: DataFrame) -> DataFrame:
+    """chain (conv_id, call_id, at: the one call that it refers to) -> conv_id, call_id, at (the first call along it that is no
+    chain link), dist, open (still a chain link: it is on a cycle or leads to one). Each round doubles the distance."""
+    most = chain.groupBy("conv_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    link = chain.select("conv_id", F.col("call_id").alias("at"), F.lit(True).alias("open"))
+    p = chain.join(link, ["conv_id", "at"], "left").select("conv_id", "call_id", "at", F.lit(1).cast("long").alias("dist"), F.coalesce("open", F.lit(False)).alias("open"))
+    p = materialise(p, "chains")
+    for _ in range(most.bit_length()):
+        if p.where("open").isEmpty():
+            break
+        further = p.select("conv_id", F.col("call_id").alias("at"), F.col("at").alias("to"), F.col("dist").alias("more"), F.col("open").alias("still"))
+        jumped = p.where("open").join(further, ["conv_id", "at"]).select("conv_id", "call_id", F.col("to").alias("at"), (F.col("dist") + F.col("more")).alias("dist"), F.col("still").alias("open"))
+        p = materialise(p.where("not open").unionByName(jumped), "chains")
+    return p
+
+
+def _levels(named: DataFrame, needs: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of the calls (conv_id, call_id) that are not on a cycle and don't wait for one; needs: conv_id,
+    call_id, needed, each pair once."""
+    keys = ["conv_id", "call_id"]
+    counted = needs.groupBy(*keys).agg(F.count("*").alias("k"), F.min("needed").alias("at"))
+    roots = named.join(counted.select(*keys), keys, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    chains = _chains(counted.where("k = 1").select(*keys, "at"))
+    joints = needs.join(counted.where("k > 1").select(*keys), keys)
+    via = chains.select("conv_id", F.col("call_id").alias("needed"), F.col("at").alias("anchor"), "dist", "open")
+    left = materialise(joints.join(via, ["conv_id", "needed"], "left").select(*keys, F.coalesce("anchor", "needed").alias("anchor"), F.coalesce("dist", F.lit(0)).alias("dist"), F.coalesce("open", F.lit(False)).alias("open")), "joints")
+    done = roots = materialise(roots, "levels")
+    while not left.isEmpty():
+        # joints all of whose anchors are done by now
+        state = left.join(done.select("conv_id", F.col("call_id").alias("anchor"), "level"), ["conv_id", "anchor"], "left")
+        ready = state.groupBy(*keys).agg(F.count("level").alias("have"), F.count("*").alias("need"), F.max(F.col("level") + F.col("dist")).alias("top"), F.bool_or("open").alias("open"))
+        fresh = materialise(ready.where("have = need and not open").select(*keys, (F.col("top") + 1).alias("level")), "levels")
+        if fresh.isEmpty():
+            break
+        done = done.unionByName(fresh)
+        left = materialise(left.join(fresh.select(*keys), keys, "left_anti"), "joints")
+    on_chains = chains.where("not open").join(done.select("conv_id", F.col("call_id").alias("at"), "level"), ["conv_id", "at"]).select(*keys, (F.col("level") + F.col("dist")).alias("level"))
+    return done.unionByName(on_chains)
+
+
 def linked_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """conv_id, call_id, level, position, valid, problem, message of each call.
 
@@ -63,25 +105,12 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict])
     needs = named.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("needed"))
     known = named.select("conv_id", F.col("call_id").alias("needed"), F.lit(True).alias("known"))
     needs = materialise(needs.join(known, ["conv_id", "needed"], "left").select("conv_id", "call_id", "needed", F.coalesce("known", F.lit(False)).alias("known")), "needs")
-    has_needs = needs.where("known").select("conv_id", "call_id").distinct()
     dangling = needs.where("not known").select("conv_id", "call_id").distinct().withColumn("dangling", F.lit(True))
-    done = materialise(named.select("conv_id", "call_id").join(has_needs, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels")
-    left = needs.where("known").drop("known")
-    round_no = 0
-    while True:
-        # calls all of whose needs are done by now
-        state = left.join(done.select("conv_id", F.col("call_id").alias("needed"), "level"), ["conv_id", "needed"], "left")
-        ready = state.groupBy("conv_id", "call_id").agg(F.count("level").alias("have"), F.count("*").alias("need"), F.max("level").alias("top"))
-        fresh = materialise(ready.where("have = need").select("conv_id", "call_id", (F.col("top") + 1).alias("level")), f"level-{round_no}")
-        if fresh.isEmpty():
-            break
-        done = done.unionByName(fresh)
-        left = materialise(left.join(fresh.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti"), "left")
-        round_no += 1
+    done = _levels(named.select("conv_id", "call_id"), needs.where("known").drop("known"))
     answers = _first(results.where("conv_id is not null and call_id is not null"), ["content"]).drop("position")
     keys = ["conv_id", "call_id"]
     out = named.join(done, keys, "left").join(answers, keys, "left").join(dangling, keys, "left")
-    out = out.unionByName(nameless.withColumns({"level": F.lit(None).cast("int"), "content": F.lit(None).cast("string"), "dangling": F.lit(True)}))
+    out = out.unionByName(nameless.withColumns({"level": F.lit(None).cast("long"), "content": F.lit(None).cast("string"), "dangling": F.lit(True)}))
 
     @F.pandas_udf("problem string, message string")
     def render(conv_id: pd.Series, call_id: pd.Series, name: pd.Series, arguments: pd.Series, content: pd.Series, level: pd.Series, dangling: pd.Series) -> pd.DataFrame:
@@ -100,17 +129,11 @@ def linked_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict])
     return done_rows.select("conv_id", "call_id", "level", "position", F.col("m.problem").isNull().alias("valid"), F.col("m.problem").alias("problem"), F.col("m.message").alias("message"))
 
 
-#: Schema of the one tool that turns_as_calls() makes.
-REPLY_SCHEMA = {"reply": {"properties": {"prompt": {"type": "string"}, "turn": {"type": "integer"}, "after": {"type": "array"}}, "required": ["prompt", "turn"]}}
-
-
-def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """User turns as calls of a tool `reply` (a call refers to the user turns at half and a quarter of its place, if there),
-    assistant turns as results of the turn before."""
-    c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    users = c.where("role = 'user'").withColumn("call_id", F.when(F.col("turn").isNotNull(), _ident("turn")))
-    results = c.where("role = 'assistant'").select("conv_id", _ident(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content"))
-    return _user_calls(users), results
+#: Schemas of the tools that every_turn() calls; of `translate` there is none, so that it is an unknown tool.
+TURN_SCHEMAS = {
+    "reply": {"properties": {"prompt": {"type": "string"}, "turn": {"type": "integer"}, "after": {"type": "array"}}, "required": ["prompt", "turn"]},
+    "search": {"properties": {"prompt": {"type": "string"}, "turn": {"type": "integer"}, "after": {"type": "array"}, "limit": {"type": "integer"}}, "required": ["prompt", "turn", "limit"]},
+}
 
 
 def _ident(turn: Column | str) -> Column:
@@ -118,14 +141,14 @@ def _ident(turn: Column | str) -> Column:
 
 
 def _user_calls(users: DataFrame) -> DataFrame:
-    """Calls of user turns (conv_id, turn, call_id, text)."""
-    turns = users.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
-    refs = users.select("conv_id", "turn").distinct().withColumn("at", F.explode(F.array_distinct(F.array(F.floor(F.col("turn") / 2), F.floor(F.col("turn") / 4))))).where("at < turn")
-    there = refs.join(turns.withColumnRenamed("turn", "at"), ["conv_id", "at"]).groupBy("conv_id", "turn").agg(F.array_sort(F.collect_set("at")).alias("ats"))
-    calls = users.join(there, ["conv_id", "turn"], "left")
-    after = F.coalesce(F.transform("ats", lambda a: F.concat_ws(":", F.col("conv_id"), a)), F.array().cast("array<string>"))
-    calls = calls.withColumn("after", after)
-    return calls.select("conv_id", "call_id", F.col("turn").alias("position"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", "after")).alias("arguments"), "after")
+    """Calls of user turns (conv_id, turn, call_id, text, refers: the turn of the call that it refers to, or null). A text of
+    several lines is a `search`, whose `limit` is the length of a text of 300 characters or more and else missing; another with
+    characters beyond ASCII is a `translate`; all else a `reply`."""
+    name = F.when(F.contains("text", F.lit("\n")), "search").when(F.octet_length("text") > F.length("text"), "translate").otherwise("reply")
+    after = F.when(F.col("refers").isNotNull(), F.array(_ident("refers"))).otherwise(F.array().cast("array<string>"))
+    calls = users.withColumns({"name": F.coalesce(name, F.lit("reply")), "after": after})
+    limit = F.when((F.col("name") == "search") & (F.length("text") >= 300), F.length("text")).alias("limit")
+    return calls.select("conv_id", "call_id", F.col("turn").alias("position"), "name", F.to_json(F.struct(F.col("text").alias("prompt"), "turn", "after", limit)).alias("arguments"), "after")
 
 
 def _last_user(turns: DataFrame, block: int = 1024) -> DataFrame:
@@ -142,10 +165,11 @@ def _last_user(turns: DataFrame, block: int = 1024) -> DataFrame:
 def every_turn(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
     """conv_id, call_id, level, position, kind, valid, problem, message; every row of conversations is in one row's message.
 
-    call: a user turn, with the first result. Of repeated (conv_id, turn) the least text, a null last, is `conv_id:turn`; the
-    others are calls with an identifier of their own. result: an assistant turn that is not in a call's message, as no user
-    turn is before it or an earlier or lesser assistant turn is the result; invalid. message: any other role, without a link;
-    invalid if its role, conversation or turn is null."""
+    call: a user turn, with the first result; it refers to the user turn before it. The first one of a conversation that has a
+    system turn of several lines refers to the last one, so that these are a cycle. Of repeated (conv_id, turn) the least text,
+    a null last, is `conv_id:turn`; the others are calls with an identifier of their own. result: an assistant turn that is not
+    in a call's message, as no user turn is before it or an earlier or lesser assistant turn is the result; invalid. message:
+    any other role, without a link; invalid if its role, conversation or turn is null."""
     c = materialise(conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"), "turns")
     placed = "conv_id is not null and turn is not null"
     # equal rows are counted and dealt out again, so that no repeated turn is one group
@@ -154,11 +178,15 @@ def every_turn(conversations: DataFrame, schemas: dict[str, dict] | None = None)
     users = users.join(least, ["conv_id", "turn"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
     own = _ident(F.concat_ws(":", "turn", F.coalesce(F.sha1("text"), F.lit("null")), "copy"))
     users = users.select("conv_id", "turn", "text", F.when((F.col("copy") == 1) & F.col("text").eqNullSafe(F.col("least")), _ident("turn")).otherwise(own).alias("call_id"))
-    adrift = c.where("role = 'user'").where(f"not ({placed})").select("conv_id", "turn", "text", F.when(F.col("turn").isNotNull(), _ident("turn")).alias("call_id"))
+    adrift = c.where("role = 'user'").where(f"not ({placed})").select("conv_id", "turn", "text", F.when(F.col("turn").isNotNull(), _ident("turn")).alias("call_id"), F.lit(None).cast("long").alias("refers"))
+    turns = c.where(placed).groupBy("conv_id", "turn").agg(F.max(F.coalesce(F.col("role") == "user", F.lit(False))).alias("is_user"))
+    lasts = materialise(_last_user(turns), "lasts")
+    circular = c.where("role = 'system' and conv_id is not null").where(F.contains("text", F.lit("\n"))).select("conv_id").distinct()
+    closing = turns.where("is_user").groupBy("conv_id").agg(F.min("turn").alias("turn"), F.max("turn").alias("back")).join(circular, "conv_id", "left_semi")
+    users = users.join(lasts, ["conv_id", "turn"]).join(closing, ["conv_id", "turn"], "left").withColumn("refers", F.coalesce("last", "back")).drop("last", "back")
     calls = _user_calls(users.unionByName(adrift))
 
-    turns = c.where(placed).groupBy("conv_id", "turn").agg(F.max(F.coalesce(F.col("role") == "user", F.lit(False))).alias("is_user"))
-    answers = c.where("role = 'assistant'").groupBy("conv_id", "turn", "text").agg(F.count("*").alias("n")).join(_last_user(turns), ["conv_id", "turn"], "left")
+    answers = c.where("role = 'assistant'").groupBy("conv_id", "turn", "text").agg(F.count("*").alias("n")).join(lasts, ["conv_id", "turn"], "left")
     answers = materialise(answers, "answers")
     taken = answers.where("last is not null").groupBy("conv_id", "last").agg(F.min(F.struct("turn", "text")).alias("taken"))
     results = taken.select("conv_id", _ident("last").alias("call_id"), F.col("taken.turn").alias("position"), F.col("taken.text").alias("content"))
@@ -175,7 +203,7 @@ def every_turn(conversations: DataFrame, schemas: dict[str, dict] | None = None)
         rows = zip(conv_id, kind, role, text, strict=True)
         return pd.Series([canonical({"conversation": None if pd.isna(i) else int(i), k: {"content": None if pd.isna(t) else t, "role": None if pd.isna(r) else r}}) for i, k, r, t in rows], dtype=object)
 
-    rest = spare.unionByName(others).withColumns({"level": F.lit(None).cast("int"), "valid": F.col("problem").isNull(), "message": render("conv_id", "kind", "role", "text")})
-    linked = linked_calls(calls, results, REPLY_SCHEMA if schemas is None else schemas).withColumn("kind", F.lit("call"))
+    rest = spare.unionByName(others).withColumns({"level": F.lit(None).cast("long"), "valid": F.col("problem").isNull(), "message": render("conv_id", "kind", "role", "text")})
+    linked = linked_calls(calls, results, TURN_SCHEMAS if schemas is None else schemas).withColumn("kind", F.lit("call"))
     columns = ["conv_id", "call_id", "level", "position", "kind", "valid", "problem", "message"]
     return linked.select(*columns).unionByName(rest.select(*columns))

@@ -1,4 +1,7 @@
 import json
+import random
+
+import pytest
 
 from pulsevault.llm import chat as C
 
@@ -29,47 +32,77 @@ def test_empty(spark):
     assert C.linked_calls(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), SCHEMA).count() == 0
 
 
-def brute(rows):
-    users, answers = {}, {}
-    for c, t, role, text in sorted(rows, key=lambda r: (r[1], r[3] is not None, r[3] or "")):
-        if role == "user":
-            users.setdefault((c, t), text)
-        elif role == "assistant":
-            answers.setdefault((c, t - 1), text)
-    levels = {}
-    for c, t in sorted(users, key=lambda k: k[1]):
-        after = sorted({a for a in (t // 2, t // 4) if a < t and (c, a) in users})
-        levels[(c, t)] = 1 + max([levels[(c, a)] for a in after], default=-1)
-    return {f"{c}:{t}": (levels[(c, t)], x is not None, answers.get((c, t))) for (c, t), x in users.items()}
-
-
-def test_turns_as_calls(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    calls, results = C.turns_as_calls(df)
-    got = {r.call_id: (r.level, r.valid, (json.loads(r.message)["result"] or {}).get("content")) for r in C.linked_calls(calls, results, C.REPLY_SCHEMA).collect()}
-    assert got == brute([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+def levels_of(needs):
+    """level of every call of {call: the calls that it refers to}, None where it is on a cycle or waits for one."""
+    level, left = {}, dict(needs)
+    while True:
+        ready = {c: 1 + max([level[a] for a in after], default=-1) for c, after in left.items() if all(a in level for a in after)}
+        if not ready:
+            return level | dict.fromkeys(left)
+        level |= ready
+        left = {c: a for c, a in left.items() if c not in ready}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_any_graph(spark, seed):
+    rng, needs = random.Random(seed), {}
+    for conv in range(12):
+        names = [f"c{i}" for i in range(rng.randrange(1, 40))]
+        for i, name in enumerate(names):
+            before = names[:i] if rng.random() < 0.97 or conv % 3 else names  # some refer forward
+            needs[conv, name] = sorted(set(rng.sample(before, min(len(before), rng.choice([0, 1, 1, 1, 1, 2, 3])))))
+    needs |= {(99, f"c{i}"): [f"c{i - 1}"] * (i > 0) for i in range(300)}  # one long chain
+    needs |= {(98, "a"): ["b"], (98, "b"): ["a"], (98, "c"): ["a"], (98, "d"): ["c"], (98, "e"): [], (98, "f"): ["d", "e"], (98, "self"): ["self"], (98, "g"): ["e", "e2"], (98, "e2"): ["e"]}
+    want = levels_of({k: [(k[0], a) for a in v] for k, v in needs.items()})
+    frame = spark.createDataFrame([(c, n, 0, "add", '{"a":1}', v) for (c, n), v in needs.items()], CALLS)
+    got = {(r.conv_id, r.call_id): r.level for r in C.linked_calls(frame, spark.createDataFrame([], RESULTS), SCHEMA).collect()}
+    assert got == want and want[99, "c299"] == 299 and want[98, "f"] is None and want[98, "g"] == 2
 
 
-def test_odd_turns(spark):
-    rows = [(1, 0, "user", None), (1, 0, "user", "b"), (1, 1, "assistant", "r"), (None, 0, "user", "x"), (2, None, "user", "y"), (3, 1, None, "z"), (1, 9, "user", "late")]
-    calls, results = C.turns_as_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    got = C.linked_calls(calls, results, C.REPLY_SCHEMA).collect()
-    assert len(got) == 4 and sorted(r.call_id for r in got if r.valid) == ["1:0", "1:9"]
+def brute(rows):
+    """call_id: level, what is wrong, result of the user turns."""
+    users, answers, closing = {}, {}, set()
+    for c, t, role, text in sorted(rows, key=lambda r: (r[0], r[1])):
+        if role == "user":
+            users.setdefault(c, {})[t] = text
+        elif role == "assistant" and any(u < t for u in users.get(c, ())):
+            answers.setdefault((c, max(u for u in users[c] if u < t)), text)
+        elif role == "system" and "\n" in text:
+            closing.add(c)
+    out = {}
+    for c, turns in users.items():
+        for i, (t, text) in enumerate(sorted(turns.items())):
+            wrong = ["unknown tool"] if "\n" not in text and not text.isascii() else ["limit is missing"] if "\n" in text and len(text) < 300 else []
+            out[f"{c}:{t}"] = (None if c in closing else i, "; ".join(wrong + ["is on a cycle"] * (c in closing)) or None, answers.get((c, t)))
+    return out
 
 
 def test_every_turn_is_kept(spark, sf_dir):
     from pulsevault.llm.queries import op6_tool_calls
 
+    sf_dir = sf_dir.replace("0.001", "0.01")
     df = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     got = op6_tool_calls(spark, sf_dir).collect()
     want = brute([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
-    calls = {r.call_id: (r.level, r.valid, (json.loads(r.message)["result"] or {}).get("content")) for r in got if r.kind == "call"}
+    calls = {r.call_id: (r.level, r.problem, (json.loads(r.message)["result"] or {}).get("content")) for r in got if r.kind == "call"}
     assert calls == want
+    assert {None, "unknown tool", "limit is missing", "is on a cycle"} <= {p for _, p, _ in want.values()}
     inside = sum(json.loads(r.message)["result"] is not None for r in got if r.kind == "call")
     assert len(got) + inside == df.count()
     assert sum(r.kind == "message" for r in got) == df.where("role = 'system'").count() > 0
 
 
+def test_long_and_hot_conversations(spark):
+    """One conversation holds most rows; a very long text and columns with clashing names do no harm."""
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"turn {t}") for t in range(3000)] + [(i, 0, "user", "word " * 40_000) for i in (2, 3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name in ("level", "last", "refers", "copy", "n", "call_id"):
+        df = df.selectExpr("*", f"'clash' AS {name}")
+    got = {r.call_id: r for r in C.every_turn(df).collect()}
+    assert len(got) == 1502 and all(got[f"1:{t}"].level == t // 2 and got[f"1:{t}"].valid for t in range(0, 3000, 2))
+    assert got["2:0"].valid and json.loads(got["2:0"].message)["call"]["arguments"]["prompt"] == "word " * 40_000
+
+
 def test_odd_turns_are_kept(spark):
     rows = [
         (1, 0, "system", "s"), (1, 1, "user", "b"), (1, 1, "user", "a"), (1, 1, "user", "a"), (1, 1, "user", None), (1, 2, "tool", "t"), (1, 3, "assistant", "r"), (1, 4, "assistant", "later"), (1, 4, "assistant", "later"),
@@ -93,5 +126,6 @@ def test_odd_turns_are_kept(spark):
     assert (kept["1:1"]["call"]["arguments"]["prompt"], kept["1:1"]["result"]["content"], kept["1:5001"]["result"]["content"]) == ("a", "r", "v")
     spare = sorted((r.position, r.call_id or "", r.problem) for r in got if r.kind == "result")
     assert spare == [(0, "", "has no call"), (1, "", "has no call"), (4, "1:1", "call has another result"), (4, "1:1", "call has another result"), (5000, "1:1", "call has another result")]
+    assert kept["1:5001"]["call"]["arguments"]["after"] == ["1:1"] and [r.level for r in got if r.call_id == "1:5001"] == [1]
     assert not any(r.valid for r in got if r.kind == "result") and all(r.valid for r in got if r.kind == "message" and r.conv_id == 1)
     assert C.every_turn(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
