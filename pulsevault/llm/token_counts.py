@@ -5,11 +5,14 @@ blocks; in each block numpy finds the separators at once, and what is left at th
 scan over the blocks of a file: the separators before a block number its documents, and the last separator before it is
 where its first document began.
 
-Files are written by Spark, a bounded number of documents each, so a file is one row of the reader.
+Files are written by Spark, a bounded number of documents each, so a file is one row of the reader. The counts find their
+documents again by place: the scan that is written from gives each row its task and number, and the writer names files by
+task and number of records.
 
-Rows: a null or empty text is a document of no tokens; tokens that equal the end id split a document in the file (ids of
-ordinary text never do); an empty folder gives an empty result; other columns are ignored. Ids after the last separator of a
-file are a document that isn't closed and have `closed` false."""
+Rows: a null or empty text is a document of no tokens; the separator's string in a text is ordinary text and separates
+nothing; an id beyond 16 bits or equal to the end id raises an error; null or repeated doc_ids give a row each; an empty table
+or folder gives an empty result; other columns are ignored. Ids after the last separator of a file are a document that isn't
+closed and have `closed` false."""
 
 from __future__ import annotations
 
@@ -25,15 +28,22 @@ END = 50256
 
 
 def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END, docs_per_file: int = 5_000) -> None:
-    """Flat token files of docs.text under path; every id must fit 16 bits."""
+    """Flat token files of docs.text under path; every id must fit 16 bits and none be end_id. Spark's text writer passes the
+    bytes of a string as they are, valid UTF-8 or not (a test holds it to that)."""
     vocabulary = tokenizer or tokenizer_path()
     end = int(end_id).to_bytes(2, "little")
 
     def make():
-        encode = FlatEncoder(vocabulary).encode
+        encode = FlatEncoder(vocabulary, special=False).encode
+
+        def flat(text: str | None) -> bytes:
+            ids = np.frombuffer(encode(text or ""), "<u4")
+            if len(ids) and (ids.max() >= 1 << 16 or (ids == end_id).any()):
+                raise ValueError(f"ids beyond 16 bits or equal to {end_id}")
+            return ids.astype("<u2").tobytes()
 
         def work(batch: pa.RecordBatch) -> dict:
-            return {"ids": [np.frombuffer(encode(t or ""), "<u4").astype("<u2").tobytes() for t in batch.column(0).to_pylist()]}
+            return {"ids": [flat(t) for t in batch.column(0).to_pylist()]}
 
         return work
 
@@ -84,9 +94,17 @@ def document_tokens(blocks: DataFrame) -> DataFrame:
     return rows.select("file", F.explode(F.transform("ends", document)).alias("d")).select("file", "d.*")
 
 
-def token_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int = END, block_tokens: int = 1 << 20) -> DataFrame:
-    """Writes docs as flat files in the shared folder, scans them, and counts: file, doc_no, start, n_tokens, closed."""
+def token_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int = END, block_tokens: int = 1 << 20, docs_per_file: int = 5_000) -> DataFrame:
+    """Writes docs as flat files in the shared folder, scans them, and counts: doc_id, file, doc_no, start, n_tokens, closed.
+    docs is scanned twice, the second time without texts, and must give the same rows in the same tasks, as scans of files do;
+    store it first if it is the result of a shuffle."""
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
-    write_flat(docs, path, tokenizer, end_id)
-    return document_tokens(scan_blocks(spark, path, end_id, block_tokens))
+    write_flat(docs, path, tokenizer, end_id, docs_per_file)
+    counts = document_tokens(scan_blocks(spark, path, end_id, block_tokens))
+    name = F.element_at(F.split("file", "/"), -1)
+    task, part = (F.regexp_extract(name, p, 1).cast("long") for p in (r"^part-(\d+)-", r"-c(\d+)\."))
+    row = F.shiftleft(task, 33) + part * docs_per_file + F.col("doc_no")
+    placed = counts.select(row.alias("row"), F.concat_ws("-", F.lit("part"), task, part).alias("file"), "doc_no", "start", "n_tokens", "closed")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"))  # task << 33 | row
+    return named.join(placed, "row").select("doc_id", "file", "doc_no", "start", "n_tokens", "closed")

@@ -38,20 +38,22 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 class FlatEncoder:
     """encode(text) -> bytes of unsigned 32-bit little-endian ids. A special token's string in a text gives its id, as the
-    tokenizer file says. limit: units remembered at most; later ones are encoded anew each time."""
+    tokenizer file says; with special=False it is ordinary text. limit: units remembered at most; later ones are encoded anew
+    each time. Empty text gives no ids; a text of any length is encoded whole; lone surrogates become replacement characters."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, special: bool = True):
         import public_tokenizers
         import tiktoken
 
         ranks = load_ranks(path)
+        self.marks = {SPECIAL} if special else set()
         self.special = tiktoken.Encoding("flat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: 50256})
         self.ordinary, self.single = self.special._core_bpe.encode_ordinary, self.special._core_bpe.encode_single_piece
         self.limit, self.units = limit, {}
 
     def _whole(self, text: str) -> bytes:
         try:
-            return array("I", self.special.encode(text, allowed_special={SPECIAL}, disallowed_special=())).tobytes()
+            return array("I", self.special.encode(text, allowed_special=self.marks, disallowed_special=())).tobytes()
         except UnicodeEncodeError:  # lone surrogates
             return self._whole(text.encode("utf-16", "surrogatepass").decode("utf-16", "replace"))
 
@@ -65,7 +67,7 @@ class FlatEncoder:
         return array("I", self.ordinary(unit if unit[0] == "\n" else " " + unit)).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if SPECIAL in text or "\x00" in text:
+        if "\x00" in text or self.marks and SPECIAL in text:
             return self._whole(text)
         parts, units = text.replace("\n", " \n").split(" "), self.units
         parts[0] = "\x00" + parts[0]  # no blank stands before the first one
