@@ -157,11 +157,12 @@ def is_held_out(doc_id: int) -> bool:
 
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, **options) -> Trees:
     """Fits on the rows of stats (doc_id, x) that labels (doc_id, quality) marks and that are not held out, at most max_rows
-    of them, chosen by the hash of their id."""
+    of them, chosen by the hash of their id; of a repeated id the row with the least statistics counts."""
     marked = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("y"))
     marked = marked.where(~held_out())
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = stats.dropDuplicates(["doc_id"]).join(sample, "doc_id").select("doc_id", "x", "y").toArrow().sort_by("doc_id")
+    sample = F.broadcast(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))  # at most max_rows pairs of numbers
+    found = stats.join(sample, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.first("y").alias("y"))
+    rows = found.toArrow().sort_by("doc_id")
     x = np.array(rows["x"].to_pylist(), np.float32).reshape(-1, len(FEATURES))
     return fit(x, rows["y"].to_numpy().astype(float), **options)
 
