@@ -2,11 +2,13 @@
 
 Words, symbols, repeated lines and repeated word windows are counted over every whole text in one pass. Rule failures are
 summed by host (here the `source` column), the rates are shrunk with a beta prior fitted to all hosts by moments, and a host
-whose shrunk rate of any rule exceeds `host_limit` takes its documents with it. Host totals are an aggregate with map-side
+whose shrunk rate of any rule lies `spreads` deviations of that prior above its mean, and above `floor`, takes its documents
+with it; so does one above `host_limit` whatever the prior. Where hosts differ no more than chance would have it, only these
+two bounds count. Host totals are an aggregate with map-side
 combine and the verdict comes back by a join that may be split, so a host with a third of all rows is no hot task.
 
-Rows: a null text has no words and fails; a null host is a host of its own; null or repeated doc_ids give a row each; an
-empty table gives an empty result; other columns are ignored."""
+Rows: a null text has no words and fails; texts of any length are counted whole; a null host is a host of its own; hosts with
+equal rates share their verdict, and a rate at its limit is kept; null or repeated doc_ids give a row each; an empty table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -15,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import IntegerType
 
 from .common import map_rows, materialise
 
@@ -87,7 +89,7 @@ def rule_failures(counted: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", F.col("few_words") | F.col("repeats"))
 
 
-def host_verdicts(failures: DataFrame, host_limit: float = 0.8) -> DataFrame:
+def host_verdicts(failures: DataFrame, host_limit: float = 0.8, floor: float = 0.5, spreads: float = 2.0) -> DataFrame:
     """host, n and for each rule its failures, the shrunk rate and whether the host is rejected by it (any: host_failed).
 
     The prior of a rule is the beta distribution whose mean and spread are those of the host rates (moments, hosts weighted
@@ -103,8 +105,9 @@ def host_verdicts(failures: DataFrame, host_limit: float = 0.8) -> DataFrame:
         chance = mean * (1 - mean) * F.col("inverse")  # spread that sampling alone gives
         weight = F.when(var > chance, F.greatest(F.lit(1.0), mean * (1 - mean) / (var - chance) - 1)).otherwise(F.col("docs"))
         weight = F.least(weight, F.col("docs"))
-        out = out.withColumn(f"{r}_rate", (F.col(r) + weight * mean) / (F.col("n") + weight))
-    out = out.withColumn("host_failed", F.greatest(*[F.col(f"{r}_rate") for r in RULES]) > host_limit)
+        limit = F.least(F.lit(host_limit), F.greatest(F.lit(floor), mean + spreads * F.sqrt(mean * (1 - mean) / (weight + 1))))
+        out = out.withColumn(f"{r}_rate", (F.col(r) + weight * mean) / (F.col("n") + weight)).withColumn(f"{r}_over", F.col(f"{r}_rate") > limit)
+    out = out.withColumn("host_failed", F.greatest(*[F.col(f"{r}_over") for r in RULES]))
     return out.select("host", "n", *RULES, *[f"{r}_rate" for r in RULES], "host_failed")
 
 
@@ -117,24 +120,33 @@ def judge(docs: DataFrame, host_col: str = "source", host_limit: float = 0.8) ->
 
 
 def kept_documents(docs: DataFrame, host_col: str = "source", host_limit: float = 0.8, broadcast_hosts: int = 100_000) -> DataFrame:
-    """The rows of docs that neither their own text nor their host fails, in docs' columns. The text is judged again where
-    it lies and the failed hosts, whose number is counted first, travel to it, so no text is shuffled. If there are more of
-    them than `broadcast_hosts`, texts are dealt by host and a salt, so that a large host is many groups."""
-    failures = materialise(rule_failures(document_counts(docs, host_col)), "failures")
+    """The rows of docs that neither their own text nor their host fails, in docs' columns. Texts are judged in one pass that
+    stores the rows with their verdicts (without the text where it fails), and the failed hosts, whose number is counted first,
+    travel to them, so no text is shuffled. If there are more of them than `broadcast_hosts`, rows are dealt by host and a salt,
+    so that a large host is many groups. doc_ids may be null or repeated; every row is judged on its own."""
+    mark = "_flags"
+    while mark in docs.columns:
+        mark += "_"
+    flags = F.col(mark)
+    stored = materialise(docs.withColumn(mark, _flags("text")).withColumn("text", F.when(flags.bitwiseAND(F.lit(3)) == 0, F.col("text"))), "judged")
+    host = F.col(host_col).cast("string")
+    failures = stored.select(host.alias("host"), *[(flags.bitwiseAND(F.lit(1 << i)) != 0).alias(r) for i, r in enumerate(RULES)])
     bad = materialise(host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias("_host")), "hosts")
-    good, same = docs.where(_passes(F.col("text"))), F.col(host_col).cast("string").eqNullSafe(F.col("_host"))
+    good, same = stored.where(flags.bitwiseAND(F.lit(3)) == 0), host.eqNullSafe(F.col("_host"))
     if bad.count() <= broadcast_hosts:
-        return good.join(F.broadcast(bad), same, "left_anti")
+        return good.join(F.broadcast(bad), same, "left_anti").select(*docs.columns)
     salts = 64
     bad = bad.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = good.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     return salted.join(bad, same & (F.col("_salt") == F.col("_of")), "left_anti").select(*docs.columns)
 
 
-@F.pandas_udf(BooleanType())
-def _passes(text: pd.Series) -> pd.Series:
-    def ok(t: str | None) -> bool:
-        c = text_counts(t)
-        return c[0] >= 50 and 100 * c[4] <= 50 * c[0]
+@F.pandas_udf(IntegerType())
+def _flags(text: pd.Series) -> pd.Series:
+    """A bit for each of RULES, the first two being the base's."""
+
+    def bits(t: str | None) -> int:
+        words, _, symbols, lines, repeats = text_counts(t)
+        return (words < 50) + 2 * (100 * repeats > 50 * words) + 4 * (10 * symbols > 3 * words) + 8 * (10 * lines > words)
 
-    return pd.Series([ok(t) for t in text], dtype=bool)
+    return pd.Series([bits(t) for t in text], dtype="int32")

@@ -59,3 +59,24 @@ def test_shrinkage_is_toward_the_hosts_mean(spark):
     assert got["one"].few_words_rate < 0.6 and mean < got["h0"].few_words_rate + 0.2
     assert all(abs(r.few_words_rate - mean) <= abs(r.few_words / r.n - mean) + 0.03 for r in got.values())
     assert Q.host_verdicts(df.where(F.lit(False))).count() == 0
+
+
+def test_host_verdicts_equal_the_sql(spark):
+    """A host that is worse than the others, though below the limit of all corpora, is rejected in both."""
+    import duckdb
+    import pandas as pd
+
+    from pulsevault.llm.queries import OP4_SQL
+
+    rows = [(i, text(i, 60) if i % 3 == 0 else "too short", "bad") for i in range(300)] + [(1000 + i, text(i, 60) if i % 10 else "short", f"good{i % 12}") for i in range(600)] + [(5000, "short", "tiny"), (5001, text(5, 80), None)]
+    frame = pd.DataFrame([(i, t, s) for i, t, s in rows], columns=["doc_id", "text", "source"])
+    con = duckdb.connect()
+    con.register("documents", frame)
+    want = con.sql(OP4_SQL).df()
+    found = Q.judge(documents(spark, rows)).collect()
+    got = {r.doc_id: tuple(r[c] for c in ("n_words", "base_failed", "host_failed", "kept")) for r in found}
+    assert got == {r.doc_id: (r.n_words, r.base_failed, r.host_failed, r.kept) for r in want.itertuples()}
+    rejected = {s for i, _, s in rows if got[i][2]}
+    assert rejected == {"bad"}
+    rates = Q.host_verdicts(Q.rule_failures(Q.document_counts(documents(spark, rows)))).where("host = 'bad'").first()
+    assert 0.5 < rates.few_words_rate < 0.8
