@@ -9,10 +9,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows turned into Python objects at once inside a task; keeps memory flat when texts are long.
 SLICE_ROWS = 256
 
+#: Bits of an id bitmap at most, 32 MB.
+MOST_BITS = 1 << 28
+
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 #: bytes.translate table: ASCII capitals to small letters, ASCII white space to blanks, all else unchanged.
@@ -38,15 +42,22 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, rows: int | None = None, rows_a_task: int = 50_000) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: it cuts the lineage, survives the loss of
-    executors, and lets later steps read single columns."""
+    executors, and lets later steps read single columns. rows: a bound of df's rows, if one is known, so that a small result
+    of a wide shuffle takes a few tasks of rows_a_task rows and is a few files; it never makes the tasks more than they are."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    if rows is not None:
+        df = df.coalesce(rows // rows_a_task + 1)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    return (values if values.type == kind else values.cast(kind)) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, arrow: pa.Schema) -> DataFrame:
     """mapInArrow over slices of SLICE_ROWS rows. make() runs once per task and returns the function from a record batch
     to the columns of the result; every column that df has but the function does not return is left out. Spark bounds the
@@ -57,11 +68,29 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]]
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 got = work(batch.slice(at, SLICE_ROWS))
-                yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
+                yield pa.RecordBatch.from_arrays([_array(got[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def hash_bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits, as unsigned bytes, at the places that the hashes (one column of longs, repeats allowed) say: 16 bits a hash, a
+    power of two in number and MOST_BITS at most. Only the bitmap's 64-bit words come to the driver."""
+    bits = min(MOST_BITS, 1 << max(16, (16 * hashes.count()).bit_length()))
+    h = hashes.columns[0]
+    placed = hashes.select(F.expr(f"shiftright(pmod({h}, {bits}L), 6)").alias("word"), F.expr(f"shiftleft(1L, cast(pmod({h}, 64L) as int))").alias("bit"))
+    words = placed.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bit"].to_numpy()
+    return out.view(np.uint8)
+
+
+def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes (signed longs) have their bit set."""
+    at = h & (8 * len(bitmap) - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit scrambler (xor-shift and multiply rounds)."""
     x = x ^ (x >> np.uint64(31))

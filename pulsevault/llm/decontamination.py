@@ -6,9 +6,11 @@ window; for each such length the grams of that length are looked up whole, which
 document is one of an item, the hit is extended to the windows around it and these are compared word by word (as 64-bit word
 hashes), so what counts is an occurrence of a whole window.
 
-Two routes with equal results. If the benchmark's words number at most `broadcast_words`, its index travels to the tasks and
-a document is done in one pass without a shuffle. Beyond that the fingerprints of documents and items are joined in Spark, a
-(document, item) pair is extended on its own, and the hit intervals are merged per document.
+Two routes with equal results. If the benchmark's words number at most `broadcast_words`, its index (about 100 bytes a word,
+so 0.5 GB) travels to the tasks and a document is done in one pass without a shuffle. Beyond that a bitmap of the items'
+fingerprints, of 32 MB at most, travels; the windows around a document's fingerprints that it lets through are hashed to 128
+bits where the text lies, and these hashes, not texts, are joined with those of the items' windows. The hit intervals are
+merged per document.
 
 Rows: null text has no words; an item without words has no window; equal items count each by their item_id; a null item_id is
 ignored in the list of items but its windows hit; null or repeated doc_ids give a result row for each row in the one-pass
@@ -23,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import WORDS_ONLY, gram_hashes, map_rows, materialise, word_hashes
+from .common import WORDS_ONLY, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, word_hashes
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -118,6 +120,14 @@ def items_digest(ids) -> str:
     return hashlib.sha256(",".join(sorted(str(i) for i in ids if i is not None)).encode()).hexdigest()
 
 
+def _shared_index(shipped, window: int, k: int) -> Index:
+    """The index of a broadcast {"items": ...}. It is kept there, so that the tasks of a worker process build it once."""
+    held = shipped.value
+    if "index" not in held:
+        held["index"] = Index(held["items"], window, k)
+    return held["index"]
+
+
 def _verdict(n_words, n_hit):
     return bool(n_hit > 0 and 20 * n_hit >= n_words)
 
@@ -133,10 +143,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, k: in
 
 def _one_pass(docs: DataFrame, items: list[tuple], window: int, k: int) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
-    shipped = docs.sparkSession.sparkContext.broadcast(items)
+    shipped = docs.sparkSession.sparkContext.broadcast({"items": items})
 
     def make():
-        index = Index(shipped.value, window, k)
+        index = _shared_index(shipped, window, k)
         none = items_digest([])
 
         def work(batch: pa.RecordBatch) -> dict:
@@ -155,65 +165,104 @@ def _one_pass(docs: DataFrame, items: list[tuple], window: int, k: int) -> DataF
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, RESULT, arrow)
 
 
-def _fingerprints(rows: DataFrame, window: int, k: int, lengths: list[int], of_items: bool) -> DataFrame:
-    """key, prints: the winnowed grams, and for each short length that length's grams (salted by the length)."""
-    arrow = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("prints", pa.list_(pa.int64()))])
+def _other(w: np.ndarray) -> np.ndarray:
+    """A second hash of each word, for the other half of 128 bits."""
+    return mixed(w ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def _signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64)
+
+
+def _item_windows(bench: DataFrame, window: int, k: int) -> DataFrame:
+    """item (a number of its own), item_id, length, prints, h1, h2: the fingerprints and the windows' hashes of each item."""
+    arrow = pa.schema([("item", pa.int64()), ("item_id", pa.string()), ("length", pa.int32()), ("prints", pa.list_(pa.int64())), ("h1", pa.list_(pa.int64())), ("h2", pa.list_(pa.int64()))])
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
-            out = {"key": batch.column(0), "n": [], "prints": []}
-            for text in batch.column(1).to_pylist():
+            out = {f.name: [] for f in arrow}
+            out["item"], out["item_id"] = batch.column(0), batch.column(1)
+            for text in batch.column(2).to_pylist():
                 w = item_words(text)
-                parts = [np.empty(0, np.uint64)]
-                if len(w) >= window:
-                    g = gram_hashes(w, k)
-                    parts.append(g[winnow(g, window - k + 1)])
-                for length in ([len(w)] if of_items and 0 < len(w) < window else [] if of_items else lengths):
-                    parts.append(gram_hashes(w, length) + np.uint64(length))
-                out["n"].append(len(w))
-                out["prints"].append(np.unique(np.concatenate(parts)).view(np.int64))
+                length = min(window, len(w))
+                g = gram_hashes(w, length) if length else w
+                if length == window:
+                    p = gram_hashes(w, k)
+                    p = np.unique(p[winnow(p, window - k + 1)])
+                else:
+                    p = g + np.uint64(length)
+                for key, v in (("length", length), ("prints", _signed(p)), ("h1", _signed(g)), ("h2", _signed(gram_hashes(_other(w), length) if length else w))):
+                    out[key].append(v)
             return out
 
         return work
 
-    return map_rows(rows, make, "key long, n long, prints array<long>", arrow)
+    rows = bench.select(F.monotonically_increasing_id(), F.col("item_id").cast("string"), "text")
+    return map_rows(rows, make, "item long, item_id string, length int, prints array<long>, h1 array<long>, h2 array<long>", arrow)
 
 
-def _by_join(docs: DataFrame, bench: DataFrame, window: int, k: int) -> DataFrame:
-    keyed = materialise(docs.select(F.col("doc_id").cast("long"), "text").withColumn("key", F.monotonically_increasing_id()), "keyed")
-    items = materialise(bench.withColumn("key", F.monotonically_increasing_id()), "items")
-    item_prints = materialise(_fingerprints(items.select("key", "text"), window, k, [], True), "item-prints")
-    lengths = sorted(r[0] for r in item_prints.where(f"n > 0 and n < {int(window)}").select("n").distinct().collect())  # fewer than `window`
-    doc_prints = materialise(_fingerprints(keyed.select("key", "text"), window, k, lengths, False), "doc-prints")
-    left = doc_prints.select(F.col("key").alias("doc"), F.explode("prints").alias("p"))
-    right = item_prints.select(F.col("key").alias("item"), F.explode("prints").alias("p"))
-    pairs = left.join(right, "p").select("doc", "item").distinct()
-    texts = pairs.join(keyed.select(F.col("key").alias("doc"), "text"), "doc").join(items.select(F.col("key").alias("item"), F.col("text").alias("item_text")), "item")
-    arrow = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64())))])
+def _document_windows(docs: DataFrame, prints: np.ndarray, lengths: list[int], window: int, k: int) -> DataFrame:
+    """row (a number of its own), doc_id, n_words, w: start, length, h1, h2 of the windows that may be an item's."""
+    schema = "row long, doc_id long, n_words long, w array<struct<start: int, length: int, h1: long, h2: long>>"
+    part = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
+    arrow = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("w", pa.list_(part))])
+    shipped = docs.sparkSession.sparkContext.broadcast(prints)
 
     def make():
+        bitmap = shipped.value
+
+        def known(g: np.ndarray) -> np.ndarray:
+            return np.flatnonzero(in_bitmap(bitmap, _signed(g)))
+
         def work(batch: pa.RecordBatch) -> dict:
-            spans = []
-            for text, item in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                hit, _ = Index([(0, item)], window, k).match(item_words(text))
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-                spans.append(edges.reshape(-1, 2).tolist())
-            return {"doc": batch.column(0), "item": batch.column(1), "spans": spans}
+            n_words, ends, cols = [], [0], [[], [], [], []]
+            for text in batch.column(2).to_pylist():
+                w = item_words(text)
+                found = {}
+                if len(w) >= window:
+                    g = gram_hashes(w, k)
+                    at = winnow(g, window - k + 1)
+                    at = at[known(g[at])]
+                    # a window that holds the gram starts up to window - k words before it
+                    starts = np.unique(np.add.outer(at, -np.arange(window - k + 1)))
+                    found[window] = starts[(starts >= 0) & (starts <= len(w) - window)]
+                for length in lengths:
+                    if len(w) >= length:
+                        found[length] = known(gram_hashes(w, length) + np.uint64(length))
+                for length, starts in found.items():
+                    if len(starts):
+                        cols[0].append(starts.astype(np.int32))
+                        cols[1].append(np.full(len(starts), length, np.int32))
+                        cols[2].append(_signed(gram_hashes(w, length)[starts]))
+                        cols[3].append(_signed(gram_hashes(_other(w), length)[starts]))
+                n_words.append(len(w))
+                ends.append(ends[-1] + sum(map(len, found.values())))
+            flat = [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(cols, part, strict=True)]
+            rows = pa.StructArray.from_arrays(flat, fields=list(part))
+            return {"row": batch.column(0), "doc_id": batch.column(1), "n_words": n_words, "w": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)}
 
         return work
 
-    hits = map_rows(texts.select("doc", "item", "text", "item_text"), make, "doc long, item long, spans array<array<long>>", arrow).where("size(spans) > 0")
-    hits = materialise(hits, "hits")
-    from pyspark.sql import Window
+    return map_rows(docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), "text"), make, schema, arrow)
 
-    spans = hits.select("doc", F.explode("spans").alias("s")).select("doc", F.col("s")[0].alias("a"), F.col("s")[1].alias("b")).distinct()
-    before = Window.partitionBy("doc").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+
+def _by_join(docs: DataFrame, bench: DataFrame, window: int, k: int) -> DataFrame:
+    items = materialise(_item_windows(bench, window, k), "items")
+    lengths = sorted(r[0] for r in items.where(f"length > 0 and length < {int(window)}").select("length").distinct().collect())  # fewer than `window`
+    prints = items.select(F.explode("prints").alias("p"))
+    bitmap = hash_bitmap(prints)
+    found = materialise(_document_windows(docs, bitmap, lengths, window, k), "doc-windows")
+    theirs = items.select("item", "length", F.explode(F.arrays_zip("h1", "h2")).alias("h")).select("item", "length", "h.h1", "h.h2").distinct()
+    ours = found.select("row", F.explode("w").alias("w")).select("row", "w.*")
+    hits = materialise(ours.join(theirs, ["h1", "h2", "length"]).select("row", "item", "start", "length"), "hits")
+
+    spans = hits.select("row", F.col("start").alias("a"), (F.col("start") + F.col("length")).alias("b")).distinct()
+    before = Window.partitionBy("row").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     fresh = spans.withColumn("done", F.coalesce(F.max("b").over(before), F.lit(0)))
-    n_hit = fresh.groupBy("doc").agg(F.sum(F.greatest(F.lit(0), F.col("b") - F.greatest("a", "done"))).alias("n_hit"))
-    named = hits.join(items.select(F.col("key").alias("item"), F.col("item_id").cast("string").alias("item_id")), "item")
-    listed = named.groupBy("doc").agg(F.count("item").alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("ids"))
-    out = keyed.select(F.col("key").alias("doc"), "doc_id").join(doc_prints.select(F.col("key").alias("doc"), F.col("n").alias("n_words")), "doc")
-    out = out.join(n_hit, "doc", "left").join(listed, "doc", "left").na.fill({"n_hit": 0, "n_items": 0})
+    n_hit = fresh.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("b") - F.greatest("a", "done"))).cast("long").alias("n_hit"))
+    named = hits.select("row", "item").distinct().join(items.select("item", "item_id"), "item")
+    listed = named.groupBy("row").agg(F.count("item").alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("ids"))
+    out = found.select("row", "doc_id", "n_words").join(n_hit, "row", "left").join(listed, "row", "left").na.fill({"n_hit": 0, "n_items": 0})
     return out.select(
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
@@ -227,11 +276,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, k:
     bench = benchmark.select("item_id", "text")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     if size <= 2 * broadcast_words:
-        shipped = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in bench.collect()])
+        shipped = docs.sparkSession.sparkContext.broadcast({"items": [tuple(r) for r in bench.collect()]})
 
         @F.pandas_udf(BooleanType())
         def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            index = Index(shipped.value, window, k)
+            index = _shared_index(shipped, window, k)
 
             def ok(text: str | None) -> bool:
                 w = item_words(text)
