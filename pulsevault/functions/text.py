@@ -63,8 +63,8 @@ def date_token(path: Column) -> Column:
 
 
 def without_date(name: Column) -> Column:
-    """The name without a trailing date token."""
-    return F.regexp_replace(name, r"[_-]\d{4}_\d{2}_\d{2}$", "")
+    """The name without a trailing YYYY_MM_DD or YYYY-MM-DD and the dashes and underscores before it."""
+    return F.regexp_replace(name, r"[-_]*(19|20)\d{2}[_-]\d{2}[_-]\d{2}$", "")
 
 
 def chunk_base(path: Column) -> Column:
@@ -83,13 +83,25 @@ def format_size(size: Column) -> Column:
 
 
 def parse_size(text: Column) -> Column:
-    """Bytes of a text like `1.5 GB`; binary units."""
-    number = F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+)?)\s*([KMGT]?)i?B", 1).try_cast("double")
-    unit = F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+)?)\s*([KMGT]?)i?B", 2)
-    power = F.when(unit == "K", 1024.0).when(unit == "M", 1024.0**2).when(unit == "G", 1024.0**3).when(unit == "T", 1024.0**4).otherwise(1.0)
-    return F.round(number * power).cast("long")
+    """Bytes of a text like `1.5 GB` in any case; binary units, a bare number is in MB, all else is 0."""
+    s = F.upper(F.trim(text))
+    unit = F.regexp_extract(s, "(GB|MB|KB|B)$", 1)
+    factor = F.when(unit == "GB", 1024.0**3).when(unit == "KB", 1024.0).when(unit == "B", 1.0).otherwise(1024.0**2)
+    number = F.trim(F.regexp_replace(s, "(GB|MB|KB|B)$", "")).try_cast("double")
+    return F.coalesce(F.round(number * factor).try_cast("long"), F.lit(0).cast("long"))
 
 
 def parse_rss(line: Column) -> Column:
-    """GB of `rss=1.23 GB` or `mem~1.23 GB`, else null."""
-    return F.regexp_extract(line, r"(?:rss=|mem~)\s*([0-9]+(?:\.[0-9]+)?)\s*GB", 1).try_cast("double")
+    """GB of `rss=1.23 GB`, `mem≈1.23 GB` or `mem=1.23 GB` in any case, else null."""
+    return F.regexp_extract(line, r"(?i)(?:rss\s*=\s*|mem[≈=]\s*)([0-9]+(?:\.[0-9]+)?)\s*GB", 1).try_cast("double")
+
+
+def parquet_path(line: Column) -> Column:
+    """The first absolute .parquet path of a line, else null."""
+    found = F.regexp_extract(line, r"(/[^()\s\"']+\.parquet)", 1)
+    return F.when(found != "", found)
+
+
+def after_colon(line: Column) -> Column:
+    """What follows the first colon, trimmed; null without one."""
+    return F.when(F.contains(line, F.lit(":")), F.trim(F.regexp_replace(line, "^[^:]*:", "")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import base_name, dir_name, without_date
+from ..functions.text import base_name, dir_name
 
 
 def normalised(path: Column) -> Column:
@@ -13,17 +13,15 @@ def normalised(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "/+", "/"), "(?<=.)/$", "")
 
 
-def exclude(files: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Files whose path holds none of the tokens (token; blank ones and those after # don't count). Tokens are a short list
-    of a configuration; the anti join has no key, so they are sent to the tasks only if they are few."""
+def exclude(files: DataFrame, tokens: DataFrame, most: int = 10_000) -> DataFrame:
+    """Files whose normalised path holds none of the tokens (token; blank ones and those after # don't count). Tokens are the
+    list of a configuration, looked for in every path where it lies; more than `most` of them are an error."""
     wanted = tokens.select(F.trim("token").alias("token")).where("token != '' and not startswith(token, '#')").distinct()
-    few = [r[0] for r in wanted.limit(1001).collect()]
-    if len(few) <= 1000:
-        keep = F.lit(True)
-        for t in few:
-            keep = keep & ~F.contains(F.col("path"), F.lit(t))
-        return files.where(keep)
-    return files.join(wanted, F.contains(F.col("path"), F.col("token")), "left_anti")
+    few = [r[0] for r in wanted.limit(most + 1).collect()]
+    if len(few) > most:
+        raise ValueError(f"more than {most} tokens")
+    path = normalised(F.col("path"))
+    return files.where(~F.exists(F.lit(few), lambda t: F.contains(path, t))) if few else files
 
 
 def under_root(files: DataFrame, root: str) -> DataFrame:
@@ -50,12 +48,17 @@ def route_by_size(path: Column, size: Column, big: int, most: int, forced: list[
     return F.when(size > most, "too_large").when(force | (size >= big), "big").otherwise("small")
 
 
-def decide_split(files: DataFrame, mode: str = "auto", probe: int = 200) -> DataFrame:
-    """One row, split: by mode on or off; auto splits if less than half of the first `probe` names hold a date."""
-    if mode != "auto":
+#: A date in a file name (fixed by the archive's naming).
+DATED = r"(19|20)\d{2}[-_/]?\d{2}[-_/]?\d{2}"
+
+
+def decide_split(files: DataFrame, mode: str = "auto", root: str = "", unsplit: tuple[str, ...] = ("/2024c/",), probe: int = 200) -> DataFrame:
+    """One row, split: by mode on or off; auto doesn't split under a root with one of the `unsplit` parts, and else splits if
+    less than half of the first `probe` names hold a date."""
+    if mode != "auto" or any(part in root.rstrip("/") + "/" for part in unsplit):
         return files.sparkSession.range(1).select(F.lit(mode == "on").alias("split"))
     first = files.select("path").orderBy("path").limit(probe)
-    return first.agg((F.coalesce(F.avg(base_name(F.col("path")).rlike(r"\d{4}_\d{2}_\d{2}").cast("double")), F.lit(0.0)) < 0.5).alias("split"))
+    return first.agg((F.coalesce(F.avg(base_name(F.col("path")).rlike(DATED).cast("double")), F.lit(0.0)) < 0.5).alias("split"))
 
 
 def basename_index(files: DataFrame, root: str) -> DataFrame:
@@ -64,16 +67,37 @@ def basename_index(files: DataFrame, root: str) -> DataFrame:
     return rows.groupBy("base").agg(F.min("p").alias("p")).select("base", "p.path")
 
 
-def resolve_outputs(outputs: DataFrame, inputs: DataFrame, out_root: str, in_root: str, ext: str = ".pb") -> DataFrame:
-    """out, path: the input of each output. The name without chunk index and date is looked up in the mirrored folder,
-    as it is and with ":" for "-", then by name alone anywhere."""
-    name = F.regexp_replace(F.regexp_replace(base_name(F.col("out")), r"\.[^.]*$", ""), r"_chunk\d+$", "")
-    names = F.array_distinct(F.array(name, without_date(name), F.replace(name, F.lit("-"), F.lit(":")), F.replace(without_date(name), F.lit("-"), F.lit(":"))))
-    folder = F.concat(F.lit(in_root), F.substring(dir_name(F.col("out")), len(out_root) + 1, 10**6))
-    tried = outputs.select("out", folder.alias("folder"), F.posexplode(F.transform(names, lambda n: F.concat(n, F.lit(ext)))).alias("rank", "base"))
-    exact = tried.join(inputs.select("path"), F.concat_ws("/", "folder", "base") == F.col("path")).select("out", F.struct(F.lit(0).alias("step"), "rank", "path").alias("p"))
+def _colon_at(name: Column, sep: str) -> Column:
+    """The name with a colon for the last of the separators in sep (a character class); unchanged where there is none."""
+    return F.regexp_replace(name, f"^(.*)[{sep}]([^{sep}]*)$", "$1:$2")
+
+
+def input_names(out: Column, naming: str = "dated", ext: str = ".pb") -> Column:
+    """Names that the input of an output may have, the likeliest first: an output's name without chunk number has a dash or
+    underscore where the input has its colon. With yearly naming, or if a bare year stands before it, a day, month or week at
+    the end is no part of the name."""
+    base = base_name(out)
+    name = F.regexp_replace(base, r"\.[^.]*$", "")
+    name = F.when(F.endswith(base, F.lit(".parquet")), F.regexp_replace(name, r"_chunk\d{4}$", "")).otherwise(name)
+    prefix = F.regexp_replace(name, r"[-_](\d{4}_\d{2}_\d{2}|\d{4}_\d{2}|\d{4}_W\d{2})$", "")
+    core = prefix if naming == "yearly" else F.when(prefix.rlike(r"[-_](?:19|20)\d{2}$"), prefix).otherwise(name)
+    both = F.contains(core, F.lit("-")) & F.contains(core, F.lit("_"))
+    found = F.array(_colon_at(core, "_-"), F.when(both, _colon_at(core, "_")), F.when(both, _colon_at(core, "-")))
+    return F.transform(F.array_distinct(F.filter(found, lambda n: n.isNotNull())), lambda n: F.concat(n, F.lit(ext)))
+
+
+def resolve_outputs(outputs: DataFrame, inputs: DataFrame, out_root: str, in_root: str, naming: str = "dated", ext: str = ".pb") -> DataFrame:
+    """out, path: the input of each output, null if there is none. An output that is an input is its own; else each of
+    input_names() is looked up in the mirrored folder, then by name alone anywhere."""
+    targets = outputs.select("out").distinct()
+    own = targets.join(inputs.select("path"), F.col("out") == F.col("path")).where(F.endswith("out", F.lit(ext))).select("out", F.struct(F.lit(-1).alias("step"), F.lit(0).alias("rank"), "path").alias("p"))
+    under = F.startswith(F.col("out"), F.lit(out_root.rstrip("/") + "/"))
+    folder = F.when(under, F.concat(F.lit(in_root.rstrip("/")), F.substring(dir_name(F.col("out")), len(out_root.rstrip("/")) + 1, 10**6)))
+    tried = targets.select("out", folder.alias("folder"), F.posexplode(input_names(F.col("out"), naming, ext)).alias("rank", "base"))
+    mirrored = tried.where("folder is not null").withColumn("at", F.concat_ws("/", "folder", "base"))
+    exact = mirrored.join(inputs.select("path"), F.col("at") == F.col("path")).select("out", F.struct(F.lit(0).alias("step"), "rank", "path").alias("p"))
     loose = tried.join(basename_index(inputs, in_root), "base").select("out", F.struct(F.lit(1).alias("step"), "rank", "path").alias("p"))
-    best = exact.unionByName(loose).groupBy("out").agg(F.min("p").alias("p"))
+    best = own.unionByName(exact).unionByName(loose).groupBy("out").agg(F.min("p").alias("p"))
     return outputs.select("out").join(best, "out", "left").select("out", F.col("p.path").alias("path"))
 
 

@@ -22,14 +22,23 @@ def upsert_status(ledger: DataFrame, events: DataFrame) -> DataFrame:
     return last.select("path", "r.event_ts", "r.status", F.substring("r.message", 1, 512).alias("message"))
 
 
-def stale_items(ledger: DataFrame, jobs: DataFrame, states: DataFrame, now: str, hours: float, active: list[str]) -> DataFrame:
-    """path, verdict of queued or running items older than the cutoff: stale without a job or with one that has ended, kill
-    if the job is active. The age is that of the submission where known, else of the ledger row."""
-    cutoff = F.to_timestamp(F.lit(now)) - F.make_dt_interval(hours=F.lit(int(hours)))
-    open_items = ledger.where(F.col("status").isin("queued", "running"))
-    rows = open_items.join(jobs.select("path", "job_id", "submit_ts"), "path", "left").join(states.select("job_id", "state"), "job_id", "left")
-    old = rows.where(F.coalesce("submit_ts", "event_ts") < cutoff)
-    return old.select("path", F.when(F.col("job_id").isNull() | F.col("state").isNull() | ~F.col("state").isin(active), "stale").otherwise("kill").alias("verdict"))
+#: Job states that tell that a job has ended (fixed by the batch system).
+ENDED = ["DONE", "EXIT", "ZOMBI", "UNKWN"]
+
+
+def stale_items(ledger: DataFrame, jobs: DataFrame, states: DataFrame, now: str, hours: float, kill_hours: float | None = None, ended: list[str] | None = None) -> DataFrame:
+    """path, verdict, reason of items that the ledger has as queued or running for over `hours`: stale without a job, or if the
+    job's state is unknown or tells its end. With kill_hours, jobs still alive are to be killed if they were submitted (else
+    entered in the ledger) over so many hours ago; other live ones are left alone."""
+    at = F.to_timestamp(F.lit(now))
+    ago = lambda h: at - F.make_dt_interval(secs=F.lit(float(h) * 3600))
+    old = ledger.where(F.col("status").isin("queued", "running") & (F.col("event_ts") < ago(hours)))
+    rows = old.join(jobs.select("path", "job_id", "submit_ts"), "path", "left").join(states.select("job_id", "state"), "job_id", "left")
+    gone = F.col("state").isNull() | F.col("state").isin(ended or ENDED)
+    kill = F.lit(False) if kill_hours is None else F.coalesce("submit_ts", "event_ts") < ago(kill_hours)
+    verdict = F.when(F.col("job_id").isNull() | gone, "stale").when(kill, "kill")
+    reason = F.when(F.col("job_id").isNull(), "no job").otherwise(F.concat(F.lit("job "), "job_id", F.lit(" is "), F.coalesce("state", F.lit("missing"))))
+    return rows.select("path", verdict.alias("verdict"), reason.alias("reason")).where("verdict is not null")
 
 
 def merge_runs(runs: DataFrame, events: DataFrame) -> DataFrame:

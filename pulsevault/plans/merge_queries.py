@@ -10,7 +10,7 @@ from ..operators import catalog as C
 from ..operators import ledger as J
 from ..operators import merge as M
 from ..operators import samples as P
-from ..sources.shared import shared_path
+from ..sources.shared import shared_path, stored
 from .tables import CATALOG_SQL, LEDGER_SQL, catalog, ledger, scalar_samples, scalar_sql, table
 
 
@@ -72,12 +72,12 @@ SELECT * FROM q WHERE n_headers > 1 OR missing > 0"""
         e = table(spark, d, "events")
         a = e.where("event_id % 4 = 0").select("event_id", F.col("event_id").alias("v"), F.col("value").alias("w"), F.lit("a").alias("only_a"))
         b = e.where("event_id % 4 = 1").select("event_id", F.array("value", "value").alias("v"), F.col("event_type").alias("w"))
-        c = e.where("event_id % 4 = 2").select("event_id", F.col("event_type").alias("v"), F.col("user_id").alias("w"))
+        c = e.where("event_id % 4 >= 2").select("event_id", F.col("event_type").alias("v"), F.col("user_id").alias("w"))
         u = M.union_promote([a, b, c])
         return u.select("event_id", F.size("v").alias("n"), F.col("v")[0].alias("v0"), "w", "only_a")
 
     out["m06_union_promote"] = m06, """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 END AS n, CASE event_id % 4 WHEN 0 THEN CAST(event_id AS DOUBLE) WHEN 1 THEN value END AS v0,
-  CASE event_id % 4 WHEN 0 THEN value WHEN 2 THEN CAST(user_id AS DOUBLE) END AS w, CASE WHEN event_id % 4 = 0 THEN 'a' END AS only_a FROM events WHERE event_id % 4 < 3"""
+  CASE event_id % 4 WHEN 0 THEN value WHEN 1 THEN NULL ELSE CAST(user_id AS DOUBLE) END AS w, CASE WHEN event_id % 4 = 0 THEN 'a' END AS only_a FROM events"""
     out["m07_dedupe_keep_last"] = (
         lambda spark, d: M.dedupe_keep_last(table(spark, d, "events").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type"),
         "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
@@ -85,10 +85,10 @@ SELECT * FROM q WHERE n_headers > 1 OR missing > 0"""
 
     def m08(spark, d):
         e = table(spark, d, "events").select((F.col("event_id") % 1000).alias("pv"), "event_id", "value")
-        old, new = e.where("event_id % 3 = 0"), e.where("event_id % 3 = 1")
+        old, new = e.where("event_id % 3 = 0"), e.where("event_id % 3 != 0")
         return M.upsert_day(old, new, "pv", ["event_id"])
 
-    out["m08_upsert_day"] = m08, "SELECT event_id % 1000 AS pv, event_id, value FROM events WHERE event_id % 3 < 2 QUALIFY row_number() OVER (PARTITION BY event_id % 1000 ORDER BY event_id % 3 DESC, event_id DESC) = 1"
+    out["m08_upsert_day"] = m08, "SELECT event_id % 1000 AS pv, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_id % 1000 ORDER BY event_id % 3 <> 0 DESC, event_id DESC) = 1"
 
     def m09(spark, d):
         c = catalog(spark, d).select("path", "size", "mtime", "doc_id")
@@ -125,10 +125,13 @@ SELECT * FROM q WHERE n_headers > 1 OR missing > 0"""
         l = ledger(spark, d)  # noqa: E741
         jobs = l.where("k % 3 != 0").select("path", F.col("k").cast("string").alias("job_id"), F.when(F.col("k") % 2 == 0, F.col("event_ts") + F.expr("interval 400 days")).alias("submit_ts"))
         states = l.where("k % 5 != 0").select(F.col("k").cast("string").alias("job_id"), F.when(F.col("k") % 4 == 0, "RUN").otherwise("EXIT").alias("state"))
-        return J.stale_items(l, jobs, states, "1998-01-01 00:00:00", 24, ["RUN", "PEND"])
+        return J.stale_items(l, jobs, states, "1998-01-01 00:00:00", 24, 24 * 600)
 
-    out["j03_stale_items"] = j03, f"""WITH {LEDGER_SQL} SELECT path, CASE WHEN k % 3 <> 0 AND k % 5 <> 0 AND k % 4 = 0 THEN 'kill' ELSE 'stale' END AS verdict FROM l
-WHERE status IN ('queued', 'running') AND CASE WHEN k % 3 <> 0 AND k % 2 = 0 THEN event_ts + INTERVAL 400 DAY ELSE event_ts END < TIMESTAMP '1997-12-31 00:00:00'"""
+    out["j03_stale_items"] = j03, f"""WITH {LEDGER_SQL}, o AS (SELECT *, k % 3 <> 0 AS has_job, CASE WHEN k % 5 <> 0 THEN CASE WHEN k % 4 = 0 THEN 'RUN' ELSE 'EXIT' END END AS state, CASE WHEN k % 3 <> 0 AND k % 2 = 0 THEN event_ts + INTERVAL 400 DAY ELSE event_ts END AS since FROM l
+  WHERE status IN ('queued', 'running') AND event_ts < TIMESTAMP '1997-12-31 00:00:00'),
+v AS (SELECT path, CASE WHEN NOT has_job OR state IS NULL OR state = 'EXIT' THEN 'stale' WHEN since < TIMESTAMP '1998-01-01' - INTERVAL 600 DAY THEN 'kill' END AS verdict,
+             CASE WHEN NOT has_job THEN 'no job' ELSE 'job ' || k || ' is ' || coalesce(state, 'missing') END AS reason FROM o)
+SELECT * FROM v WHERE verdict IS NOT NULL"""
 
     def same_names(spark, d):
         """Catalog whose file names occur in several folders."""
@@ -138,15 +141,37 @@ WHERE status IN ('queued', 'running') AND CASE WHEN k % 3 <> 0 AND k % 2 = 0 THE
     best = "SELECT base, path FROM b QUALIFY row_number() OVER (PARTITION BY base ORDER BY NOT starts_with(path, '/data/src4/'), path) = 1"
     out["j04_basename_index"] = (lambda spark, d: C.basename_index(same_names(spark, d), "/data/src4"), f"WITH {names} {best}")
 
-    def j05(spark, d):
-        c = catalog(spark, d)
-        stem = F.regexp_replace("path", r"^/data(.*)\.pb$", "/out$1")
-        moved = F.regexp_replace(stem, "^/out/src[0-9]+", "/out/elsewhere")
-        o = c.select(F.when(F.col("doc_id") % 3 == 0, F.concat(stem, F.lit("_chunk0001.parquet"))).when(F.col("doc_id") % 3 == 1, F.concat(moved, F.lit(".parquet"))).otherwise(F.concat(stem, F.lit("x.parquet"))).alias("out"))
-        return C.resolve_outputs(o, c, "/out", "/data")
-
-    out["j05_resolve_output_to_input"] = j05, f"""WITH {CATALOG_SQL}, t AS (SELECT *, '/out' || substring(replace(path, '.pb', ''), 6) AS stem FROM c)
-SELECT CASE doc_id % 3 WHEN 0 THEN stem || '_chunk0001.parquet' WHEN 1 THEN regexp_replace(stem, '^/out/src[0-9]+', '/out/elsewhere') || '.parquet' ELSE stem || 'x.parquet' END AS out, CASE WHEN doc_id % 3 < 2 THEN path END AS path FROM t"""
+    def j05_parts(spark, d):
+        """doc_id, folder and the two names that inputs with a colon and their outputs have, in eight forms."""
+        i = F.col("doc_id")
+        text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+        forms = [  # input, output
+            (text("A-B:C", i), text("A-B-C", i)), (text("A_B:C", i), text("A_B_C", i, "_chunk0007")), (text("A_B:C-", i), text("A_B_C-", i)), (text("D:2024_01_05_", i), text("D-2024_01_05_", i)), (text("E", i, ":x_2024_W05"), text("E", i, "-x_2024_W05")),
+            (text("F", i, "_2024:y"), text("F", i, "_2024_y")), (text("G", i, ":2024"), text("G", i, "-2024_2024_01_02_chunk0001")), (text("H", i), text("H-", i)),
+        ]
+        k = (i % 8 + 1).cast("int")
+        return table(spark, d, "documents").select("doc_id", F.concat_ws("/", "source", "lang").alias("folder"), F.element_at(F.array(*[a for a, _ in forms]), k).alias("name"), F.element_at(F.array(*[b for _, b in forms]), k).alias("made"))
+
+    def j05(naming):
+        def run(spark, d):
+            p = j05_parts(spark, d)
+            there = F.when(F.col("doc_id") % 3 == 0, F.col("folder")).otherwise("elsewhere")
+            made = F.col("made") if naming == "dated" else F.concat(F.regexp_replace("made", r"_chunk\d+$", ""), F.lit("_2024_05_chunk0002"))
+            o = p.select(F.concat(F.lit("/out/"), there, F.lit("/"), made, F.lit(".parquet")).alias("out"))
+            i = p.select(F.concat(F.lit("/data/"), "folder", F.lit("/"), "name", F.lit(".pb")).alias("path"))
+            own = i.select(F.col("path").alias("out")).where(F.endswith("out", F.lit("1.pb")))
+            return C.resolve_outputs(o.unionByName(own), i, "/out", "/data", naming)
+
+        return run
+
+    names = ["'A-B:C' || doc_id", "'A_B:C' || doc_id", "'A_B:C-' || doc_id", "'D:2024_01_05_' || doc_id", "'E' || doc_id || ':x_2024_W05'", "'F' || doc_id || '_2024:y'", "'G' || doc_id || ':2024'", "'H' || doc_id"]
+    made = ["'A-B-C' || doc_id", "'A_B_C' || doc_id || '_chunk0007'", "'A_B_C-' || doc_id", "'D-2024_01_05_' || doc_id", "'E' || doc_id || '-x_2024_W05'", "'F' || doc_id || '_2024_y'", "'G' || doc_id || '-2024_2024_01_02_chunk0001'", "'H-' || doc_id"]
+    pick = lambda xs: f"CASE doc_id % 8 {' '.join(f'WHEN {i} THEN {x}' for i, x in enumerate(xs))} END"
+    parts = f"t AS (SELECT doc_id, doc_id % 8 AS k, source || '/' || lang AS folder, {pick(names)} AS name, {pick(made)} AS made, CASE WHEN doc_id % 3 = 0 THEN source || '/' || lang ELSE 'elsewhere' END AS there FROM documents)"
+    own = "SELECT '/data/' || folder || '/' || name || '.pb' AS out, '/data/' || folder || '/' || name || '.pb' AS path FROM t WHERE ends_with(name, '1')"
+    # H has no colon; with yearly naming only one date at the end goes, so that G keeps its day
+    out["j05_resolve_output_to_input"] = j05("dated"), f"WITH {parts} SELECT '/out/' || there || '/' || made || '.parquet' AS out, CASE WHEN k < 7 THEN '/data/' || folder || '/' || name || '.pb' END AS path FROM t UNION ALL {own}"
+    out["j05_resolve_yearly"] = j05("yearly"), f"WITH {parts} SELECT '/out/' || there || '/' || regexp_replace(made, '_chunk[0-9]+$', '') || '_2024_05_chunk0002.parquet' AS out, CASE WHEN k < 6 THEN '/data/' || folder || '/' || name || '.pb' END AS path FROM t UNION ALL {own}"
 
     out["j06_prefer_final"] = (lambda spark, d: _prefer(spark, d)), f"WITH {_FILES} SELECT base, CASE WHEN length(base) % 2 = 0 THEN base || '.parquet' ELSE arg_min(path, doc_id) END AS path FROM f WHERE base IS NOT NULL GROUP BY base"
 
@@ -191,9 +216,10 @@ SELECT date, run_id FROM r WHERE s > TIMESTAMP '1992-03-01' - INTERVAL 45 DAY QU
     out["j09_catalog_rebuild"] = j09, f"WITH {CATALOG_SQL} SELECT path, size, mtime FROM c"
 
     def j10(spark, d):
-        days = ledger(spark, d).where("k % 50 = 0").groupBy(F.to_date("event_ts").alias("day")).agg(F.count("*").alias("n"))
-        return J.date_spine(days, "1995-02-01", "1995-02-28", ["n"]).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n")
+        days = stored(ledger(spark, d).groupBy(F.to_date("event_ts").alias("day")).agg(F.count("*").alias("n")), "days")
+        first, last = days.agg(F.trunc(F.min("day"), "month"), F.last_day(F.max("day"))).first()
+        return J.date_spine(days, str(first), str(last), ["n"]).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n")
 
-    out["j10_date_spine"] = j10, f"""WITH {LEDGER_SQL}, q AS (SELECT CAST(event_ts AS DATE) AS day, count(*) AS n FROM l WHERE k % 50 = 0 GROUP BY 1)
-SELECT strftime(g.d, '%Y-%m-%d') AS day, coalesce(q.n, 0) AS n FROM (SELECT UNNEST(generate_series(DATE '1995-02-01', DATE '1995-02-28', INTERVAL 1 DAY)) AS d) g LEFT JOIN q ON q.day = CAST(g.d AS DATE)"""
+    out["j10_date_spine"] = j10, f"""WITH {LEDGER_SQL}, q AS (SELECT CAST(event_ts AS DATE) AS day, count(*) AS n FROM l GROUP BY 1), w AS (SELECT UNNEST(generate_series(date_trunc('month', min(day)), last_day(max(day)), INTERVAL 1 DAY)) AS d FROM q)
+SELECT strftime(w.d, '%Y-%m-%d') AS day, coalesce(q.n, 0) AS n FROM w LEFT JOIN q ON q.day = CAST(w.d AS DATE)"""
     return out

@@ -98,18 +98,23 @@ FROM e JOIN ty USING (pv) JOIN nv USING (pv)"""
     def p12(spark, d):
         c = catalog(spark, d).withColumn("chunk", F.concat(F.regexp_replace("path", r"\.pb$", ""), F.lit("_chunk"), F.lpad((F.col("doc_id") % 9).cast("string"), 4, "0"), F.lit(".parquet")))
         p = F.col("path")
-        return c.select("path", T.dir_name(p).alias("dir"), T.base_name(p).alias("base"), T.stem(p).alias("stem"), T.without_date(T.stem(p)).alias("pv"), T.date_token(p).alias("date"), T.chunk_base(F.col("chunk")).alias("final"), T.chunk_index(F.col("chunk")).alias("chunk_no"), T.safe_name(F.replace(T.stem(p), F.lit("-"), F.lit(":")), True).alias("big_name"))
+        # the date in the stem in each of its forms: PV_2024_01_05, PV_-2024-01-05, PV2024_01-05
+        k, stem = F.col("doc_id") % 3, T.stem(p)
+        form = F.when(k == 0, stem).when(k == 1, F.regexp_replace(stem, r"_(\d{4})_(\d\d)_(\d\d)$", "_-$1-$2-$3")).otherwise(F.regexp_replace(stem, r"_(\d{4})_(\d\d)_(\d\d)$", "x$1_$2-$3"))
+        return c.select("path", T.dir_name(p).alias("dir"), T.base_name(p).alias("base"), stem.alias("stem"), T.without_date(form).alias("pv"), T.date_token(p).alias("date"), T.chunk_base(F.col("chunk")).alias("final"), T.chunk_index(F.col("chunk")).alias("chunk_no"), T.safe_name(F.replace(stem, F.lit("-"), F.lit(":")), True).alias("big_name"))
 
     out["p12_path_parts"] = p12, f"""WITH {CATALOG_SQL} SELECT path, regexp_extract(path, '^(.*)/', 1) AS dir, regexp_extract(path, '([^/]*)$', 1) AS base, replace(regexp_extract(path, '([^/]*)$', 1), '.pb', '') AS stem,
-  'PV-' || doc_id AS pv, regexp_extract(path, '_([0-9_]*)\\.pb$', 1) AS date, replace(path, '.pb', '') AS final, CAST(doc_id % 9 AS INTEGER) AS chunk_no, replace(replace(regexp_extract(path, '([^/]*)$', 1), '.pb', ''), '-', '_') AS big_name FROM c"""
+  'PV-' || doc_id || CASE WHEN doc_id % 3 = 2 THEN 'x' ELSE '' END AS pv, regexp_extract(path, '_([0-9_]*)\\.pb$', 1) AS date, replace(path, '.pb', '') AS final, CAST(doc_id % 9 AS INTEGER) AS chunk_no, replace(replace(regexp_extract(path, '([^/]*)$', 1), '.pb', ''), '-', '_') AS big_name FROM c"""
 
     def p13(spark, d):
         c = catalog(spark, d).withColumn("shown", T.format_size(F.col("size")))
-        return c.select("path", "shown", T.parse_size(F.col("shown")).alias("parsed"))
+        k = F.col("doc_id") % 5
+        said = F.when(k == 0, F.lower("shown")).when(k == 1, F.concat(F.lit("  "), "shown", F.lit(" "))).when(k == 2, F.split("shown", " ")[0]).when(k == 3, F.concat(F.split("shown", " ")[0], F.lit("kb"))).otherwise("about 5")
+        return c.select("path", "shown", T.parse_size(said).alias("parsed"))
 
     shown = "CASE WHEN size < 1000000000 THEN printf('%.2f MB', size / 1e6) ELSE printf('%.2f GB', size / 1e9) END"
-    out["p13_format_size"] = p13, f"""WITH {CATALOG_SQL}, t AS (SELECT path, {shown} AS shown FROM c)
-SELECT path, shown, CAST(round(CAST(split_part(shown, ' ', 1) AS DOUBLE) * CASE WHEN shown LIKE '%MB' THEN 1048576.0 ELSE 1073741824.0 END) AS BIGINT) AS parsed FROM t"""
+    out["p13_format_size"] = p13, f"""WITH {CATALOG_SQL}, t AS (SELECT doc_id, path, {shown} AS shown FROM c)
+SELECT path, shown, CASE WHEN doc_id % 5 = 4 THEN 0 ELSE CAST(round(CAST(split_part(shown, ' ', 1) AS DOUBLE) * CASE WHEN doc_id % 5 = 3 THEN 1024.0 WHEN doc_id % 5 = 2 OR shown LIKE '%MB' THEN 1048576.0 ELSE 1073741824.0 END) AS BIGINT) END AS parsed FROM t"""
 
     def p14(spark, d):
         k = F.col("event_id") % 5
@@ -122,20 +127,28 @@ SELECT path, shown, CAST(round(CAST(split_part(shown, ' ', 1) AS DOUBLE) * CASE
     out["p14_classify_schema"] = p14, "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'numeric_scalar' WHEN 1 THEN 'numeric_vector' WHEN 2 THEN 'text_scalar' WHEN 3 THEN 'text_vector' ELSE 'unknown' END AS class FROM events"
 
     def p15(spark, d):
-        k = F.col("event_id") % 3
-        line = F.when(k == 0, F.concat(F.lit("SAVED CHUNK: /a (rows=1, rss="), F.col("event_id") % 64 / 8, F.lit(" GB)"))).when(k == 1, F.concat(F.lit("mem~"), F.col("event_id") % 16 / 4, F.lit(" GB"))).otherwise(F.lit("rss unknown"))
+        gb = F.col("event_id") % 64 / 8
+        forms = [("SAVED CHUNK: /a (rows=1, rss=", " GB)"), ("mem≈", " GB"), ("now MEM= ", "gb left"), ("RSS = ", " GB"), ("memory ", " GB"), ("rss=", " MB")]
+        line = F.element_at(F.array(*[F.concat(F.lit(a), gb, F.lit(b)) for a, b in forms]), (F.col("event_id") % 6 + 1).cast("int"))
         return table(spark, d, "events").select("event_id", T.parse_rss(line).alias("gb"))
 
-    out["p15_parse_rss"] = p15, "SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_id % 64 / 8.0 WHEN 1 THEN event_id % 16 / 4.0 END AS gb FROM events"
+    out["p15_parse_rss"] = p15, "SELECT event_id, CASE WHEN event_id % 6 < 4 THEN event_id % 64 / 8.0 END AS gb FROM events"
     out["p16_route_by_size"] = (
         lambda spark, d: catalog(spark, d).select("path", C.route_by_size(F.col("path"), F.col("size"), 50_000_000, 200_000_000, ["/src2/"]).alias("route")),
         f"WITH {CATALOG_SQL} SELECT path, CASE WHEN size > 200000000 THEN 'too_large' WHEN contains(path, '/src2/') OR size >= 50000000 THEN 'big' ELSE 'small' END AS route FROM c",
     )
-    out["p17_decide_split"] = (
-        lambda spark, d: C.decide_split(catalog(spark, d).where("doc_id % 4 != 0").withColumn("path", F.when(F.col("doc_id") % 3 == 0, F.col("path")).otherwise(F.concat(T.dir_name(F.col("path")), F.lit("/plain-"), "doc_id", F.lit(".pb"))))),
-        f"""WITH {CATALOG_SQL}, q AS (SELECT CASE WHEN doc_id % 3 = 0 THEN path ELSE regexp_extract(path, '^(.*)/', 1) || '/plain-' || doc_id || '.pb' END AS path FROM c WHERE doc_id % 4 <> 0 ORDER BY 1 LIMIT 200)
-SELECT avg(CASE WHEN regexp_matches(path, '[0-9]{{4}}_[0-9]{{2}}_[0-9]{{2}}') THEN 1.0 ELSE 0.0 END) < 0.5 AS split FROM q""",
-    )
+    def p17(spark, d):
+        forms = [T.base_name(F.col("path")), F.concat(F.lit("a"), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 28).cast("int")), "yyyy-MM-dd"), F.lit(".pb")), F.concat(F.lit("202401"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit(".pb")), F.concat(F.lit("plain-"), "doc_id", F.lit(".pb"))]
+        named = F.element_at(F.array(*forms), (F.col("doc_id") % 4 + 1).cast("int"))
+        files = catalog(spark, d).withColumn("path", F.concat(F.lit("/in/"), named, F.lit("/"), "doc_id", F.lit("-"), named))
+        first = [C.decide_split(files).withColumn("case", F.lit("names")), C.decide_split(files, root="/in/2024c").withColumn("case", F.lit("root")), C.decide_split(files, "on").withColumn("case", F.lit("on"))]
+        none = C.decide_split(files.where(F.col("doc_id") % 4 == 3)).withColumn("case", F.lit("plain names"))
+        return first[0].unionByName(first[1]).unionByName(first[2]).unionByName(none)
+
+    out["p17_decide_split"] = p17, """WITH q AS (SELECT doc_id % 4 AS k, CASE doc_id % 4 WHEN 0 THEN 'PV-' || doc_id || '_2024_01_' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || '.pb' WHEN 1 THEN 'a2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || '.pb'
+    WHEN 2 THEN '202401' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || '.pb' ELSE 'plain-' || doc_id || '.pb' END AS name, doc_id FROM documents),
+f AS (SELECT k FROM q ORDER BY '/in/' || name || '/' || doc_id || '-' || name LIMIT 200)
+SELECT avg(CASE WHEN k < 3 THEN 1.0 ELSE 0.0 END) < 0.5 AS split, 'names' AS "case" FROM f UNION ALL VALUES (FALSE, 'root'), (TRUE, 'on'), (TRUE, 'plain names')"""
 
     def b01(spark, d):
         ms = F.unix_millis(F.col("ts").cast("timestamp")) + 86_400_000 * 364 * (F.col("event_id") % 3)

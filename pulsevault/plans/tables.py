@@ -70,6 +70,26 @@ LEDGER_SQL = """l AS (
   FROM orders)"""
 
 
+def _number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n and place (its folder and file name) of each signal that the logs tell of."""
+    n = F.col("event_id") % 500
+    return table(spark, sf_dir, "events").select(n.alias("n")).distinct().withColumn("place", F.concat(F.lit("g"), F.col("n") % 7, F.lit("/PV")))
+
+
+def log_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path of the inputs that the logs tell of; every fiftieth is gone."""
+    return _number(spark, sf_dir).where("n % 50 != 0").select(F.concat(F.lit("/data/"), "place", F.lit(":"), "n", F.lit(".pb")).alias("path"))
+
+
+def log_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, size of the outputs that the logs tell of: whole, in chunks, and of a day; every fiftieth is gone."""
+    there = _number(spark, sf_dir).where("n % 50 != 0")
+    name = F.concat(F.lit("/out/"), "place", F.lit("-"), "n")
+    rows = there.select(F.concat(name, F.lit(".parquet")).alias("path"), (F.col("n") * 1000 + 1).alias("size"))
+    rows = rows.unionByName(there.select(F.concat(name, F.lit("_chunk0003.parquet")).alias("path"), (F.col("n") * 10).alias("size")))
+    return rows.unionByName(spark.range(1).select(F.lit("/out/day/2024_01_05.parquet").alias("path"), F.lit(12345).cast("long").alias("size")))
+
+
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """submission, file, line_no, line of the events as job logs: 20 submissions of up to five logs. Every line kind of the
     format occurs, and every log but that of `error` ends with a summary marker."""
@@ -77,28 +97,27 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sub = F.concat(F.lit("sub"), F.col("user_id") % 20)
     kind = F.create_map(*[F.lit(x) for p in [("click", "small_bundle_"), ("view", "big_chunk_"), ("error", "log_chunk_"), ("signup", "merge_")] for x in p])
     file = F.concat(F.coalesce(kind[F.col("event_type")], F.lit("misc_")), "event_type", F.lit(".log"))
-    pb = F.concat(F.lit("/data/PV-"), F.col("event_id") % 500)
-    k = F.col("event_id") % 12
-    line = (
-        F.when(k == 0, F.concat(F.lit("SAVED: "), pb, F.lit(".parquet")))
-        .when(k == 1, F.concat(F.lit("SAVED CHUNK: "), pb, F.lit(".parquet (rows=10, rss="), F.col("event_id") % 40 / 8, F.lit(" GB)")))
-        .when(k == 2, F.concat(F.lit("FAIL: "), pb, F.lit(".pb - broken")))
-        .when(k == 3, F.concat(F.lit("SKIP: "), pb, F.lit(".pb (empty)")))
-        .when(k == 4, F.concat(F.lit("merged 3 -> "), pb, F.lit(".parquet")))
-        .when(k == 5, F.concat(F.lit("Start time : "), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")))
-        .when(k == 6, F.concat(F.lit("End time : "), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")))
-        .when(k == 7, F.lit("Total .pb input size : 1.5 MB"))
-        .when(k == 8, F.concat(F.lit("PB file : "), pb, F.lit(".pb")))
-        .when(k == 9, F.lit("Skipped: nothing to do"))
-        .when((k == 10) & (F.col("event_type") != "error"), F.lit("------ Chunk Summary ------"))
-        .when(k == 11, F.concat(F.lit("Input files : "), F.col("event_id") % 9))
-        .otherwise(F.lit("plain line"))
-    )
-    return e.select(sub.alias("submission"), F.concat(sub, F.lit("_"), file).alias("unique_file"), file.alias("file"), F.col("event_id").alias("line_no"), line.alias("line"), "event_id", "ts")
+    n = F.col("event_id") % 500
+    place = F.concat(F.lit("g"), n % 7, F.lit("/PV"))
+    source, out = F.concat(F.lit("/data/"), place, F.lit(":"), n, F.lit(".pb")), F.concat(F.lit("/out/"), place, F.lit("-"), n)
+    gb, stamp = F.col("event_id") % 40 / 8, F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
+    text = {
+        0: [F.lit("SAVED: "), F.when(F.col("event_id") % 3 == 0, source).otherwise(F.concat(out, F.lit(".parquet")))], 1: [F.lit("SAVED CHUNK: "), out, F.lit("_chunk0003.parquet (rows=10, RSS = "), gb, F.lit(" GB)")],
+        2: [F.lit("FAIL: "), source, F.lit(" - broken")], 3: [F.lit("SKIP: "), source, F.lit(" (empty)")], 4: [F.lit("✅ Merged 3 → "), out, F.lit(".parquet")], 5: [F.lit("Start time : "), stamp], 6: [F.lit("End time : "), stamp],
+        7: [F.lit("Total .pb input size : 1.5 mb")], 8: [F.lit("PB file : "), source], 9: [F.lit("Skipped: nothing to do")], 11: [F.lit("Input files : "), F.col("event_id") % 9], 12: [F.lit("Peak RSS : "), gb, F.lit(" gb")],
+        13: [F.lit("✅ Date 2024_01_05: merged 7 files → /out/day/2024_01_05.parquet (rows=3)")], 14: [F.lit("✅ Unsplit PV "), out, F.lit(".parquet")], 15: [F.lit("Started at : "), stamp], 16: [F.lit("Finished at : "), stamp],
+        17: [F.lit("SAVED FINAL CHUNK: "), out, F.lit("_chunk0003.parquet (mem≈"), gb, F.lit(" GB)")], 18: [F.lit("FAILED (pb2tsv): "), source, F.lit(" - no space")],
+    }
+    k = F.col("event_id") % 20
+    line = F.when((k == 10) & (F.col("event_type") != "error"), F.lit("------ Chunk Summary ------"))
+    for i, parts in text.items():
+        line = line.when(k == i, F.concat(*parts))
+    return e.select(sub.alias("submission"), F.concat(sub, F.lit("_"), file).alias("unique_file"), file.alias("file"), F.col("event_id").alias("line_no"), line.otherwise("plain line").alias("line"), "event_id", "ts")
 
 
 LOGS_SQL = """g AS (
-  SELECT 'sub' || (user_id % 20) AS submission, event_id % 12 AS k, event_id AS line_no, event_id, ts, event_type,
+  SELECT 'sub' || (user_id % 20) AS submission, event_id % 20 AS k, event_id AS line_no, event_id, ts, event_type, event_id % 500 AS n, event_id % 40 / 8.0 AS gb, event_id % 3 = 0 AS legacy,
          CASE event_type WHEN 'click' THEN 'small_bundle_' WHEN 'view' THEN 'big_chunk_' WHEN 'error' THEN 'log_chunk_' WHEN 'signup' THEN 'merge_' ELSE 'misc_' END || event_type || '.log' AS file,
-         '/data/PV-' || (event_id % 500) AS pb
+         CASE event_type WHEN 'click' THEN 'small' WHEN 'view' THEN 'big' WHEN 'error' THEN 'legacy' ELSE 'other' END AS kind,
+         '/data/g' || (event_id % 500 % 7) || '/PV:' || (event_id % 500) || '.pb' AS source, '/out/g' || (event_id % 500 % 7) || '/PV-' || (event_id % 500) AS out
   FROM events)"""
