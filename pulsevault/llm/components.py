@@ -1,7 +1,8 @@
 """Connected components of links by alternating large-star and small-star steps on DataFrames.
 
-Each step takes the least neighbour of every node (an aggregate with map-side combine) and joins it back to the links, a
-sort-merge join that can be split where one node has very many links. Nothing is collected but a row count."""
+Each step takes the least neighbour of every node (an aggregate with map-side combine), stores it, and joins it back to the
+links, a join of stored tables that adaptive execution can split where one node has very many links. Nothing is collected but
+a row count."""
 
 from __future__ import annotations
 
@@ -11,41 +12,31 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
-def roots(parents: DataFrame) -> DataFrame:
-    """parents (u, m: one row per u, m < u) -> (u, m) with m the end of u's chain, by pointer jumping: each round doubles
-    the length of the chains that are followed."""
-    p = parents
-    while True:
-        above = p.select(F.col("u").alias("m"), F.col("m").alias("further"))
-        jumped = materialise(p.join(above, "m", "left").select("u", F.coalesce("further", "m").alias("m"), F.col("further").isNotNull().alias("moved")), "parents")
-        p = jumped.select("u", "m")
-        if jumped.where("moved").isEmpty():
-            return p
-
-
 def merged(found: DataFrame, links: DataFrame) -> DataFrame:
     """found (u, m) after links (u, v) between its components' least nodes are added."""
     more = components(links)
     over = more.select(F.col("u").alias("m"), F.col("m").alias("over"))
-    return materialise(found.join(over, "m", "left").select("u", F.coalesce("over", "m").alias("m")).unionByName(more), "components")
+    return materialise(found.join(over, "m", "left").select("u", F.coalesce("over", "m").alias("m")).unionByName(more), "components", found.count() + more.count())
 
 
-def _least(e: DataFrame) -> DataFrame:
-    return e.groupBy("u").agg(F.min("v").alias("m"))
+def _with_least(e: DataFrame, rows: int) -> DataFrame:
+    """e (u, v) with m, the least v of each u."""
+    return e.join(materialise(e.groupBy("u").agg(F.min("v").alias("m")), "least", rows), "u")
 
 
 def components(links: DataFrame) -> DataFrame:
     """links (u, v: longs, any order, repeats allowed) -> (u, m): for every node that isn't the least of its component, that
-    least node. Self links and nulls are ignored."""
-    e = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = materialise(e, "links")
+    least node. Self links and nulls are ignored. links should be a stored table; no step makes more rows than it has."""
+    n = links.count()
+    e = materialise(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links", n)
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = large.join(_least(large), "u").select("u", "v", "m")
-        e = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
-        e = materialise(e, "links")
+        large = _with_least(both, 2 * n).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = materialise(large.distinct(), "large", n)
+        small = _with_least(large, n)
+        e = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+        e = materialise(e.distinct(), "links", 2 * n)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select("u", F.col("v").alias("m"))

@@ -8,16 +8,20 @@ if the full shingle sets confirm it.
 Steps, each a Spark job whose rows are documents or (document, key) pairs:
  1. words -> distinct shingles -> number, 128-bit digest of the set, band keys, parity sketch (Arrow map);
  2. documents with equal sets form one class, the least id represents it (aggregate with map-side combine);
- 3. for each representative one link to the least candidate that any of its keys offers; confirmed links -> components;
- 4. keys whose documents still lie in several components: links to each key's least document, confirmed, -> components;
- 5. of the keys that still join several components, the documents outside the key's largest component against those of
+ 3. each representative with the least one under each of its keys, where their sketches allow a link; confirmed links ->
+    components;
+ 4. of the keys that still join several components, the documents outside the key's largest component against those of
     other components, confirmed, -> components. Pairs within a component could not change anything.
 A large group of near copies thus costs a link or a few per member, and not the square of its size.
 
-The sketch turns pairs away in steps 4 and 5 before their sets are fetched, and does so exactly: bit b of it is the parity of
+The sketch turns pairs away before their sets are made, and does so exactly: bit b of it is the parity of
 the number of shingles whose hash falls on b, so two sketches differ in at most as many bits as their sets have shingles that
 the other lacks. A pair whose sketches differ in more bits than a link allows can't be one.
 
+No text is shuffled. To confirm pairs, the documents that occur in them are found again in a scan of docs by a bitmap of
+their hashed ids, of 16 bits an id and at most `MOST_BITS` bits (32 MB) whatever the corpus holds. A bit that several ids
+share lets a set through that no pair asks for; the joins with the pairs drop it, so the bitmap never decides a link.
+
 The only misses are of the banding: a pair at exactly the threshold shares no key with probability below `miss`, more similar
 ones far less.
 
@@ -34,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, gram_hashes, map_rows, materialise, mixed, word_hashes
-from .components import merged, roots
+from .common import LOWER_WORDS, SLICE_ROWS, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, word_hashes
+from .components import components, merged
 
 _SKETCH = 32  # longs of the parity sketch
 _COLS = 4096  # shingles that are permuted at once
@@ -103,18 +107,22 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n long, d1 long, d2 long, keys array<long>, sketch array<long>", arrow)
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, shingles: the full set as sorted 64-bit hashes."""
+def shingle_sets(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
+    """doc_id, shingles: the full sets, as sorted 64-bit hashes, of the documents whose ids' bits are set in the bitmap."""
     arrow = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    shipped = docs.sparkSession.sparkContext.broadcast(wanted)
 
-    def make():
-        def work(batch: pa.RecordBatch) -> dict:
-            sets = [signed(shingle_set(t, words)) for t in batch.column(1).to_pylist()]
-            return {"doc_id": batch.column(0), "shingles": sets}
+    def run(batches):
+        bitmap = shipped.value
+        for batch in batches:
+            rows = np.flatnonzero(in_bitmap(bitmap, batch.column(2).to_numpy()))
+            for i in range(0, len(rows), SLICE_ROWS):
+                take = pa.array(rows[i : i + SLICE_ROWS])
+                sets = [signed(shingle_set(t, words)) for t in batch.column(1).take(take).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(sets, pa.list_(pa.int64()))], schema=arrow)
 
-        return work
-
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, shingles array<long>", arrow)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return named.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def _similar(percent: int, inter, n: str, m: str):
@@ -125,13 +133,15 @@ def _alike_size(percent: int, n: str, m: str):
     return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v, ...) whose full sets reach the threshold."""
-    a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
-    b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    both = pairs.join(a, "u").join(b, "v")
+def _confirmed(pairs: DataFrame, most: int | None, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (u, v, ...), most in number at most if given, whose full sets reach the threshold."""
+    pairs = materialise(pairs, "pairs", most)
+    if pairs.isEmpty():
+        return pairs
+    sets = [shingle_sets(docs, words, hash_bitmap(pairs.select(F.xxhash64(c).alias("h")))).select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "uv"]
+    both = pairs.join(sets[0], "u").join(sets[1], "v")
     both = both.select(*pairs.columns, F.size("su").alias("nu"), F.size("sv").alias("nv"), F.size(F.array_intersect("su", "sv")).alias("c"))
-    return both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns)
+    return materialise(both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns), "links", pairs.count(), rows_a_task=500)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
@@ -141,26 +151,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     sig = materialise(signatures(docs, words, bands, rows), "signatures")
     # 2. classes of equal sets
     named = sig.where("n > 0 and doc_id is not null")
-    reps = materialise(named.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes")
+    n = sig.count()
+    reps = materialise(named.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes", n, rows_a_task=20_000)
     # documents under each key that has several
     keyed = reps.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key", "least")
-    members = materialise(keyed.join(shared, "key").select("key", "id", "n", "least"), "members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    sets = materialise(shingle_sets(whole, words), "sets")
-
-    # 3. one link for each document: the links are a forest
-    first = members.where("id != least").groupBy(F.col("id").alias("u")).agg(F.min("least").alias("v"))
-    comp = roots(_confirmed(first, sets, percent).select("u", F.col("v").alias("m")))
-    # 4. and 5. keys that still join several components
-    for pairs_of in (_stars, _pairs):
-        open_keys = materialise(_open(members, reps, comp), "open")
-        if open_keys.isEmpty():
-            break
-        links = materialise(_confirmed(pairs_of(open_keys, percent), sets, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "links")
+    members = materialise(keyed.join(shared, "key").select("key", "id", "n", "least"), "members", n * bands)
+    most = members.count()
+
+    # 3. with the least document of each key
+    offered = members.where("id != least").select(F.col("id").alias("u"), F.col("least").alias("v")).distinct()
+    for end in "uv":
+        offered = offered.join(reps.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")), end)
+    comp = components(_confirmed(offered.where(_may_link(percent, "_u", "_v")).select("u", "v"), most, docs, words, percent))
+    # 4. keys that still join several components
+    open_keys = materialise(_open(members, reps, comp), "open", most)
+    if not open_keys.isEmpty():
+        links = _confirmed(_pairs(open_keys, percent), None, docs, words, percent)
         if not links.isEmpty():
-            comp = merged(comp, links)
+            comp = merged(comp, materialise(links.select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "links"))
     # classes -> their component, and every document -> that of its class
     of_class = reps.select("n", "d1", "d2", "rep").join(comp.withColumnRenamed("u", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("m", "rep").alias("found"))
     linked = sig.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
@@ -183,26 +192,13 @@ def _may_link(percent: int, a: str, b: str):
     return _alike_size(percent, f"n{a}", f"n{b}") & (apart * (100 + percent) <= (100 - percent) * (F.col(f"n{a}") + F.col(f"n{b}")))
 
 
-def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    cols = ("id", "n", "comp", "sketch")
-    return left.select("key", "main", *[F.col(c).alias(f"{c}_a") for c in cols]), right.select("key", *[F.col(c).alias(f"{c}_b") for c in cols])
-
-
-def _named(joined: DataFrame) -> DataFrame:
-    return joined.select(F.col("id_a").alias("u"), F.col("id_b").alias("v"), F.col("comp_a").alias("cu"), F.col("comp_b").alias("cv")).distinct()
-
-
-def _stars(open_keys: DataFrame, percent: int) -> DataFrame:
-    """Each open document with its key's least document, where their components differ."""
-    a, b = _sides(open_keys.where("id != least"), open_keys.where("id = least"))
-    return _named(a.join(b, (a["key"] == b["key"]) & (F.col("comp_a") != F.col("comp_b")) & _may_link(percent, "_a", "_b")))
-
-
 def _pairs(open_keys: DataFrame, percent: int) -> DataFrame:
     """The documents outside their key's main component with those of other components under the same key."""
-    a, b = _sides(open_keys.where("comp != main"), open_keys)
+    sides = [open_keys.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "comp", "sketch")], *["main"] * (side == "a")) for side in "ab"]
+    a, b = sides[0].where("comp_a != main"), sides[1]
     once = (F.col("comp_b") == F.col("main")) | (F.col("id_a") > F.col("id_b"))
-    return _named(a.join(b, (a["key"] == b["key"]) & (F.col("comp_a") != F.col("comp_b")) & once & _may_link(percent, "_a", "_b")))
+    joined = a.join(b, (a["key"] == b["key"]) & (F.col("comp_a") != F.col("comp_b")) & once & _may_link(percent, "_a", "_b"))
+    return joined.select(F.col("id_a").alias("u"), F.col("id_b").alias("v"), F.col("comp_a").alias("cu"), F.col("comp_b").alias("cv")).distinct()
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

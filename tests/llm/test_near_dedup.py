@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from pulsevault.llm import near_dedup as N
-from pulsevault.llm.components import components, roots
+from pulsevault.llm.components import components
 
 from .helpers import hashed, ODD, documents, edited, text
 
@@ -88,5 +88,5 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (60, 50), (60, 60), (70, 71), (71, 70), (None, 3)]
     got = {r.u: r.m for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 1 for i in range(2, 31)}, 50: 40, 60: 40, 71: 70}
-    chain = spark.createDataFrame([(i, i - 1) for i in range(2, 40)], "u long, m long")
-    assert {r.m for r in roots(chain).collect()} == {1}
+    star = [(9, i) for i in range(10, 300)] + [(i, 9000 + i) for i in range(10, 300)] + [(5, 9299)]  # a hub amid chains
+    assert {r.m for r in components(spark.createDataFrame(star, "u long, v long")).collect()} == {5}
