@@ -33,8 +33,9 @@ def _target(text: Column) -> Column:
     return F.when(found != "", found).otherwise(F.regexp_replace(rest, r" +\(.*$", ""))
 
 
-def log_events(lines: DataFrame) -> DataFrame:
-    """file, line_no, status, target, message of the lines that tell one; the first rule that fits counts."""
+def log_events(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """file, line_no, status, target, message, and the columns in `keep`, of the lines that tell one; the first rule that fits
+    counts."""
     ls = F.trim(F.col("line"))
     low = F.lower(ls)
     saved = low.rlike(r"^(saved|wrote|output):")
@@ -49,7 +50,7 @@ def log_events(lines: DataFrame) -> DataFrame:
     why = F.when(failed & F.contains(body, F.lit("-")), F.trim(F.regexp_replace(body, "^[^-]*-", ""))).when(failed, "failed")
     note = F.when(F.contains(body, F.lit("(")) & body.endswith(")"), F.regexp_extract(body, r"^[^(]*\((.*?)\)+$", 1)).otherwise("skipped")
     message = F.when(saved | chunk | merged, "").when(failed, why).otherwise(note)
-    return lines.select("file", "line_no", status.alias("status"), target.alias("target"), message.alias("message")).where("status is not null")
+    return lines.select("file", "line_no", status.alias("status"), target.alias("target"), message.alias("message"), *(keep or [])).where("status is not null")
 
 
 def resolved_events(events: DataFrame, inputs: DataFrame, out_root: str, in_root: str, naming: str = "dated") -> DataFrame:

@@ -83,7 +83,7 @@ def union_promote(frames: list[DataFrame], promote_ints: bool = False) -> DataFr
     return reduce(DataFrame.unionByName, shaped)
 
 
-def dedupe_keep_last(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+def dedupe_keep_last(rows: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """The last row of each key by order."""
     last = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
     return rows.withColumn("_k", F.row_number().over(last)).where("_k = 1").drop("_k")

@@ -13,28 +13,31 @@ from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.shared import shared_path
 from ..streaming import jobs as S
+from ..operators.catalog import classify_schema
+from .log_queries import _EVENTS, _RETRY, _ROWS, _retry, summary_json, summary_rows
 from .stats_queries import _round, _round_sql, stats_sql
 from .tables import CATALOG_SQL, LEDGER_SQL, LOGS_SQL, catalog, ledger, logs, scalar_samples, scalar_sql, table
 
 
 def _write_sample_text(spark, d):
-    """A sample file per event type: header lines, then `offset value`; that of `view` lacks its t0."""
+    """A sample file per event type: header lines, then `offset value`; that of `view` lacks its t0, that of `error` its name."""
     path = shared_path(spark, "sample-text")
     s = P.samples_from_events(table(spark, d, "events"), "event_type").select("pv", F.lit(1).alias("part"), "seq", F.concat_ws(" ", F.col("offset_ms").cast("long"), "x").alias("line"))
     types = s.select("pv").distinct()
-    heads = [(0, F.concat(F.lit("# PV name TYPE:"), "pv")), (1, F.lit(f"# t0 {T0}")), (2, F.lit("# Nval 1")), (3, F.lit(""))]
-    for i, line in heads:
-        rows = types.where("pv != 'view'") if i == 1 else types
-        s = s.unionByName(rows.select("pv", F.lit(0).alias("part"), F.lit(i).cast("long").alias("seq"), line.alias("line")))
+    heads = [(0, F.concat(F.lit("# PV name TYPE:"), "pv"), "error"), (1, F.lit(f"# t0 {T0}"), "view"), (2, F.lit("# Nval 1"), ""), (3, F.lit(""), "")]
+    for i, line, without in heads:
+        s = s.unionByName(types.where(F.col("pv") != without).select("pv", F.lit(0).alias("part"), F.lit(i).cast("long").alias("seq"), line.alias("line")))
     s.repartition("pv").sortWithinPartitions("pv", "part", "seq").select("line", F.col("pv").alias("kind")).write.partitionBy("kind").text(path)
     return f"{path}/*"
 
 
-def _stream_input(spark, d, n=4):
-    """Weekly-bucket samples as n Parquet files, in order of arrival."""
+def _stream_input(spark, d, n=4, backwards=False):
+    """The samples as n Parquet files, one written after the other in order of arrival, or from the last to the first."""
     path = shared_path(spark, "stream-in")
     s = P.samples_from_events(table(spark, d, "events"))
-    s.repartitionByRange(n, "seq").sortWithinPartitions("seq").write.parquet(path)
+    top = (s.agg(F.max("seq")).first()[0] or 0) + 1
+    for i in sorted(range(n), reverse=backwards):
+        s.where((F.col("seq") >= top * i // n) & (F.col("seq") < top * (i + 1) // n)).coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
     return path
 
 
@@ -57,32 +60,40 @@ def build() -> dict:
         x = F.col("vals")[0]
         return p.select("pv", "t0", "nval", "value_type", "offset_ms", F.when(~F.isnan(x), x).alias("x"))
 
-    out["s01_read_samples"] = s01, f"WITH {scalar_sql(pv='event_type')} SELECT 'TYPE:' || pv AS pv, {T0} AS t0, 1 AS nval, 'numeric' AS value_type, offset_ms, v AS x FROM s WHERE pv <> 'view'"
+    out["s01_read_samples"] = s01, f"WITH {scalar_sql(pv='event_type')} SELECT 'TYPE:' || pv AS pv, {T0} AS t0, 1 AS nval, 'numeric' AS value_type, offset_ms, v AS x FROM s WHERE pv <> 'error'"
     out["s01_read_samples_rejects"] = (
         lambda spark, d: R.read_samples(spark, _write_sample_text(spark, d))[1].select(F.element_at(F.split("src", "/"), -2).alias("folder"), "reason"),
-        "SELECT 'kind=' || event_type AS folder, 'no t0' AS reason FROM events WHERE event_type = 'view' GROUP BY 1",
+        "SELECT 'kind=' || event_type AS folder, 'no PV name' AS reason FROM events WHERE event_type = 'error' GROUP BY 1",
     )
 
     def s02(spark, d):
         path = shared_path(spark, "inputs")
-        c = table(spark, d, "documents").select("source", "lang", F.lit("12345678\n9").alias("value"))
-        c.dropDuplicates(["source", "lang"]).repartition("source", "lang").write.partitionBy("source", "lang").text(path)
-        return R.scan_catalog(spark, path, "*.txt").select(F.regexp_extract("path", "source=([^/]*)/lang=([^/]*)/", 1).alias("source"), F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "size")
+        c = table(spark, d, "documents").select("source", "lang", F.regexp_replace(F.coalesce("text", F.lit("")), "[\\r\\n]", " ").alias("value"))
+        c.repartition("source", "lang").write.option("maxRecordsPerFile", 10).partitionBy("source", "lang").text(path)
+        files = R.scan_catalog(spark, path, "*.txt").select(F.regexp_extract("path", "source=([^/]*)/lang=([^/]*)/", 1).alias("source"), F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "size")
+        return files.groupBy("source", "lang").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
-    out["s02_scan_catalog"] = s02, "SELECT DISTINCT source, lang, CAST(11 AS BIGINT) AS size FROM documents"
+    out["s02_scan_catalog"] = s02, "SELECT source, lang, (count(*) + 9) // 10 AS files, CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS bytes FROM documents GROUP BY 1, 2"
 
     def archive_rows(spark, d):
+        """Samples of which every other one is text; the shape is that of the payload columns that a row fills."""
         s = scalar_samples(spark, d, "day").withColumnRenamed("bucket", "date")
-        return s.select("pv", "date", "seq", F.when(~F.isnan("x"), F.col("x")).alias("x"), F.when(F.col("seq") % 2 == 0, "numeric_scalar").otherwise("text_scalar").alias("shape"))
+        x, even = F.when(~F.isnan("x"), F.col("x")), F.col("seq") % 2 == 0
+        rows = s.select("pv", "date", "seq", x.alias("x"), F.when(even, F.array(x)).alias("values"), F.when(~even, F.array(x.cast("string"))).alias("values_text"))
+        return rows.withColumn("shape", classify_schema(rows)).select("pv", "date", "seq", "x", "shape")
 
     def s03(spark, d):
         path = shared_path(spark, "archive")
         W.write_archive(archive_rows(spark, d), path)
         bad = path + "/date=2024_01_05/shape=numeric_scalar"
         spark.range(1).select(F.lit("no parquet").alias("value")).coalesce(1).write.mode("append").text(bad)
-        return R.read_archive(spark, path).select("pv", "seq", "x")
+        return path
+
+    def s03_damaged(spark, d):
+        return R.unreadable_files(spark, s03(spark, d)).select(F.element_at(F.split("path", "/"), -3).alias("date"), "size")
 
-    out["s03_read_archive"] = s03, f"WITH {scalar_sql('day')} SELECT pv, seq, v AS x FROM s"
+    out["s03_unreadable_files"] = s03_damaged, "SELECT 'date=2024_01_05' AS date, CAST(length('no parquet') + 1 AS BIGINT) AS size FROM events LIMIT 1"
+    out["s03_read_archive"] = lambda spark, d: R.read_archive(spark, s03(spark, d)).select("pv", "seq", "x"), f"WITH {scalar_sql('day')} SELECT pv, seq, v AS x FROM s"
 
     def _write_logs(spark, d):
         path = shared_path(spark, "logs")
@@ -131,6 +142,16 @@ def build() -> dict:
 
     out["k02_append_or_replace"] = k02, f"WITH {scalar_sql('day')} SELECT pv, bucket AS date, seq, CASE WHEN bucket >= '2024_01_15' THEN CAST(seq AS DOUBLE) ELSE v END AS x FROM s"
 
+    def k02b(spark, d):
+        path = shared_path(spark, "promoted")
+        e = table(spark, d, "events").select("event_id", F.col("user_id").alias("v"), "event_type")
+        e.where("event_id % 3 = 0").select("event_id", "v").write.parquet(path)
+        W.append_promoted(e.where("event_id % 3 = 1").select("v", "event_id"), path)  # the same columns
+        W.append_promoted(e.where("event_id % 3 = 2").select("event_id", F.array(F.col("v").cast("double") / 2).alias("v"), "event_type"), path)
+        return spark.read.parquet(path).select("event_id", F.size("v").alias("n"), F.col("v")[0].alias("v"), "event_type")
+
+    out["k02_append_promoted"] = k02b, "SELECT event_id, 1 AS n, CASE WHEN event_id % 3 = 2 THEN user_id / 2.0::DOUBLE ELSE CAST(user_id AS DOUBLE) END AS v, CASE WHEN event_id % 3 = 2 THEN event_type END AS event_type FROM events"
+
     def k03(spark, d):
         path = shared_path(spark, "chunks")
         s = B.chunk_samples(scalar_samples(spark, d), 4).select("pv", "bucket", "chunk", "seq")
@@ -160,12 +181,34 @@ SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chun
     per = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in L.STATUSES)
     out["k05_export_report_json"] = k05, f"WITH {LEDGER_SQL} SELECT strftime(event_ts, '%Y-%m') AS month, CAST(count(DISTINCT CAST(event_ts AS DATE)) AS INTEGER) AS n_days, strftime(min(event_ts), '%Y-%m-%d') AS first, {per} FROM l GROUP BY 1"
 
+    def k05b(spark, d):
+        path, l = shared_path(spark, "report"), ledger(spark, d)  # noqa: E741
+        days = L.day_counts(l).withColumn("month", F.date_format("day", "yyyy-MM")).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+        months = days.groupBy("month").agg(F.array_sort(F.collect_list(F.struct("day", *L.STATUSES))).alias("days"), F.struct(*[F.sum(s).alias(s) for s in L.STATUSES]).alias("totals"))
+        js = summary_json(spark, d)
+        rows = summary_rows(js).withColumn("event_ts", F.concat(F.lit("1995-01-0"), F.substring("file", 23, 9).substr(F.lit(1), F.lit(1))))
+        items, campaigns = _retry(spark, d)
+        run = L.latest_retry_run(items, campaigns)
+        retry = L.retry_progress(items.join(run, "run_id", "left_semi"), campaigns.join(run, "run_id", "left_semi"))
+        W.export_report_json(W.report(L.progress(l, l), months, rows, retry, L.all_time_counts(l)), path)
+        back = spark.read.json(path)
+        return back.select(
+            "progress.total", "progress.converted", "progress.percent", F.size("available_months").alias("n_months"), F.array_join("available_months", ",").alias("available"),
+            F.aggregate("months", F.lit(0).cast("long"), lambda a, m: a + m["totals"]["success"]).alias("success_of_months"), F.array_join("summaries.file", ",").alias("files"), F.col("retry.run_id").alias("run_id"), F.col("retry.planned").alias("planned"), F.col("all_time.success").alias("success"), F.col("all_time.failed").alias("failed"),
+        )
+
+    out["k05_dashboard_report"] = k05b, f"""WITH {LEDGER_SQL}, {_ROWS}, {_RETRY}, f AS (SELECT file FROM rw ORDER BY substring(file, 23, 1) DESC, file DESC LIMIT 5), m AS (SELECT DISTINCT strftime(event_ts, '%Y-%m') AS m FROM l), c AS (SELECT run_id, planned FROM camp ORDER BY started_ts DESC, run_id DESC LIMIT 1)
+SELECT (SELECT count(*) FROM l) AS total, (SELECT count(*) FROM l WHERE status IN ('success', 'skipped')) AS converted, (SELECT CAST(round_even(100.0 * count(*) FILTER (WHERE status IN ('success', 'skipped')) / count(*), 0) AS BIGINT) FROM l) AS percent,
+  (SELECT CAST(count(*) AS INTEGER) FROM m) AS n_months, (SELECT string_agg(m, ',' ORDER BY m) FROM m) AS available, (SELECT count(*) FROM l WHERE status = 'success') AS success_of_months,
+  (SELECT string_agg(file, ',' ORDER BY substring(file, 23, 1) DESC, file DESC) FROM f) AS files, c.run_id, CAST(coalesce(nullif(c.planned, 0), (SELECT count(*) FROM it WHERE it.run_id = c.run_id)) AS BIGINT) AS planned,
+  (SELECT count(*) FROM l WHERE status = 'success') AS success, (SELECT count(*) FROM l WHERE status = 'failed') AS failed FROM c"""
+
     def k06(spark, d):
         path = shared_path(spark, "manifests")
         W.write_manifests(dated(spark, d), path)
-        return spark.read.text(path).groupBy("date").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("value")), ",")).alias("digest"))
+        return spark.read.text(path).groupBy("date").agg(F.count("*").alias("n"), F.min("value").alias("first"), F.max("value").alias("last"), F.sum(F.length("value")).alias("chars"))
 
-    out["k06_write_manifests"] = k06, f"WITH {CATALOG_SQL} SELECT regexp_extract(path, '_([0-9_]*)\\.pb$', 1) AS date, count(*) AS n, md5(string_agg(path, ',' ORDER BY path)) AS digest FROM c GROUP BY 1"
+    out["k06_write_manifests"] = k06, f"WITH {CATALOG_SQL} SELECT regexp_extract(path, '_([0-9_]*)\\.pb$', 1) AS date, count(*) AS n, min(path) AS first, max(path) AS last, CAST(sum(length(path)) AS BIGINT) AS chars FROM c GROUP BY 1"
 
     def k07(spark, d):
         path = shared_path(spark, "oversize")
@@ -175,7 +218,7 @@ SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chun
     out["k07_oversize_report"] = k07, f"WITH {CATALOG_SQL} SELECT path || chr(9) || size || ' bytes' || chr(9) || printf('%.2f MB', size / 1e6) AS value FROM c WHERE size > 100000000"
     out["k08_failure_report"] = (
         lambda spark, d: L.failure_report(logs(spark, d)).select("file", F.size("failures").alias("n"), F.md5(F.array_join("failures", "\n")).alias("digest")),
-        f"WITH {LOGS_SQL} SELECT file, CAST(count(*) AS INTEGER) AS n, md5(string_agg('FAIL: ' || pb || '.pb - broken', chr(10) ORDER BY line_no)) AS digest FROM g WHERE k = 2 GROUP BY 1",
+        f"WITH {LOGS_SQL} SELECT file, CAST(count(*) AS INTEGER) AS n, md5(string_agg(CASE k WHEN 2 THEN 'FAIL: ' || source || ' - broken' ELSE 'FAILED (pb2tsv): ' || source || ' - no space' END, chr(10) ORDER BY line_no)) AS digest FROM g WHERE k IN (2, 18) GROUP BY 1",
     )
 
     def t01(spark, d):
@@ -185,12 +228,16 @@ SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chun
 
     out["t01_stream_samples"] = t01, f"WITH {scalar_sql()} SELECT pv, seq, offset_ms FROM s"
 
+    def tumbled(spark, d, granularity):
+        path = shared_path(spark, "t02")
+        stream = S.tumbling(S.with_time(S.stream_samples(spark, _stream_input(spark, d))), granularity, 9, "10 days")
+        S.one_shot(stream, path + "-cp", S.keep_updates(path), mode="update")
+        return S.latest_updates(spark, path, ["pv", "bucket"])
+
     def tumbling(granularity):
         def run(spark, d):
-            path = shared_path(spark, "t02")
-            stream = S.tumbling(S.with_time(S.stream_samples(spark, _stream_input(spark, d))), granularity, 9, "10 days")
-            S.one_shot(stream, path + "-cp", _keep_all(spark, path), mode="complete")
-            return spark.read.parquet(path).select("pv", "bucket", "length", "min", "max", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+            found = S.months_of(tumbled(spark, d, "day")) if granularity == "month" else tumbled(spark, d, granularity)
+            return found.select("pv", "bucket", "length", "min", "max", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
         return run
 
@@ -200,33 +247,39 @@ SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chun
     algebraic = 'count(*) AS length, min(v) AS "min", max(v) AS "max", round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std'
     out["t02_tumbling_day"] = tumbling("day"), f"WITH {scalar_sql('day')} SELECT pv, bucket, {algebraic} FROM s GROUP BY 1, 2"
     out["t02_tumbling_week"] = tumbling("week"), f"WITH {scalar_sql('day')}, q AS (SELECT *, strftime(date_trunc('week', strptime(bucket, '%Y_%m_%d')), '%Y_%m_%d') AS w FROM s) SELECT pv, w AS bucket, {algebraic} FROM q GROUP BY 1, 2"
+    out["t02_tumbling_month"] = tumbling("month"), f"WITH {scalar_sql('month')} SELECT pv, bucket, {algebraic} FROM s GROUP BY 1, 2"
 
-    def t03(spark, d):
+    def segments(spark, d, backwards):
         path = shared_path(spark, "t03")
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        s = S.stream_samples(spark, _stream_input(spark, d)).withColumn("bucket", bucket_key((F.col("t0") + F.floor("offset_ms")).cast("long"), "day", 9))
-        S.one_shot(S.strict_segments(s), path + "-cp", path=path)
-        return spark.read.schema("pv string, bucket string, seq long, run int").parquet(path)
-
-    out["t03_strict_segments"] = t03, f"""WITH {scalar_sql('day')}, r AS (SELECT *, CASE WHEN bucket IS DISTINCT FROM lag(bucket) OVER (PARTITION BY pv ORDER BY seq) THEN 1 ELSE 0 END AS c FROM s)
-SELECT pv, bucket, seq, CAST(sum(c) OVER (PARTITION BY pv ORDER BY seq) AS INTEGER) AS run FROM r"""
+        store, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        before = spark.conf.get(store)
+        spark.conf.set(store, rocks)
+        try:
+            s = S.stream_samples(spark, _stream_input(spark, d, backwards=backwards), files_per_tick=1).withColumn("bucket", bucket_key((F.col("t0") + F.floor("offset_ms")).cast("long"), "day", 9))
+            S.one_shot(S.strict_segments(s), path + "-cp", path=path)
+        finally:
+            spark.conf.set(store, before)
+        return spark.read.schema("pv string, bucket string, seq long, run int, late boolean").parquet(path)
+
+    runs = """r AS (SELECT *, CASE WHEN bucket IS DISTINCT FROM lag(bucket) OVER (PARTITION BY pv ORDER BY seq) THEN 1 ELSE 0 END AS c FROM {0}), q AS (SELECT pv, bucket, seq, CAST(sum(c) OVER (PARTITION BY pv ORDER BY seq) AS INTEGER) AS run FROM r)"""
+    out["t03_strict_segments"] = lambda spark, d: segments(spark, d, False), f"WITH {scalar_sql('day')}, {runs.format('s')} SELECT *, FALSE AS late FROM q"
+    # files that come last to first: a sample is late if its PV has one in a file that came before
+    out["t03_late_samples"] = lambda spark, d: segments(spark, d, True), f"""WITH {scalar_sql('day')}, p AS (SELECT s.*, max(i) AS part FROM s JOIN range(4) t(i) ON (SELECT max(event_id) + 1 FROM events) * i // 4 <= seq GROUP BY ALL),
+w AS (SELECT *, max(part) OVER (PARTITION BY pv) > part AS late FROM p), o AS (SELECT * FROM w WHERE NOT late), {runs.format('o')} SELECT *, FALSE AS late FROM q UNION ALL SELECT pv, bucket, seq, 0, TRUE FROM w WHERE late"""
 
     def t04(spark, d):
         src, path = _stream_input(spark, d), shared_path(spark, "t04")
-        stream = B.bucketize(S.stream_samples(spark, src), "week", 9)
-        whole = lambda: B.bucketize(spark.read.schema(S.SAMPLE).parquet(src), "week", 9)
-        S.one_shot(stream, path + "-cp", S.touched_stats(whole, lambda df: W.replace_days(df.withColumnRenamed("bucket", "date"), path)))
+        stream = B.bucketize(S.stream_samples(spark, src, files_per_tick=1), "week", 9)
+        S.one_shot(stream, path + "-cp", S.touched_stats(spark, path + "-samples", lambda df: W.replace_days(df.withColumnRenamed("bucket", "date"), path)))
         return spark.read.parquet(path).select("pv", F.col("date").alias("bucket"), *map(_round, ("length", "mean", "rate_of_change", "mad", "peaks", "median_interval")))
 
     cols = ", ".join(map(_round_sql, ("length", "mean", "rate_of_change", "mad", "peaks", "median_interval")))
     out["t04_incremental_stats"] = t04, f"{stats_sql(scalar_sql(), 'pv, bucket', True)} SELECT pv, bucket, {cols} FROM st"
 
     def t05(spark, d):
-        path = shared_path(spark, "t05")
-        S.one_shot(S.stream_samples(spark, _stream_input(spark, d), files_per_tick=2).select("pv", "seq", "offset_ms"), path + "-cp", S.upsert_batches(spark, path, "pv", ["seq"]))
-        return spark.read.parquet(f"{path}/1")
+        return upserted(spark, _stream_input(spark, d, backwards=True), 2)
 
-    out["t05_upsert_day"] = t05, f"WITH {scalar_sql()} SELECT pv, seq, offset_ms FROM s QUALIFY row_number() OVER (PARTITION BY pv ORDER BY seq DESC) = 1"
+    out["t05_upsert_day"] = t05, f"WITH {scalar_sql('day')} SELECT pv, bucket AS date, seq, offset_ms FROM s QUALIFY row_number() OVER (PARTITION BY pv, bucket ORDER BY seq DESC) = 1"
 
     def t06(spark, d):
         src, path = _stream_input(spark, d), shared_path(spark, "t06")
@@ -240,11 +293,17 @@ SELECT pv, bucket, seq, CAST(sum(c) OVER (PARTITION BY pv ORDER BY seq) AS INTEG
         src, path = shared_path(spark, "t07-in"), shared_path(spark, "t07")
         rows = logs(spark, d).select(F.col("unique_file").alias("file"), "line_no", "line", F.col("ts").cast("timestamp").alias("event_ts"))
         rows.repartitionByRange(4, "line_no").write.parquet(src)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
-        S.one_shot(stream, path + "-cp", S.live_ledger(spark, path))
-        return spark.read.parquet(f"{path}/1").select("path", "status", "message")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        S.one_shot(stream, path + "-cp", S.live_ledger(path))
+        return S.ledger_now(spark, path).select("path", "status", "message")
 
-    out["t07_live_ledger"] = t07, f"""WITH {LOGS_SQL} SELECT pb || CASE WHEN k IN (2, 3) THEN '.pb' ELSE '.parquet' END AS path, CASE k WHEN 0 THEN 'success' WHEN 1 THEN 'chunked' WHEN 2 THEN 'failed' WHEN 3 THEN 'skipped' ELSE 'success' END AS status,
-  CASE k WHEN 2 THEN (event_id % 500) || '.pb - broken' WHEN 3 THEN 'empty' ELSE '' END AS message
-FROM g WHERE k < 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY ts DESC, line_no DESC) = 1"""
+    out["t07_live_ledger"] = t07, f"""WITH {_EVENTS} SELECT v.target AS path, status, message FROM v JOIN g ON g.event_id = v.line_no QUALIFY row_number() OVER (PARTITION BY v.target ORDER BY ts DESC, v.line_no DESC) = 1"""
     return out
+
+
+def upserted(spark, src, files_per_tick):
+    """The last sample of each PV and day, as a stream over the files of src leaves it."""
+    path = shared_path(spark, "t05")
+    stream = B.bucketize(S.stream_samples(spark, src, files_per_tick=files_per_tick), "day", 9).select("pv", "seq", "offset_ms", F.col("bucket").alias("date"))
+    S.one_shot(stream, path + "-cp", S.upsert_batches(spark, path, "pv", ["seq"], "date"))
+    return spark.read.schema("pv string, seq long, offset_ms double, date string").parquet(path)

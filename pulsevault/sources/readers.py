@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from ..functions.text import base_name
 from ..operators.logs import file_kind
+from .shared import stored
 
 
 def read_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(lines, rejects) of decoded sample files. lines: src, pv, t0, nval, seq, line, in order of arrival by (block, seq).
-    A file's header is its `# key value` lines; files without PV name or t0 go to rejects (src, reason)."""
+    """(lines, rejects) of decoded sample files. lines: src, pv, t0, nval, block, seq, line; the order of arrival in a file is
+    that of (block, seq), however its file is split. A file's header is its `# key value` lines; t0 and Nval that it lacks are
+    those of the first file in the set that has them. Files without PV name, or without t0 anywhere, go to rejects (src,
+    reason)."""
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("src"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
     rows = raw.where(F.trim("value") != "")
     head = lambda key: F.max(F.when(F.col("value").startswith(f"# {key} "), F.trim(F.substring("value", len(key) + 3, 10**6))))
     headers = rows.where(F.startswith("value", F.lit("#"))).groupBy("src").agg(head("PV name").alias("pv"), head("t0").try_cast("long").alias("t0"), head("Nval").try_cast("int").alias("nval"))
-    files = rows.select("src").distinct().join(headers, "src", "left")
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("src", c)))[c].alias(f"first_{c}")
+    of_set = F.broadcast(headers.agg(first("t0"), first("nval")))  # one row
+    files = rows.select("src").distinct().join(headers, "src", "left").join(of_set).select("src", "pv", F.coalesce("t0", "first_t0").alias("t0"), F.coalesce("nval", "first_nval").alias("nval"))
+    files = stored(files, "headers")
     rejects = files.where("pv is null or t0 is null").select("src", F.when(F.col("pv").isNull(), "no PV name").otherwise("no t0").alias("reason"))
     good = files.where("pv is not null and t0 is not null")
     lines = rows.where(~F.startswith("value", F.lit("#"))).join(good, "src").select("src", "pv", "t0", "nval", "block", "seq", F.col("value").alias("line"))
@@ -34,6 +40,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
 
 
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, size of the Parquet files below path of which read_archive() gets no row: damaged, or empty."""
+    read = read_archive(spark, path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return scan_catalog(spark, path, "*.{parquet,txt}").select("path", "size").join(read, "path", "left_anti")
+
+
 def read_job_logs(spark: SparkSession, root: str) -> DataFrame:
     """submission (the folder), file, kind, line_no, line."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{log,txt}").text(root)

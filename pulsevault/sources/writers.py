@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.merge import union_promote
+from .shared import stored
+
 
 def write_archive(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Snappy Parquet without dictionaries, a folder per date and shape."""
@@ -16,6 +19,17 @@ def replace_days(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def append_promoted(df: DataFrame, path: str) -> None:
+    """Appends df to the Parquet table at path. If their schemas differ, old and new rows take the promoted types of each
+    column and the table is written anew, by way of a copy in the shared folder."""
+    spark = df.sparkSession
+    old = spark.read.parquet(path)
+    if {f.name: f.dataType for f in old.schema} == {f.name: f.dataType for f in df.schema}:
+        df.select(*old.columns).write.mode("append").parquet(path)
+    else:
+        stored(union_promote([old, df]), "promoted").write.mode("overwrite").parquet(path)
+
+
 def write_chunks(df: DataFrame, path: str, existing: DataFrame | None = None) -> None:
     """Chunks (pv, bucket, chunk, ...), numbered on from the highest that existing (pv, bucket, chunk) has."""
     if existing is not None:
@@ -34,8 +48,20 @@ def export_wide(df: DataFrame, path: str, nval: int, vals: str = "vals", name: s
     wide_columns(df, nval, vals, name).write.option("sep", "\t").option("header", "true").csv(path)
 
 
-def export_report_json(report: DataFrame, path: str) -> None:
-    report.write.json(path)
+def report(progress: DataFrame, months: DataFrame, summaries: DataFrame, retry: DataFrame, all_time: DataFrame, recent: int = 5) -> DataFrame:
+    """One row: progress, available_months, months (an array of month, days, totals), summaries (the `recent` latest by
+    event_ts), retry (of one run, null without) and all_time. Nothing in it grows with the number of inputs; months do with the
+    calendar only."""
+    row = lambda df, name: df.select(F.struct(*df.columns).alias(name))
+    listed = months.agg(F.array_sort(F.collect_list(F.struct("month", *[c for c in months.columns if c != "month"]))).alias("months"))
+    latest = summaries.orderBy(F.col("event_ts").desc(), F.col("file").desc()).limit(recent)
+    latest = latest.agg(F.reverse(F.array_sort(F.collect_list(F.struct("event_ts", "file", *[c for c in summaries.columns if c not in ("event_ts", "file")])))).alias("summaries"))
+    one = row(progress, "progress").join(listed.withColumn("available_months", F.col("months.month"))).join(latest).join(row(all_time, "all_time"))  # one row each
+    return one.join(row(retry, "retry"), F.lit(True), "left").select("progress", "available_months", "months", "summaries", "retry", "all_time")
+
+
+def export_report_json(rows: DataFrame, path: str) -> None:
+    rows.write.json(path)
 
 
 def write_manifests(files: DataFrame, path: str) -> None:

@@ -13,6 +13,7 @@ from ..operators.ledger import upsert_status
 from ..operators.logs import log_events
 from ..operators.merge import dedupe_keep_last
 from ..operators.stats import scalar_stats
+from ..sources.shared import stored
 
 SAMPLE = "pv string, seq long, t0 long, offset_ms double, x double"
 
@@ -27,14 +28,38 @@ def with_time(samples: DataFrame) -> DataFrame:
 
 
 def tumbling(samples: DataFrame, granularity: str = "day", tz_hours: int = 0, late: str = "1 day") -> DataFrame:
-    """Algebraic statistics of each (pv, window): length, min, max, mean, std. Samples later than `late` are left out."""
+    """Algebraic statistics of each (pv, window): bucket, length, valid (values that are no NaN), min, max, mean, std. Samples
+    later than `late` are left out and the state of windows that far back is freed. Months are no windows of Spark: run days
+    and add them up with months_of()."""
     starts = {"day": ("1 day", -tz_hours), "week": ("7 days", 4 * 24 - tz_hours)}
     size, shift = starts[granularity]
     w = F.window("ts", size, size, f"{shift % (24 if granularity == 'day' else 168)} hours")
     v = F.when(~F.isnan("x"), F.col("x"))
-    out = samples.withWatermark("ts", late).groupBy("pv", w.alias("w")).agg(F.count("*").alias("length"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    out = samples.withWatermark("ts", late).groupBy("pv", w.alias("w")).agg(F.count("*").alias("length"), F.count(v).alias("valid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
     local = F.date_from_unix_date(F.floor((F.unix_seconds("w.start") + tz_hours * 3600) / 86400).cast("int"))
-    return out.select("pv", F.date_format(local, "yyyy_MM_dd").alias("bucket"), "length", "min", "max", "mean", "std")
+    return out.select("pv", F.date_format(local, "yyyy_MM_dd").alias("bucket"), "length", "valid", "min", "max", "mean", "std")
+
+
+def months_of(days: DataFrame) -> DataFrame:
+    """The same columns by month, from those of days."""
+    whole = days.groupBy("pv", F.substring("bucket", 1, 7).alias("bucket")).agg(
+        F.sum("length").alias("length"), F.sum("valid").alias("valid"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.try_divide(F.sum(F.col("mean") * F.col("valid")), F.sum("valid")).alias("mean"), F.try_divide(F.sum((F.col("std") * F.col("std") + F.col("mean") * F.col("mean")) * F.col("valid")), F.sum("valid")).alias("square"),
+    )
+    return whole.withColumn("std", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))).drop("square")
+
+
+def keep_updates(folder: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function of an update-mode aggregate: each batch's changed rows in folder/batch=n; a batch that is run
+    again writes the same folder again."""
+    return lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+
+def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """The last row of each key that keep_updates() wrote."""
+    rows = spark.read.parquet(folder)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
 def one_shot(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None] | None = None, path: str | None = None, mode: str = "append") -> None:
@@ -45,61 +70,83 @@ def one_shot(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
 
 
 class SegmentRuns(StatefulProcessor):
-    """Strict order: a new segment of a PV whenever its bucket changes in order of arrival. State: last bucket, run number."""
+    """Strict order: a new segment of a PV whenever its bucket changes in order of arrival. State: last bucket, run number and
+    seq. A sample that comes in a later batch than one with a higher seq is late: it gets no run and doesn't change the state."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "bucket string, run int")
+        self.last = handle.getValueState("last", "bucket string, run int, seq long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows)).sort_values("seq")
-        bucket, run = self.last.get() if self.last.exists() else (None, 0)
-        runs = []
-        for b in found["bucket"]:
-            run += b != bucket
-            bucket = b
-            runs.append(run)
-        self.last.update((bucket, int(run)))
-        yield pd.DataFrame({"pv": key[0], "bucket": found["bucket"], "seq": found["seq"], "run": runs})
+        found = pd.concat([r[["bucket", "seq"]] for r in rows]).sort_values("seq", kind="stable")
+        bucket, run, seq = self.last.get() if self.last.exists() else (None, 0, None)
+        late = found["seq"] <= seq if seq is not None else found["seq"] != found["seq"]
+        on_time = found[~late]
+        if len(on_time):
+            change = on_time["bucket"] != on_time["bucket"].shift(fill_value=bucket)
+            runs = run + change.cumsum()
+            self.last.update((on_time["bucket"].iloc[-1], int(runs.iloc[-1]), int(on_time["seq"].iloc[-1])))
+            yield pd.DataFrame({"pv": key[0], "bucket": on_time["bucket"], "seq": on_time["seq"], "run": runs.astype("int32"), "late": False})
+        if late.any():
+            yield pd.DataFrame({"pv": key[0], "bucket": found[late]["bucket"], "seq": found[late]["seq"], "run": pd.array([0] * int(late.sum()), dtype="int32"), "late": True})
 
     def close(self) -> None:
         pass
 
 
 def strict_segments(bucketed: DataFrame) -> DataFrame:
-    """pv, bucket, seq, run of a stream of (pv, bucket, seq), keyed by pv."""
-    return bucketed.select("pv", "bucket", "seq").groupBy("pv").transformWithStateInPandas(SegmentRuns(), "pv string, bucket string, seq long, run int", "Append", "None")
+    """pv, bucket, seq, run, late of a stream of (pv, bucket, seq), keyed by pv. Late samples have run 0; where("late") is the
+    side output. Needs a state store that transformWithState knows (RocksDB)."""
+    return bucketed.select("pv", "bucket", "seq").groupBy("pv").transformWithStateInPandas(SegmentRuns(), "pv string, bucket string, seq long, run int, late boolean", "Append", "None")
 
 
-def touched_stats(table: Callable[[], DataFrame], write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: recomputes all statistics of the (pv, bucket) that a batch has samples of, from table(),
-    which holds the samples of this batch too."""
+def touched_stats(spark: SparkSession, samples: str, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: keeps the samples of each batch under the folder `samples`, by batch and bucket, and recomputes all
+    statistics of the (pv, bucket) that the batch has samples of. Only the folders of its buckets are read, and write() gets
+    all PVs of a touched bucket, so that it can overwrite whole buckets."""
 
-    def each(batch: DataFrame, _: int) -> None:
-        keys = batch.select("pv", "bucket").distinct()
-        write(scalar_stats(table().join(keys, ["pv", "bucket"], "left_semi")))
+    def each(batch: DataFrame, n: int) -> None:
+        batch.withColumn("batch", F.lit(n)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(samples)
+        table = spark.read.parquet(samples)
+        buckets = [r[0] for r in table.where(F.col("batch") == n).select("bucket").distinct().collect()]  # of a calendar
+        if buckets:
+            write(scalar_stats(table.where(F.col("batch") <= n).where(F.col("bucket").isin(buckets))))
 
     return each
 
 
-def upsert_batches(spark: SparkSession, folder: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: the state after batch n is a table in folder/n, made of the one before and the batch, the last
-    row of each key by order; a batch that is run again writes the same table again."""
+def upsert_batches(spark: SparkSession, folder: str, key: str, order: list[str], part: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the table at folder, partitioned by the column `part`, holds the last row by order of each key in
+    each partition, new rows before old ones where that ties. Only the partitions that a batch has rows of are read and
+    overwritten; as the order decides, neither the order of batches nor a batch that is run again changes the result."""
+    begun = []
 
     def each(batch: DataFrame, n: int) -> None:
-        new = batch.withColumn("_src", F.lit(1))
-        if n:
-            new = new.unionByName(spark.read.parquet(f"{folder}/{n - 1}").withColumn("_src", F.lit(0)))
-        dedupe_keep_last(new, key, ["_src", *order]).drop("_src").write.mode("overwrite").parquet(f"{folder}/{n}")
+        new = stored(batch.withColumn("_src", F.lit(1)), "batch")
+        parts = [r[0] for r in new.select(part).distinct().collect()]  # of a calendar
+        if not parts:
+            return
+        if n or begun:
+            old = spark.read.schema(batch.schema).parquet(folder).where(F.col(part).isin(parts)).withColumn("_src", F.lit(0))
+            new = new.unionByName(old)
+        last = stored(dedupe_keep_last(new, [part, key], [*order, "_src"]).drop("_src"), "upsert")
+        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(folder)
+        begun.append(n)
 
     return each
 
 
-def live_ledger(spark: SparkSession, folder: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: log lines (file, line_no, line, event_ts) -> the ledger after batch n in folder/n."""
+def live_ledger(folder: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the last status of each target among the log lines (file, line_no, line, event_ts) of a batch, in
+    folder/batch=n. A batch costs its own lines only; ledger_now() puts the batches together."""
 
     def each(batch: DataFrame, n: int) -> None:
-        events = log_events(batch).join(batch.select("file", "line_no", "event_ts"), ["file", "line_no"]).select(F.col("target").alias("path"), "event_ts", "status", "message")
-        before = spark.read.parquet(f"{folder}/{n - 1}") if n else events.limit(0)
-        upsert_status(before, events).write.mode("overwrite").parquet(f"{folder}/{n}")
+        events = log_events(batch, ["event_ts"]).select(F.col("target").alias("path"), "event_ts", "status", "message")
+        upsert_status(events.limit(0), events).write.mode("overwrite").parquet(f"{folder}/batch={n}")
 
     return each
+
+
+def ledger_now(spark: SparkSession, folder: str) -> DataFrame:
+    """path, event_ts, status, message: the ledger that live_ledger() keeps."""
+    rows = spark.read.parquet(folder)
+    return upsert_status(rows.limit(0), rows)
