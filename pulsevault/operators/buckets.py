@@ -14,13 +14,23 @@ def bucketize(samples: DataFrame, granularity: str = "day", tz_hours: float = 0)
     return samples.withColumn("bucket", bucket_key(absolute_ms(F.col("t0"), F.col("offset_ms")), granularity, tz_hours))
 
 
-def segment_runs(bucketed: DataFrame) -> DataFrame:
-    """Adds segment, from 1 within (pv, bucket): a new one whenever the bucket changes in order of arrival."""
-    arrival = Window.partitionBy("pv").orderBy("seq")
-    change = F.coalesce((F.col("bucket") != F.lag("bucket").over(arrival)).cast("int"), F.lit(1))
-    runs = bucketed.withColumn("_run", change)
-    runs = runs.withColumn("_run", F.sum("_run").over(arrival.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.withColumn("segment", F.dense_rank().over(Window.partitionBy("pv", "bucket").orderBy("_run"))).drop("_run")
+def segment_runs(bucketed: DataFrame, block: int = 1_000_000) -> DataFrame:
+    """Adds segment, from 1 within (pv, bucket): a new one whenever the bucket changes in order of arrival. Changes are found
+    within blocks of seq and the blocks' edges are stitched, so that a signal with very many samples is many groups; what a
+    signal's window runs over is a row per block or per run."""
+    inside = Window.partitionBy("pv", "_block").orderBy("seq")
+    rows = bucketed.withColumn("_block", F.floor(F.col("seq") / block))
+    rows = rows.withColumn("_in", F.coalesce((F.col("bucket") != F.lag("bucket").over(inside)).cast("long"), F.lit(0)))
+    rows = rows.withColumn("_in", F.sum("_in").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = rows.groupBy("pv", "_block").agg(F.min_by("bucket", "seq").alias("first"), F.max_by("bucket", "seq").alias("last"), F.max("_in").alias("n"))
+    blocks = Window.partitionBy("pv").orderBy("_block")
+    edges = edges.withColumn("_new", F.coalesce((F.col("first") != F.lag("last").over(blocks)).cast("long"), F.lit(1)))
+    before = F.sum(F.col("n") + F.col("_new")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
+    edges = edges.select("pv", "_block", (F.coalesce(before, F.lit(0)) + F.col("_new")).alias("_base"))
+    placed = rows.join(edges, ["pv", "_block"]).withColumn("_run", F.col("_base") + F.col("_in")).drop("_block", "_in", "_base")
+    runs = placed.select("pv", "bucket", "_run").distinct()
+    runs = runs.withColumn("segment", F.row_number().over(Window.partitionBy("pv", "bucket").orderBy("_run")))
+    return placed.join(runs, ["pv", "bucket", "_run"]).select(*bucketed.columns, "segment")
 
 
 def chunk_samples(bucketed: DataFrame, rows_per_chunk: int) -> DataFrame:

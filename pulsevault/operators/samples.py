@@ -27,11 +27,29 @@ def infer_value_type(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("pv").agg(F.when(numeric, "numeric").otherwise("text").alias("value_type"))
 
 
+def signal_shapes(parsed: DataFrame) -> DataFrame:
+    """pv, value_type as infer_value_type() has it, and nval: the header's if positive, else the widest row of that type, at
+    least 1. One aggregate."""
+    numeric = F.bool_and(_is_numeric(F.col("nval")) & (F.size("nums") == F.size("toks")))
+    seen = parsed.groupBy("pv").agg(numeric.alias("numeric"), F.max("nval").alias("h"), F.max(F.size("nums")).alias("wn"), F.max(F.size("toks")).alias("wt"))
+    width = F.greatest(F.lit(1), F.when(F.col("numeric"), F.col("wn")).otherwise(F.col("wt")))
+    return seen.select("pv", F.when(F.col("numeric"), "numeric").otherwise("text").alias("value_type"), F.when(F.col("h") > 0, F.col("h")).otherwise(width).cast("int").alias("nval"))
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    numeric = F.col("value_type") == "numeric"
+    return rows.withColumns({"vals": F.when(numeric, F.col("nums")), "txts": F.when(~numeric, F.col("toks"))}).drop("nums", "toks")
+
+
 def demote_to_text(parsed: DataFrame) -> DataFrame:
     """Rows with value_type, vals (numbers of numeric PVs) and txts (tokens of text PVs, numbers as they were written)."""
-    typed = parsed.join(infer_value_type(parsed), "pv")
-    numeric = F.col("value_type") == "numeric"
-    return typed.withColumns({"vals": F.when(numeric, F.col("nums")), "txts": F.when(~numeric, F.col("toks"))}).drop("nums", "toks")
+    return _typed(parsed.join(infer_value_type(parsed), "pv"))
+
+
+def shaped(parsed: DataFrame) -> DataFrame:
+    """demote_to_text() and fit_width() in one: rows of parsed lines typed and as wide as their PV, by one aggregate and one
+    join."""
+    return _fitted(_typed(parsed.drop("nval").join(signal_shapes(parsed), "pv")))
 
 
 def resolve_nval(samples: DataFrame) -> DataFrame:
@@ -50,10 +68,13 @@ def fit_tokens(txts: Column, nval: Column) -> Column:
     return F.concat(F.slice(txts, 1, F.least(F.size(txts), nval)), F.array_repeat(F.lit(""), F.greatest(nval - F.size(txts), F.lit(0))))
 
 
+def _fitted(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"vals": fit_numbers(F.col("vals"), F.col("nval")), "txts": fit_tokens(F.col("txts"), F.col("nval"))})
+
+
 def fit_width(samples: DataFrame) -> DataFrame:
     """Every row as wide as its PV's nval."""
-    out = samples.drop("nval").join(resolve_nval(samples), "pv")
-    return out.withColumns({"vals": fit_numbers(F.col("vals"), F.col("nval")), "txts": fit_tokens(F.col("txts"), F.col("nval"))})
+    return _fitted(samples.drop("nval").join(resolve_nval(samples), "pv"))
 
 
 def explode_components(samples: DataFrame) -> DataFrame:

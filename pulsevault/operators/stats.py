@@ -1,7 +1,8 @@
 """The statistics of a signal per bucket.
 
-Order-dependent and order-free statistics share one partitioning, (pv, bucket), and one sort by arrival, so a batch costs
-one exchange. NaN becomes null before it is aggregated. Scalar signals drop NaN before they are differenced, vector signals
+Order-dependent and order-free statistics share one partitioning, (pv, bucket), so a batch costs one exchange. Within it rows
+are sorted by arrival, and for the exact medians by value, deviation and interval: sorts spill, where a median of all values
+in memory would not. NaN becomes null before it is aggregated. Scalar signals drop NaN before they are differenced, vector signals
 difference raw neighbours; vectors also leave infinities out of the order-free statistics."""
 
 from __future__ import annotations
@@ -27,12 +28,31 @@ def _value_stats(x: Column, moments: Column, guard: Column) -> list[Column]:
     ]
 
 
+def _middle(c: str, keys: list[str]) -> Column:
+    """Whether a row has the middle value, or one of the two middle ones, of the values of c in its group."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(c).asc_nulls_last()))
+    n = F.count(c).over(Window.partitionBy(*keys))
+    return (place == F.floor((n + 1) / 2)) | (place == F.floor(n / 2) + 1) & (n > 0)
+
+
+def _with_medians(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Adds _dev, the deviations of `value` from its median, and _mid_dev and _mid_dt, which mark the middle rows of _dev and
+    _dt: an average over them is the median."""
+    rows = rows.withColumn("_mid", _middle(value, keys))
+    rows = rows.withColumn("_dev", F.abs(F.col(value) - F.avg(F.when(F.col("_mid"), F.col(value))).over(Window.partitionBy(*keys))))
+    return rows.withColumn("_mid_dev", _middle("_dev", keys)).withColumn("_mid_dt", _middle("_dt", keys))
+
+
+def _median(c: str, mark: str) -> Column:
+    return F.avg(F.when(F.col(mark), F.col(c)))
+
+
 def _time_stats() -> list[Column]:
     """Seconds from _dt and offset_ms, which are in ms: whole numbers of ms add up exactly."""
     many, mean = F.count("*") > 1, F.avg("_dt") / 1000.0
     span = F.when(many, (F.max_by("offset_ms", "seq") - F.min_by("offset_ms", "seq")) / 1000.0).otherwise(0.0)
     return [
-        F.when(mean > 0, 1 / mean).alias("sampling_frequency"), mean.alias("avg_interval"), (F.median("_dt") / 1000.0).alias("median_interval"), (F.stddev_pop("_dt") / 1000.0).alias("jitter"),
+        F.when(mean > 0, 1 / mean).alias("sampling_frequency"), mean.alias("avg_interval"), (_median("_dt", "_mid_dt") / 1000.0).alias("median_interval"), (F.stddev_pop("_dt") / 1000.0).alias("jitter"),
         (F.var_pop("_dt") / 1e6).alias("interval_variance"), (F.max("_dt") / 1000.0).alias("max_interval"), span.alias("duration"), F.lit(0.0).alias("start_time"), span.alias("end_time"),
     ]
 
@@ -41,28 +61,27 @@ def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None) -> Da
     """A row per (pv, bucket) of samples (pv, bucket, seq, offset_ms, x): length, nan_count, VALUE_STATS, TIME_STATS."""
     keys = ["pv", "bucket", *(extra_keys or [])]
     order = Window.partitionBy(*keys).orderBy("seq")
-    group = Window.partitionBy(*keys)
     over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
     rows = bucketed.withColumn("_v", _no_nan(F.col("x")))
     rows = rows.withColumns({
         "_dt": F.col("offset_ms") - F.lag("offset_ms").over(order),
         "_before": F.expr(f"lag(_v, 1) IGNORE NULLS {over}"),
         "_after": F.expr(f"lead(_v, 1) IGNORE NULLS {over}"),
-        "_mid": F.median("_v").over(group),
     })
+    rows = _with_medians(rows, "_v", keys)
     d = F.col("_v") - F.col("_before")
     peak = (F.col("_v") > F.col("_before")) & (F.col("_v") > F.col("_after"))
     few = F.count("_v") >= 3
     return rows.groupBy(*keys).agg(
         F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), *_value_stats(F.col("_v"), F.col("_v"), few),
-        F.median(F.abs(F.col("_v") - F.col("_mid"))).alias("mad"), F.avg(d).alias("rate_of_change"), F.var_pop(d).alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
+        _median("_dev", "_mid_dev").alias("mad"), F.avg(d).alias("rate_of_change"), F.var_pop(d).alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
     )
 
 
 def vector_stats(components: DataFrame) -> DataFrame:
     """A row per (pv, bucket, comp) of component rows (pv, bucket, seq, offset_ms, comp, x)."""
     keys = ["pv", "bucket", "comp"]
-    order, group = Window.partitionBy(*keys).orderBy("seq"), Window.partitionBy(*keys)
+    order = Window.partitionBy(*keys).orderBy("seq")
     over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
     v = _no_nan(F.col("x"))
     finite = F.when(F.abs(v) < float("inf"), v)
@@ -72,12 +91,12 @@ def vector_stats(components: DataFrame) -> DataFrame:
         "_dt": F.col("offset_ms") - F.lag("offset_ms").over(order),
         "_before": F.expr(f"lag(_v, 1) IGNORE NULLS {over}"),
         "_after": F.expr(f"lead(_v, 1) IGNORE NULLS {over}"),
-        "_mid": F.median("_f").over(group),
     })
+    rows = _with_medians(rows, "_f", keys)
     peak = (F.col("_v") > F.col("_before")) & (F.col("_v") > F.col("_after"))
     return rows.groupBy(*keys).agg(
         F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), *_value_stats(F.col("_f"), F.col("_v"), F.lit(True)),
-        F.median(F.abs(F.col("_f") - F.col("_mid"))).alias("mad"), F.avg("_d").alias("rate_of_change"), F.var_pop("_d").alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
+        _median("_dev", "_mid_dev").alias("mad"), F.avg("_d").alias("rate_of_change"), F.var_pop("_d").alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
     )
 
 

@@ -59,7 +59,7 @@ def build() -> dict:
     out["p05_resolve_nval"] = (lambda spark, d: P.resolve_nval(P.demote_to_text(P.parse_lines(_lines(spark, d)))), f"WITH {nv} SELECT pv, nval FROM nv")
 
     def p06(spark, d):
-        s = P.fit_width(P.demote_to_text(P.parse_lines(_lines(spark, d))))
+        s = P.shaped(P.parse_lines(_lines(spark, d)))
         return s.select("pv", "seq", "nval", F.size("vals").alias("n_vals"), F.size("txts").alias("n_txts"), F.isnan(F.element_at("vals", -1)).alias("last_nan"), F.element_at("txts", -1).alias("last_text"))
 
     out["p06_fit_width"] = p06, f"""WITH {nv} SELECT pv, seq, nval, CASE WHEN value_type = 'numeric' THEN nval END AS n_vals, CASE WHEN value_type = 'text' THEN nval END AS n_txts,

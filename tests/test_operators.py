@@ -9,9 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType
 
-from pulsevault.functions.text import escape_text, format_size, line_tokens, parse_size
+from pulsevault.functions.text import escape_text, format_size, line_tokens, parse_rss, parse_size, without_date
 from pulsevault.functions.time import bucket_key
-from pulsevault.operators import buckets, merge, samples, stats
+from pulsevault.operators import buckets, catalog, ledger, logs, merge, samples, stats
 from pulsevault.operators.ledger import new_candidates, upsert_status
 from pulsevault.operators.logs import log_events
 from pulsevault.sources.readers import read_samples
@@ -137,10 +137,10 @@ def test_log_rules_in_order(spark):
 
 def test_read_samples_rejects_files_without_header(spark, tmp_path):
     (tmp_path / "a.txt").write_text("# PV name X:1\n# t0 0\n# Nval 1\n\n10 1\n20 2\n")
-    (tmp_path / "b.txt").write_text("# PV name Y\n10 1\n")
+    (tmp_path / "b.txt").write_text("# t0 7\n10 1\n")
     lines, rejects = read_samples(spark, str(tmp_path))
     assert [(r.pv, r.line) for r in lines.orderBy("seq").collect()] == [("X:1", "10 1"), ("X:1", "20 2")]
-    assert [r.reason for r in rejects.collect()] == ["no t0"]
+    assert [r.reason for r in rejects.collect()] == ["no PV name"]
 
 
 def test_wide_export_has_every_component(spark, sf_dir):
@@ -151,3 +151,88 @@ def test_wide_export_has_every_component(spark, sf_dir):
     assert len(found) == len(rows) and {len(v) for v in found.values()} == {64}
     for r in rows:
         assert all(abs(a - b) < 2e-5 for a, b in zip(found[r.vec_id * 60.0], r.embedding, strict=True))
+
+
+def one(spark, kind, values, make):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r.x for r in df.select("i", make(F.col("v")).alias("x")).orderBy("i").collect()]
+
+
+def test_sizes_memory_and_dates_as_the_format_has_them(spark):
+    assert one(spark, "string", ["1.5 mb", " 2 GB", "12", "7B", "3kb", "nothing", "", None, "1.5 TB"], parse_size) == [1572864, 2 * 1024**3, 12 * 1024**2, 7, 3072, 0, 0, 0, 0]
+    assert one(spark, "string", ["mem≈1.23 GB", "mem=1.23 GB", "RSS = 2.5 GB", "rss=1 gb", "mem~1 GB", "memory 1 GB"], parse_rss) == [1.23, 1.23, 2.5, 1.0, None, None]
+    assert one(spark, "string", ["PV_2024-11-08", "PV-2024_11_08", "PV2024_11-08", "PV_-1999_01_01", "PV_2024_11", "2024_11_08"], without_date) == ["PV", "PV", "PV", "PV", "PV_2024_11", ""]
+
+
+def test_names_of_inputs(spark):
+    names = lambda v, naming="dated": one(spark, "string", v, lambda c: catalog.input_names(c, naming))
+    assert names(["/o/A_B-C_2024_W05.parquet"]) == [["A_B-C_2024:W05.pb", "A_B:C_2024_W05.pb"]]
+    assert names(["/o/A_B-C_2024_W05.parquet", "/o/A-B-C_2024_01_02.parquet", "/o/A_2024_2024_01.parquet"], "yearly") == [["A_B:C.pb", "A:B-C.pb"], ["A-B:C.pb"], ["A:2024.pb"]]
+    assert names(["/o/A_2024_2024_01_02_chunk0001.parquet", "/o/plain.parquet", "/o/A_B_chunk1.parquet"]) == [["A:2024.pb"], ["plain.pb"], ["A_B:chunk1.pb"]]
+
+
+def test_outputs_find_their_inputs(spark):
+    inputs = spark.createDataFrame([("/in/x/A_B:C.pb",), ("/in/y/A-B:C.pb",), ("/else/A-B:C.pb",)], "path string")
+    outs = ["/out/x/A_B-C_2024_W05.parquet", "/out/zz/A-B-C_2024_01_02.parquet", "/in/y/A-B:C.pb", "/out/x/none.parquet"]
+    got = {r.out: r.path for r in catalog.resolve_outputs(spark.createDataFrame([(o,) for o in outs], "out string"), inputs, "/out", "/in", "yearly").collect()}
+    assert got == dict(zip(outs, ["/in/x/A_B:C.pb", "/in/y/A-B:C.pb", "/in/y/A-B:C.pb", None]))
+
+
+def test_stale_items_by_the_ledgers_time(spark):
+    led = spark.createDataFrame([("a", "queued", "2024-01-01"), ("b", "running", "2024-01-01"), ("c", "queued", "2024-01-01"), ("d", "queued", "2024-01-10"), ("e", "success", "2024-01-01")], "path string, status string, ts string").withColumn("event_ts", F.to_timestamp("ts"))
+    jobs = spark.createDataFrame([("a", "1", "2024-01-09 23:00:00"), ("b", "2", None), ("c", "3", "2024-01-02")], "path string, job_id string, ts string").select("path", "job_id", F.to_timestamp("ts").alias("submit_ts"))
+    states = spark.createDataFrame([("2", "RUN"), ("3", "PEND")], "job_id string, state string")
+    found = lambda **k: {r.path: r.verdict for r in ledger.stale_items(led, jobs, states, "2024-01-10 00:00:00", 24, **k).collect()}
+    assert found() == {"a": "stale"} and found(kill_hours=8.5 * 24) == {"a": "stale", "b": "kill"}
+
+
+def test_submission_without_logs_is_not_complete(spark):
+    facts = spark.createDataFrame([("s", "f", True)], "submission string, file string, has_marker boolean")
+    files = spark.createDataFrame([("s", "f", "2024-01-01")], "submission string, file string, t string").select("submission", "file", F.to_timestamp("t").alias("mtime"))
+    subs = spark.createDataFrame([("s",), ("none",)], "submission string")
+    assert {r.submission: r.complete for r in logs.submission_complete(subs, facts, files, "2024-01-01 00:05:00").collect()} == {"s": True, "none": False}
+
+
+def test_retry_uses_header_then_items_then_hint(spark):
+    items = spark.createDataFrame([("r", "converted_ok", "1", "2"), ("r", "failed_again", "1", "2"), ("r", None, "1", None), ("q", "skipped", None, None)], "run_id string, outcome string, queued_ts string, finished_ts string")
+    head = spark.createDataFrame([("r", 8), ("q", 0), ("p", 0)], "run_id string, total_planned long")
+    got = {r.run_id: tuple(r)[1:] for r in logs.retry_progress(items, head, hint=5).collect()}
+    assert got == {"r": (8, 1, 0, 1, 1, 0, 12), "q": (1, 0, 1, 0, 0, 1, 100), "p": (5, 0, 0, 0, 0, 0, 0)}
+
+
+def test_runs_over_the_edges_of_blocks(spark):
+    names = "aabbaaccaabb"
+    df = spark.createDataFrame([(p, b, i) for p in "pq" for i, b in enumerate(names)] + [("hot", "ab"[i // 7 % 2], i) for i in range(4000)], "pv string, bucket string, seq long")
+    whole = sorted(map(tuple, buckets.segment_runs(df).collect()))
+    assert whole == sorted(map(tuple, buckets.segment_runs(df, block=3).collect())) and len(whole) == df.count()
+    hot = buckets.segment_runs(df, block=100).where("pv = 'hot'")
+    assert hot.agg(F.max("segment")).first()[0] == 286
+    assert df.withColumn("_b", F.floor(F.col("seq") / 100)).groupBy("pv", "_b").count().agg(F.max("count")).first()[0] == 100  # rows of a window's group
+
+
+def test_medians_of_a_hot_signal(spark):
+    rng = np.random.default_rng(1)
+    xs = rng.normal(size=3001).round(2).tolist()
+    times = np.cumsum(rng.integers(1, 50, 3001)).astype(float)
+    row = stats.scalar_stats(frame(spark, xs, times.tolist())).first()
+    v = np.array(xs)
+    assert row["mad"] == pytest.approx(np.median(np.abs(v - np.median(v)))) and row["median_interval"] == np.median(np.diff(times)) / 1000
+
+
+def test_headers_fall_back_to_the_first_of_the_set(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("# PV name X\n# t0 5\n# Nval 2\n10 1 2\n")
+    (tmp_path / "b.txt").write_text("# PV name Y\n10 3 4\n")
+    (tmp_path / "c.txt").write_text("10 3 4\n")
+    lines, rejects = read_samples(spark, str(tmp_path))
+    assert sorted((r.pv, r.t0, r.nval) for r in lines.collect()) == [("X", 5, 2), ("Y", 5, 2)] and [r.reason for r in rejects.collect()] == ["no PV name"]
+
+
+def test_no_machine_local_folder_on_a_cluster(spark):
+    from pulsevault.sources import shared
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getConf": staticmethod(lambda: type("C", (), {"get": staticmethod(lambda *a: None)})), "master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared.shared_root(Session)
