@@ -168,6 +168,14 @@ SELECT pv, bucket, CASE WHEN seq % 2 = 1 THEN chunk + coalesce(top, 0) ELSE chun
 
     out["k04_export_wide"] = k04, "SELECT vec_id * 60.0::DOUBLE AS timestamp_s, round(CAST(embedding[1] AS DOUBLE), 6) AS value_0, round(CAST(embedding[2] AS DOUBLE), 6) AS value_1, round(CAST(embedding[3] AS DOUBLE), 6) AS value_2 FROM embeddings"
 
+    def k04b(spark, d):
+        path = shared_path(spark, "wide-text")
+        e = P.samples_from_events(table(spark, d, "events")).join(table(spark, d, "events").select(F.col("event_id").alias("seq"), F.array("event_type", F.concat(F.lit("user "), "user_id")).alias("txts")), "seq")
+        W.export_wide(e, path, 2, "txts", "text")
+        return spark.read.option("sep", "\t").option("header", "true").schema("timestamp_s double, text_0 string, text_1 string").csv(path).select(F.round("timestamp_s", 3).alias("timestamp_s"), "text_0", "text_1")
+
+    out["k04_export_text"] = k04b, f"SELECT round((epoch_us(ts) // 1000 - {T0}) / 1000.0, 3) AS timestamp_s, event_type AS text_0, 'user ' || user_id AS text_1 FROM events"
+
     def k05(spark, d):
         path = shared_path(spark, "report")
         l = ledger(spark, d)  # noqa: E741

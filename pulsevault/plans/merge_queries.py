@@ -10,6 +10,7 @@ from ..operators import catalog as C
 from ..operators import ledger as J
 from ..operators import merge as M
 from ..operators import samples as P
+from ..sources import writers as W
 from ..sources.shared import shared_path, stored
 from .tables import CATALOG_SQL, LEDGER_SQL, catalog, ledger, scalar_samples, scalar_sql, table
 
@@ -209,8 +210,8 @@ SELECT date, run_id FROM r WHERE s > TIMESTAMP '1992-03-01' - INTERVAL 45 DAY QU
 
     def j09(spark, d):
         path = shared_path(spark, "catalog")
-        catalog(spark, d).where("doc_id % 2 = 0").select("path", "size", "mtime").write.mode("overwrite").parquet(path)
-        catalog(spark, d).select("path", "size", "mtime").write.mode("overwrite").parquet(path)
+        W.rebuild_catalog(catalog(spark, d).withColumn("path", F.concat("path", F.lit(".old"))), path)
+        W.rebuild_catalog(catalog(spark, d), path)
         return spark.read.parquet(path)
 
     out["j09_catalog_rebuild"] = j09, f"WITH {CATALOG_SQL} SELECT path, size, mtime FROM c"

@@ -52,7 +52,7 @@ SCALAR = {
     "a14_sampling_frequency": ["sampling_frequency"], "a15_avg_interval": ["avg_interval"], "a16_median_interval": ["median_interval"], "a17_jitter": ["jitter"],
     "a18_interval_variance": ["interval_variance"], "a19_max_interval": ["max_interval"], "a20_duration": ["duration", "start_time", "end_time"],
 }
-VECTOR = ["nan_count", "min", "max", "mean", "std", "skewness", "kurtosis", "snr", "mad", "rate_of_change", "rate_of_change_variance", "peaks"]
+VECTOR = ["length", "avg_interval", "median_interval", "max_interval", "duration", "nan_count", "min", "max", "mean", "std", "skewness", "kurtosis", "snr", "mad", "rate_of_change", "rate_of_change_variance", "peaks"]
 
 
 def build() -> dict:

@@ -32,14 +32,16 @@ def scalar_sql(granularity: str = "week", pv: str = "user_id") -> str:
 
 
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explode_components(bucketize(samples_from_embeddings(table(spark, sf_dir, "embeddings")), "day", 9))
+    """Components of the embeddings, a third of those of every eleventh NaN."""
+    c = explode_components(bucketize(samples_from_embeddings(table(spark, sf_dir, "embeddings")), "day", 9))
+    return c.withColumn("x", F.when((F.col("seq") % 11 == 0) & (F.col("comp") % 3 == 0), F.lit(float("nan"))).otherwise(F.col("x")))
 
 
-COMPONENTS_SQL = """s AS (
-  SELECT CAST(label AS VARCHAR) AS pv, vec_id AS seq, CAST(vec_id * 60000 AS DOUBLE) AS offset_ms,
-         UNNEST(range(len(embedding))) AS comp, CAST(UNNEST(embedding) AS DOUBLE) AS v, FALSE AS is_nan,
+COMPONENTS_SQL = """e AS (
+  SELECT CAST(label AS VARCHAR) AS pv, vec_id AS seq, CAST(vec_id * 60000 AS DOUBLE) AS offset_ms, UNNEST(range(len(embedding))) AS comp, CAST(UNNEST(embedding) AS DOUBLE) AS x,
          strftime(make_timestamp((1704034800000 + vec_id * 60000) * 1000) + INTERVAL 9 HOUR, '%Y_%m_%d') AS bucket
-  FROM embeddings)"""
+  FROM embeddings),
+s AS (SELECT pv, seq, offset_ms, comp, bucket, seq % 11 = 0 AND comp % 3 = 0 AS is_nan, CASE WHEN NOT (seq % 11 = 0 AND comp % 3 = 0) THEN x END AS v FROM e)"""
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,11 @@ def append_promoted(df: DataFrame, path: str) -> None:
         stored(union_promote([old, df]), "promoted").write.mode("overwrite").parquet(path)
 
 
+def rebuild_catalog(files: DataFrame, path: str) -> None:
+    """Replaces the whole snapshot of the catalog (path, size, mtime)."""
+    files.select("path", "size", "mtime").write.mode("overwrite").parquet(path)
+
+
 def write_chunks(df: DataFrame, path: str, existing: DataFrame | None = None) -> None:
     """Chunks (pv, bucket, chunk, ...), numbered on from the highest that existing (pv, bucket, chunk) has."""
     if existing is not None:
