@@ -12,7 +12,9 @@ folder (record bytes pass as they are) and read back by their declared lengths.
 
 Rows: null html is an empty payload; a null url gives a record without target; a null page_id gives a record with an
 identifier made from its content, which is never the largest key; rows that share the largest page_id are all responses; an
-empty table gives an empty result; other columns are ignored."""
+empty table gives an empty result; other columns are ignored. Texts of any length below 2 GB are one record. A damaged record
+raises an error; with strict=False it is a row of which only `problem` is filled, and what can't be trusted after it is left
+out."""
 
 from __future__ import annotations
 
@@ -20,8 +22,10 @@ import base64
 import gzip
 import hashlib
 import io
+import itertools
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,8 +41,9 @@ FIELDS = {
 }
 _KEY = b"X-Record-Key: "
 _END = b"\r\n\r\n"
-RECORD = "key long, url string, ip string, stamp string, mime string, head binary, payload binary, digest string, size long"
-_ARROW = pa.schema([("key", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("stamp", pa.string()), ("mime", pa.string()), ("head", pa.binary()), ("payload", pa.binary()), ("digest", pa.string()), ("size", pa.int64())])
+RECORD = "key long, url string, ip string, stamp string, mime string, head binary, payload binary, digest string, size long, problem string"
+_ARROW = pa.schema([("key", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("stamp", pa.string()), ("mime", pa.string()), ("head", pa.binary()), ("payload", pa.binary()), ("digest", pa.string()), ("size", pa.int64()), ("problem", pa.string())])
+_KEPT = _ARROW.names[:-1]
 
 
 def arc_bytes(records: list[tuple[str, str, str, str, bytes]], version: int = 1, name: str = "pages.arc") -> bytes:
@@ -78,43 +83,58 @@ def parse_arc(data: bytes) -> Iterator[dict]:
             yield dict(zip(fields, parts, strict=True)) | {"content": content}
 
 
-def converted(archives: DataFrame) -> DataFrame:
+def _record(r: dict) -> tuple:
+    """The columns of RECORD of an ARC record."""
+    head, mark, payload = r["content"].partition(_END) if r["content"].startswith(b"HTTP/") else (b"", b"", r["content"])
+    head += mark
+    key = head[head.index(_KEY) + len(_KEY) :].split(b"\r\n", 1)[0] if _KEY in head else b""
+    url = None if r["URL"] == "-" else r["URL"]
+    return int(key) if key else None, url, r["IP-address"], r["Archive-date"], r["Content-type"], head, payload, hashlib.sha1(payload, usedforsecurity=False).hexdigest(), len(payload), None
+
+
+def _or_problem(rows: Iterator[tuple], width: int, strict: bool) -> Iterator[tuple]:
+    """The rows up to an error, which is raised, or else is a last row of which only the last column is filled."""
+    try:
+        yield from rows
+    except (ValueError, KeyError, OSError, EOFError, zlib.error) as e:
+        if strict:
+            raise
+        yield (*[None] * (width - 1), str(e))
+
+
+def converted(archives: DataFrame, strict: bool = True) -> DataFrame:
     """RECORD rows of ARC files given as a binary column `content`."""
 
     def run(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                out = {f.name: [] for f in _ARROW}
-                for r in parse_arc(data or b""):
-                    head, mark, payload = r["content"].partition(_END) if r["content"].startswith(b"HTTP/") else (b"", b"", r["content"])
-                    head += mark
-                    key = head[head.index(_KEY) + len(_KEY) :].split(b"\r\n", 1)[0] if _KEY in head else b""
-                    url = r["URL"]
-                    for name, v in (("key", int(key) if key else None), ("url", None if url == "-" else url), ("ip", r["IP-address"]), ("stamp", r["Archive-date"]), ("mime", r["Content-type"]), ("head", head), ("payload", payload), ("digest", hashlib.sha1(payload, usedforsecurity=False).hexdigest()), ("size", len(payload))):
-                        out[name].append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _ARROW], schema=_ARROW)
+                rows = list(_or_problem(map(_record, parse_arc(data or b"")), len(_ARROW), strict))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _ARROW)] if rows else [pa.array([], f.type) for f in _ARROW], schema=_ARROW)
 
     return archives.select("content").mapInArrow(run, RECORD)
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
+def read_arc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """RECORD rows of the ARC files under path (gzip or plain), a task per file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     unzip = F.udf(lambda b: gzip.decompress(b) if b[:2] == b"\x1f\x8b" else b, "binary")
-    return converted(files.select(unzip("content").alias("content")))
+    return converted(files.select(unzip("content").alias("content")), strict)
 
 
-def pages_as_arc(pages: DataFrame, version: int = 1) -> DataFrame:
-    """ARC files of a few hundred pages each, as a binary column: the legacy form of (page_id, url, html)."""
+def pages_as_arc(pages: DataFrame, version: int | None = None) -> DataFrame:
+    """ARC files of a few hundred pages each, as a binary column: the legacy form of (page_id, url, html). Without a version
+    the files of a task are of version 1 and 2 by turns."""
 
     def make():
+        turn = itertools.cycle([version] if version else [1, 2])
+
         def work(batch: pa.RecordBatch) -> dict:
             records = []
             for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 key = b"" if page_id is None else _KEY + str(page_id).encode() + b"\r\n"
                 head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + key + b"\r\n"
                 records.append((re.sub(r"\s", "%20", url or "-") or "-", "0.0.0.0", "20240101000000", "text/html", head + (html or "").encode("utf-8", "replace")))
-            return {"content": [arc_bytes(records, version)]}
+            return {"content": [arc_bytes(records, next(turn))]}
 
         return work
 
@@ -200,50 +220,57 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = 4000) -> N
 
         return work
 
-    out = map_rows(records.select(*_ARROW.names, "refers"), make, "record binary", pa.schema([("record", pa.binary())]))
+    out = map_rows(records.where("problem is null").select(*_KEPT, "refers"), make, "record binary", pa.schema([("record", pa.binary())]))
     out.select(F.col("record").cast("string").alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
-WARC_RECORD = "record_key long, record_type string, target_uri string, warc_date string, payload_digest string, payload_bytes long, refers_to long, payload binary"
+WARC_RECORD = "record_key long, record_type string, target_uri string, warc_date string, payload_digest string, payload_bytes long, refers_to long, payload binary, problem string"
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def _warc_row(h: dict, block: bytes) -> tuple:
+    """The columns of WARC_RECORD of a record."""
+    kind, payload = h["warc-type"], None
+    if kind != "revisit":
+        payload = block.partition(_END)[2] if kind == "response" and h.get("content-type", "").startswith("application/http") else block
+    said = h.get("warc-payload-digest", "")
+    digest = base64.b32decode(said[5:]).hex() if re.fullmatch("sha1:[A-Z2-7]{32}", said) else None
+    if payload is not None:
+        found = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
+        if kind == "response" and digest not in (None, found):
+            raise ValueError(f"payload of {h['warc-record-id']} differs from its digest")
+        digest = found
+    refers = h.get("warc-refers-to")
+    return key_of(h["warc-record-id"]), kind, h.get("warc-target-uri"), h.get("warc-date"), digest, int(h.get("x-payload-length", len(payload or b""))), key_of(refers) if refers else None, payload, None
+
+
+def read_warc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """WARC_RECORD rows of the archives under path, those of other writers too: without an own key record_key is null. The
     payload of a response is checked against its digest; that of a revisit is null."""
-    arrow = pa.schema([("record_key", pa.int64()), ("record_type", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+    arrow = pa.schema([("record_key", pa.int64()), ("record_type", pa.string()), ("target_uri", pa.string()), ("warc_date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("problem", pa.string())])
+
+    def records(stream) -> Iterator[tuple]:
+        for h, block in parse_warc(stream):
+            yield from _or_problem(map(_warc_row, [h], [block]), len(arrow), strict)
 
     def run(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                rows, held = [], 0
                 stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-                for h, block in parse_warc(io.BufferedReader(stream)):
-                    kind, payload = h["warc-type"], None
-                    if kind != "revisit":
-                        payload = block.partition(_END)[2] if kind == "response" and h.get("content-type", "").startswith("application/http") else block
-                    said = h.get("warc-payload-digest", "")
-                    digest = base64.b32decode(said[5:]).hex() if re.fullmatch("sha1:[A-Z2-7]{32}", said) else None
-                    if payload is not None:
-                        found = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
-                        if kind == "response" and digest not in (None, found):
-                            raise ValueError(f"payload of {h['warc-record-id']} differs from its digest")
-                        digest = found
-                    size = int(h.get("x-payload-length", len(payload or b"")))
-                    refers = h.get("warc-refers-to")
-                    rows.append((key_of(h["warc-record-id"]), kind, h.get("warc-target-uri"), h.get("warc-date"), digest, size, key_of(refers) if refers else None, payload))
-                    held += len(block)
-                    if held > 4_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+                rows, held = [], 0
+                for row in itertools.chain(_or_problem(records(io.BufferedReader(stream)), len(arrow), strict), [None]):
+                    if row is not None:
+                        rows.append(row)
+                        held += len(row[7] or b"")
+                    if rows and (row is None or held > 4_000_000):
+                        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
                         rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, WARC_RECORD)
 
 
-def archive_pages(pages: DataFrame, least: int = 1000, version: int = 1) -> DataFrame:
+def archive_pages(pages: DataFrame, least: int = 1000, version: int | None = None) -> DataFrame:
     """pages -> ARC -> WARC archives in the shared folder -> WARC_RECORD rows read from them."""
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_warc(with_revisits(converted(pages_as_arc(pages, version)), least), path)
-    return read_warc(spark, path)
+    return read_warc(spark, path).drop("problem")

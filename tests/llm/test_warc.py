@@ -89,3 +89,26 @@ def test_archives_of_other_writers(spark, tmp_path):
     (tmp_path / "b.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(page + block + b"\r\n\r\n"))
     got = sorted((r.record_type, r.target_uri, r.record_key, bytes(r.payload)) for r in warc.read_warc(spark, str(tmp_path)).collect())
     assert got == [("response", "http://x/", None, b"hello")] * 2 + [("warcinfo", None, None, b"ab\r\n")] * 2
+
+
+def test_damage_is_reported_on_request(spark, tmp_path):
+    recs = [(f"http://x/{i}", "-", "20010203040506", "text/html", b"body %d" % i) for i in range(3)]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc").write_bytes(warc.arc_bytes(recs)[:-4])
+    with pytest.raises(Exception, match="cut off"):
+        warc.read_arc(spark, str(tmp_path / "arc")).collect()
+    got = warc.read_arc(spark, str(tmp_path / "arc"), strict=False)
+    assert sorted((r.url or "", r.problem is not None) for r in got.collect()) == [("", True), ("http://x/0", False), ("http://x/1", False)]
+    warc.write_warc(warc.with_revisits(got), str(tmp_path / "out"))
+    assert warc.read_warc(spark, str(tmp_path / "out")).count() == 2
+    r = {"key": 1, "url": "http://a/", "ip": "1.1.1.1", "stamp": "20240101000000", "mime": "text/html", "head": b"HTTP/1.1 200 OK\r\n\r\n", "payload": b"abc", "digest": hashlib.sha1(b"abc").hexdigest(), "size": 3, "refers": None}
+    good = warc.warc_record(r) + b"\n"
+    bad = good.replace(b"abc", b"abd")
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc").write_bytes(good + bad + good)
+    (tmp_path / "w" / "b.warc.gz").write_bytes(gzip.compress(good * 3)[:-9])
+    (tmp_path / "w" / "c.warc").write_bytes(good + b"nonsense")
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_warc(spark, str(tmp_path / "w" / "a.warc")).collect()
+    found = warc.read_warc(spark, str(tmp_path / "w"), strict=False).collect()
+    assert sorted(r.problem is None for r in found) == [False] * 3 + [True] * sum(r.problem is None for r in found) and sum(r.problem is None for r in found) >= 3
