@@ -194,13 +194,13 @@ def _slots(patterns: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
 
 
 def assign_sequences(pieces: DataFrame, capacity: int = 1024, groups: int = 128, rows_per_salt: int = 50_000) -> DataFrame:
-    """Adds sequence_id and offset to rows that have `length` (1 to capacity). `pieces` is read several times, so it should
-    be a stored table. Only the histogram of lengths (at most `capacity` rows) comes to the driver."""
+    """Adds sequence_id and offset to rows that have `length` (1 to capacity). `pieces` is read several times, and rows are
+    salted by their number within the task, which deals equal rows out too, so it must be a stored table. Only the histogram of lengths (at most `capacity` rows) comes to the driver."""
     hist = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     slots = _slots(plan(hist, capacity, groups))
     n_salts = max(64, -(-sum(hist.values()) // rows_per_salt))
     names = pieces.columns
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in names]), F.lit(n_salts)).cast("int"))
+    salted = pieces.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(n_salts)).cast("int"))
     # rank within a length: place within the salt, and the rows of the salts before
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
