@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_path
+
 #: Rows turned into Python objects at once inside a task; keeps memory flat when texts are long.
 SLICE_ROWS = 256
 
@@ -28,18 +28,9 @@ WORDS_ONLY = bytes(
 )
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a new temporary one only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="pulsevault-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return shared_path(spark, label)
 
 
 def materialise(df: DataFrame, label: str, rows: int | None = None, rows_a_task: int = 50_000) -> DataFrame:
