@@ -33,6 +33,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return shared_path(spark, label)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, or the like, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialise(df: DataFrame, label: str, rows: int | None = None, rows_a_task: int = 50_000) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: it cuts the lineage, survives the loss of
     executors, and lets later steps read single columns. rows: a bound of df's rows, if one is known, so that a small result

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import WORDS_ONLY, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, word_hashes
+from .common import WORDS_ONLY, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, unused, word_hashes
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -290,7 +290,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, k:
                 yield pd.Series([ok(t) for t in part], dtype=bool)
 
         return docs.where(clean("text"))
-    keyed = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    found = _by_join(keyed.select(F.col("_row").alias("doc_id"), "text"), bench, window, k)
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_row"))
-    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = unused(docs, "_row")
+    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = _by_join(keyed.select(F.col(row).alias("doc_id"), "text"), bench, window, k)
+    gone = found.where("contaminated").select(F.col("doc_id").alias(row))
+    return keyed.join(gone, row, "left_anti").select(*docs.columns)

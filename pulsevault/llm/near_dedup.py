@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, SLICE_ROWS, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, word_hashes
+from .common import LOWER_WORDS, SLICE_ROWS, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, unused, word_hashes
 from .components import components, merged
 
 _SKETCH = 32  # longs of the parity sketch
@@ -205,8 +205,9 @@ def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     """docs without near duplicates: of each component the row with the least doc_id stays, once even where that row is
     repeated; rows without a doc_id stay."""
     found = near_duplicates(docs, words, percent)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone, text_hash = unused(docs, "_gone"), unused(docs, "_text_hash")
+    out = found.where("not kept").select(F.col("doc_id").alias(gone)).distinct()
     named = docs.where("doc_id is not null")
-    kept = named.join(gone, named["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    once = kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    kept = named.join(out, named["doc_id"].cast("long") == F.col(gone), "left_anti")
+    once = kept.withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash]).drop(text_hash)
     return once.unionByName(docs.where("doc_id is null"))

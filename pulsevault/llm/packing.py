@@ -228,7 +228,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, en
 
 def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, groups: int = 128) -> DataFrame:
     """The packed sequences themselves: sequence_id, doc_ids and token ids (little-endian unsigned 32-bit) in order. A group
-    holds at most `capacity` tokens."""
+    holds at most `capacity` tokens. Rows are treated as in pack(): null text is an end token, an empty table gives no sequences,
+    and documents with null or repeated ids are in it each."""
     stored = materialise(token_pieces(docs, tokenizer, capacity, end_id, keep_ids=True), "pieces")
     placed = assign_sequences(stored, capacity, groups)
     parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids")))

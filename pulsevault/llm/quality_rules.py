@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import map_rows, materialise
+from .common import map_rows, materialise, unused
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -124,21 +124,19 @@ def kept_documents(docs: DataFrame, host_col: str = "source", host_limit: float
     stores the rows with their verdicts (without the text where it fails), and the failed hosts, whose number is counted first,
     travel to them, so no text is shuffled. If there are more of them than `broadcast_hosts`, rows are dealt by host and a salt,
     so that a large host is many groups. doc_ids may be null or repeated; every row is judged on its own."""
-    mark = "_flags"
-    while mark in docs.columns:
-        mark += "_"
+    mark, name, of, salt = (unused(docs, n) for n in ("_flags", "_host", "_of", "_salt"))
     flags = F.col(mark)
     stored = materialise(docs.withColumn(mark, _flags("text")).withColumn("text", F.when(flags.bitwiseAND(F.lit(3)) == 0, F.col("text"))), "judged")
     host = F.col(host_col).cast("string")
     failures = stored.select(host.alias("host"), *[(flags.bitwiseAND(F.lit(1 << i)) != 0).alias(r) for i, r in enumerate(RULES)])
-    bad = materialise(host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias("_host")), "hosts")
-    good, same = stored.where(flags.bitwiseAND(F.lit(3)) == 0), host.eqNullSafe(F.col("_host"))
+    bad = materialise(host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias(name)), "hosts")
+    good, same = stored.where(flags.bitwiseAND(F.lit(3)) == 0), host.eqNullSafe(F.col(name))
     if bad.count() <= broadcast_hosts:
         return good.join(F.broadcast(bad), same, "left_anti").select(*docs.columns)
     salts = 64
-    bad = bad.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = good.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    return salted.join(bad, same & (F.col("_salt") == F.col("_of")), "left_anti").select(*docs.columns)
+    bad = bad.withColumn(of, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = good.withColumn(salt, F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    return salted.join(bad, same & (F.col(salt) == F.col(of)), "left_anti").select(*docs.columns)
 
 
 @F.pandas_udf(IntegerType())
