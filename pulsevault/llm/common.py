@@ -33,6 +33,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return shared_path(spark, label)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Lets Spark send whole texts to Python in batches of 1,024 rows where the session leaves the number at Spark's default of
+    10,000: up to 64 MB a batch, held on both sides by every task, are then a few. A number that the user chose stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000" and not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, "1024")
+
+
 def unused(df: DataFrame, name: str) -> str:
     """name, or the like, that no column of df has."""
     taken = {c.lower() for c in df.columns}
@@ -59,8 +67,8 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, arrow: pa.Schema) -> DataFrame:
     """mapInArrow over slices of SLICE_ROWS rows. make() runs once per task and returns the function from a record batch
-    to the columns of the result; every column that df has but the function does not return is left out. Spark bounds the
-    batches by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB), so long texts need no smaller number of rows."""
+    to the columns of the result; every column that df has but the function does not return is left out."""
+    short_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

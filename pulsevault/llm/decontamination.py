@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import WORDS_ONLY, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, unused, word_hashes
+from .common import WORDS_ONLY, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, short_batches, unused, word_hashes
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -278,6 +278,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 13, k:
     if size <= 2 * broadcast_words:
         shipped = docs.sparkSession.sparkContext.broadcast({"items": [tuple(r) for r in bench.collect()]})
 
+        short_batches(docs.sparkSession)
+
         @F.pandas_udf(BooleanType())
         def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             index = _shared_index(shipped, window, k)

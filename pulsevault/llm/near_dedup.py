@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, SLICE_ROWS, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, unused, word_hashes
+from .common import LOWER_WORDS, SLICE_ROWS, gram_hashes, hash_bitmap, in_bitmap, map_rows, materialise, mixed, short_batches, unused, word_hashes
 from .components import components, merged
 
 _SKETCH = 32  # longs of the parity sketch
@@ -121,6 +121,7 @@ def shingle_sets(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
                 sets = [signed(shingle_set(t, words)) for t in batch.column(1).take(take).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(sets, pa.list_(pa.int64()))], schema=arrow)
 
+    short_batches(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     return named.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(run, "doc_id long, shingles array<long>")
 
@@ -141,22 +142,22 @@ def _confirmed(pairs: DataFrame, most: int | None, docs: DataFrame, words: int,
     sets = [shingle_sets(docs, words, hash_bitmap(pairs.select(F.xxhash64(c).alias("h")))).select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "uv"]
     both = pairs.join(sets[0], "u").join(sets[1], "v")
     both = both.select(*pairs.columns, F.size("su").alias("nu"), F.size("sv").alias("nv"), F.size(F.array_intersect("su", "sv")).alias("c"))
-    return materialise(both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns), "links", pairs.count(), rows_a_task=500)
+    return materialise(both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns), "links", pairs.count(), rows_a_task=2_000)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text). Documents are linked where
     100 * intersection >= percent * union of their shingle sets."""
     bands = bands_for(percent / 100, rows, miss)
-    sig = materialise(signatures(docs, words, bands, rows), "signatures")
+    n = docs.count()
+    sig = materialise(signatures(docs, words, bands, rows), "signatures", n, rows_a_task=5_000)
     # 2. classes of equal sets
     named = sig.where("n > 0 and doc_id is not null")
-    n = sig.count()
     reps = materialise(named.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes", n, rows_a_task=20_000)
     # documents under each key that has several
     keyed = reps.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key", "least")
-    members = materialise(keyed.join(shared, "key").select("key", "id", "n", "least"), "members", n * bands)
+    members = materialise(keyed.join(shared, "key").select("key", "id", "n", "least"), "members", n * bands, rows_a_task=200_000)
     most = members.count()
 
     # 3. with the least document of each key

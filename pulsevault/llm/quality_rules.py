@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import map_rows, materialise, unused
+from .common import map_rows, materialise, short_batches, unused
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -124,9 +124,10 @@ def kept_documents(docs: DataFrame, host_col: str = "source", host_limit: float
     stores the rows with their verdicts (without the text where it fails), and the failed hosts, whose number is counted first,
     travel to them, so no text is shuffled. If there are more of them than `broadcast_hosts`, rows are dealt by host and a salt,
     so that a large host is many groups. doc_ids may be null or repeated; every row is judged on its own."""
+    short_batches(docs.sparkSession)
     mark, name, of, salt = (unused(docs, n) for n in ("_flags", "_host", "_of", "_salt"))
     flags = F.col(mark)
-    stored = materialise(docs.withColumn(mark, _flags("text")).withColumn("text", F.when(flags.bitwiseAND(F.lit(3)) == 0, F.col("text"))), "judged")
+    stored = materialise(docs.withColumn(mark, _flags("text")).withColumn("text", F.when(flags.bitwiseAND(F.lit(3)) == 0, F.col("text"))), "judged", docs.count(), rows_a_task=5_000)
     host = F.col(host_col).cast("string")
     failures = stored.select(host.alias("host"), *[(flags.bitwiseAND(F.lit(1 << i)) != 0).alias(r) for i, r in enumerate(RULES)])
     bad = materialise(host_verdicts(failures, host_limit).where("host_failed").select(F.col("host").alias(name)), "hosts")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import map_rows
+from .common import map_rows, short_batches
 
 #: Kinds in the order of ties; the first three are the base.
 KINDS = ("assign", "access", "hex", "der", "ssh", "jwt")
@@ -301,6 +301,7 @@ def _redacted(text: pd.Series) -> pd.Series:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with the secrets in `text` replaced; all rows and columns stay, n_chars follows where docs has it."""
+    short_batches(docs.sparkSession)
     out = docs.withColumn("text", _redacted("text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
