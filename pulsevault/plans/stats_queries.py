@@ -8,9 +8,9 @@ from ..operators.buckets import gather_payload
 from ..operators.stats import pack_vector, scalar_stats, vector_stats
 from .tables import COMPONENTS_SQL, components, scalar_samples, scalar_sql
 
-#: Digits that both sides round to (None: exact); variances of large numbers keep fewer.
+#: Digits that both sides round to (None: exact); variances of large numbers keep fewer, so that no exact value lies halfway.
 DIGITS = {
-    "length": None, "nan_count": None, "min": None, "max": None, "mean": 6, "std": 6, "skewness": 6, "kurtosis": 5, "snr": 5, "cv": 6, "mad": 6, "rate_of_change": 6, "rate_of_change_variance": 4,
+    "length": None, "nan_count": None, "min": None, "max": None, "mean": 6, "std": 6, "skewness": 6, "kurtosis": 5, "snr": 5, "cv": 6, "mad": 6, "rate_of_change": 6, "rate_of_change_variance": 1,
     "peaks": None, "sampling_frequency": None, "avg_interval": None, "median_interval": None, "jitter": 3, "interval_variance": -3, "max_interval": None, "duration": None, "start_time": None, "end_time": None,
 }
 
