@@ -142,7 +142,7 @@ def _confirmed(pairs: DataFrame, most: int | None, docs: DataFrame, words: int,
     sets = [shingle_sets(docs, words, hash_bitmap(pairs.select(F.xxhash64(c).alias("h")))).select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "uv"]
     both = pairs.join(sets[0], "u").join(sets[1], "v")
     both = both.select(*pairs.columns, F.size("su").alias("nu"), F.size("sv").alias("nv"), F.size(F.array_intersect("su", "sv")).alias("c"))
-    return materialise(both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns), "links", pairs.count(), rows_a_task=2_000)
+    return materialise(both.where(_similar(percent, F.col("c"), "nu", "nv")).select(*pairs.columns), "links", pairs.count(), rows_a_task=250)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
