@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 import pytest
 
@@ -121,3 +122,10 @@ def test_redacted_keeps_rows_and_columns(spark):
     assert got.columns == docs.columns and got.count() == docs.count()
     row = got.where("doc_id = 50").first()
     assert (row.text, row.n_chars) == ("[SECRET] end", 12)
+
+
+@pytest.mark.parametrize("t", ["-----BEGIN A-----" + " " * 1_000_000, "-----BEGIN A-----\n" * 55_000, "eyJ" * 333_333, ("eyJ" * 100 + ".") * 3_300, "Ab3/" * 250_000, ("Ab3/" * 16 + "\n") * 15_000, "AAAAB3NzaC1yc2E" + "A" * 1_000_000, "A" * 16 + "\\" * 1_000_000, "a." * 500_000], ids=range(9))
+def test_time_is_linear_in_the_text(t):
+    began = time.process_time()
+    S.spans_of(t)
+    assert time.process_time() - began < 10  # a second on a machine of usual speed; hours with patterns that backtrack
