@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import after_colon, base_name, parquet_path, parse_rss, parse_size, stem
+from ..sources.shared import stored
 from .catalog import resolve_outputs
 
 #: Lines that show that a job wrote its summary (fixed texts of the log format).
@@ -55,7 +56,8 @@ def log_events(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def resolved_events(events: DataFrame, inputs: DataFrame, out_root: str, in_root: str, naming: str = "dated") -> DataFrame:
     """file, line_no, status, target (the input), message: events whose target is an input or the output of one; others tell
-    nothing about inputs and are left out."""
+    nothing about inputs and are left out. The events are stored, as they are both resolved and returned."""
+    events = stored(events, "events")
     found = resolve_outputs(events.select(F.col("target").alias("out")).distinct(), inputs, out_root, in_root, naming).where("path is not null")
     return events.join(found, F.col("target") == F.col("out")).select("file", "line_no", "status", F.col("path").alias("target"), "message")
 
