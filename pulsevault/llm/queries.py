@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontamination, near_dedup, packing, quality_rules, secrets, token_counts, url_filters, warc
+from . import chat, classifier, decontamination, filter_audit, near_dedup, packing, quality_rules, secrets, sharding, token_counts, url_filters, vector_codes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,18 @@ def op10_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,12 +78,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_best_fit_packing, op2_warc_converter, op3_url_templates, op4_host_rules, op5_secret_scan, op6_tool_calls, op7_token_counts, op8_quality_trees, op9_winnowing, op10_min_max_hash, pipeline]
+    own = [op1_best_fit_packing, op2_warc_converter, op3_url_templates, op4_host_rules, op5_secret_scan, op6_tool_calls, op7_token_counts, op8_quality_trees, op9_winnowing, op10_min_max_hash, op11_label_sharding, op12_filter_audit, op13_vector_codes, pipeline]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_converter": OP2_SQL, "op4_host_rules": OP4_SQL, "op9_winnowing": OP9_SQL, "op10_min_max_hash": OP10_SQL}
+    return {"op2_warc_converter": OP2_SQL, "op4_host_rules": OP4_SQL, "op9_winnowing": OP9_SQL, "op10_min_max_hash": OP10_SQL, "op12_filter_audit": OP12_SQL, "op13_vector_codes": OP13_SQL}
 
 
 #: Full result of op2. The date is the one that the query's ARC files carry.
@@ -154,3 +166,52 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, q.low AS component_id, q.low = d.doc_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(low) AS low FROM r GROUP BY id) q ON q.id = d.doc_id
 """
+
+#: Failing filters of every document, counted for every order and step.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(least < d.doc_id, false)] AS fails
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, fails
+), i AS (SELECT UNNEST(range(1, 6)) AS i
+), o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), s AS (SELECT o, step, o[step] AS own, o[1 : step - 1] AS earlier FROM o, (SELECT i AS step FROM i)
+), r AS (
+  SELECT part, o, step, own, n, good, toxic, fails[own] AS failed, len(list_filter(earlier, lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AS alone FROM c, s
+), g AS (
+  SELECT part, o, step, own, coalesce(sum(n) FILTER (WHERE NOT failed AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE failed AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (WHERE failed AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE failed AND alone), 0) AS unique_fails, coalesce(sum(good) FILTER (WHERE failed AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE failed AND NOT gone), 0) AS toxic_lost
+  FROM r GROUP BY part, o, step, own
+)
+SELECT part, list_aggregate(list_transform(o, lambda x: substr('ABCDE', x, 1)), 'string_agg', '') AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
+#: Every part of every vector against every entry.
+_NEAREST = """SELECT r, p, x, arg_min(e, d * 256 + e) AS e, min(d) AS d FROM (
+    SELECT v.r, v.p, v.x, c.e, CAST(list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS BIGINT) AS d FROM v JOIN {codes} c ON v.p = c.p) GROUP BY r, p, x"""
+_MEANS = """SELECT c.p, c.e, coalesce(s.x, c.x) AS x FROM {codes} c LEFT JOIN (
+    SELECT p, e, list(((t % n) + n) % n ORDER BY i) AS rest, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT p, e, i, sum(x[i]) AS t, count(*) AS n FROM (SELECT p, e, x, UNNEST(range(1, len(x) + 1)) AS i FROM {nearest}) GROUP BY p, e, i) GROUP BY p, e
+  ) s ON c.p = s.p AND c.e = s.e"""
+OP13_SQL = f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS MATERIALIZED (SELECT r, p, x[p * len(x) // 16 + 1 : (p + 1) * len(x) // 16] AS x FROM k, (SELECT UNNEST(range(16)) AS p)
+), c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM v WHERE r <= 64
+), n1 AS MATERIALIZED ({_NEAREST.format(codes="c0")}
+), c1 AS MATERIALIZED ({_MEANS.format(codes="c0", nearest="n1")}
+), n2 AS MATERIALIZED ({_NEAREST.format(codes="c1")}
+), c2 AS MATERIALIZED ({_MEANS.format(codes="c1", nearest="n2")}
+), n3 AS MATERIALIZED ({_NEAREST.format(codes="c2")}
+), q AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM n3 GROUP BY r
+), h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM k JOIN q ON k.r = q.r, h
+"""
