@@ -46,7 +46,7 @@ def test_only_linked_documents(spark):
     rows = [(i, text(i // 2, 10 + (i // 2) % 30)) for i in range(400)]
     _, loads, places = judged(spark, rows)
     assert max(loads) <= 1.02 * sum(loads) / 5 and min(loads) >= 0.95 * sum(loads) / 5
-    assert sum(len(s) > 1 for s in places.values()) <= 20  # of 200 pairs
+    assert sum(len(s) > 1 for s in places.values()) <= 60  # of 200 pairs, of which a random start cuts 160
 
 
 def test_one_text_only(spark):
