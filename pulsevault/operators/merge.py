@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, LongType, NumericType, StringType
 
@@ -19,7 +19,7 @@ def merge_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "length", F.flatten("_p.times").alias("times"), F.flatten("_p.vals").alias("vals"))
 
 
-def check_headers(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def check_headers(records: DataFrame, key: str | list[str], fields: list[str]) -> DataFrame:
     """The keys whose records disagree in a field or lack one: key, n_headers, missing."""
     out = records.groupBy(key).agg(F.count_distinct(F.struct(*fields)).alias("n_headers"), F.sum(F.when(reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fields]), 1).otherwise(0)).alias("missing"))
     return out.where((F.col("n_headers") > 1) | (F.col("missing") > 0))
@@ -30,12 +30,14 @@ def payload(by_comp: Column, matrix: Column, width: Column) -> Column:
     return F.coalesce(by_comp, F.when(matrix.isNotNull(), by_component(matrix, width)))
 
 
-def reconcile_names(records: DataFrame) -> DataFrame:
-    """pv, component_names: those of the records if all agree and are nval wide, else pv[0] and so on."""
-    seen = records.groupBy("pv").agg(F.count_distinct("component_names").alias("kinds"), F.count_if(F.col("component_names").isNull()).alias("none"), F.min("component_names").alias("names"), F.max("nval").alias("nval"))
+def reconcile_names(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """pv (or keys, which include it), component_names: those of the records if all agree and are nval wide, else pv[0] and so
+    on."""
+    keys = keys or ["pv"]
+    seen = records.groupBy(*keys).agg(F.count_distinct("component_names").alias("kinds"), F.count_if(F.col("component_names").isNull()).alias("none"), F.min("component_names").alias("names"), F.max("nval").alias("nval"))
     good = (F.col("kinds") == 1) & (F.col("none") == 0) & (F.size("names") == F.col("nval"))
     made = F.transform(F.sequence(F.lit(0), F.col("nval") - 1), lambda i: F.format_string("%s[%d]", F.col("pv"), i))
-    return seen.select("pv", F.when(good, F.col("names")).otherwise(made).alias("component_names"))
+    return seen.select(*keys, F.when(good, F.col("names")).otherwise(made).alias("component_names"))
 
 
 def is_vector(nval: Column, *vector_columns: Column) -> Column:
@@ -44,7 +46,7 @@ def is_vector(nval: Column, *vector_columns: Column) -> Column:
 
 def _rank(t: DataType) -> int:
     if isinstance(t, ArrayType):
-        return 0 if isinstance(t.elementType, NumericType) else 2
+        return 0 if isinstance(t.elementType, NumericType) else 2 if isinstance(t.elementType, StringType) else 4
     return 1 if isinstance(t, NumericType) else 3 if isinstance(t, StringType) else 4
 
 
@@ -83,16 +85,23 @@ def union_promote(frames: list[DataFrame], promote_ints: bool = False) -> DataFr
     return reduce(DataFrame.unionByName, shaped)
 
 
+def last_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key by order: an aggregate with map-side combine, so that a key with very many rows is no sort.
+    Rows that tie in order are told apart by their other columns; maps can't be compared and are no columns of such rows."""
+    rest = [c for c in rows.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*order, *[F.col(c) for c in rest])).alias("_r")
+    return rows.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in rows.columns])
+
+
 def dedupe_keep_last(rows: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """The last row of each key by order."""
-    last = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return rows.withColumn("_k", F.row_number().over(last)).where("_k = 1").drop("_k")
+    return last_by(rows, [key] if isinstance(key, str) else list(key), order)
 
 
 def upsert_day(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Existing rows, replaced by new ones of the same key; of several new ones the last by order."""
     both = union_promote([existing.withColumn("_src", F.lit(0)), new.withColumn("_src", F.lit(1))])
-    return dedupe_keep_last(both, key, ["_src", *order]).drop("_src")
+    return last_by(both, [key], ["_src", *order]).drop("_src")
 
 
 def changed_inputs(files: DataFrame, seen: DataFrame) -> DataFrame:

@@ -47,21 +47,22 @@ def _median(c: str, mark: str) -> Column:
     return F.avg(F.when(F.col(mark), F.col(c)))
 
 
-def _time_stats() -> list[Column]:
+def _time_stats(order: tuple[str, ...] = ("seq",)) -> list[Column]:
     """Seconds from _dt and offset_ms, which are in ms: whole numbers of ms add up exactly."""
-    many, mean = F.count("*") > 1, F.avg("_dt") / 1000.0
-    span = F.when(many, (F.max_by("offset_ms", "seq") - F.min_by("offset_ms", "seq")) / 1000.0).otherwise(0.0)
+    many, mean, at = F.count("*") > 1, F.avg("_dt") / 1000.0, F.struct(*order)
+    span = F.when(many, (F.max_by("offset_ms", at) - F.min_by("offset_ms", at)) / 1000.0).otherwise(0.0)
     return [
         F.when(mean > 0, 1 / mean).alias("sampling_frequency"), mean.alias("avg_interval"), (_median("_dt", "_mid_dt") / 1000.0).alias("median_interval"), (F.stddev_pop("_dt") / 1000.0).alias("jitter"),
         (F.var_pop("_dt") / 1e6).alias("interval_variance"), (F.max("_dt") / 1000.0).alias("max_interval"), span.alias("duration"), F.lit(0.0).alias("start_time"), span.alias("end_time"),
     ]
 
 
-def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
-    """A row per (pv, bucket) of samples (pv, bucket, seq, offset_ms, x): length, nan_count, VALUE_STATS, TIME_STATS."""
+def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None, by: tuple[str, ...] = ("seq",), more: list[Column] | None = None) -> DataFrame:
+    """A row per (pv, bucket) of samples (pv, bucket, seq, offset_ms, x): length, nan_count, VALUE_STATS, TIME_STATS. by: the
+    columns that order samples; more: further aggregates of the same groups."""
     keys = ["pv", "bucket", *(extra_keys or [])]
-    order = Window.partitionBy(*keys).orderBy("seq")
-    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
+    order = Window.partitionBy(*keys).orderBy(*by)
+    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(by)})"
     rows = bucketed.withColumn("_v", _no_nan(F.col("x")))
     rows = rows.withColumns({
         "_dt": F.col("offset_ms") - F.lag("offset_ms").over(order),
@@ -74,15 +75,15 @@ def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None) -> Da
     few = F.count("_v") >= 3
     return rows.groupBy(*keys).agg(
         F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), *_value_stats(F.col("_v"), F.col("_v"), few),
-        _median("_dev", "_mid_dev").alias("mad"), F.avg(d).alias("rate_of_change"), F.var_pop(d).alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
+        _median("_dev", "_mid_dev").alias("mad"), F.avg(d).alias("rate_of_change"), F.var_pop(d).alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(by), *(more or []),
     )
 
 
-def vector_stats(components: DataFrame) -> DataFrame:
-    """A row per (pv, bucket, comp) of component rows (pv, bucket, seq, offset_ms, comp, x)."""
-    keys = ["pv", "bucket", "comp"]
-    order = Window.partitionBy(*keys).orderBy("seq")
-    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY seq)"
+def vector_stats(components: DataFrame, extra_keys: list[str] | None = None, by: tuple[str, ...] = ("seq",), more: list[Column] | None = None) -> DataFrame:
+    """A row per (pv, bucket, comp) of component rows (pv, bucket, seq, offset_ms, comp, x); by and more as in scalar_stats()."""
+    keys = ["pv", "bucket", *(extra_keys or []), "comp"]
+    order = Window.partitionBy(*keys).orderBy(*by)
+    over = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(by)})"
     v = _no_nan(F.col("x"))
     finite = F.when(F.abs(v) < float("inf"), v)
     rows = components.withColumns({"_v": v, "_f": finite})
@@ -96,13 +97,14 @@ def vector_stats(components: DataFrame) -> DataFrame:
     peak = (F.col("_v") > F.col("_before")) & (F.col("_v") > F.col("_after"))
     return rows.groupBy(*keys).agg(
         F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), *_value_stats(F.col("_f"), F.col("_v"), F.lit(True)),
-        _median("_dev", "_mid_dev").alias("mad"), F.avg("_d").alias("rate_of_change"), F.var_pop("_d").alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(),
+        _median("_dev", "_mid_dev").alias("mad"), F.avg("_d").alias("rate_of_change"), F.var_pop("_d").alias("rate_of_change_variance"), F.count_if(peak).alias("peaks"), *_time_stats(by), *(more or []),
     )
 
 
-def pack_vector(stats: DataFrame) -> DataFrame:
-    """A row per (pv, bucket) with every value statistic as an array by component."""
-    cols = ["nan_count", *VALUE_STATS]
+def pack_vector(stats: DataFrame, extra_keys: list[str] | None = None, arrays: list[str] | None = None, more: list[Column] | None = None) -> DataFrame:
+    """A row per (pv, bucket) with every value statistic as an array by component. arrays: further columns to pack so; more:
+    further aggregates over the components."""
+    keys, cols = ["pv", "bucket", *(extra_keys or [])], ["nan_count", *VALUE_STATS, *(arrays or [])]
     rows = F.array_sort(F.collect_list(F.struct("comp", *cols)))
-    packed = stats.groupBy("pv", "bucket").agg(rows.alias("_r"), *[F.first(c).alias(c) for c in ("length", *TIME_STATS)])
-    return packed.select("pv", "bucket", "length", *[F.col(f"_r.{c}").alias(c) for c in cols], *TIME_STATS)
+    packed = stats.groupBy(*keys).agg(rows.alias("_r"), *[F.first(c).alias(c) for c in ("length", *TIME_STATS)], *(more or []))
+    return packed.select(*[c for c in packed.columns if c not in ("_r", "length", *TIME_STATS)], "length", *[F.col(f"_r.{c}").alias(c) for c in cols], *TIME_STATS)

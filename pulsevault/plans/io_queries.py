@@ -9,6 +9,7 @@ from ..functions.time import T0, bucket_key
 from ..operators import buckets as B
 from ..operators import logs as L
 from ..operators import samples as P
+from ..sources import commits as C
 from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.shared import shared_path
@@ -145,10 +146,10 @@ def build() -> dict:
     def k02b(spark, d):
         path = shared_path(spark, "promoted")
         e = table(spark, d, "events").select("event_id", F.col("user_id").alias("v"), "event_type")
-        e.where("event_id % 3 = 0").select("event_id", "v").write.parquet(path)
-        W.append_promoted(e.where("event_id % 3 = 1").select("v", "event_id"), path)  # the same columns
-        W.append_promoted(e.where("event_id % 3 = 2").select("event_id", F.array(F.col("v").cast("double") / 2).alias("v"), "event_type"), path)
-        return spark.read.parquet(path).select("event_id", F.size("v").alias("n"), F.col("v")[0].alias("v"), "event_type")
+        C.append_promoted(e.where("event_id % 3 = 0").select("event_id", "v"), path)
+        C.append_promoted(e.where("event_id % 3 = 1").select("v", "event_id"), path)  # the same columns
+        C.append_promoted(e.where("event_id % 3 = 2").select("event_id", F.array(F.col("v").cast("double") / 2).alias("v"), "event_type"), path)
+        return C.read_table(spark, path).select("event_id", F.size("v").alias("n"), F.col("v")[0].alias("v"), "event_type")
 
     out["k02_append_promoted"] = k02b, "SELECT event_id, 1 AS n, CASE WHEN event_id % 3 = 2 THEN user_id / 2.0::DOUBLE ELSE CAST(user_id AS DOUBLE) END AS v, CASE WHEN event_id % 3 = 2 THEN event_type END AS event_type FROM events"
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import io_queries, log_queries, merge_queries, sample_queries, stats_queries
+from . import io_queries, log_queries, merge_queries, record_queries, sample_queries, stats_queries
 
 
 def _all() -> dict:
     out = {}
-    for module in (io_queries, sample_queries, stats_queries, merge_queries, log_queries):
+    for module in (io_queries, sample_queries, stats_queries, record_queries, merge_queries, log_queries):
         out |= module.build()
     return dict(sorted(out.items()))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.buckets import gather_payload
+from ..operators.hot_stats import balanced_stats
 from ..operators.stats import pack_vector, scalar_stats, vector_stats
 from .tables import COMPONENTS_SQL, components, scalar_samples, scalar_sql
 
@@ -90,6 +91,14 @@ SELECT pv, bucket, max(length) AS length, CAST(count(*) AS INTEGER) AS width, st
         gone = s.withColumn("x", F.when(F.col("pv").cast("int") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("x")))
         return scalar_stats(gone).select("pv", "bucket", "length", "min", "max", _round("mean"), _round("mad"), "peaks")
 
+    def hot(spark, sf_dir):
+        """One signal has half of all rows of a month; groups above 500 rows are spread."""
+        s = scalar_samples(spark, sf_dir, "month").withColumn("pv", F.when(F.col("seq") % 2 == 0, "hot").otherwise(F.col("pv")))
+        return balanced_stats(s, hot=500, most=200).select("pv", "bucket", *map(_round, DIGITS))
+
+    half = scalar_sql("month").replace("CAST(user_id AS VARCHAR)", "CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END")
+    out["a24_hot_signal"] = hot, f"{stats_sql(half, 'pv, bucket', True)} SELECT pv, bucket, {', '.join(map(_round_sql, DIGITS))} FROM st"
+
     base = scalar_sql().replace("WHEN event_id % 11 = 0 THEN NULL", "WHEN event_id % 11 = 0 OR user_id % 3 = 0 THEN NULL")
     out["a23_empty_input"] = empty, f"""{stats_sql(base, 'pv, bucket', True)} SELECT pv, bucket, length, "min", "max", {_round_sql('mean')}, {_round_sql('mad')}, peaks FROM st"""
     return out

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
 from ..operators.logs import file_kind
+from ..operators.merge import union_promote
+from ..operators.records import SHAPES
 from .shared import stored
 
 
@@ -35,15 +38,34 @@ def scan_catalog(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet archive; files that can't be read are left out."""
-    return spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
-
-
-def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, size of the Parquet files below path of which read_archive() gets no row: damaged, or empty."""
-    read = read_archive(spark, path).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return scan_catalog(spark, path, "*.{parquet,txt}").select("path", "size").join(read, "path", "left_anti")
+def read_shape(spark: SparkSession, path: str, shape: str) -> DataFrame | None:
+    """The records of one shape below path (folders date=.../shape=...), with the schema of that shape's own files and the
+    columns date and shape; None without such folders. A filter on date leaves out folders. Files that can't be read are left out."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", path)
+    try:
+        return reader.parquet(f"{path}/date=*/shape={shape}")
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def read_archive(spark: SparkSession, path: str, shapes: tuple[str, ...] = SHAPES) -> DataFrame:
+    """A Parquet archive whose folders are date=.../shape=...: a scan per shape, each with its own schema, put together with the
+    promoted type of every column. Files that can't be read are left out."""
+    found = [f for f in (read_shape(spark, path, s) for s in shapes) if f is not None]
+    if not found:
+        raise FileNotFoundError(path)
+    return union_promote(found)
+
+
+def unreadable_files(spark: SparkSession, path: str, shapes: tuple[str, ...] = SHAPES) -> DataFrame:
+    """path, size of the files below path of which read_archive() gets no row: damaged, or empty."""
+    found = [f for f in (read_shape(spark, path, s) for s in shapes) if f is not None]
+    files = scan_catalog(spark, path, "*.{parquet,txt}").select("path", "size")
+    for f in found:
+        files = files.join(f.select(F.col("_metadata.file_path").alias("path")).distinct(), "path", "left_anti")
+    return files
 
 
 def read_job_logs(spark: SparkSession, root: str) -> DataFrame:

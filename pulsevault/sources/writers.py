@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.merge import union_promote
-from .shared import stored
 
 
 def write_archive(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -14,22 +12,18 @@ def write_archive(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").option("parquet.enable.dictionary", "false").partitionBy("date", "shape").parquet(path)
 
 
+def write_records(found: dict[str, DataFrame], path: str, mode: str = "append") -> None:
+    """Records by shape, as an archive whose files have the schema of their shape. Rows of a day are dealt to as many files as their
+    bytes need."""
+    for shape, df in found.items():
+        write_archive(df.withColumn("shape", F.lit(shape)).hint("rebalance", "date"), path, mode)
+
+
 def replace_days(df: DataFrame, path: str) -> None:
     """Overwrites only the partitions that df has rows of."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
-def append_promoted(df: DataFrame, path: str) -> None:
-    """Appends df to the Parquet table at path. If their schemas differ, old and new rows take the promoted types of each
-    column and the table is written anew, by way of a copy in the shared folder."""
-    spark = df.sparkSession
-    old = spark.read.parquet(path)
-    if {f.name: f.dataType for f in old.schema} == {f.name: f.dataType for f in df.schema}:
-        df.select(*old.columns).write.mode("append").parquet(path)
-    else:
-        stored(union_promote([old, df]), "promoted").write.mode("overwrite").parquet(path)
-
-
 def rebuild_catalog(files: DataFrame, path: str) -> None:
     """Replaces the whole snapshot of the catalog (path, size, mtime)."""
     files.select("path", "size", "mtime").write.mode("overwrite").parquet(path)
