@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, dir_name
+from ..sources.shared import stored
 
 
 def normalised(path: Column) -> Column:
@@ -13,15 +14,32 @@ def normalised(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "/+", "/"), "(?<=.)/$", "")
 
 
-def exclude(files: DataFrame, tokens: DataFrame, most: int = 10_000) -> DataFrame:
-    """Files whose normalised path holds none of the tokens (token; blank ones and those after # don't count). Tokens are the
-    list of a configuration, looked for in every path where it lies; more than `most` of them are an error."""
+def _grams(c: Column, n: Column) -> Column:
+    """The distinct parts of n characters of a text, none of a shorter one."""
+    starts = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - n + 1))
+    return F.array_distinct(F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(c, i, n)))
+
+
+def exclude(files: DataFrame, tokens: DataFrame, few: int = 200, gram: int = 8) -> DataFrame:
+    """Files whose normalised path holds none of the tokens (token; blank ones and those after # don't count). Up to `few`
+    tokens are looked for where the path lies. More are found by an index: every token is entered under one of its parts of `gram`
+    characters (all of it, if it is shorter), the one that the fewest paths hold; paths meet tokens on that part, and those that hold
+    the token go. A token with a part that no path holds is not looked for."""
     wanted = tokens.select(F.trim("token").alias("token")).where("token != '' and not startswith(token, '#')").distinct()
-    few = [r[0] for r in wanted.limit(most + 1).collect()]
-    if len(few) > most:
-        raise ValueError(f"more than {most} tokens")
+    first = [r[0] for r in wanted.limit(few + 1).collect()]
     path = normalised(F.col("path"))
-    return files.where(~F.exists(F.lit(few), lambda t: F.contains(path, t))) if few else files
+    if len(first) <= few:
+        return files.where(~F.exists(F.lit(first), lambda t: F.contains(path, t))) if first else files
+    size = F.least(F.length("token"), F.lit(gram))
+    parts = stored(wanted.select("token", F.explode(_grams(F.col("token"), size)).alias("part")), "parts")
+    lengths = sorted(r[0] for r in parts.select(F.length("part")).distinct().collect())  # `gram` of them at most
+    paths = files.select(path.alias("_p")).where("_p is not null").distinct()
+    held = paths.select("_p", F.explode(F.concat(*[_grams(F.col("_p"), F.lit(n)) for n in lengths])).alias("part"))
+    held = held.join(parts.select("part").distinct(), "part", "left_semi")
+    rare = held.groupBy("part").agg(F.count("*").alias("n"))
+    entry = parts.join(rare, "part", "left").groupBy("token").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "part")).alias("r")).where("r.n > 0")
+    hit = held.join(entry.select("token", F.col("r.part").alias("part")), "part").where(F.contains("_p", F.col("token"))).select("_p").distinct()
+    return files.join(hit, path == F.col("_p"), "left_anti")
 
 
 def under_root(files: DataFrame, root: str) -> DataFrame:

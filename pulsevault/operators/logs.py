@@ -62,12 +62,17 @@ def resolved_events(events: DataFrame, inputs: DataFrame, out_root: str, in_root
     return events.join(found, F.col("target") == F.col("out")).select("file", "line_no", "status", F.col("path").alias("target"), "message")
 
 
+def file_status(events: DataFrame) -> DataFrame:
+    """file, target, line_no, status, message: the last event of each target in a file; a chunk line (then line_no is null) counts
+    only if the file has no other event of the target. Parts of a file may be put together by applying it to their results."""
+    told = F.max(F.when(F.col("status") != "chunked", F.struct("line_no", "status", "message"))).alias("r")
+    per_file = events.groupBy("file", "target").agg(told)
+    return per_file.select("file", "target", "r.line_no", F.coalesce("r.status", F.lit("chunked")).alias("status"), F.when(F.col("r").isNull(), "").otherwise(F.col("r.message")).alias("message"))
+
+
 def last_status(events: DataFrame) -> DataFrame:
-    """target, status, message: those of the last event of each target in order of file and line; a chunk line counts only if
-    the file has no other event of the target."""
-    told = F.struct("line_no", "status", "message")
-    per_file = events.groupBy("file", "target").agg(F.max(F.when(F.col("status") != "chunked", told)).alias("r"))
-    last = per_file.groupBy("target").agg(F.max_by(F.coalesce("r", F.struct(F.lit(None).cast("long").alias("line_no"), F.lit("chunked").alias("status"), F.lit("").alias("message"))), "file").alias("r"))
+    """target, status, message: those of the last event of each target in order of file and line, as file_status() tells."""
+    last = file_status(events).groupBy("target").agg(F.max_by(F.struct("status", "message"), "file").alias("r"))
     return last.select("target", "r.status", "r.message")
 
 

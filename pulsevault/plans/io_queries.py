@@ -15,9 +15,9 @@ from ..sources import writers as W
 from ..sources.shared import shared_path
 from ..streaming import jobs as S
 from ..operators.catalog import classify_schema
-from .log_queries import _EVENTS, _RETRY, _ROWS, _retry, summary_json, summary_rows
+from .log_queries import _RESOLVED, _RETRY, _ROWS, _retry, summary_json, summary_rows
 from .stats_queries import _round, _round_sql, stats_sql
-from .tables import CATALOG_SQL, LEDGER_SQL, LOGS_SQL, catalog, ledger, logs, scalar_samples, scalar_sql, table
+from .tables import CATALOG_SQL, LEDGER_SQL, LOGS_SQL, catalog, ledger, log_inputs, logs, scalar_samples, scalar_sql, table
 
 
 def _write_sample_text(spark, d):
@@ -259,32 +259,60 @@ SELECT (SELECT count(*) FROM l) AS total, (SELECT count(*) FROM l WHERE status I
     # means of 64 values end with the eighth digit
     out["t02_tumbling_month"] = tumbling("month", 8), f"WITH {scalar_sql('month')} SELECT pv, bucket, {algebraic.replace('avg(v), 6', 'avg(v), 8')} FROM s GROUP BY 1, 2"
 
-    def segments(spark, d, backwards):
-        path = shared_path(spark, "t03")
+    def with_state(spark, run):
+        """run() with the state store that transformWithState needs."""
         store, rocks = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         before = spark.conf.get(store)
         spark.conf.set(store, rocks)
         try:
-            s = S.stream_samples(spark, _stream_input(spark, d, backwards=backwards), files_per_tick=1).withColumn("bucket", bucket_key((F.col("t0") + F.floor("offset_ms")).cast("long"), "day", 9))
-            S.one_shot(S.strict_segments(s), path + "-cp", path=path)
+            run()
         finally:
             spark.conf.set(store, before)
+
+    def segments(spark, d, backwards):
+        path = shared_path(spark, "t03")
+        s = S.stream_samples(spark, _stream_input(spark, d, backwards=backwards), files_per_tick=1).withColumn("bucket", bucket_key((F.col("t0") + F.floor("offset_ms")).cast("long"), "day", 9))
+        with_state(spark, lambda: S.one_shot(S.strict_segments(s), path + "-cp", path=path))
         return spark.read.schema("pv string, bucket string, seq long, run int, late boolean").parquet(path)
 
+    def opened(spark, d):
+        """Every fifth sample comes three days late, every seventh one day; at most two days are open."""
+        path = shared_path(spark, "t03")
+        s = S.stream_samples(spark, _stream_input(spark, d), files_per_tick=1)
+        late = F.when(F.col("seq") % 5 == 0, 3).when(F.col("seq") % 7 == 0, 1).otherwise(0)
+        s = B.bucketize(s.withColumn("offset_ms", F.col("offset_ms") - late * 86_400_000), "day", 9)
+        with_state(spark, lambda: S.one_shot(S.open_buckets(s, 2), path + "-cp", path=path))
+        return S.flushes_of(spark.read.schema(S.FLUSH).parquet(path)).select("pv", "bucket", "opened", "length", "valid", F.round("total", 4).alias("total"), "min", "max", "open")
+
+    first = "coalesce(list_filter(r.opened, lambda b: b.bucket = q.bucket)[1].{0}, {1})"
+    now = f"""struct_pack(ts := q.ts, o := {first.format('o', 'q.seq')}, bucket := q.bucket, n := {first.format('n', '0')} + 1, valid := {first.format('valid', '0')} + CAST(q.v IS NOT NULL AS BIGINT), total := {first.format('total', '0')} + coalesce(q.v, 0),
+  low := least({first.format('low', 'q.v')}, coalesce(q.v, {first.format('low', 'NULL')})), high := greatest({first.format('high', 'q.v')}, coalesce(q.v, {first.format('high', 'NULL')})))"""
+    kind = "STRUCT(ts DOUBLE, o BIGINT, bucket VARCHAR, n BIGINT, valid BIGINT, total DOUBLE, low DOUBLE, high DOUBLE)"
+    told = 'pv, b.bucket AS bucket, b.o AS opened, b.n AS length, b.valid AS valid, CASE WHEN b.valid > 0 THEN round(b.total, 4) END AS total, b.low AS "min", b.high AS "max"'
+    late = "(CASE WHEN event_id % 5 = 0 THEN 3 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END)"
+    # one sample of every signal a step
+    out["t03_open_buckets"] = opened, f"""WITH RECURSIVE q AS (SELECT CAST(user_id AS VARCHAR) AS pv, event_id AS seq, CAST((epoch_us(ts) // 1000) - {late} * 86400000 AS DOUBLE) AS ts, CASE WHEN event_id % 11 <> 0 THEN value END AS v,
+    strftime(ts + INTERVAL 9 HOUR - to_days({late}), '%Y_%m_%d') AS bucket, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+r AS (SELECT DISTINCT pv, CAST(0 AS BIGINT) AS i, CAST([] AS {kind}[]) AS opened, CAST(NULL AS {kind}) AS gone FROM q
+  UNION ALL SELECT pv, i, CASE WHEN len(p) > 2 THEN list_filter(p, lambda b: b.bucket <> list_sort(p)[1].bucket) ELSE p END, CASE WHEN len(p) > 2 THEN list_sort(p)[1] END
+  FROM (SELECT q.pv, q.i, list_append(list_filter(r.opened, lambda b: b.bucket <> q.bucket), {now}) AS p FROM r JOIN q ON q.pv = r.pv AND q.i = r.i + 1))
+SELECT {told}, FALSE AS open FROM (SELECT pv, gone AS b FROM r WHERE gone IS NOT NULL) UNION ALL SELECT {told}, TRUE AS open FROM (SELECT pv, UNNEST(opened) AS b FROM (SELECT * FROM r QUALIFY i = max(i) OVER (PARTITION BY pv)))"""
+
     runs = """r AS (SELECT *, CASE WHEN bucket IS DISTINCT FROM lag(bucket) OVER (PARTITION BY pv ORDER BY seq) THEN 1 ELSE 0 END AS c FROM {0}), q AS (SELECT pv, bucket, seq, CAST(sum(c) OVER (PARTITION BY pv ORDER BY seq) AS INTEGER) AS run FROM r)"""
     out["t03_strict_segments"] = lambda spark, d: segments(spark, d, False), f"WITH {scalar_sql('day')}, {runs.format('s')} SELECT *, FALSE AS late FROM q"
     # files that come last to first: a sample is late if its PV has one in a file that came before
     out["t03_late_samples"] = lambda spark, d: segments(spark, d, True), f"""WITH {scalar_sql('day')}, p AS (SELECT s.*, max(i) AS part FROM s JOIN range(4) t(i) ON (SELECT max(event_id) + 1 FROM events) * i // 4 <= seq GROUP BY ALL),
 w AS (SELECT *, max(part) OVER (PARTITION BY pv) > part AS late FROM p), o AS (SELECT * FROM w WHERE NOT late), {runs.format('o')} SELECT *, FALSE AS late FROM q UNION ALL SELECT pv, bucket, seq, 0, TRUE FROM w WHERE late"""
 
+    t04_stats = ("length", "nan_count", "min", "max", "mean", "std", "snr", "rate_of_change", "mad", "peaks", "median_interval")
+
     def t04(spark, d):
         src, path = _stream_input(spark, d), shared_path(spark, "t04")
         stream = B.bucketize(S.stream_samples(spark, src, files_per_tick=1), "week", 9)
-        S.one_shot(stream, path + "-cp", S.touched_stats(spark, path + "-samples", lambda df: W.replace_days(df.withColumnRenamed("bucket", "date"), path)))
-        return spark.read.parquet(path).select("pv", F.col("date").alias("bucket"), *map(_round, ("length", "mean", "rate_of_change", "mad", "peaks", "median_interval")))
+        S.one_shot(stream, path + "-cp", S.incremental_stats(spark, path, slots=8))
+        return S.stats_now(spark, path).select("pv", "bucket", *map(_round, t04_stats))
 
-    cols = ", ".join(map(_round_sql, ("length", "mean", "rate_of_change", "mad", "peaks", "median_interval")))
-    out["t04_incremental_stats"] = t04, f"{stats_sql(scalar_sql(), 'pv, bucket', True)} SELECT pv, bucket, {cols} FROM st"
+    out["t04_incremental_stats"] = t04, f"{stats_sql(scalar_sql(), 'pv, bucket', True)} SELECT pv, bucket, {', '.join(map(_round_sql, t04_stats))} FROM st"
 
     def t05(spark, d):
         return upserted(spark, _stream_input(spark, d, backwards=True), 2)
@@ -301,13 +329,15 @@ w AS (SELECT *, max(part) OVER (PARTITION BY pv) > part AS late FROM p), o AS (S
 
     def t07(spark, d):
         src, path = shared_path(spark, "t07-in"), shared_path(spark, "t07")
-        rows = logs(spark, d).select(F.col("unique_file").alias("file"), "line_no", "line", F.col("ts").cast("timestamp").alias("event_ts"))
+        rows = logs(spark, d).select(F.col("unique_file").alias("file"), "line_no", "line")
         rows.repartitionByRange(4, "line_no").write.parquet(src)
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
-        S.one_shot(stream, path + "-cp", S.live_ledger(path))
-        return S.ledger_now(spark, path).select("path", "status", "message")
+        S.one_shot(stream, path + "-cp", S.live_ledger(spark, path, log_inputs(spark, d), "/out", "/data", compact_every=3))
+        return S.ledger_now(spark, path)
 
-    out["t07_live_ledger"] = t07, f"""WITH {_EVENTS} SELECT v.target AS path, status, message FROM v JOIN g ON g.event_id = v.line_no QUALIFY row_number() OVER (PARTITION BY v.target ORDER BY ts DESC, v.line_no DESC) = 1"""
+    # in each log a chunk line counts only if nothing came before; then the last line of the last log
+    out["t07_live_ledger"] = t07, f"""WITH {_RESOLVED}, f AS (SELECT *, row_number() OVER (PARTITION BY file, target ORDER BY line_no) AS i FROM r)
+SELECT target, status, message FROM f WHERE status <> 'chunked' OR i = 1 QUALIFY row_number() OVER (PARTITION BY target ORDER BY file DESC, line_no DESC) = 1"""
     return out
 
 

@@ -95,6 +95,14 @@ FROM e JOIN ty USING (pv) JOIN nv USING (pv)"""
 
     out["p11_is_excluded"] = p11, f"WITH {CATALOG_SQL} SELECT path, size FROM c WHERE NOT contains(path, 'src1/') AND NOT contains(path, '/fr/')"
 
+    def p11b(spark, d):
+        """A token for every third document, and some short ones."""
+        own = table(spark, d, "documents").where("doc_id % 3 = 0").select(F.concat(F.lit("/PV-"), "doc_id", F.lit("_2024")).alias("token"))
+        short = spark.createDataFrame([("src1/",), ("/fr",), ("_28.pb",), ("nothing has this",)], "token string")
+        return C.exclude(catalog(spark, d), own.unionByName(short), few=20).select("path", "size")
+
+    out["p11_exclude_many"] = p11b, f"WITH {CATALOG_SQL} SELECT path, size FROM c WHERE doc_id % 3 <> 0 AND NOT contains(path, 'src1/') AND NOT contains(path, '/fr') AND NOT contains(path, '_28.pb')"
+
     def p12(spark, d):
         c = catalog(spark, d).withColumn("chunk", F.concat(F.regexp_replace("path", r"\.pb$", ""), F.lit("_chunk"), F.lpad((F.col("doc_id") % 9).cast("string"), 4, "0"), F.lit(".parquet")))
         p = F.col("path")

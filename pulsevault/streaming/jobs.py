@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.ledger import upsert_status
-from ..operators.logs import log_events
-from ..operators.merge import dedupe_keep_last
+from ..operators.logs import file_status, last_status, log_events, resolved_events
+from ..operators.merge import dedupe_keep_last, last_by
 from ..operators.stats import scalar_stats
+from ..sources.commits import append_promoted, read_table, replace_part
 from ..sources.shared import stored
 
 SAMPLE = "pv string, seq long, t0 long, offset_ms double, x double"
@@ -99,21 +99,146 @@ def strict_segments(bucketed: DataFrame) -> DataFrame:
     return bucketed.select("pv", "bucket", "seq").groupBy("pv").transformWithStateInPandas(SegmentRuns(), "pv string, bucket string, seq long, run int, late boolean", "Append", "None")
 
 
-def touched_stats(spark: SparkSession, samples: str, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: keeps the samples of each batch under the folder `samples`, by batch and bucket, and recomputes all
-    statistics of the (pv, bucket) that the batch has samples of. Only the folders of its buckets are read, and write() gets
-    all PVs of a touched bucket, so that it can overwrite whole buckets."""
+class OpenBuckets(StatefulProcessor):
+    """Late samples with at most `most` open buckets a PV. A sample goes to its bucket, which it opens if need be; if more than `most`
+    are then open, the one whose latest sample (by arrival) has the least time is flushed, of equal ones that opened first. A bucket that comes
+    again is opened anew. State: the open buckets with their statistics so far; samples are not kept. With idle_ms, a PV
+    without samples for so long (by processing time) has all its buckets flushed."""
+
+    FIELDS = ("last", "opened", "length", "valid", "total", "min", "max")
+
+    def __init__(self, most: int = 1, idle_ms: int = 0):
+        self.most, self.idle_ms = max(1, most), idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "bucket string", "last double, opened long, length long, valid long, total double, min double, max double")
+
+    def _rows(self, pv: str, flushed: list[tuple[str, dict, bool]]) -> pd.DataFrame:
+        out = [(pv, bucket, b["opened"], b["length"], b["valid"], b["total"] if b["valid"] else None, b["min"], b["max"], still) for bucket, b, still in flushed]
+        frame = pd.DataFrame(out, columns=["pv", "bucket", "opened", "length", "valid", "total", "min", "max", "open"])
+        return frame.astype({"total": "float64", "min": "float64", "max": "float64"})
+
+    def _push(self, b: dict, rows: pd.DataFrame) -> None:
+        x = rows["x"].dropna()
+        b["last"], b["length"], b["valid"] = float(rows["at"].iloc[-1]), b["length"] + len(rows), b["valid"] + len(x)
+        if len(x):
+            b["total"] += float(x.sum())
+            b["min"] = float(x.min()) if b["min"] is None else min(b["min"], float(x.min()))
+            b["max"] = float(x.max()) if b["max"] is None else max(b["max"], float(x.max()))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        open_ = {k[0]: dict(zip(self.FIELDS, v, strict=True)) for k, v in self.open.iterator()}
+        found = pd.concat([r[["bucket", "seq", "at", "x"]] for r in rows]).sort_values("seq", kind="stable").reset_index(drop=True)
+        run, flushed, touched = (found["bucket"] != found["bucket"].shift()).cumsum(), [], set()
+        for _, same in found.groupby(run, sort=False):  # samples of one bucket after each other
+            bucket, at = same["bucket"].iloc[0], 0
+            touched.add(bucket)
+            while at < len(same):
+                if bucket in open_:
+                    self._push(open_[bucket], same.iloc[at:])
+                    break
+                open_[bucket] = {"last": 0.0, "opened": int(same["seq"].iloc[at]), "length": 0, "valid": 0, "total": 0.0, "min": None, "max": None}
+                self._push(open_[bucket], same.iloc[at : at + 1])
+                at += 1
+                if len(open_) > self.most:
+                    victim = min(open_, key=lambda k: (open_[k]["last"], open_[k]["opened"]))
+                    flushed.append((victim, open_.pop(victim), False))
+        flushed += [(k, b, True) for k, b in open_.items() if k in touched]
+        self.open.clear()
+        for k, b in open_.items():
+            self.open.updateValue((k,), tuple(b[f] for f in self.FIELDS))
+        if self.idle_ms:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield self._rows(key[0], flushed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        gone = [(k[0], dict(zip(self.FIELDS, v, strict=True)), False) for k, v in self.open.iterator()]
+        self.open.clear()
+        yield self._rows(key[0], gone)
+
+    def close(self) -> None:
+        pass
+
+
+FLUSH = "pv string, bucket string, opened long, length long, valid long, total double, min double, max double, open boolean"
+
+
+def open_buckets(bucketed: DataFrame, most: int = 1, idle_ms: int = 0) -> DataFrame:
+    """A stream of flushes (FLUSH) of a stream of samples (pv, bucket, seq, t0, offset_ms, x), keyed by pv; opened is the seq of the
+    first sample. Samples of a batch are taken in order of seq, batches as they come: files must be read in order of arrival.
+    Buckets still open after a batch that touched them are told with open = true; flushes_of() keeps the last word on each. Needs a state
+    store that transformWithState knows (RocksDB)."""
+    at = (F.col("t0") + F.col("offset_ms")).alias("at")
+    rows = bucketed.select("pv", "bucket", "seq", at, F.when(~F.isnan("x"), F.col("x")).alias("x"))
+    return rows.groupBy("pv").transformWithStateInPandas(OpenBuckets(most, idle_ms), FLUSH, "Append", "ProcessingTime" if idle_ms else "None")
+
+
+def flushes_of(rows: DataFrame) -> DataFrame:
+    """One row a flush, and one for each bucket that is still open, from what open_buckets() wrote."""
+    return last_by(rows.withColumn("_done", ~F.col("open")), ["pv", "bucket", "opened"], ["length", "_done"]).drop("_done")
+
+
+def part_moments(samples: DataFrame) -> DataFrame:
+    """pv, bucket and what the algebraic statistics of some samples are made of: length, nan_count, valid, min, max, mean and m2, the
+    squared deviations summed."""
+    v = F.when(~F.isnan("x"), F.col("x"))
+    return samples.groupBy("pv", "bucket").agg(
+        F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), F.count(v).alias("valid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"),
+    )
+
+
+def merged_moments(parts: DataFrame) -> DataFrame:
+    """The moments of all samples from those of parts of them; applied to its own results, and in any order, it gives the same."""
+    whole = Window.partitionBy("pv", "bucket")
+    centre = F.sum(F.col("mean") * F.col("valid")).over(whole) / F.nullif(F.sum("valid").over(whole), F.lit(0))
+    rows = parts.withColumn("_c", centre)
+    return rows.groupBy("pv", "bucket").agg(
+        F.sum("length").alias("length"), F.sum("nan_count").alias("nan_count"), F.sum("valid").alias("valid"), F.min("min").alias("min"), F.max("max").alias("max"), F.max("_c").alias("mean"),
+        F.sum(F.col("m2") + F.col("valid") * (F.col("mean") - F.col("_c")) * (F.col("mean") - F.col("_c"))).alias("m2"),
+    )
+
+
+def algebraic_stats(parts: DataFrame) -> DataFrame:
+    """A row per (pv, bucket): length, nan_count, min, max, mean, std, snr, cv."""
+    m = merged_moments(parts).withColumn("std", F.sqrt(F.try_divide(F.col("m2"), F.col("valid"))))
+    snr, cv = F.try_divide("mean", F.nullif("std", F.lit(0.0))), F.try_divide("std", F.abs(F.nullif("mean", F.lit(0.0))))
+    return m.select("pv", "bucket", "length", "nan_count", "min", "max", "mean", "std", snr.alias("snr"), cv.alias("cv"))
+
+
+def incremental_stats(spark: SparkSession, root: str, slots: int = 64) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function. Statistics that add up are kept as moments: a batch commits those of its own samples to root/moments and
+    reads nothing. Statistics that depend on order are computed anew for the (pv, bucket) that the batch has samples of, and
+    committed to root/ordered: samples lie by bucket and slot, a hash of their PV, so that a batch reads the slots of its own PVs.
+    A batch that is run again writes the same folders and commits the same rows again; stats_now() takes the last of each batch."""
+    samples = f"{root}/samples"
 
     def each(batch: DataFrame, n: int) -> None:
-        batch.withColumn("batch", F.lit(n)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(samples)
-        table = spark.read.parquet(samples)
-        buckets = [r[0] for r in table.where(F.col("batch") == n).select("bucket").distinct().collect()]  # of a calendar
-        if buckets:
-            write(scalar_stats(table.where(F.col("batch") <= n).where(F.col("bucket").isin(buckets))))
+        slot = F.pmod(F.xxhash64("pv"), F.lit(slots)).cast("int")
+        new = stored(batch.withColumns({"batch": F.lit(n), "slot": slot}), "batch")
+        places = new.select("bucket", "slot").distinct().collect()  # of a calendar times `slots`
+        if not places:
+            return
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket", "slot").parquet(samples)
+        append_promoted(part_moments(new).withColumn("batch", F.lit(n)), f"{root}/moments")
+        table = spark.read.schema(new.schema).parquet(samples).where(F.col("batch") <= n)
+        table = table.where(F.col("bucket").isin([r.bucket for r in places]) & F.col("slot").isin([r.slot for r in places]))
+        own = table.join(new.select("pv", "bucket").distinct(), ["pv", "bucket"], "left_semi")
+        append_promoted(scalar_stats(own).withColumn("batch", F.lit(n)), f"{root}/ordered")
 
     return each
 
 
+def stats_now(spark: SparkSession, root: str) -> DataFrame:
+    """All statistics of every (pv, bucket) as incremental_stats() keeps them."""
+    parts = last_by(read_table(spark, f"{root}/moments"), ["pv", "bucket", "batch"], ["length"])
+    algebraic = algebraic_stats(parts)
+    ordered = last_by(read_table(spark, f"{root}/ordered"), ["pv", "bucket"], ["batch"]).drop("batch")
+    return ordered.drop(*[c for c in algebraic.columns if c not in ("pv", "bucket")]).join(algebraic, ["pv", "bucket"])
+
+
 def upsert_batches(spark: SparkSession, folder: str, key: str, order: list[str], part: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: the table at folder, partitioned by the column `part`, holds the last row by order of each key in
     each partition, new rows before old ones where that ties. Only the partitions that a batch has rows of are read and
@@ -135,18 +260,23 @@ def upsert_batches(spark: SparkSession, folder: str, key: str, order: list[str],
     return each
 
 
-def live_ledger(folder: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: the last status of each target among the log lines (file, line_no, line, event_ts) of a batch, in
-    folder/batch=n. A batch costs its own lines only; ledger_now() puts the batches together."""
+def live_ledger(spark: SparkSession, root: str, inputs: DataFrame, out_root: str, in_root: str, naming: str = "dated", compact_every: int = 16) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the status of the inputs that log lines (file, line_no, line) tell of. A batch resolves the outputs
+    that its own lines name and commits its file_status() to the table at root; as that can be put together in any order, the rule
+    of the first event in a file holds over batches, and a batch that is run again changes nothing. Every `compact_every` batches the
+    table is written anew, for readers by one commit."""
 
     def each(batch: DataFrame, n: int) -> None:
-        events = log_events(batch, ["event_ts"]).select(F.col("target").alias("path"), "event_ts", "status", "message")
-        upsert_status(events.limit(0), events).write.mode("overwrite").parquet(f"{folder}/batch={n}")
+        state = file_status(resolved_events(log_events(batch), inputs, out_root, in_root, naming))
+        if (n + 1) % compact_every:
+            append_promoted(state, root)
+        else:
+            old = read_table(spark, root)
+            replace_part(state if old is None else file_status(old.unionByName(state)), root)
 
     return each
 
 
-def ledger_now(spark: SparkSession, folder: str) -> DataFrame:
-    """path, event_ts, status, message: the ledger that live_ledger() keeps."""
-    rows = spark.read.parquet(folder)
-    return upsert_status(rows.limit(0), rows)
+def ledger_now(spark: SparkSession, root: str) -> DataFrame:
+    """target, status, message: the ledger that live_ledger() keeps."""
+    return last_status(read_table(spark, root))

@@ -1,6 +1,7 @@
 """Operators on small inline frames with results worked out by hand or by numpy."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -236,3 +237,21 @@ def test_no_machine_local_folder_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         shared.shared_root(Session)
+
+
+def test_many_excluded_tokens_are_found_by_an_index(spark):
+    """Long and short tokens, tokens in all paths, in none, of the length of a whole path; equal to looking for each."""
+    import random
+
+    rng = random.Random(2)
+    paths = [f"/data/src{rng.randrange(9)}/PV-{rng.randrange(10**6)}_{rng.choice('abc')}.pb" for _ in range(300)] + ["\\x\\y//z/", "", None]
+    tokens = [f"PV-{rng.randrange(10**6)}" for _ in range(300)] + [p[6:-3] for p in paths[:20]] + [paths[40], "src3/", "8_a", "y/z", "longer than any path " * 9, " ", "#src", "# no", "y/z"]
+    files = spark.createDataFrame([(p, 1) for p in paths], "path string, size int")
+    listed = spark.createDataFrame([(t,) for t in tokens], "token string")
+    kept = lambda **kw: sorted(r.path for r in catalog.exclude(files, listed, **kw).collect() if r.path is not None)
+    clean = [t.strip() for t in tokens if t.strip() and not t.strip().startswith("#")]
+    norm = lambda p: re.sub("/+", "/", p.replace("\\", "/")).rstrip("/") or p
+    want = sorted(p for p in paths if p is not None and not any(t in norm(p) for t in clean))
+    assert kept(few=5) == kept(few=10_000) == want and 0 < len(want) < 280
+    assert kept(few=5, gram=3) == want
+    assert sorted(r.path for r in catalog.exclude(files.where("path is not null"), listed.limit(0)).collect()) == sorted(p for p in paths if p is not None)
