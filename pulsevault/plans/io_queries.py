@@ -20,12 +20,12 @@ from .stats_queries import _round, _round_sql, stats_sql
 from .tables import CATALOG_SQL, LEDGER_SQL, LOGS_SQL, catalog, ledger, log_inputs, logs, scalar_samples, scalar_sql, table
 
 
-def _write_sample_text(spark, d):
-    """A sample file per event type: header lines, then `offset value`; that of `view` lacks its t0, that of `error` its name."""
+def _write_sample_text(spark, d, no_t0="view"):
+    """A sample file per event type: header lines, then `offset value`; that of no_t0 lacks its t0, that of `error` its name."""
     path = shared_path(spark, "sample-text")
     s = P.samples_from_events(table(spark, d, "events"), "event_type").select("pv", F.lit(1).alias("part"), "seq", F.concat_ws(" ", F.col("offset_ms").cast("long"), "x").alias("line"))
     types = s.select("pv").distinct()
-    heads = [(0, F.concat(F.lit("# PV name TYPE:"), "pv"), "error"), (1, F.lit(f"# t0 {T0}"), "view"), (2, F.lit("# Nval 1"), ""), (3, F.lit(""), "")]
+    heads = [(0, F.concat(F.lit("# PV name TYPE:"), "pv"), "error"), (1, F.lit(f"# t0 {T0}"), no_t0), (2, F.lit("# Nval 1"), ""), (3, F.lit(""), "")]
     for i, line, without in heads:
         s = s.unionByName(types.where(F.col("pv") != without).select("pv", F.lit(0).alias("part"), F.lit(i).cast("long").alias("seq"), line.alias("line")))
     s.repartition("pv").sortWithinPartitions("pv", "part", "seq").select("line", F.col("pv").alias("kind")).write.partitionBy("kind").text(path)
@@ -237,10 +237,18 @@ SELECT (SELECT count(*) FROM l) AS total, (SELECT count(*) FROM l WHERE status I
 
     out["t01_stream_samples"] = t01, f"WITH {scalar_sql()} SELECT pv, seq, offset_ms FROM s"
 
+    def t01_text(spark, d):
+        path = shared_path(spark, "t01")
+        S.one_shot(S.stream_text(spark, _write_sample_text(spark, d, no_t0=""), files_per_tick=1), path + "-cp", S.keep_lines(spark, path))
+        p = P.demote_to_text(P.parse_lines(spark.read.parquet(f"{path}/lines")))
+        return p.select("pv", "nval", "value_type", "offset_ms", F.when(~F.isnan(F.col("vals")[0]), F.col("vals")[0]).alias("x"))
+
+    out["t01_stream_text"] = t01_text, f"WITH {scalar_sql(pv='event_type')} SELECT 'TYPE:' || pv AS pv, 1 AS nval, 'numeric' AS value_type, offset_ms, v AS x FROM s WHERE pv <> 'error'"
+
     def tumbled(spark, d, granularity):
         path = shared_path(spark, "t02")
         stream = S.tumbling(S.with_time(S.stream_samples(spark, _stream_input(spark, d))), granularity, 9, "10 days")
-        S.one_shot(stream, path + "-cp", S.keep_updates(path), mode="update")
+        S.one_shot(stream, path + "-cp", S.keep_updates(path, ["pv", "bucket"], compact_every=2), mode="update")
         return S.latest_updates(spark, path, ["pv", "bucket"])
 
     def tumbling(granularity, digits=6):
@@ -254,6 +262,11 @@ SELECT (SELECT count(*) FROM l) AS total, (SELECT count(*) FROM l WHERE status I
         return lambda batch, _: batch.write.mode("overwrite").parquet(path)
 
     algebraic = 'count(*) AS length, min(v) AS "min", max(v) AS "max", round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std'
+    def t02_months(spark, d):
+        found = tumbled(spark, d, "month")
+        return found.select("pv", "bucket", "length", "min", "max", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+    out["t02_closed_months"] = t02_months, f"WITH {scalar_sql('month')} SELECT pv, bucket, {algebraic} FROM s GROUP BY 1, 2"
     out["t02_tumbling_day"] = tumbling("day"), f"WITH {scalar_sql('day')} SELECT pv, bucket, {algebraic} FROM s GROUP BY 1, 2"
     out["t02_tumbling_week"] = tumbling("week"), f"WITH {scalar_sql('day')}, q AS (SELECT *, strftime(date_trunc('week', strptime(bucket, '%Y_%m_%d')), '%Y_%m_%d') AS w FROM s) SELECT pv, w AS bucket, {algebraic} FROM q GROUP BY 1, 2"
     # means of 64 values end with the eighth digit

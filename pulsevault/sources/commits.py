@@ -7,22 +7,24 @@ folders of a part's last commit. There is one writer at a time."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.merge import changed_inputs, last_by, union_promote
 from ..operators.records import SHAPES
 from .readers import read_shape, scan_catalog
 
-_LOG = "version long, kind string, part string, folder string"
+_LOG = "version long, kind string, part string, folder string, schema string"
 _INPUTS = "path string, size long, mtime timestamp"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    """version, kind (replace, append or inputs), part, folder: a row for every part that a commit changed."""
+    """version, kind (replace, append or inputs), part, folder, schema (as JSON): a row for every part that a commit changed."""
     try:
         return spark.read.schema(_LOG).json(f"{root}/log")
     except AnalysisException as e:
@@ -31,33 +33,39 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
         raise
 
 
-def commit(spark: SparkSession, root: str, rows: list[tuple[str, str, str]]) -> int:
-    """Adds a commit with rows (kind, part, folder) and returns its version."""
+def commit(spark: SparkSession, root: str, rows: list[tuple[str, str, str, str]]) -> int:
+    """Adds a commit with rows (kind, part, folder, schema) and returns its version."""
     version = (_log(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     spark.createDataFrame([(version, *r) for r in rows], _LOG).coalesce(1).write.mode("append").json(f"{root}/log")
     return version
 
 
-def folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
-    """The folders of every part: that of its last replacement and those appended since. Parts are days of a calendar or the like; their
-    list comes to the driver."""
+def _live(spark: SparkSession, root: str) -> list:
+    """part, folder, schema of every part: of its last replacement and what was appended since. Parts are days of a calendar or
+    the like; their list comes to the driver."""
     log = _log(spark, root).where("kind != 'inputs'")
     base = log.where("kind = 'replace'").groupBy("part").agg(F.max("version").alias("base"))
     live = log.join(base, "part", "left").where("base is null or version >= base")
+    return live.select("part", "folder", "schema", "version").orderBy("part", "version").collect()
+
+
+def folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The folders that hold each part now."""
     out: dict[str, list[str]] = {}
-    for r in live.select("part", "folder", "version").orderBy("part", "version").collect():
+    for r in _live(spark, root):
         out.setdefault(r.part, []).append(r.folder)
     return out
 
 
 def read_table(spark: SparkSession, root: str, parts: list[str] | None = None) -> DataFrame | None:
     """The rows of all parts, or of some, with the promoted type of every column; None if there are none. Every schema is one
-    scan."""
-    wanted = [f for part, own in folders(spark, root).items() if parts is None or part in parts for f in own]
+    scan; schemas come from the log, so no file is opened for them."""
     by_schema: dict[str, list[str]] = {}
-    for f in dict.fromkeys(wanted):
-        by_schema.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
-    return union_promote([spark.read.parquet(*own) for own in by_schema.values()]) if by_schema else None
+    for r in _live(spark, root):
+        if (parts is None or r.part in parts) and r.folder not in by_schema.setdefault(r.schema, []):
+            by_schema[r.schema].append(r.folder)
+    frames = [spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*own) for schema, own in by_schema.items() if own]
+    return union_promote(frames) if frames else None
 
 
 def _staged(df: DataFrame, root: str, kind: str) -> str:
@@ -68,12 +76,12 @@ def _staged(df: DataFrame, root: str, kind: str) -> str:
 
 def append_promoted(df: DataFrame, root: str, part: str = "all") -> int:
     """Appends df to a part of the table. Nothing that is there is read or written again: readers promote types."""
-    return commit(df.sparkSession, root, [("append", part, _staged(df, root, "data"))])
+    return commit(df.sparkSession, root, [("append", part, _staged(df, root, "data"), df.schema.json())])
 
 
 def replace_part(df: DataFrame, root: str, part: str = "all") -> int:
     """df instead of a part of the table."""
-    return commit(df.sparkSession, root, [("replace", part, _staged(df, root, "data"))])
+    return commit(df.sparkSession, root, [("replace", part, _staged(df, root, "data"), df.schema.json())])
 
 
 def done_inputs(spark: SparkSession, root: str) -> DataFrame:
@@ -108,5 +116,5 @@ def merge_days(spark: SparkSession, source: str, root: str, key: str = "pv", sha
     merged = last_by(union_promote(frames), ["date", key], ["_new", "_file"]).drop("_new", "_file")
     data = f"{root}/data/{uuid.uuid4().hex}"
     merged.withColumn("day", F.col("date")).hint("rebalance", "day").write.option("compression", "snappy").partitionBy("day").parquet(data)
-    commit(spark, root, [*[("replace", day, f"{data}/day={day}") for day in days], ("inputs", "", inputs)])
+    commit(spark, root, [*[("replace", day, f"{data}/day={day}", merged.schema.json()) for day in days], ("inputs", "", inputs, "")])
     return days

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,23 +19,83 @@ from ..operators.records import SHAPES
 from .shared import stored
 
 
+_RAW = "value string, src string, block long, seq long"
+
+
+def raw_lines(text: DataFrame) -> DataFrame:
+    """value, src, block of a text source or stream: the file and where its split begins."""
+    return text.select("value", F.col("_metadata.file_path").alias("src"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def in_order(raw: DataFrame) -> DataFrame:
+    """raw_lines() with seq, the order within the split."""
+    return raw.withColumn("seq", F.monotonically_increasing_id())
+
+
+def header_lines(raw: DataFrame) -> DataFrame:
+    """A row per file with lines: src, pv, t0, nval (null where its header lacks them) and blocks, where its last split begins."""
+    head = lambda key: F.max(F.when(F.col("value").startswith(f"# {key} "), F.trim(F.substring("value", len(key) + 3, 10**6))))
+    rows = raw.where(F.trim("value") != "")
+    return rows.groupBy("src").agg(head("PV name").alias("pv"), head("t0").try_cast("long").alias("t0"), head("Nval").try_cast("int").alias("nval"), F.max("block").alias("blocks"))
+
+
+def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Raw lines with the header fields that stand above them in their split; header lines and blank ones are left out. A scan
+    gives the lines of a split one after the other, so what is kept is one header."""
+    at, head = None, {}
+    for batch in batches:
+        value, src, block = batch.column(0), batch.column(1), batch.column(2)
+        marks = pc.fill_null(pc.starts_with(value, "#"), False).to_numpy(zero_copy_only=False)
+        blank = pc.fill_null(pc.equal(pc.utf8_trim(value, " "), ""), True).to_numpy(zero_copy_only=False)
+        files = pc.dictionary_encode(src).indices.to_numpy(zero_copy_only=False)
+        where = block.to_numpy(zero_copy_only=False)
+        new = np.flatnonzero((files[1:] != files[:-1]) | (where[1:] != where[:-1])) + 1
+        stops = np.unique(np.concatenate([[0], new, np.flatnonzero(marks), np.flatnonzero(marks) + 1, [batch.num_rows]]))
+        keys, fields = ("PV name", "t0", "Nval"), ([], [], [])
+        for a, b in itertools.pairwise(stops.tolist()):
+            if (place := (src[a].as_py(), int(where[a]))) != at:
+                at, head = place, {}
+            if marks[a]:
+                line = value[a].as_py()
+                for k in keys:
+                    if line.startswith(f"# {k} "):
+                        head[k] = line[len(k) + 3 :].strip(" ")
+            for out, k in zip(fields, keys, strict=True):
+                out.append((head.get(k), b - a))
+        keep = pa.array(~marks & ~blank)
+        spread = [pa.array(np.repeat(np.array([v for v, _ in f], object), [n for _, n in f]), pa.string()) for f in fields]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *spread], names=["value", "src", "block", "seq", "pv", "t0", "nval"]).filter(keep)
+
+
+def sample_lines(raw: DataFrame, files: DataFrame, first_t0: int | None, first_nval: int | None) -> DataFrame:
+    """src, pv, t0, nval, block, seq, line of raw lines. A file's header stands at its top, and so above the lines of its first
+    split; lines of later splits take it from files (as header_lines() gives them), of which only those with several splits are
+    broadcast, one for every split's bytes of input at most. t0 and nval that a file lacks are the given ones; lines without a
+    PV name or t0 are left out. No line is shuffled."""
+    long = files.where("blocks > 0").select(F.col("src").alias("_src"), F.col("pv").alias("_pv"), F.col("t0").alias("_t0"), F.col("nval").alias("_nval"))
+    rows = raw.mapInArrow(_carried, f"{_RAW}, pv string, t0 string, nval string").join(F.broadcast(long), F.col("src") == F.col("_src"), "left")
+    t0, nval = F.coalesce(F.col("t0").try_cast("long"), "_t0", F.lit(first_t0).cast("long")), F.coalesce(F.col("nval").try_cast("int"), "_nval", F.lit(first_nval).cast("int"))
+    lines = rows.select("src", F.coalesce("pv", "_pv").alias("pv"), t0.alias("t0"), nval.alias("nval"), "block", "seq", F.col("value").alias("line"))
+    return lines.where("pv is not null and t0 is not null")
+
+
+def first_headers(files: DataFrame) -> tuple[int | None, int | None]:
+    """t0 and nval of the first file, by name, that has them."""
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("src")))
+    r = files.agg(first("t0").alias("t0"), first("nval").alias("nval")).first()
+    return r.t0, r.nval
+
+
 def read_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(lines, rejects) of decoded sample files. lines: src, pv, t0, nval, block, seq, line; the order of arrival in a file is
     that of (block, seq), however its file is split. A file's header is its `# key value` lines; t0 and Nval that it lacks are
     those of the first file in the set that has them. Files without PV name, or without t0 anywhere, go to rejects (src,
     reason)."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("src"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
-    rows = raw.where(F.trim("value") != "")
-    head = lambda key: F.max(F.when(F.col("value").startswith(f"# {key} "), F.trim(F.substring("value", len(key) + 3, 10**6))))
-    headers = rows.where(F.startswith("value", F.lit("#"))).groupBy("src").agg(head("PV name").alias("pv"), head("t0").try_cast("long").alias("t0"), head("Nval").try_cast("int").alias("nval"))
-    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("src", c)))[c].alias(f"first_{c}")
-    of_set = F.broadcast(headers.agg(first("t0"), first("nval")))  # one row
-    files = rows.select("src").distinct().join(headers, "src", "left").join(of_set).select("src", "pv", F.coalesce("t0", "first_t0").alias("t0"), F.coalesce("nval", "first_nval").alias("nval"))
-    files = stored(files, "headers")
-    rejects = files.where("pv is null or t0 is null").select("src", F.when(F.col("pv").isNull(), "no PV name").otherwise("no t0").alias("reason"))
-    good = files.where("pv is not null and t0 is not null")
-    lines = rows.where(~F.startswith("value", F.lit("#"))).join(good, "src").select("src", "pv", "t0", "nval", "block", "seq", F.col("value").alias("line"))
-    return lines, rejects
+    raw = in_order(raw_lines(spark.read.text(path)))
+    files = stored(header_lines(raw), "headers")
+    t0, nval = first_headers(files)
+    missing = F.when(F.col("pv").isNull(), "no PV name").when(F.coalesce("t0", F.lit(t0).cast("long")).isNull(), "no t0")
+    return sample_lines(raw, files, t0, nval), files.select("src", missing.alias("reason")).where("reason is not null")
 
 
 def scan_catalog(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

@@ -13,6 +13,7 @@ from ..operators.logs import file_status, last_status, log_events, resolved_even
 from ..operators.merge import dedupe_keep_last, last_by
 from ..operators.stats import scalar_stats
 from ..sources.commits import append_promoted, read_table, replace_part
+from ..sources.readers import first_headers, header_lines, in_order, raw_lines, sample_lines
 from ..sources.shared import stored
 
 SAMPLE = "pv string, seq long, t0 long, offset_ms double, x double"
@@ -23,19 +24,45 @@ def stream_samples(spark: SparkSession, path: str, schema: str = SAMPLE, files_p
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_tick).parquet(path)
 
 
+def stream_text(spark: SparkSession, path: str, files_per_tick: int = 4) -> DataFrame:
+    """The raw lines of new sample text files under path."""
+    return raw_lines(spark.readStream.option("maxFilesPerTrigger", files_per_tick).text(path))
+
+
+def keep_lines(spark: SparkSession, folder: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function of stream_text(): the lines of each batch, as read_samples() gives them, in folder/lines/batch=n and the
+    headers of its files in folder/headers/batch=n. A file is read in one batch; t0 and Nval that it lacks are those of the
+    first file, by name, among the headers kept so far."""
+
+    def each(batch: DataFrame, n: int) -> None:
+        raw = in_order(batch)
+        header_lines(raw).write.mode("overwrite").parquet(f"{folder}/headers/batch={n}")
+        kept = spark.read.parquet(f"{folder}/headers").where(F.col("batch") <= n)
+        sample_lines(raw, kept.where(F.col("batch") == n), *first_headers(kept)).write.mode("overwrite").parquet(f"{folder}/lines/batch={n}")
+
+    return each
+
+
 def with_time(samples: DataFrame) -> DataFrame:
     return samples.withColumn("ts", F.timestamp_millis((F.col("t0") + F.floor("offset_ms")).cast("long")))
 
 
 def tumbling(samples: DataFrame, granularity: str = "day", tz_hours: int = 0, late: str = "1 day") -> DataFrame:
     """Algebraic statistics of each (pv, window): bucket, length, valid (values that are no NaN), min, max, mean, std. Samples
-    later than `late` are left out and the state of windows that far back is freed. Months are no windows of Spark: run days
-    and add them up with months_of()."""
-    starts = {"day": ("1 day", -tz_hours), "week": ("7 days", 4 * 24 - tz_hours)}
-    size, shift = starts[granularity]
-    w = F.window("ts", size, size, f"{shift % (24 if granularity == 'day' else 168)} hours")
+    later than `late` are left out and the state of windows that far back is freed. Months are no windows of Spark: there the watermark is
+    on the months' ends, and a month's state is freed when a sample is `late` and 31 days beyond its end, so that two or three are
+    kept."""
     v = F.when(~F.isnan("x"), F.col("x"))
-    out = samples.withWatermark("ts", late).groupBy("pv", w.alias("w")).agg(F.count("*").alias("length"), F.count(v).alias("valid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    stats = [F.count("*").alias("length"), F.count(v).alias("valid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std")]
+    shift = F.make_dt_interval(hours=F.lit(tz_hours))
+    if granularity == "month":
+        ends = samples.withColumn("_end", F.add_months(F.trunc(F.col("ts") + shift, "month"), 1).cast("timestamp"))
+        out = ends.withWatermark("_end", f"{late} 31 days").groupBy("pv", "_end").agg(*stats)
+        return out.select("pv", F.date_format(F.date_sub("_end", 1), "yyyy_MM").alias("bucket"), "length", "valid", "min", "max", "mean", "std")
+    starts = {"day": ("1 day", -tz_hours), "week": ("7 days", 4 * 24 - tz_hours)}
+    size, start = starts[granularity]
+    w = F.window("ts", size, size, f"{start % (24 if granularity == 'day' else 168)} hours")
+    out = samples.withWatermark("ts", late).groupBy("pv", w.alias("w")).agg(*stats)
     local = F.date_from_unix_date(F.floor((F.unix_seconds("w.start") + tz_hours * 3600) / 86400).cast("int"))
     return out.select("pv", F.date_format(local, "yyyy_MM_dd").alias("bucket"), "length", "valid", "min", "max", "mean", "std")
 
@@ -49,17 +76,24 @@ def months_of(days: DataFrame) -> DataFrame:
     return whole.withColumn("std", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))).drop("square")
 
 
-def keep_updates(folder: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function of an update-mode aggregate: each batch's changed rows in folder/batch=n; a batch that is run
-    again writes the same folder again."""
-    return lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+def keep_updates(root: str, keys: list[str], compact_every: int = 16) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function of an update-mode aggregate: commits each batch's changed rows to the table at root and puts them
+    together every `compact_every` batches. The last batch counts; one that is run again commits the same rows again."""
+
+    def each(batch: DataFrame, n: int) -> None:
+        new = batch.withColumn("batch", F.lit(n))
+        if (n + 1) % compact_every:
+            append_promoted(new, root)
+        else:
+            old = read_table(batch.sparkSession, root)
+            replace_part(last_by(new if old is None else old.unionByName(stored(new, "batch")), keys, ["batch"]), root)
+
+    return each
 
 
-def latest_updates(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
-    """The last row of each key that keep_updates() wrote."""
-    rows = spark.read.parquet(folder)
-    rest = [c for c in rows.columns if c not in (*keys, "batch")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+def latest_updates(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """The last row of each key that keep_updates() kept."""
+    return last_by(read_table(spark, root), keys, ["batch"]).drop("batch")
 
 
 def one_shot(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None] | None = None, path: str | None = None, mode: str = "append") -> None:

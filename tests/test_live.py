@@ -175,3 +175,31 @@ def test_moments_merge_in_any_order(spark):
     nested = jobs.merged_moments(jobs.merged_moments(parts[2].unionByName(parts[0])).unionByName(parts[1]))
     r = jobs.algebraic_stats(nested).first()
     assert (r.length, r.nan_count, r.min, r.max) == (6, 1, 1, 20) and r.mean == pytest.approx(7.2) and r.std == pytest.approx(7.1386273190299)
+
+
+def test_text_files_over_batches_equal_the_batch_reader(spark, tmp_path):
+    from pulsevault.sources import readers
+
+    for i in range(5):
+        (tmp_path / f"f{i}.txt").write_text("\n".join([f"# PV name P{i}", *([f"# t0 {i + 1}", "# Nval 1"] if i != 3 else []), *[f"{j} {i}.5" for j in range(20)]]) + "\n")
+    out = shared_path(spark, "text")
+    jobs.one_shot(jobs.stream_text(spark, f"file://{tmp_path}", files_per_tick=2), out + "-cp", jobs.keep_lines(spark, out))
+    jobs.one_shot(jobs.stream_text(spark, f"file://{tmp_path}", files_per_tick=2), out + "-cp", jobs.keep_lines(spark, out))  # nothing new
+    cols = ["src", "pv", "t0", "nval", "line"]
+    got = sorted(map(tuple, spark.read.parquet(f"{out}/lines").select(*cols).collect()))
+    want = sorted(map(tuple, readers.read_samples(spark, f"file://{tmp_path}")[0].select(*cols).collect()))
+    assert got == want and len(got) == 100
+
+
+def test_months_close(spark):
+    """A sample so late that its month has been freed is left out; months that are open take late ones."""
+    src, path = shared_path(spark, "months-in"), shared_path(spark, "months")
+    stamp = lambda m, d: 1704034800000 + int((pd.Timestamp(2024, m, d) - pd.Timestamp(2024, 1, 1)).total_seconds() * 1000)
+    for part in ([(1, 5), (1, 20)], [(2, 3)], [(1, 31), (2, 9)], [(5, 2)], [(5, 3)], [(1, 9), (4, 30)]):
+        rows = [("p", i, stamp(m, d), 0.0, float(d)) for i, (m, d) in enumerate(part)]
+        spark.createDataFrame(rows, jobs.SAMPLE).coalesce(1).write.mode("append").parquet(src)
+    stream = jobs.tumbling(jobs.with_time(jobs.stream_samples(spark, src, files_per_tick=1)), "month", 9, "1 day")
+    jobs.one_shot(stream, path + "-cp", jobs.keep_updates(path, ["pv", "bucket"], compact_every=3), mode="update")
+    got = {r.bucket: (r.length, r["min"], r["max"]) for r in jobs.latest_updates(spark, path, ["pv", "bucket"]).collect()}
+    assert got == {"2024_01": (3, 5, 31), "2024_02": (2, 3, 9), "2024_04": (1, 30, 30), "2024_05": (2, 2, 3)}
+    assert len(commits.folders(spark, path)["all"]) < 6

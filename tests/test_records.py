@@ -162,3 +162,37 @@ def test_hot_signal_is_spread_evenly_with_equal_results(spark, vector, monkeypat
         assert all(got[k][c] == pytest.approx(w[c], rel=1e-9, nan_ok=True) for c in w if c not in ("pv", "bucket", "comp"))
     sizes = [r["count"] for r in tables["ranges"].groupBy("_p").count().collect()]
     assert max(sizes) < 2 * sum(sizes) / len(sizes) and len(sizes) > 4
+
+
+def _files(tmp_path, texts):
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    return f"file://{tmp_path}"
+
+
+def test_headers_are_carried_within_files(spark, tmp_path):
+    path = _files(tmp_path, {
+        "a.txt": ["# file x", "# PV name A:1", "# t0 5", "# Nval 2", "", "10 1 2", "  ", "20 3 4"], "b.txt": ["# PV name B", "1 2"], "c.txt": ["# t0 7", "1 9"], "d.txt": ["# PV name D", "# t0 x", "# Nval 3", "5 5", "6 6"], "e.txt": [""],
+    })
+    lines, rejects = readers.read_samples(spark, path)
+    got = [(r.pv, r.t0, r.nval, r.line) for r in lines.orderBy("src", "block", "seq").collect()]
+    assert got == [("A:1", 5, 2, "10 1 2"), ("A:1", 5, 2, "20 3 4"), ("B", 5, 2, "1 2"), ("D", 5, 3, "5 5"), ("D", 5, 3, "6 6")]
+    assert [(r.src[-5:], r.reason) for r in rejects.collect()] == [("c.txt", "no PV name")]
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("FileScan text") == 1
+
+
+def test_headers_of_files_with_many_splits(spark, tmp_path):
+    path = _files(tmp_path, {f"{k}.txt": [f"# PV name {k}", "# t0 1", *[f"{i} {i * i}" for i in range(n)]] for k, n in (("long", 4000), ("short", 3), ("more", 900))})
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        lines, _ = readers.read_samples(spark, path)
+        assert lines.select("src", "block").distinct().count() > 8
+        got = {}
+        for r in lines.orderBy("src", "block", "seq").collect():
+            got.setdefault(r.pv, []).append(r.line)
+    finally:
+        spark.conf.set(key, before)
+    assert got == {k: [f"{i} {i * i}" for i in range(n)] for k, n in (("long", 4000), ("short", 3), ("more", 900))}
