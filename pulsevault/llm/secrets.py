@@ -51,11 +51,16 @@ _SSH_MAGIC = b"openssh-key-v1\x00"
 _SSH_NAME = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+")
 
 
+#: Elements that a sequence of a key holds at most; keys of all kinds and certificates have about ten. A start that claims more is
+#: given up there, so that each costs a bounded time.
+_MOST_ITEMS = 32
+
+
 def der_items(data: bytes, at: int = 0, end: int | None = None) -> list[tuple[int, int, int]] | None:
     """(tag, start, end) of the elements that fill data[at:end] exactly, else None."""
     end, out = len(data) if end is None else end, []
     while at < end:
-        if at + 2 > end:
+        if at + 2 > end or len(out) == _MOST_ITEMS:
             return None
         tag, size, at = data[at], data[at + 1], at + 2
         if size & 0x80:
@@ -94,7 +99,7 @@ def is_der_key(data: bytes) -> bool:
 
 def is_ssh_blob(data: bytes) -> bool:
     """Length-prefixed fields that start with a key type and fill data, or the container of a private key."""
-    if data.startswith(_SSH_MAGIC):
+    if bytes(data[: len(_SSH_MAGIC)]) == _SSH_MAGIC:
         at = len(_SSH_MAGIC)
         for _ in range(3):  # cipher, derivation, its options
             if at + 4 > len(data):
@@ -102,7 +107,7 @@ def is_ssh_blob(data: bytes) -> bool:
             at += 4 + int.from_bytes(data[at : at + 4], "big")
         return at + 4 <= len(data)
     at, fields = 0, []
-    while at + 4 <= len(data):
+    while at + 4 <= len(data) and len(fields) <= _MOST_FIELDS:
         size = int.from_bytes(data[at : at + 4], "big")
         fields.append(data[at + 4 : at + 4 + size])
         at += 4 + size
@@ -134,22 +139,19 @@ def _key_kind(data: bytes | None) -> str | None:
 _MOST_FIELDS = 64  # of a key blob; certificates have about 14
 
 
-def _key_sizes(run: str, at: int) -> list[int]:
-    """Numbers of bytes, the largest first, after which a key that the base64 run[at:] starts with may end. Only the few
-    characters that hold a length are decoded."""
-    most = (len(run) - at) * 3 // 4
+def _key_sizes(data: memoryview) -> list[int]:
+    """Numbers of bytes, the largest first, after which a key that starts data may end. Only lengths are looked at."""
+    most = len(data)
 
     def number(i: int, size: int) -> int:
-        a, b = at + i // 3 * 4, at + -(-(i + size) // 3) * 4
-        data = _decoded(run[a:b]) or b""
-        return int.from_bytes(data[i % 3 : i % 3 + size], "big")
+        return int.from_bytes(data[i : i + size], "big")
 
-    if run.startswith("M", at):  # a SEQUENCE
+    if most and data[0] == 0x30:  # a SEQUENCE
         first = number(1, 1)
         k = first & 0x7F if first & 0x80 else 0
         size = 2 + k + (number(2, k) if k <= 4 else most) if k else 2 + first
         return [size] if 6 <= size <= most else []
-    pos, out, private = 0, [], run.startswith("b3Bl", at)
+    pos, out, private = 0, [], bytes(data[:3]) == b"ope"
     if private:
         out.append(most)
         pos = len(_SSH_MAGIC)
@@ -185,15 +187,21 @@ def _base64_keys(text: str, m: re.Match) -> list[tuple[int, int, str]]:
     firsts = [0, *itertools.accumulate(b - a for a, b in zip(starts, stops, strict=True))]
     firsts[-1] = len(run)
     place = {at: j for j, at in enumerate(firsts[1:])}  # characters up to a line's end
+    read: dict[int, memoryview] = {}  # the run decoded once from each of its first four places; keys are parts of that
     out, i = [], 0
     while i < len(starts):
         at, found = firsts[i], None
         head = run[at : at + 64]
         ssh = head.startswith(("AAAA", "b3Bl")) and _is_ssh_head(_decoded(head[: len(head) // 4 * 4]) or b"")
-        sizes = _key_sizes(run, at) if ssh or head.startswith("M") else []
-        for size in sizes:
+        data = memoryview(b"")
+        if ssh or head.startswith("M"):
+            if at % 4 not in read:
+                rest = run[at % 4 :]
+                read[at % 4] = memoryview(_decoded(rest[: len(rest) - (len(rest) % 4 == 1)]) or b"")
+            data = read[at % 4][at // 4 * 3 :]
+        for size in _key_sizes(data) if len(data) else []:
             need = -(-4 * size // 3)
-            if need >= 40 and at + need in place and (kind := _key_kind((_decoded(run[at : at + need]) or b"")[:size])):
+            if need >= 40 and at + need in place and (kind := _key_kind(data[:size])):
                 found = place[at + need]
                 out.append((starts[i], stops[found], kind))
                 break

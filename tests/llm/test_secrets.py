@@ -129,3 +129,22 @@ def test_time_is_linear_in_the_text(t):
     began = time.process_time()
     S.spans_of(t)
     assert time.process_time() - began < 10  # a second on a machine of usual speed; hours with patterns that backtrack
+
+
+@pytest.mark.parametrize("kind", ["sequences", "sequences of nothing", "ssh fields", "one octet string"])
+def test_lines_that_each_claim_the_rest_take_linear_time(kind):
+    import base64
+    import time
+
+    lines, n = [], 15_000
+    for i in range(n):
+        left = (n - i) * 48
+        if kind == "ssh fields":
+            raw = b"\x00\x00\x00\x07ssh-rsa" + bytes(37)
+        else:
+            inner = b"\x05\x00" * 24 if kind == "sequences of nothing" else b"\x02\x01\x00\x04\x83" + (left - 12).to_bytes(3, "big") + b"\x01" * 40
+            raw = (b"\x30\x83" + (left - 5).to_bytes(3, "big") + (inner if kind != "sequences" else b"\x07" * 43))[:48]
+        lines.append(base64.b64encode(raw).decode())
+    began = time.process_time()
+    S.spans_of("\n".join(lines))
+    assert time.process_time() - began < 3
