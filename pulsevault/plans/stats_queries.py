@@ -37,13 +37,13 @@ st AS (
   FROM w GROUP BY {keys})"""
 
 
-def _round(name: str):
-    d = DIGITS[name]
+def _round(name: str, digits: dict = DIGITS):
+    d = digits[name]
     return F.col(name) if d is None else F.round(F.col(name), d).alias(name)
 
 
-def _round_sql(name: str) -> str:
-    d = DIGITS[name]
+def _round_sql(name: str, digits: dict = DIGITS) -> str:
+    d = digits[name]
     return f'"{name}"' if d is None else f'round("{name}", {d}) AS "{name}"'
 
 
@@ -91,13 +91,15 @@ SELECT pv, bucket, max(length) AS length, CAST(count(*) AS INTEGER) AS width, st
         gone = s.withColumn("x", F.when(F.col("pv").cast("int") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("x")))
         return scalar_stats(gone).select("pv", "bucket", "length", "min", "max", _round("mean"), _round("mad"), "peaks")
 
+    months = DIGITS | {"mean": 9, "rate_of_change": 9}  # means of 64 or 128 values end there
+
     def hot(spark, sf_dir):
         """One signal has half of all rows of a month; groups above 500 rows are spread."""
         s = scalar_samples(spark, sf_dir, "month").withColumn("pv", F.when(F.col("seq") % 2 == 0, "hot").otherwise(F.col("pv")))
-        return balanced_stats(s, hot=500, most=200).select("pv", "bucket", *map(_round, DIGITS))
+        return balanced_stats(s, hot=500, most=200).select("pv", "bucket", *[_round(c, months) for c in DIGITS])
 
     half = scalar_sql("month").replace("CAST(user_id AS VARCHAR)", "CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END")
-    out["a24_hot_signal"] = hot, f"{stats_sql(half, 'pv, bucket', True)} SELECT pv, bucket, {', '.join(map(_round_sql, DIGITS))} FROM st"
+    out["a24_hot_signal"] = hot, f"{stats_sql(half, 'pv, bucket', True)} SELECT pv, bucket, {', '.join(_round_sql(c, months) for c in DIGITS)} FROM st"
 
     base = scalar_sql().replace("WHEN event_id % 11 = 0 THEN NULL", "WHEN event_id % 11 = 0 OR user_id % 3 = 0 THEN NULL")
     out["a23_empty_input"] = empty, f"""{stats_sql(base, 'pv, bucket', True)} SELECT pv, bucket, length, "min", "max", {_round_sql('mean')}, {_round_sql('mad')}, peaks FROM st"""
