@@ -48,9 +48,14 @@ def merge_runs(runs: DataFrame, events: DataFrame) -> DataFrame:
     return both.groupBy("run_id").agg(F.max("date").alias("date"), F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"), F.max_by("status", F.struct("started_at", "status")).alias("status"))
 
 
-def running_now(runs: DataFrame, now: str, minutes: int) -> DataFrame:
-    """date, run_id: the latest unfinished run of each date that began less than `minutes` ago."""
-    young = runs.where(F.col("finished_at").isNull() & (F.col("started_at") > F.to_timestamp(F.lit(now)) - F.make_dt_interval(mins=F.lit(minutes))))
+#: The status of a merge run that has begun and not ended (fixed by the ledger's format).
+BEGUN = "starting"
+
+
+def running_now(runs: DataFrame, now: str, minutes: int, status: str = BEGUN) -> DataFrame:
+    """date, run_id: the latest unfinished run of each date that has the status of one that has begun, less than `minutes` ago."""
+    begun = runs.where((F.col("status") == status) & F.col("finished_at").isNull())
+    young = begun.where(F.col("started_at") > F.to_timestamp(F.lit(now)) - F.make_dt_interval(mins=F.lit(minutes)))
     return young.groupBy("date").agg(F.max(F.struct("started_at", "run_id")).alias("r")).select("date", "r.run_id")
 
 
