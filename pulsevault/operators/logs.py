@@ -101,19 +101,22 @@ def _merge_kind(ls: Column) -> Column:
 
 def job_facts(lines: DataFrame) -> DataFrame:
     """A row per log: submission, file, kind, started, ended, peak_gb, saved, chunks, pv_merges, date_merges, unsplit_merges,
-    failures, input_bytes, has_marker. What a line tells depends on the kind of its log."""
-    ls, kind = F.trim(F.col("line")), file_kind(F.col("file"))
+    failures, input_bytes, has_marker. What a line tells depends on the kind of its log. Lines are read once, into a stored table of
+    what each tells, so that the aggregate is one of plain columns."""
+    ls, kind = F.trim(F.col("line")), F.col("kind")
     small, big, rest = kind == "small", kind == "big", kind.isin("legacy", "other")
     chunk = big & _is_chunk(ls)
     peak = F.when(small & ls.startswith("Peak RSS"), parse_size(after_colon(ls)) / 1024.0**3).when(chunk, parse_rss(ls))
     total = F.when(small & F.contains(ls, F.lit("Total .pb input size")), parse_size(after_colon(ls)))
     stamp = lambda a, b: F.when((small & ls.startswith(a)) | (big & ls.startswith(b)), after_colon(ls)).try_cast("timestamp_ntz")
-    merges = [F.count_if(rest & (_merge_kind(ls) == m)).alias(n) for m, n in (("pv_merged", "pv_merges"), ("date_merged", "date_merges"), ("unsplit_merged", "unsplit_merges"))]
-    return lines.groupBy("submission", "file").agg(
-        F.first(kind).alias("kind"), F.min(stamp("Start time", "Started at")).alias("started"), F.max(stamp("End time", "Finished at")).alias("ended"),
-        F.coalesce(F.max(peak), F.lit(0.0)).alias("peak_gb"), F.count_if(small & ls.startswith("SAVED:")).alias("saved"), F.count_if(chunk).alias("chunks"), *merges,
-        F.count_if(is_failure(F.col("line"))).alias("failures"), F.coalesce(F.sum(total), F.lit(0)).cast("long").alias("input_bytes"),
-        F.bool_or(_any([F.contains(ls, F.lit(m)) for m in SUMMARY_MARKERS])).alias("has_marker"),
+    told = lines.withColumn("kind", file_kind(F.col("file"))).select(
+        "submission", "file", "kind", stamp("Start time", "Started at").alias("started"), stamp("End time", "Finished at").alias("ended"), peak.alias("peak"), (small & ls.startswith("SAVED:")).alias("saved"), chunk.alias("chunk"),
+        F.when(rest, _merge_kind(ls)).alias("merge"), is_failure(F.col("line")).alias("failure"), total.alias("total"), _any([F.contains(ls, F.lit(m)) for m in SUMMARY_MARKERS]).alias("marker"),
+    )
+    merges = [F.count_if(F.col("merge") == m).alias(n) for m, n in (("pv_merged", "pv_merges"), ("date_merged", "date_merges"), ("unsplit_merged", "unsplit_merges"))]
+    return stored(told, "told").groupBy("submission", "file").agg(
+        F.first("kind").alias("kind"), F.min("started").alias("started"), F.max("ended").alias("ended"), F.coalesce(F.max("peak"), F.lit(0.0)).alias("peak_gb"), F.count_if("saved").alias("saved"), F.count_if("chunk").alias("chunks"),
+        *merges, F.count_if("failure").alias("failures"), F.coalesce(F.sum("total"), F.lit(0)).cast("long").alias("input_bytes"), F.bool_or("marker").alias("has_marker"),
     )
 
 

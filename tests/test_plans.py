@@ -51,3 +51,22 @@ def test_candidates_are_an_anti_join(spark):
 def test_no_python_and_no_cross_join(name, spark, sf_dir):
     text = plan(registry.queries()[name](spark, sf_dir))
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", text)
+
+
+@pytest.mark.parametrize("name", ["l04_submission_summary", "l15_summary_rows", "k05_dashboard_report"])
+def test_generated_code_of_log_queries_compiles(name, spark, sf_dir):
+    """Code that is too large would be an error, where it is else interpreted."""
+    key = "spark.sql.codegen.fallback"
+    spark.conf.set(key, "false")
+    try:
+        assert registry.queries()[name](spark, sf_dir).collect()
+    finally:
+        spark.conf.unset(key)
+
+
+def test_facts_of_logs_read_what_is_stored_once(spark, sf_dir):
+    from pulsevault.operators import logs as L
+    from pulsevault.plans.tables import logs
+
+    df = L.job_facts(logs(spark, sf_dir))
+    assert plan(df).count("FileScan") == 1 and exchanges(df) == 1
