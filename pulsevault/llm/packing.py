@@ -2,7 +2,9 @@
 
 Method: linear grouping. Lengths above capacity/8 are sorted and dealt into groups of equal cardinality, each rounded up to
 its largest length; configurations over these few sizes are filled as full as a knapsack allows, largest size first; actual
-lengths then take the places of the rounded ones, and the small documents go best-fit into the room that is left.
+lengths then take the places of the rounded ones, and the small documents go best-fit into the room that is left. This is
+done for a few numbers of groups, up to one group a length (then nothing is rounded), and the plan with the fewest sequences
+is taken.
 
 All planning is done on the histogram of lengths, which has at most `capacity` entries whatever the corpus holds. The
 documents themselves are only ranked within their length (salted, so that a length that a third of all rows share is many
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import map_rows, materialise
 from .tokens import FlatEncoder, tokenizer_path
 
+#: Numbers of groups that are tried besides one a length.
+GROUPS = (128, 512, 2048)
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,7 +105,13 @@ def _fullest(space: int, sizes: list[int], counts: list[int]) -> list[int]:
     return out
 
 
-def plan(hist: dict[int, int], capacity: int = 1024, groups: int = 128) -> list[tuple[int, list[tuple[int, int]]]]:
+def plan(hist: dict[int, int], capacity: int = 1024, groups: tuple[int, ...] = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
+    """The tightest of the plans for these numbers of groups and for groups of single lengths; of equal ones the first."""
+    plans = [_plan(hist, capacity, g) for g in (*groups, sum(hist.values()))]
+    return min(plans, key=lambda patterns: sum(times for times, _ in patterns))
+
+
+def _plan(hist: dict[int, int], capacity: int, groups: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Patterns (number of sequences, [(length, count in each)]) that hold every entry of the histogram exactly once."""
     large = {s: n for s, n in hist.items() if s > capacity // 8}
     dealt = _groups(large, groups)
@@ -193,7 +203,7 @@ def _slots(patterns: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def assign_sequences(pieces: DataFrame, capacity: int = 1024, groups: int = 128, rows_per_salt: int = 50_000) -> DataFrame:
+def assign_sequences(pieces: DataFrame, capacity: int = 1024, groups: tuple[int, ...] = GROUPS, rows_per_salt: int = 50_000) -> DataFrame:
     """Adds sequence_id and offset to rows that have `length` (1 to capacity). `pieces` is read several times, and rows are
     salted by their number within the task, which deals equal rows out too, so it must be a stored table. Only the histogram of lengths (at most `capacity` rows) comes to the driver."""
     hist = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
@@ -221,12 +231,12 @@ def assign_sequences(pieces: DataFrame, capacity: int = 1024, groups: int = 128,
     return ranked.mapInArrow(place_them, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, groups: int = 128) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, groups: tuple[int, ...] = GROUPS) -> DataFrame:
     """Places of all pieces: PIECE_SCHEMA, sequence_id, offset."""
     return assign_sequences(materialise(token_pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity, groups)
 
 
-def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, groups: int = 128) -> DataFrame:
+def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, groups: tuple[int, ...] = GROUPS) -> DataFrame:
     """The packed sequences themselves: sequence_id, doc_ids and token ids (little-endian unsigned 32-bit) in order. A group
     holds at most `capacity` tokens. Rows are treated as in pack(): null text is an end token, an empty table gives no sequences,
     and documents with null or repeated ids are in it each."""

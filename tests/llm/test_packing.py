@@ -52,7 +52,9 @@ def test_plan_holds_every_length_and_is_tight(seed):
         for a, c in content:
             held[a] += times * c
     assert held == Counter(lengths)
-    assert sum(t for t, _ in patterns) <= 1.02 * best_fit_decreasing(lengths, 1024) + 1
+    used = sum(t for t, _ in patterns)
+    assert used <= best_fit_decreasing(lengths, 1024) + 2
+    assert used <= min(sum(t for t, _ in packing._plan(Counter(lengths), 1024, g)) for g in packing.GROUPS)
 
 
 def check(spark, rows, df):
