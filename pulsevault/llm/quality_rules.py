@@ -1,10 +1,11 @@
 """Quality rules of documents and of their hosts.
 
 Words, symbols, repeated lines and repeated word windows are counted over every whole text in one pass. Rule failures are
-summed by host (here the `source` column), the rates are shrunk with a beta prior fitted to all hosts by moments, and a host
-whose shrunk rate of any rule lies `spreads` deviations of that prior above its mean, and above `floor`, takes its documents
-with it; so does one above `host_limit` whatever the prior. Where hosts differ no more than chance would have it, only these
-two bounds count. Host totals are an aggregate with map-side
+summed by host (here the `source` column), the rates are shrunk with a beta prior fitted by moments to the hosts of at least
+`least` documents, and such a host takes its documents with it if its shrunk rate of any rule lies `spreads` deviations of that
+prior above its mean (whatever the shape of the prior, at most one in spreads^2 + 1 of its hosts lies there), and by no less
+than `margin`, so that where hosts are alike a difference that matters little rejects none; so does one above `host_limit`
+whatever the prior. Host totals are an aggregate with map-side
 combine and the verdict comes back by a join that may be split, so a host with a third of all rows is no hot task.
 
 Rows: a null text has no words and fails; texts of any length are counted whole; a null host is a host of its own; hosts with
@@ -89,24 +90,26 @@ def rule_failures(counted: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", F.col("few_words") | F.col("repeats"))
 
 
-def host_verdicts(failures: DataFrame, host_limit: float = 0.8, floor: float = 0.5, spreads: float = 2.0) -> DataFrame:
+def host_verdicts(failures: DataFrame, host_limit: float = 0.8, margin: float = 0.1, spreads: float = 3.0, least: int = 10) -> DataFrame:
     """host, n and for each rule its failures, the shrunk rate and whether the host is rejected by it (any: host_failed).
 
-    The prior of a rule is the beta distribution whose mean and spread are those of the host rates (moments, hosts weighted
-    alike); where hosts differ no more than chance would have it, the prior is worth as many documents as a mean host has."""
+    The prior of a rule is the beta distribution whose mean and spread are those of the rates of the hosts with at least `least`
+    documents (moments, hosts weighted alike); where hosts differ no more than chance would have it, the prior is worth as many
+    documents as a mean host has. Smaller hosts are shrunk alike and never rejected; if there are none but these, rates are
+    their own."""
     per_host = failures.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.col(r).cast("long")).alias(r) for r in RULES])
-    stats = [F.count("*").alias("hosts"), F.avg("n").alias("docs"), F.avg(1 / F.col("n")).alias("inverse")]
+    stats = [F.avg("n").alias("docs"), F.avg(1 / F.col("n")).alias("inverse")]
     for r in RULES:
         stats += [F.avg(F.col(r) / F.col("n")).alias(f"{r}_mean"), F.var_pop(F.col(r) / F.col("n")).alias(f"{r}_var")]
-    prior = per_host.agg(*stats)
+    prior = per_host.where(F.col("n") >= least).agg(*stats).na.fill(0.0)
     out = per_host.join(F.broadcast(prior))  # one row
     for r in RULES:
         mean, var = F.col(f"{r}_mean"), F.col(f"{r}_var")
         chance = mean * (1 - mean) * F.col("inverse")  # spread that sampling alone gives
         weight = F.when(var > chance, F.greatest(F.lit(1.0), mean * (1 - mean) / (var - chance) - 1)).otherwise(F.col("docs"))
         weight = F.least(weight, F.col("docs"))
-        limit = F.least(F.lit(host_limit), F.greatest(F.lit(floor), mean + spreads * F.sqrt(mean * (1 - mean) / (weight + 1))))
-        out = out.withColumn(f"{r}_rate", (F.col(r) + weight * mean) / (F.col("n") + weight)).withColumn(f"{r}_over", F.col(f"{r}_rate") > limit)
+        limit = F.least(F.lit(host_limit), mean + F.greatest(F.lit(margin), spreads * F.sqrt(mean * (1 - mean) / (weight + 1))))
+        out = out.withColumn(f"{r}_rate", (F.col(r) + weight * mean) / (F.col("n") + weight)).withColumn(f"{r}_over", (F.col("n") >= least) & (F.col(f"{r}_rate") > limit))
     out = out.withColumn("host_failed", F.greatest(*[F.col(f"{r}_over") for r in RULES]))
     return out.select("host", "n", *RULES, *[f"{r}_rate" for r in RULES], "host_failed")
 

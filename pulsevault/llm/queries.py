@@ -103,9 +103,9 @@ FROM d LEFT JOIN g ON d.payload_digest = g.payload_digest AND d.payload_bytes =
 """
 
 #: Counts word by word, then the failure rates of hosts shrunk by each rule's beta prior.
-_RATES = ", ".join(f"avg({r} / n) AS {r}_m, var_pop({r} / n) AS {r}_v" for r in quality_rules.RULES)
+_RATES = ", ".join(f"coalesce(avg({r} / n), 0) AS {r}_m, coalesce(var_pop({r} / n), 0) AS {r}_v" for r in quality_rules.RULES)
 _WEIGHTS = ", ".join(f"least(docs, CASE WHEN {r}_v > {r}_m * (1 - {r}_m) * inverse THEN greatest(1.0, {r}_m * (1 - {r}_m) / ({r}_v - {r}_m * (1 - {r}_m) * inverse) - 1) ELSE docs END) AS {r}_w" for r in quality_rules.RULES)
-_OVER = " OR ".join(f"({r} + {r}_w * {r}_m) / (n + {r}_w) > least(0.8, greatest(0.5, {r}_m + 2 * sqrt({r}_m * (1 - {r}_m) / ({r}_w + 1))))" for r in quality_rules.RULES)
+_OVER = " OR ".join(f"({r} + {r}_w * {r}_m) / (n + {r}_w) > least(0.8, {r}_m + greatest(0.1, 3 * sqrt({r}_m * (1 - {r}_m) / ({r}_w + 1))))" for r in quality_rules.RULES)
 OP4_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -124,9 +124,9 @@ WITH d AS (
   SELECT *, n_words < 50 AS few_words, 100 * n_repeat_words > 50 * n_words AS repeats, 10 * n_symbols > 3 * n_words AS symbols, 10 * n_dup_lines > n_words AS dup_lines FROM c
 ), s AS (
   SELECT host, CAST(count(*) AS DOUBLE) AS n, {', '.join(f'CAST(count(*) FILTER (WHERE {r}) AS DOUBLE) AS {r}' for r in quality_rules.RULES)} FROM f GROUP BY host
-), p AS (SELECT avg(n) AS docs, avg(1 / n) AS inverse, {_RATES} FROM s
+), p AS (SELECT coalesce(avg(n), 0) AS docs, coalesce(avg(1 / n), 0) AS inverse, {_RATES} FROM s WHERE n >= 10
 ), q AS (SELECT *, {_WEIGHTS} FROM p
-), v AS (SELECT host, {_OVER} AS host_failed FROM s, q)
+), v AS (SELECT host, n >= 10 AND ({_OVER}) AS host_failed FROM s, q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed, host_failed, NOT (few_words OR repeats) AND NOT host_failed AS kept
 FROM f JOIN v ON f.host IS NOT DISTINCT FROM v.host
 """

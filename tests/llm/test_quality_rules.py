@@ -80,3 +80,27 @@ def test_host_verdicts_equal_the_sql(spark):
     assert rejected == {"bad"}
     rates = Q.host_verdicts(Q.rule_failures(Q.document_counts(documents(spark, rows)))).where("host = 'bad'").first()
     assert 0.5 < rates.few_words_rate < 0.8
+
+
+def test_a_host_far_above_its_like_is_rejected_below_one_half(spark):
+    """40 hosts of 200 documents, of which 39 fail in 2 of a hundred and one in 45; two of the three documents of another fail
+    by chance, and four in a hundred of the documents of one that is little worse than the rest. As SQL has it too."""
+    import duckdb
+    import pandas as pd
+
+    from pulsevault.llm.queries import OP4_SQL
+
+    words, rows = text(3, 60), []
+    for h in range(40):
+        rows += [(200 * h + i, "short" if i < (90 if h == 7 else 8 if h == 9 else 4) else words, f"h{h}") for i in range(200)]
+    rows += [(9000 + i, "short" if i < 2 else words, "small") for i in range(3)]
+    got = {r.doc_id: r.host_failed for r in Q.judge(documents(spark, rows)).collect()}
+    assert {s for i, _, s in rows if got[i]} == {"h7"}
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
+    assert dict(con.sql(f"SELECT doc_id, host_failed FROM ({OP4_SQL})").fetchall()) == got
+    # where there are small hosts alone, none is judged
+    few = [(i, "short", f"s{i // 9}") for i in range(90)]
+    assert not any(r.host_failed for r in Q.judge(documents(spark, few)).collect())
+    con.register("documents", pd.DataFrame(few, columns=["doc_id", "text", "source"]))
+    assert con.sql(f"SELECT count(*) FROM ({OP4_SQL}) WHERE host_failed").fetchall() == [(0,)]
