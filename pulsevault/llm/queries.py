@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, classifier, decontamination, filter_audit, near_dedup, packing, quality_rules, secrets, sharding, token_counts, url_filters, vector_codes, warc
@@ -27,8 +27,13 @@ def op2_warc_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+def labelled_pages() -> Column:
+    """The half of the pages whose texts label the tree of op3; the others are held out."""
+    return F.crc32(F.col("page_id").cast("string")) % 2 == 0
+
+
 def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filters.judge_pages(_table(spark, sf_dir, "pages"), URL_RULES)
+    return url_filters.judge_pages(_table(spark, sf_dir, "pages"), URL_RULES, labelled=labelled_pages())
 
 
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
