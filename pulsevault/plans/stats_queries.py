@@ -38,8 +38,13 @@ st AS (
 
 
 def _round(name: str, digits: dict = DIGITS):
+    """As SQL rounds: the scaled double to a whole number. F.round() goes by the decimal digits of the double, which end halfway
+    where the scaled double may not."""
     d = digits[name]
-    return F.col(name) if d is None else F.round(F.col(name), d).alias(name)
+    if d is None:
+        return F.col(name)
+    scale = F.lit(10.0 ** abs(d))
+    return (F.round(F.col(name) * scale) / scale if d >= 0 else F.round(F.col(name) / scale) * scale).alias(name)
 
 
 def _round_sql(name: str, digits: dict = DIGITS) -> str:

@@ -3,6 +3,7 @@
 import math
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -15,6 +16,7 @@ from pulsevault.functions.time import bucket_key
 from pulsevault.operators import buckets, catalog, ledger, logs, merge, samples, stats
 from pulsevault.operators.ledger import new_candidates, upsert_status
 from pulsevault.operators.logs import log_events
+from pulsevault.plans.stats_queries import _round
 from pulsevault.sources.readers import read_samples
 
 NAN, INF = float("nan"), float("inf")
@@ -255,3 +257,11 @@ def test_many_excluded_tokens_are_found_by_an_index(spark):
     assert kept(few=5) == kept(few=10_000) == want and 0 < len(want) < 280
     assert kept(few=5, gram=3) == want
     assert sorted(r.path for r in catalog.exclude(files.where("path is not null"), listed.limit(0)).collect()) == sorted(p for p in paths if p is not None)
+
+
+def test_rounding_is_that_of_sql(spark):
+    xs = [32833.2605, 2256.25, 0.0328125, -0.0021875, 47.1678125, -2.5, 1.005, 1234500.0, 17.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").coalesce(1)
+    for digits in (-3, 0, 1, 3, 6):
+        got = [r[0] for r in df.select(_round("x", {"x": digits})).collect()]
+        assert got == [duckdb.execute(f"SELECT round(CAST({x!r} AS DOUBLE), {digits})").fetchall()[0][0] for x in xs]
