@@ -17,12 +17,14 @@ def bucketize(samples: DataFrame, granularity: str = "day", tz_hours: float = 0)
 def segment_runs(bucketed: DataFrame, block: int = 1_000_000) -> DataFrame:
     """Adds segment, from 1 within (pv, bucket): a new one whenever the bucket changes in order of arrival. Changes are found
     within blocks of seq and the blocks' edges are stitched, so that a signal with very many samples is many groups; what a
-    signal's window runs over is a row per block or per run."""
-    inside = Window.partitionBy("pv", "_block").orderBy("seq")
+    signal's window runs over is a row per block or per run. Samples that share a seq are taken in order of bucket and are in one
+    run, that which begins last among them."""
+    inside, upto = Window.partitionBy("pv", "_block").orderBy("seq", "bucket"), Window.partitionBy("pv", "_block").orderBy("seq")
     rows = bucketed.withColumn("_block", F.floor(F.col("seq") / block))
     rows = rows.withColumn("_in", F.coalesce((F.col("bucket") != F.lag("bucket").over(inside)).cast("long"), F.lit(0)))
-    rows = rows.withColumn("_in", F.sum("_in").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = rows.groupBy("pv", "_block").agg(F.min_by("bucket", "seq").alias("first"), F.max_by("bucket", "seq").alias("last"), F.max("_in").alias("n"))
+    rows = rows.withColumn("_in", F.sum("_in").over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = F.struct("seq", "bucket")
+    edges = rows.groupBy("pv", "_block").agg(F.min_by("bucket", at).alias("first"), F.max_by("bucket", at).alias("last"), F.max("_in").alias("n"))
     blocks = Window.partitionBy("pv").orderBy("_block")
     edges = edges.withColumn("_new", F.coalesce((F.col("first") != F.lag("last").over(blocks)).cast("long"), F.lit(1)))
     before = F.sum(F.col("n") + F.col("_new")).over(blocks.rowsBetween(Window.unboundedPreceding, -1))

@@ -259,6 +259,16 @@ def test_many_excluded_tokens_are_found_by_an_index(spark):
     assert sorted(r.path for r in catalog.exclude(files.where("path is not null"), listed.limit(0)).collect()) == sorted(p for p in paths if p is not None)
 
 
+def test_samples_that_share_a_seq_are_in_one_run(spark):
+    """As a running sum by SQL's default frame has it, in which rows that tie count together."""
+    rows = [("a", 0), ("a", 1), ("b", 1), ("b", 2), ("a", 3), ("c", 4), ("a", 4), ("c", 5)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame([("p", b, i) for b, i in order], "pv string, bucket string, seq long").repartition(1)
+        for block in (1_000_000, 3, 1):
+            got = sorted((r.seq, r.bucket, r.segment) for r in buckets.segment_runs(df, block).collect())
+            assert got == [(0, "a", 1), (1, "a", 2), (1, "b", 1), (2, "b", 1), (3, "a", 3), (4, "a", 4), (4, "c", 1), (5, "c", 1)]
+
+
 def test_variances_of_few_differences_are_those_of_the_order_of_arrival(spark):
     rng, rows, want = np.random.default_rng(3), [], {}
     for p in range(200):
