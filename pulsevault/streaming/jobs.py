@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -103,34 +106,55 @@ def one_shot(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     query.awaitTermination()
 
 
+def _slot(slots: int) -> Column:
+    return F.pmod(F.xxhash64("pv"), F.lit(slots)).cast("int").alias("slot")
+
+
+def _in_order(rows: Iterator[pd.DataFrame], columns: list[str]) -> tuple[list[tuple[str, int, int]], pd.DataFrame]:
+    """The rows of a slot in order of pv and seq, and the (pv, from, to) of each PV in them."""
+    found = pd.concat([r[["pv", "seq", *columns]] for r in rows], ignore_index=True)
+    code, names = pd.factorize(found["pv"])
+    place = np.lexsort((found["seq"].to_numpy(), code))
+    starts = np.flatnonzero(np.diff(code[place], prepend=-1)).tolist()
+    return [(names[i], a, b) for i, (a, b) in enumerate(itertools.pairwise([*starts, len(found)]))], found.take(place)
+
+
 class SegmentRuns(StatefulProcessor):
     """Strict order: a new segment of a PV whenever its bucket changes in order of arrival. State: last bucket, run number and
-    seq. A sample that comes in a later batch than one with a higher seq is late: it gets no run and doesn't change the state."""
+    seq of each PV. A sample that comes in a later batch than one with a higher seq is late: it gets no run and doesn't change the state.
+    Keys are slots of PVs, whose state is read and written as one list, so that frames and calls of a batch are as many as slots
+    and not as PVs."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "bucket string, run int, seq long")
+        self.last = handle.getListState("last", "pv string, bucket string, run int, seq long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat([r[["bucket", "seq"]] for r in rows]).sort_values("seq", kind="stable")
-        bucket, run, seq = self.last.get() if self.last.exists() else (None, 0, None)
-        late = found["seq"] <= seq if seq is not None else found["seq"] != found["seq"]
-        on_time = found[~late]
-        if len(on_time):
-            change = on_time["bucket"] != on_time["bucket"].shift(fill_value=bucket)
-            runs = run + change.cumsum()
-            self.last.update((on_time["bucket"].iloc[-1], int(runs.iloc[-1]), int(on_time["seq"].iloc[-1])))
-            yield pd.DataFrame({"pv": key[0], "bucket": on_time["bucket"], "seq": on_time["seq"], "run": runs.astype("int32"), "late": False})
-        if late.any():
-            yield pd.DataFrame({"pv": key[0], "bucket": found[late]["bucket"], "seq": found[late]["seq"], "run": pd.array([0] * int(late.sum()), dtype="int32"), "late": True})
+        parts, found = _in_order(rows, ["bucket"])
+        buckets, seqs, runs = found["bucket"].tolist(), found["seq"].tolist(), []
+        last = {r[0]: tuple(r[1:]) for r in self.last.get()}
+        for pv, start, stop in parts:
+            bucket, run, seq = last.get(pv, (None, 0, None))
+            first = start if seq is None else bisect.bisect_right(seqs, seq, start, stop)
+            runs += [0] * (first - start)
+            for i in range(first, stop):
+                if buckets[i] != bucket:
+                    bucket, run = buckets[i], run + 1
+                runs.append(run)
+            if first < stop:
+                last[pv] = (bucket, run, seqs[stop - 1])
+        self.last.put([(pv, *v) for pv, v in last.items()])
+        run = np.array(runs, dtype="int32")
+        yield found[["pv", "bucket", "seq"]].assign(run=run, late=run == 0)
 
     def close(self) -> None:
         pass
 
 
-def strict_segments(bucketed: DataFrame) -> DataFrame:
-    """pv, bucket, seq, run, late of a stream of (pv, bucket, seq), keyed by pv. Late samples have run 0; where("late") is the
-    side output. Needs a state store that transformWithState knows (RocksDB)."""
-    return bucketed.select("pv", "bucket", "seq").groupBy("pv").transformWithStateInPandas(SegmentRuns(), "pv string, bucket string, seq long, run int, late boolean", "Append", "None")
+def strict_segments(bucketed: DataFrame, slots: int = 1024) -> DataFrame:
+    """pv, bucket, seq, run, late of a stream of (pv, bucket, seq), by PV; keyed by slot, a hash of the PV. Late samples have run 0;
+    where("late") is the side output. Needs a state store that transformWithState knows (RocksDB)."""
+    rows = bucketed.select(_slot(slots), "pv", "bucket", "seq")
+    return rows.groupBy("slot").transformWithStateInPandas(SegmentRuns(), "pv string, bucket string, seq long, run int, late boolean", "Append", "None")
 
 
 class OpenBuckets(StatefulProcessor):
@@ -148,37 +172,33 @@ class OpenBuckets(StatefulProcessor):
         self.handle = handle
         self.open = handle.getMapState("open", "bucket string", "last double, opened long, length long, valid long, total double, min double, max double")
 
-    def _rows(self, pv: str, flushed: list[tuple[str, dict, bool]]) -> pd.DataFrame:
-        out = [(pv, bucket, b["opened"], b["length"], b["valid"], b["total"] if b["valid"] else None, b["min"], b["max"], still) for bucket, b, still in flushed]
+    def _replay(self, open_: dict[str, dict], buckets: list, seqs: list, ats: list, xs: list) -> list[tuple[str, dict, bool]]:
+        """Takes the samples of a PV, which are in order of arrival, into its open buckets; gives what was flushed or is still open."""
+        flushed, touched = [], set()
+        for bucket, seq, at, x in zip(buckets, seqs, ats, xs, strict=True):
+            b = open_.get(bucket)
+            touched.add(bucket)
+            if b is None:
+                b = open_[bucket] = {"last": 0.0, "opened": seq, "length": 0, "valid": 0, "total": 0.0, "min": None, "max": None}
+            b["last"], b["length"] = at, b["length"] + 1
+            if x == x:
+                b["valid"], b["total"] = b["valid"] + 1, b["total"] + x
+                b["min"] = x if b["min"] is None or x < b["min"] else b["min"]
+                b["max"] = x if b["max"] is None or x > b["max"] else b["max"]
+            if len(open_) > self.most:
+                victim = min(open_, key=lambda k: (open_[k]["last"], open_[k]["opened"]))
+                flushed.append((victim, open_.pop(victim), False))
+        return flushed + [(k, b, True) for k, b in open_.items() if k in touched]
+
+    def _rows(self, told: list[tuple[str, list[tuple[str, dict, bool]]]]) -> pd.DataFrame:
+        out = [(pv, bucket, b["opened"], b["length"], b["valid"], b["total"] if b["valid"] else None, b["min"], b["max"], still) for pv, flushed in told for bucket, b, still in flushed]
         frame = pd.DataFrame(out, columns=["pv", "bucket", "opened", "length", "valid", "total", "min", "max", "open"])
         return frame.astype({"total": "float64", "min": "float64", "max": "float64"})
 
-    def _push(self, b: dict, rows: pd.DataFrame) -> None:
-        x = rows["x"].dropna()
-        b["last"], b["length"], b["valid"] = float(rows["at"].iloc[-1]), b["length"] + len(rows), b["valid"] + len(x)
-        if len(x):
-            b["total"] += float(x.sum())
-            b["min"] = float(x.min()) if b["min"] is None else min(b["min"], float(x.min()))
-            b["max"] = float(x.max()) if b["max"] is None else max(b["max"], float(x.max()))
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         open_ = {k[0]: dict(zip(self.FIELDS, v, strict=True)) for k, v in self.open.iterator()}
-        found = pd.concat([r[["bucket", "seq", "at", "x"]] for r in rows]).sort_values("seq", kind="stable").reset_index(drop=True)
-        run, flushed, touched = (found["bucket"] != found["bucket"].shift()).cumsum(), [], set()
-        for _, same in found.groupby(run, sort=False):  # samples of one bucket after each other
-            bucket, at = same["bucket"].iloc[0], 0
-            touched.add(bucket)
-            while at < len(same):
-                if bucket in open_:
-                    self._push(open_[bucket], same.iloc[at:])
-                    break
-                open_[bucket] = {"last": 0.0, "opened": int(same["seq"].iloc[at]), "length": 0, "valid": 0, "total": 0.0, "min": None, "max": None}
-                self._push(open_[bucket], same.iloc[at : at + 1])
-                at += 1
-                if len(open_) > self.most:
-                    victim = min(open_, key=lambda k: (open_[k]["last"], open_[k]["opened"]))
-                    flushed.append((victim, open_.pop(victim), False))
-        flushed += [(k, b, True) for k, b in open_.items() if k in touched]
+        found = pd.concat([r[["bucket", "seq", "at", "x"]] for r in rows]).sort_values("seq", kind="stable")
+        flushed = self._replay(open_, *[found[c].tolist() for c in ("bucket", "seq", "at", "x")])
         self.open.clear()
         for k, b in open_.items():
             self.open.updateValue((k,), tuple(b[f] for f in self.FIELDS))
@@ -186,28 +206,47 @@ class OpenBuckets(StatefulProcessor):
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._rows(key[0], flushed)
+        yield self._rows([(key[0], flushed)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         gone = [(k[0], dict(zip(self.FIELDS, v, strict=True)), False) for k, v in self.open.iterator()]
         self.open.clear()
-        yield self._rows(key[0], gone)
+        yield self._rows([(key[0], gone)])
 
     def close(self) -> None:
         pass
 
 
+class SlotBuckets(OpenBuckets):
+    """OpenBuckets without timers, keyed by slots of PVs, whose state (the open buckets of each PV) is read and written as one list, so
+    that frames and calls of a batch are as many as slots and not as PVs."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getListState("kept", "pv string, bucket string, last double, opened long, length long, valid long, total double, min double, max double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts, found = _in_order(rows, ["bucket", "at", "x"])
+        columns, kept = [found[c].tolist() for c in ("bucket", "seq", "at", "x")], {}
+        for pv, bucket, *values in self.kept.get():
+            kept.setdefault(pv, {})[bucket] = dict(zip(self.FIELDS, values, strict=True))
+        told = [(pv, self._replay(kept.setdefault(pv, {}), *[c[start:stop] for c in columns])) for pv, start, stop in parts]
+        self.kept.put([(pv, k, *[b[f] for f in self.FIELDS]) for pv, open_ in kept.items() for k, b in open_.items()])
+        yield self._rows(told)
+
+
 FLUSH = "pv string, bucket string, opened long, length long, valid long, total double, min double, max double, open boolean"
 
 
-def open_buckets(bucketed: DataFrame, most: int = 1, idle_ms: int = 0) -> DataFrame:
-    """A stream of flushes (FLUSH) of a stream of samples (pv, bucket, seq, t0, offset_ms, x), keyed by pv; opened is the seq of the
-    first sample. Samples of a batch are taken in order of seq, batches as they come: files must be read in order of arrival.
+def open_buckets(bucketed: DataFrame, most: int = 1, idle_ms: int = 0, slots: int = 1024) -> DataFrame:
+    """A stream of flushes (FLUSH) of a stream of samples (pv, bucket, seq, t0, offset_ms, x), keyed by slot, a hash of the PV, or by
+    PV if there are timers (idle_ms), which belong to a key; opened is the seq of the first sample. Samples of a batch are taken in order of seq, batches as they come: files must be read in order of arrival.
     Buckets still open after a batch that touched them are told with open = true; flushes_of() keeps the last word on each. Needs a state
     store that transformWithState knows (RocksDB)."""
     at = (F.col("t0") + F.col("offset_ms")).alias("at")
-    rows = bucketed.select("pv", "bucket", "seq", at, F.when(~F.isnan("x"), F.col("x")).alias("x"))
-    return rows.groupBy("pv").transformWithStateInPandas(OpenBuckets(most, idle_ms), FLUSH, "Append", "ProcessingTime" if idle_ms else "None")
+    rows = bucketed.select(_slot(slots), "pv", "bucket", "seq", at, F.when(~F.isnan("x"), F.col("x")).alias("x"))
+    if idle_ms:
+        return rows.drop("slot").groupBy("pv").transformWithStateInPandas(OpenBuckets(most, idle_ms), FLUSH, "Append", "ProcessingTime")
+    return rows.groupBy("slot").transformWithStateInPandas(SlotBuckets(most), FLUSH, "Append", "None")
 
 
 def flushes_of(rows: DataFrame) -> DataFrame:

@@ -203,3 +203,47 @@ def test_months_close(spark):
     got = {r.bucket: (r.length, r["min"], r["max"]) for r in jobs.latest_updates(spark, path, ["pv", "bucket"]).collect()}
     assert got == {"2024_01": (3, 5, 31), "2024_02": (2, 3, 9), "2024_04": (1, 30, 30), "2024_05": (2, 2, 3)}
     assert len(commits.folders(spark, path)["all"]) < 6
+
+
+class Listed:
+    """State of a slot as one list, in memory; counts how often it is written."""
+
+    def __init__(self):
+        self.kept, self.writes = [], 0
+
+    def getListState(self, *_):
+        return self
+
+    def get(self):
+        return iter(self.kept)
+
+    def put(self, rows):
+        self.kept, self.writes = list(rows), self.writes + 1
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_a_slot_of_signals_is_one_call_a_batch(most):
+    samples, h, last, told = disordered(), Listed(), {}, []
+    for at in range(0, len(samples), 37):
+        part = pd.DataFrame(samples[at : at + 37], columns=["pv", "seq", "t0", "at", "x"])
+        part["bucket"] = [f"d{int(ms // DAY)}" for ms in part["at"]]
+        p = jobs.SlotBuckets(most)
+        p.init(h)
+        shuffled = part.sample(frac=1, random_state=at)
+        (found,) = p.handleInputRows((0,), iter([shuffled.iloc[::2], shuffled.iloc[1::2]]), None)
+        told += found.itertuples(index=False)
+    for r in told:
+        last[r.pv, r.bucket, r.opened] = max(last.get((r.pv, r.bucket, r.opened), ()), (r.length, not r.open))
+    assert sorted((*k, n, not done) for k, (n, done) in last.items()) == replay(samples, most)
+    assert h.writes == -(-len(samples) // 37) and len({r.pv for r in told}) > 1
+
+
+def test_runs_of_a_slot_of_signals():
+    h, got = Listed(), []
+    for batch in ([("p", "a", 2), ("q", "a", 1), ("p", "b", 3)], [("p", "b", 4), ("p", "a", 1), ("q", "b", 5)], [("p", "a", 9), ("r", "c", 0)]):
+        p = jobs.SegmentRuns()
+        p.init(h)
+        (found,) = p.handleInputRows((0,), iter([pd.DataFrame(batch, columns=["pv", "bucket", "seq"])]), None)
+        got += [tuple(r) for r in found.itertuples(index=False)]
+    want = [("p", "a", 1, 0, True), ("p", "a", 2, 1, False), ("p", "a", 9, 3, False), ("p", "b", 3, 2, False), ("p", "b", 4, 2, False), ("q", "a", 1, 1, False), ("q", "b", 5, 2, False), ("r", "c", 0, 1, False)]
+    assert sorted(got) == want and h.writes == 3
