@@ -57,7 +57,7 @@ def in_chunks(samples: DataFrame, most: int = MOST_VALUES, order: tuple[str, ...
 def _listed(order: tuple[str, ...], *columns: Column, where: Column | None = None) -> Column:
     """The columns of a group's rows, or of those that `where` picks, as structs in order."""
     row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *columns)
-    return F.array_sort(F.collect_list(row if where is None else F.when(where, row)))
+    return F.sort_array(F.collect_list(row if where is None else F.when(where, row)))
 
 
 def _seconds(ms: Column) -> Column:

@@ -88,11 +88,11 @@ def by_component(matrix: Column, width: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), width - 1), lambda j: F.transform(matrix, lambda row: row[j]))
 
 
-def samples_from_events(events: DataFrame, pv: str = "user_id", nan_each: int = 11) -> DataFrame:
-    """The driver's events table as scalar samples: pv, seq, t0, offset_ms, x; every nan_each-th value is NaN."""
+def samples_from_events(events: DataFrame, pv: str = "user_id", nan_each: int = 11, more: tuple[Column, ...] = ()) -> DataFrame:
+    """The driver's events table as scalar samples: pv, seq, t0, offset_ms, x, and `more`; every nan_each-th value is NaN."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     x = F.when(F.col("event_id") % nan_each == 0, F.lit(float("nan"))).otherwise(F.col("value")) if nan_each else F.col("value")
-    return events.select(F.col(pv).cast("string").alias("pv"), F.col("event_id").alias("seq"), F.lit(T0).alias("t0"), (ms - T0).cast("double").alias("offset_ms"), x.alias("x"))
+    return events.select(F.col(pv).cast("string").alias("pv"), F.col("event_id").alias("seq"), F.lit(T0).alias("t0"), (ms - T0).cast("double").alias("offset_ms"), x.alias("x"), *more)
 
 
 def samples_from_embeddings(embeddings: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def scalar_stats(bucketed: DataFrame, extra_keys: list[str] | None = None, by: t
     d = F.col("_v") - F.col("_before")
     peak = (F.col("_v") > F.col("_before")) & (F.col("_v") > F.col("_after"))
     few = F.count("_v") >= 3
-    first = F.array_sort(F.collect_list(F.when((F.col("_place") <= _FEW) & d.isNotNull(), F.struct(F.col("_place"), d.alias("d")))))
+    first = F.sort_array(F.collect_list(F.when((F.col("_place") <= _FEW) & d.isNotNull(), F.struct(F.col("_place"), d.alias("d")))))
     variance = F.when(F.count("*") <= _FEW, _variance_in_order(first["d"])).otherwise(F.var_pop(d))
     return rows.groupBy(*keys).agg(
         F.count("*").alias("length"), F.count_if(F.isnan("x")).alias("nan_count"), *_value_stats(F.col("_v"), F.col("_v"), few),
@@ -126,6 +126,6 @@ def pack_vector(stats: DataFrame, extra_keys: list[str] | None = None, arrays: l
     """A row per (pv, bucket) with every value statistic as an array by component. arrays: further columns to pack so; more:
     further aggregates over the components."""
     keys, cols = ["pv", "bucket", *(extra_keys or [])], ["nan_count", *VALUE_STATS, *(arrays or [])]
-    rows = F.array_sort(F.collect_list(F.struct("comp", *cols)))
+    rows = F.sort_array(F.collect_list(F.struct("comp", *cols)))
     packed = stats.groupBy(*keys).agg(rows.alias("_r"), *[F.first(c).alias(c) for c in ("length", *TIME_STATS)], *(more or []))
     return packed.select(*[c for c in packed.columns if c not in ("_r", "length", *TIME_STATS)], "length", *[F.col(f"_r.{c}").alias(c) for c in cols], *TIME_STATS)

@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 from ..functions.time import T0
 from ..operators import records as E
 from ..operators.buckets import bucketize
-from ..operators.samples import samples_from_embeddings
+from ..operators.samples import samples_from_embeddings, samples_from_events
 from ..sources import commits as C
 from ..sources import readers as R
 from ..sources import writers as W
 from ..sources.shared import shared_path
 from .stats_queries import _round, _round_sql, stats_sql
-from .tables import COMPONENTS_SQL, scalar_samples, scalar_sql, table
+from .tables import COMPONENTS_SQL, scalar_sql, table
 
 
 def typed_samples(spark, d, disorder=False):
     """The driver's tables as samples of all four shapes by day: values and types of events (N, S, T) and embeddings (V).
     disorder: times that don't rise with arrival and tie."""
-    e = scalar_samples(spark, d, "day")
-    words = table(spark, d, "events").select(F.col("event_id").alias("seq"), "event_type", F.concat(F.lit("u"), "user_id").alias("u"))
-    e = e.join(words, "seq")
+    words = (F.col("event_type"), F.concat(F.lit("u"), "user_id").alias("u"))
+    e = bucketize(samples_from_events(table(spark, d, "events"), more=words), "day", 9)
     none, texts = F.lit(None).cast("array<double>"), F.lit(None).cast("array<string>")
     cols = ["pv", "t0", "bucket", "seq", "offset_ms", "nval", "value_type", "vals", "txts"]
     named = lambda df, letter, kind, n, vals, txts: df.select(F.concat(F.lit(letter), "pv").alias("pv"), "t0", "bucket", "seq", "offset_ms", n.cast("int").alias("nval"), F.lit(kind).alias("value_type"), vals.alias("vals"), txts.alias("txts"))

@@ -196,3 +196,11 @@ def test_headers_of_files_with_many_splits(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert got == {k: [f"{i} {i * i}" for i in range(n)] for k, n in (("long", 4000), ("short", 3), ("more", 900))}
+
+
+def test_events_join_nothing_to_become_samples(spark, sf_dir):
+    """Their words come from the rows themselves, so that making records costs no shuffle of the events."""
+    from pulsevault.plans.record_queries import typed_samples
+
+    plan = typed_samples(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and typed_samples(spark, sf_dir).where("startswith(pv, 'T')").first().txts[1].startswith("u")
