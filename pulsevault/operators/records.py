@@ -35,10 +35,13 @@ def shape_of(value_type: Column, nval: Column) -> Column:
 
 
 def in_chunks(samples: DataFrame, most: int = MOST_VALUES, order: tuple[str, ...] = ("seq",), block: int = 1_000_000) -> DataFrame:
-    """Adds chunk, from 1 within (pv, bucket), so that none holds more than `most` values. Where all buckets are small enough, which one
-    aggregate tells, that is all; else ranks come from counts by block of the first column of `order` and places within the block,
+    """Adds chunk, from 1 within (pv, bucket), so that none holds more than `most` values. Where all samples together are no more, or all
+    buckets are small enough, which one aggregate tells, that is all; else ranks come from counts by block of the first column of `order` and places within the block,
     so that a long bucket is many groups."""
     width = F.max(F.greatest(F.col("nval"), F.lit(1)))
+    whole = samples.agg(F.count("*").alias("n"), width.alias("w")).first()
+    if whole.n * (whole.w or 1) <= most:
+        return samples.withColumn("chunk", F.lit(1))
     sizes = samples.groupBy("pv", "bucket").agg(F.count("*").alias("_n"), width.alias("_w")).where(F.col("_n") * F.col("_w") > most)
     if sizes.isEmpty():
         return samples.withColumn("chunk", F.lit(1))

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -94,27 +95,51 @@ def done_inputs(spark: SparkSession, root: str) -> DataFrame:
     return last_by(rows, ["path"], ["_v"]).drop("_v")
 
 
+def _last_records(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """last_by() of rows with large columns: rows are sorted by their keys and not put into a struct each."""
+    by = [*order, *[c for c in rows.columns if c not in keys and c not in order]]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in by]))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place")
+
+
 def merge_days(spark: SparkSession, source: str, root: str, key: str = "pv", shapes: tuple[str, ...] = SHAPES) -> list[str]:
     """Merges the records of all shapes under `source` (folders date=.../shape=...) into the day archive `root` and returns the
     days that changed. Only files whose size or time isn't that of their last merge count, only days that have such files are read
     and written; a record replaces the day's older one of the same key, of several new ones that of the last file by name stays.
-    Days and the fingerprints of their inputs are committed together."""
+    A part of the archive is a day's records of one shape. Which keys come more than once is told by the keys alone; a part that gets no
+    record and loses none is neither read whole nor written. Days and the fingerprints of their inputs are committed together."""
     changed = changed_inputs(scan_catalog(spark, source, "*.parquet").select("path", "size", F.col("mtime").cast("timestamp").alias("mtime")), done_inputs(spark, root))
-    inputs = _staged(changed.withColumn("date", F.regexp_extract("path", "/date=([^/]*)/", 1)), root, "inputs")
+    named = lambda c: F.regexp_extract("path", f"/{c}=([^/]*)/", 1).alias(c)
+    inputs = _staged(changed.select("*", named("date"), named("shape")), root, "inputs")
     changed = spark.read.parquet(inputs)
-    days = sorted(r[0] for r in changed.select("date").distinct().collect())  # of a calendar
+    came = [tuple(r) for r in changed.select("date", "shape").distinct().collect()]  # of a calendar times shapes
+    days = sorted({day for day, _ in came})
     if not days:
         return []
-    frames, old = [], read_table(spark, root, days)
-    if old is not None:
-        frames.append(old.where(F.col("date").isin(days)).withColumns({"_new": F.lit(0), "_file": F.lit("")}))
+    there = {part for part in folders(spark, root) if part.split("/")[0] in days}
+    fresh = []
     for shape in shapes:
         found = read_shape(spark, source, shape)
         if found is not None:
             found = found.where(F.col("date").isin(days)).withColumns({"_new": F.lit(1), "_file": F.col("_metadata.file_path")})
-            frames.append(found.join(changed.select(F.col("path").alias("_file")), "_file", "left_semi"))
-    merged = last_by(union_promote(frames), ["date", key], ["_new", "_file"]).drop("_new", "_file")
-    data = f"{root}/data/{uuid.uuid4().hex}"
-    merged.withColumn("day", F.col("date")).hint("rebalance", "day").write.option("compression", "snappy").partitionBy("day").parquet(data)
-    commit(spark, root, [*[("replace", day, f"{data}/day={day}", merged.schema.json()) for day in days], ("inputs", "", inputs, "")])
+            fresh.append(found.join(F.broadcast(changed.select(F.col("path").alias("_file"))), "_file", "left_semi"))
+    touched = {f"{day}/{shape}" for day, shape in came} | {part for part in there if "/" not in part}
+    heads = [f.select("date", key, F.lit(None).cast("string").alias("old")) for f in fresh]
+    if there:
+        heads.append(read_table(spark, root, sorted(there)).select("date", key, F.col("shape").alias("old")))
+    kinds = sorted({part.split("/")[1] for part in there if "/" in part})
+    seen = reduce(DataFrame.unionByName, heads).groupBy("date", key).agg(F.count("*").alias("n"), *[F.max(F.when(F.col("old") == k, 1)).alias(f"_{k}") for k in kinds])
+    several = seen.where("n > 1").groupBy("date").agg(*[F.max(f"_{k}").alias(f"_{k}") for k in kinds] or [F.count("*").alias("n")]).collect()  # a row a day
+    touched |= {f"{r.date}/{k}" for r in several for k in kinds if r[f"_{k}"]}
+    old = read_table(spark, root, sorted(there & touched)) if there & touched else None
+    merged = union_promote([*([] if old is None else [old.where(F.col("date").isin(days)).withColumns({"_new": F.lit(0), "_file": F.lit("")})]), *fresh])
+    merged = (_last_records(merged, ["date", key], ["_new", "_file"]) if several else merged).drop("_new", "_file")
+    data, none = f"{root}/data/{uuid.uuid4().hex}", f"{root}/data/{uuid.uuid4().hex}"
+    merged.withColumns({"day": F.col("date"), "kind": F.col("shape")}).hint("rebalance", "day", "kind").write.option("compression", "snappy").partitionBy("day", "kind").parquet(data)
+    written = spark.read.schema("day string, kind string").parquet(data).distinct()
+    parts = {f"{r.day}/{r.kind}": f"{data}/day={r.day}/kind={r.kind}" for r in written.collect()}
+    if gone := sorted((there & touched) - set(parts)):  # all of their records are replaced by such of another shape
+        merged.limit(0).write.parquet(none)
+        parts |= dict.fromkeys(gone, none)
+    commit(spark, root, [*[("replace", part, folder, merged.schema.json()) for part, folder in sorted(parts.items())], ("inputs", "", inputs, "")])
     return days

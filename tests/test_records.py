@@ -127,6 +127,22 @@ def test_days_are_merged_once_and_a_failure_leaves_the_old_state(spark, tmp_path
     assert state() == [("d1", "a", [1]), ("d1", "b", [20]), ("d1", "c", [30]), ("d2", "a", [3])]
 
 
+def test_a_day_is_rewritten_only_in_the_shapes_that_records_come_to_or_leave(spark, tmp_path):
+    source, root = f"file://{tmp_path}/in", f"file://{tmp_path}/days"
+    make = lambda rows: writers.write_records(records.records(samples(spark, rows)), source)
+    state = lambda: sorted((r.date, r.pv, r.shape) for r in commits.read_table(spark, root).collect())
+    make([("a", "d1", 1, 0, [1]), ("b", "d1", 1, 0, ["x"]), ("c", "d1", 1, 0, [1, 2]), ("d", "d1", 1, 0, ["x", "y"]), ("a", "d2", 1, 0, [1])])
+    commits.merge_days(spark, source, root)
+    first = commits.folders(spark, root)
+    assert set(first) == {"d1/numeric_scalar", "d1/text_scalar", "d1/numeric_vector", "d1/text_vector", "d2/numeric_scalar"}
+    make([("a", "d1", 1, 0, [9]), ("b", "d1", 1, 0, [9])])  # b was text, and no text is left
+    assert commits.merge_days(spark, source, root) == ["d1"]
+    assert state() == [("d1", "a", "numeric_scalar"), ("d1", "b", "numeric_scalar"), ("d1", "c", "numeric_vector"), ("d1", "d", "text_vector"), ("d2", "a", "numeric_scalar")]
+    assert {r.pv: r["values"] for r in commits.read_table(spark, root, ["d1/numeric_scalar"]).collect()} == {"a": [9], "b": [9]}
+    now = commits.folders(spark, root)
+    assert {p for p in first if now[p] != first[p]} == {"d1/numeric_scalar", "d1/text_scalar"}
+
+
 def test_last_row_of_a_key_needs_no_sort_after_the_exchange(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id % 7 AS o", "id AS v")
     assert {r.k: (r.o, r.v) for r in merge.last_by(df, ["k"], ["o"]).collect()} == {k: max((i % 7, i) for i in range(1000) if i % 3 == k) for k in range(3)}
