@@ -343,8 +343,8 @@ w AS (SELECT *, max(part) OVER (PARTITION BY pv) > part AS late FROM p), o AS (S
     def t07(spark, d):
         src, path = shared_path(spark, "t07-in"), shared_path(spark, "t07")
         rows = logs(spark, d).select(F.col("unique_file").alias("file"), "line_no", "line")
-        rows.repartitionByRange(4, "line_no").write.parquet(src)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        rows.repartitionByRange(32, "line_no").write.parquet(src)  # four batches of eight files each
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(src)
         S.one_shot(stream, path + "-cp", S.live_ledger(spark, path, log_inputs(spark, d), "/out", "/data", compact_every=3))
         return S.ledger_now(spark, path)
 

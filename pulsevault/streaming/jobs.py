@@ -337,10 +337,13 @@ def live_ledger(spark: SparkSession, root: str, inputs: DataFrame, out_root: str
     """foreachBatch function: the status of the inputs that log lines (file, line_no, line) tell of. A batch resolves the outputs
     that its own lines name and commits its file_status() to the table at root; as that can be put together in any order, the rule
     of the first event in a file holds over batches, and a batch that is run again changes nothing. Every `compact_every` batches the
-    table is written anew, for readers by one commit."""
+    table is written anew, for readers by one commit. The inputs are stored once, not made by each batch; a batch's lines are dealt to
+    all cores before they are parsed, however few its files."""
+    inputs, tasks = stored(inputs, "inputs"), spark.sparkContext.defaultParallelism
 
     def each(batch: DataFrame, n: int) -> None:
-        state = file_status(resolved_events(log_events(batch), inputs, out_root, in_root, naming))
+        told = file_status(log_events(batch.repartition(tasks, "file", "line_no")))  # a row a log and target is what is stored and resolved
+        state = file_status(resolved_events(told, inputs, out_root, in_root, naming))
         if (n + 1) % compact_every:
             append_promoted(state, root)
         else:

@@ -145,6 +145,17 @@ def test_live_ledger_equals_the_batch_ledger(spark, compact):
         assert len(commits.folders(spark, root)["all"]) == 1
 
 
+def test_live_ledger_stores_a_row_a_log_and_target_and_no_line(spark, monkeypatch):
+    kept, stored = [], L.stored
+    monkeypatch.setattr(L, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1])
+    inputs = spark.createDataFrame([("/data/g/PV:1.pb",), ("/data/g/PV:2.pb",)], "path string")
+    lines = [("a", i, f"FAIL: /data/g/PV:{1 + i % 2}.pb - broken {i}") for i in range(40)] + [("a", 50, "SAVED CHUNK: /out/g/PV-1_chunk0001.parquet"), ("b", 1, "SAVED CHUNK: /out/g/PV-2_chunk0001.parquet")]
+    root = shared_path(spark, "ledger")
+    jobs.live_ledger(spark, root, inputs, "/out", "/data")(spark.createDataFrame(lines, "file string, line_no long, line string"), 0)
+    assert kept[0].count() == 4
+    assert {r.target: (r.status, r.message) for r in jobs.ledger_now(spark, root).collect()} == {"/data/g/PV:1.pb": ("failed", "broken 38"), "/data/g/PV:2.pb": ("chunked", "")}
+
+
 def test_statistics_that_grow_read_their_own_signals_only(spark):
     """Whatever the batches, the result is that of all samples; a batch that is run again changes nothing."""
     from pulsevault.operators.stats import scalar_stats
