@@ -32,13 +32,16 @@ def _write_sample_text(spark, d, no_t0="view"):
     return f"{path}/*"
 
 
-def _stream_input(spark, d, n=4, backwards=False):
-    """The samples as n Parquet files, one written after the other in order of arrival, or from the last to the first."""
+def _stream_input(spark, d, n=4, backwards=False, pieces=1):
+    """The samples as n Parquet files, one written after the other in order of arrival, or from the last to the first; with
+    pieces, each of them is so many files by ranges of arrival, which as many tasks write."""
     path = shared_path(spark, "stream-in")
     s = P.samples_from_events(table(spark, d, "events"))
     top = (s.agg(F.max("seq")).first()[0] or 0) + 1
     for i in sorted(range(n), reverse=backwards):
-        s.where((F.col("seq") >= top * i // n) & (F.col("seq") < top * (i + 1) // n)).coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
+        rows = s.where((F.col("seq") >= top * i // n) & (F.col("seq") < top * (i + 1) // n))
+        rows = rows.coalesce(1) if pieces == 1 else rows.repartitionByRange(pieces, "seq")
+        rows.sortWithinPartitions("seq").write.mode("append").parquet(path)
     return path
 
 
@@ -320,8 +323,8 @@ w AS (SELECT *, max(part) OVER (PARTITION BY pv) > part AS late FROM p), o AS (S
     t04_stats = ("length", "nan_count", "min", "max", "mean", "std", "snr", "rate_of_change", "mad", "peaks", "median_interval")
 
     def t04(spark, d):
-        src, path = _stream_input(spark, d), shared_path(spark, "t04")
-        stream = B.bucketize(S.stream_samples(spark, src, files_per_tick=1), "week", 9)
+        src, path = _stream_input(spark, d, pieces=8), shared_path(spark, "t04")
+        stream = B.bucketize(S.stream_samples(spark, src, files_per_tick=8), "week", 9)
         S.one_shot(stream, path + "-cp", S.incremental_stats(spark, path, slots=8))
         return S.stats_now(spark, path).select("pv", "bucket", *map(_round, t04_stats))
 

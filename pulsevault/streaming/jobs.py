@@ -274,8 +274,12 @@ def merged_moments(parts: DataFrame) -> DataFrame:
     )
 
 
+#: The statistics that algebraic_stats() has.
+ADDED_UP = ("length", "nan_count", "min", "max", "mean", "std", "snr", "cv")
+
+
 def algebraic_stats(parts: DataFrame) -> DataFrame:
-    """A row per (pv, bucket): length, nan_count, min, max, mean, std, snr, cv."""
+    """A row per (pv, bucket): ADDED_UP."""
     m = merged_moments(parts).withColumn("std", F.sqrt(F.try_divide(F.col("m2"), F.col("valid"))))
     snr, cv = F.try_divide("mean", F.nullif("std", F.lit(0.0))), F.try_divide("std", F.abs(F.nullif("mean", F.lit(0.0))))
     return m.select("pv", "bucket", "length", "nan_count", "min", "max", "mean", "std", snr.alias("snr"), cv.alias("cv"))
@@ -284,22 +288,25 @@ def algebraic_stats(parts: DataFrame) -> DataFrame:
 def incremental_stats(spark: SparkSession, root: str, slots: int = 64) -> Callable[[DataFrame, int], None]:
     """foreachBatch function. Statistics that add up are kept as moments: a batch commits those of its own samples to root/moments and
     reads nothing. Statistics that depend on order are computed anew for the (pv, bucket) that the batch has samples of, and
-    committed to root/ordered: samples lie by bucket and slot, a hash of their PV, so that a batch reads the slots of its own PVs.
+    committed to root/ordered, without those that add up: samples lie by bucket and slot, a hash of their PV, so that a batch reads the slots of its own PVs.
     A batch that is run again writes the same folders and commits the same rows again; stats_now() takes the last of each batch."""
-    samples = f"{root}/samples"
+    samples, tasks = f"{root}/samples", spark.sparkContext.defaultParallelism
+    own_keys = ["pv", "bucket"]
 
     def each(batch: DataFrame, n: int) -> None:
-        slot = F.pmod(F.xxhash64("pv"), F.lit(slots)).cast("int")
-        new = stored(batch.withColumns({"batch": F.lit(n), "slot": slot}), "batch")
-        places = new.select("bucket", "slot").distinct().collect()  # of a calendar times `slots`
-        if not places:
+        if batch.isEmpty():
             return
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket", "slot").parquet(samples)
+        placed = batch.withColumns({"batch": F.lit(n), "slot": F.pmod(F.xxhash64("pv"), F.lit(slots)).cast("int")})
+        # all cores write, each its own folders, however few the files of the batch
+        placed.repartition(tasks, "bucket", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket", "slot").parquet(samples)
+        kept = spark.read.schema(placed.schema).parquet(samples)
+        new = kept.where(F.col("batch") == n)
+        places = new.select("bucket", "slot").distinct().collect()  # of a calendar times `slots`
         append_promoted(part_moments(new).withColumn("batch", F.lit(n)), f"{root}/moments")
-        table = spark.read.schema(new.schema).parquet(samples).where(F.col("batch") <= n)
+        table = kept.where(F.col("batch") <= n)
         table = table.where(F.col("bucket").isin([r.bucket for r in places]) & F.col("slot").isin([r.slot for r in places]))
-        own = table.join(new.select("pv", "bucket").distinct(), ["pv", "bucket"], "left_semi")
-        append_promoted(scalar_stats(own).withColumn("batch", F.lit(n)), f"{root}/ordered")
+        own = scalar_stats(table.join(new.select(*own_keys).distinct(), own_keys, "left_semi"))
+        append_promoted(own.drop(*ADDED_UP).withColumn("batch", F.lit(n)), f"{root}/ordered")
 
     return each
 
@@ -309,7 +316,7 @@ def stats_now(spark: SparkSession, root: str) -> DataFrame:
     parts = last_by(read_table(spark, f"{root}/moments"), ["pv", "bucket", "batch"], ["length"])
     algebraic = algebraic_stats(parts)
     ordered = last_by(read_table(spark, f"{root}/ordered"), ["pv", "bucket"], ["batch"]).drop("batch")
-    return ordered.drop(*[c for c in algebraic.columns if c not in ("pv", "bucket")]).join(algebraic, ["pv", "bucket"])
+    return ordered.join(algebraic, ["pv", "bucket"])
 
 
 def upsert_batches(spark: SparkSession, folder: str, key: str, order: list[str], part: str) -> Callable[[DataFrame, int], None]:

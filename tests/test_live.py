@@ -179,6 +179,15 @@ def test_statistics_that_grow_read_their_own_signals_only(spark):
     assert {r.pv for r in ordered.where("batch = 0").select("pv").distinct().collect()} == {"p0", "p1"}
 
 
+def test_a_batch_of_one_file_is_written_by_many_tasks_and_keeps_what_adds_up_once(spark):
+    rows = [(f"p{i % 50}", i, 0, float(i * 1000), float(i % 13), f"b{i // 250}") for i in range(1000)]
+    root = shared_path(spark, "wide")
+    jobs.incremental_stats(spark, root, slots=4)(spark.createDataFrame(rows, jobs.SAMPLE + ", bucket string").coalesce(1), 0)
+    files = spark.read.parquet(f"{root}/samples").select(F.element_at(F.split("_metadata.file_name", "-"), 2).alias("task")).distinct().count()
+    assert files > 1
+    assert not set(commits.read_table(spark, f"{root}/ordered").columns) & set(jobs.ADDED_UP)
+
+
 def test_moments_merge_in_any_order(spark):
     rows = [("p", "b", float(x)) for x in (1, 2, 3, 10, 20)] + [("p", "b", float("nan"))]
     df = spark.createDataFrame(rows, "pv string, bucket string, x double")
