@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,32 +16,38 @@ def normalised(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "/+", "/"), "(?<=.)/$", "")
 
 
-def _grams(c: Column, n: Column) -> Column:
-    """The distinct parts of n characters of a text, none of a shorter one."""
-    starts = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - n + 1))
-    return F.array_distinct(F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(c, i, n)))
+def _grams(rows: DataFrame, text: str, n: int) -> DataFrame:
+    """The rows with _h, a hash of 64 bits, for each part of n characters of the column `text`; none for a shorter one."""
+    at = F.explode(F.sequence(F.lit(1), F.length(text) - n + 1)).alias("_at")
+    return rows.where(F.length(text) >= n).select("*", at).select(*rows.columns, F.xxhash64(F.substring(F.col(text), F.col("_at"), F.lit(n))).alias("_h"))
 
 
 def exclude(files: DataFrame, tokens: DataFrame, few: int = 200, gram: int = 8) -> DataFrame:
     """Files whose normalised path holds none of the tokens (token; blank ones and those after # don't count). Up to `few`
-    tokens are looked for where the path lies. More are found by an index: every token is entered under one of its parts of `gram`
-    characters (all of it, if it is shorter), the one that the fewest paths hold; paths meet tokens on that part, and those that hold
-    the token go. A token with a part that no path holds is not looked for."""
+    tokens are looked for where the path lies, and so are up to `few` that are shorter than `gram`. More are found by an index: every
+    token is entered under one of its parts of `gram` characters (all of it, if it is shorter), the one that paths hold least often; paths
+    meet tokens on that part, and those that hold the token go. A token with a part that no path holds is not looked for. Parts and
+    paths are hashes there, so that what is sorted are pairs of numbers; whether a path holds a token is told by their texts."""
     wanted = tokens.select(F.trim("token").alias("token")).where("token != '' and not startswith(token, '#')").distinct()
-    first = [r[0] for r in wanted.limit(few + 1).collect()]
     path = normalised(F.col("path"))
+    without = lambda left, own: left.where(~F.coalesce(F.exists(F.lit(own), lambda t: F.contains(path, t)), F.lit(False))) if own else left
+    first = [r[0] for r in wanted.limit(few + 1).collect()]
     if len(first) <= few:
         return files.where(~F.exists(F.lit(first), lambda t: F.contains(path, t))) if first else files
-    size = F.least(F.length("token"), F.lit(gram))
-    parts = stored(wanted.select("token", F.explode(_grams(F.col("token"), size)).alias("part")), "parts")
-    lengths = sorted(r[0] for r in parts.select(F.length("part")).distinct().collect())  # `gram` of them at most
-    paths = files.select(path.alias("_p")).where("_p is not null").distinct()
-    held = paths.select("_p", F.explode(F.concat(*[_grams(F.col("_p"), F.lit(n)) for n in lengths])).alias("part"))
-    held = held.join(parts.select("part").distinct(), "part", "left_semi")
-    rare = held.groupBy("part").agg(F.count("*").alias("n"))
-    entry = parts.join(rare, "part", "left").groupBy("token").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "part")).alias("r")).where("r.n > 0")
-    hit = held.join(entry.select("token", F.col("r.part").alias("part")), "part").where(F.contains("_p", F.col("token"))).select("_p").distinct()
-    return files.join(hit, path == F.col("_p"), "left_anti")
+    short = [r[0] for r in wanted.where(F.length("token") < gram).limit(few + 1).collect()]
+    if len(short) <= few:
+        files, wanted, lengths = without(files, short), wanted.where(F.length("token") >= gram), [gram]
+    else:
+        lengths = list(range(1, gram + 1))
+    own = [_grams(wanted if n == gram else wanted.where(F.length("token") == n), "token", n) for n in lengths]
+    parts = stored(reduce(DataFrame.unionByName, own), "parts")
+    paths = files.select(path.alias("_p")).where("_p is not null").select("_p", F.xxhash64("_p").alias("_id"))
+    held = reduce(DataFrame.unionByName, [_grams(paths, "_p", n).select("_id", "_h") for n in lengths])
+    held = stored(held.join(parts.select("_h").distinct(), "_h", "left_semi"), "held")
+    rare = held.groupBy("_h").agg(F.count("*").alias("n"))
+    entry = parts.join(rare, "_h", "left").groupBy("token").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"), F.min_by("_h", F.coalesce("n", F.lit(0))).alias("_h")).where("n > 0")
+    met = held.join(entry.select("token", "_h"), "_h").select("_id", "token").distinct()
+    return files.join(met, (F.xxhash64(path) == F.col("_id")) & F.contains(path, F.col("token")), "left_anti")
 
 
 def under_root(files: DataFrame, root: str) -> DataFrame:

@@ -241,6 +241,15 @@ def test_no_machine_local_folder_on_a_cluster(spark):
         shared.shared_root(Session)
 
 
+def test_the_index_of_tokens_sorts_no_texts_of_paths(spark):
+    files = spark.range(300).selectExpr("concat('/data/src', id % 3, '/PV-', id, '_2024.pb') AS path")
+    listed = spark.range(0, 300, 3).selectExpr("concat('/PV-', id, '_2024') AS token").unionByName(spark.createDataFrame([("src1/",)], "token string"))
+    found = catalog.exclude(files, listed, few=20)
+    assert sorted(r.path for r in found.collect()) == sorted(f"/data/src{i % 3}/PV-{i}_2024.pb" for i in range(300) if i % 3 == 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" not in plan and "_p" not in plan  # pairs of hashes, not parts beside their paths
+
+
 def test_many_excluded_tokens_are_found_by_an_index(spark):
     """Long and short tokens, tokens in all paths, in none, of the length of a whole path; equal to looking for each."""
     import random
