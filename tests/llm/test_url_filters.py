@@ -210,6 +210,18 @@ def test_the_tree_decides_and_not_the_host(spark):
     assert all(r.held_out_bad == 0 for r in held if r.verdict == "allow")
 
 
+def test_the_query_takes_the_labels_of_all_pages(spark, tmp_path):
+    """A bad branch of which no page is in the half of labelled_pages()."""
+    from pulsevault.llm.queries import op3_url_templates
+
+    good, bad = "<p>" + " ".join(f"w{i}" for i in range(60)) + "</p>", "<p>" + "buy now " * 40 + "</p>"
+    ids = [i for i in range(400) if not known(i)][:80]
+    rows = [(i, f"http://h.com/{'shop' if i in ids else 'news'}/x{i}", bad if i in ids else good) for i in range(400)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    got = {r.page_id: r.verdict for r in op3_url_templates(spark, f"file://{tmp_path}").collect()}
+    assert got == {i: "block" if i in ids else "allow" for i in range(400)}
+
+
 @pytest.mark.parametrize("part", ["<!--", "<script>", "<", "<style ", "</script ", "<p", "<!-- x -->", "<script></script>", "&", "<script></script "])
 def test_long_broken_pages_take_linear_time(part):
     import time
